@@ -14,7 +14,7 @@ sys.path.insert(0, ROOT)
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 
-def testdata(sf: str) -> str:
+def tables_at(sf: str) -> str:
     return f"/root/testdata/sf{sf}"
 
 
@@ -76,12 +76,12 @@ def main(sf="0.01", *keys):
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    con = duck(testdata(sf))
+    con = duck(tables_at(sf))
     failed = 0
     for key in keys or QUERIES:
         start = time.time()
         try:
-            problem = compare(spark, con, key, QUERIES[key], ORACLE[key], testdata(sf))
+            problem = compare(spark, con, key, QUERIES[key], ORACLE[key], tables_at(sf))
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None

@@ -1,0 +1,116 @@
+import os
+import time
+
+import pytest
+
+from shapes import RAW
+from test_events import text
+from test_sources import TIERED_EARLY, csv_line, put
+from tillroll.sinks.events import read_dead_letters, read_ingest_log, read_rejected, read_streaming
+from tillroll.sources.orders import read_curated
+from tillroll.streaming.events import run_event_ingest
+from tillroll.streaming.orders import clean_batch, run_incremental
+
+
+@pytest.fixture
+def lake(tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "incoming").mkdir()
+    return tmp_path
+
+
+def clean_new(spark, lake, **options):
+    return run_incremental(
+        spark, str(lake / "raw"), str(lake / "curated"), str(lake / "checkpoint"), **options
+    )
+
+
+def invoices(spark, lake):
+    return sorted(r.Invoice for r in read_curated(spark, str(lake / "curated")).collect())
+
+
+def test_only_new_files_are_read(spark, lake):
+    put(lake / "raw/a.csv", RAW, csv_line(1), csv_line("C2"))
+    first = clean_new(spark, lake)
+    assert (first.files, first.raw_rows, first.clean_rows) == (1, 2, 1)
+
+    again = clean_new(spark, lake)
+    assert again.files == 0 and again.message() == "No new files. Nothing to process."
+    assert invoices(spark, lake) == ["1"]
+
+    put(lake / "raw/later/b.csv", TIERED_EARLY, csv_line(3, "Gold", early=True))
+    third = clean_new(spark, lake)
+    assert (third.files, third.clean_rows) == (1, 1)
+    rows = {r.Invoice: r.loyalty_tier for r in read_curated(spark, str(lake / "curated")).collect()}
+    assert rows == {"1": None, "3": "Gold"}
+
+
+def test_batches_are_bounded_by_files(spark, lake):
+    for n in range(5):
+        put(lake / f"raw/{n}.csv", RAW, csv_line(n))
+    run = clean_new(spark, lake, max_files=2)
+    assert (run.files, len(run.batches)) == (5, 3)
+    assert invoices(spark, lake) == [str(n) for n in range(5)]
+
+
+def test_a_batch_run_again_adds_nothing(spark, lake):
+    path = put(lake / "raw/a.csv", RAW, csv_line(1), csv_line(2))
+    for _ in range(2):
+        assert clean_batch(spark, [path], str(lake / "curated"), "orders-0") == (2, 2)
+    assert invoices(spark, lake) == ["1", "2"]
+
+
+def test_a_crash_behind_the_write_is_repaired(spark, lake):
+    put(lake / "raw/a.csv", RAW, csv_line(1))
+    clean_new(spark, lake)
+    put(lake / "raw/b.csv", RAW, csv_line(2))
+    clean_new(spark, lake)
+    # Forget that the last micro-batch was committed, as if the driver had died before it was.
+    commits = sorted((lake / "checkpoint/commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    os.remove(commits[-1])
+    crc = commits[-1].with_name(f".{commits[-1].name}.crc")
+    if crc.exists():
+        os.remove(crc)
+    clean_new(spark, lake)
+    assert invoices(spark, lake) == ["1", "2"]
+
+
+def take_events(spark, lake, **options):
+    return run_event_ingest(
+        spark, str(lake / "incoming"), str(lake / "out"), str(lake / "events"), **options
+    )
+
+
+def test_event_files_as_they_arrive(spark, lake):
+    incoming, out = lake / "incoming", str(lake / "out")
+    (incoming / "good.json").write_text("\n".join(text(invoice=str(n)) for n in range(3)))
+    (incoming / "mixed.json").write_text("\n".join([text(), text(quantity=-5), "{}", "x"]))
+    (incoming / "bad.json").write_text("{}\n{}")
+    (incoming / "empty.json").touch()
+    (incoming / "ignored.txt").write_text(text())
+    assert take_events(spark, lake) == {
+        "files": 4,
+        "events_written": 4,
+        "events_rejected": 5,
+        "dead_files": 2,
+    }
+    assert read_streaming(spark, out).count() == 4
+    assert read_rejected(spark, out).count() == 5
+    dead = {r.path.split("/")[-1] for r in read_dead_letters(spark, out).collect()}
+    assert dead == {"bad.json", "empty.json"}
+    assert take_events(spark, lake)["files"] == 0
+
+    (incoming / "sub").mkdir()
+    (incoming / "sub/good.json").write_text(text(invoice="9"))
+    assert take_events(spark, lake)["events_written"] == 1
+    assert read_streaming(spark, out).count() == 5
+    assert read_ingest_log(spark, out).count() == 5
+
+
+def test_a_file_dropped_again_is_not_new_to_the_stream(spark, lake):
+    path = lake / "incoming/a.json"
+    path.write_text(text())
+    take_events(spark, lake)
+    time.sleep(1.1)
+    path.write_text(text(invoice="2"))
+    assert take_events(spark, lake)["files"] == 0

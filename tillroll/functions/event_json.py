@@ -8,13 +8,12 @@ from tillroll.schemas import REQUIRED_EVENT_KEYS
 # What str.strip() removes around an ASCII line.
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
-# The line is read as a member of a wrapper, so anything behind its closing brace breaks the
-# wrapper or loses its end mark.
-WRAPPER_SCHEMA = (
-    "event struct<" + ", ".join(f"{key}: variant" for key in REQUIRED_EVENT_KEYS) + ">, "
-    "end_mark string, broken string"
-)
-END_MARK = "end of event"
+_EVENT = "struct<" + ", ".join(f"{key}: variant" for key in REQUIRED_EVENT_KEYS) + ">"
+_OPTIONS = {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"}
+_END_MARK = "end of event"
+
+# A closing bracket behind an object: the one thing that could end the list around the line early.
+_CLOSED_LIST = r"\}\s*\]"
 
 
 def stripped(line: Column) -> Column:
@@ -22,29 +21,38 @@ def stripped(line: Column) -> Column:
 
 
 def parsed_event(line: Column) -> Column:
-    """Struct with the required keys as variants; keys of no interest are skipped, not built."""
-    wrapped = F.concat(
-        F.lit('{"event":'), line, F.lit(f',"end_mark":"{END_MARK}"}}')
+    """Struct `events`, `end_mark`, `broken`, with the required keys as variants.
+
+    The JSON reader stops behind the first value, so the line is read inside a list with an end
+    mark behind it: whatever follows the event breaks the text, adds a second item or hides the
+    mark. Keys of no interest are skipped, not built.
+    """
+    wrapped = F.concat(F.lit('{"events":['), line, F.lit(f'],"end_mark":"{_END_MARK}"}}'))
+    schema = f"events array<{_EVENT}>, end_mark string, broken string"
+    return F.from_json(wrapped, schema, _OPTIONS)
+
+
+def _is_one_event(line: Column, parsed: Column) -> Column:
+    alone = (
+        parsed["broken"].isNull()
+        & parsed["end_mark"].eqNullSafe(F.lit(_END_MARK))
+        & (F.size(parsed["events"]) == 1)
     )
-    options = {"columnNameOfCorruptRecord": "broken", "allowSingleQuotes": "false"}
-    return F.from_json(wrapped, WRAPPER_SCHEMA, options)
+    as_member = F.concat(F.lit('{"event":'), line, F.lit("}"))
+    fits = F.from_json(as_member, "broken string", _OPTIONS)["broken"].isNull()
+    return alone & F.when(line.rlike(_CLOSED_LIST), fits).otherwise(True)
 
 
 def is_positive_number(value: Column) -> Column:
     """JSON number (or true, which counts as 1) above zero; text that looks like a number is not."""
-    kind = F.schema_of_variant(value)
-    numeric = kind.isin("BIGINT", "DOUBLE", "BOOLEAN") | kind.startswith("DECIMAL")
-    return F.coalesce(numeric & (F.try_variant_get(value, "$", "double") > 0), F.lit(False))
+    positive = F.try_variant_get(value, "$", "double") > 0
+    return F.coalesce(positive & (F.schema_of_variant(value) != "STRING"), F.lit(False))
 
 
 def rejection_reason(line: Column, parsed: Column) -> Column:
     """Why the line is no valid event, NULL if it is one. The first reason that applies wins."""
-    event = parsed["event"]
-    readable = (
-        F.is_valid_utf8(line)
-        & parsed["broken"].isNull()
-        & parsed["end_mark"].eqNullSafe(F.lit(END_MARK))
-    )
+    event = F.get(parsed["events"], F.lit(0))
+    readable = F.is_valid_utf8(line) & _is_one_event(line, parsed)
     missing = F.lit(False)
     for key in REQUIRED_EVENT_KEYS:
         missing = missing | event[key].isNull()

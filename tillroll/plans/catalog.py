@@ -50,7 +50,7 @@ def _register(
 def register_curated(spark: SparkSession, database: str, curated: str) -> None:
     """Register or refresh the curated table with the partitions found in its folder."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    schema = T.StructType(CURATED_SCHEMA.fields).add("ingest_batch", T.StringType())
+    schema = T.StructType([*CURATED_SCHEMA.fields, T.StructField("ingest_batch", T.StringType())])
     _register(
         spark,
         f"{database}.{CURATED_TABLE}",

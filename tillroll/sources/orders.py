@@ -61,5 +61,5 @@ def read_curated(spark: SparkSession, path: str, extra: T.StructType | None = No
 
     The declared schema spares a footer scan and gives NULL for columns older files lack.
     """
-    schema = T.StructType(CURATED_SCHEMA.fields + (extra.fields if extra else []))
+    schema = T.StructType([*CURATED_SCHEMA.fields, *(extra.fields if extra else [])])
     return spark.read.schema(schema).parquet(path).select(schema.names)
