@@ -7,8 +7,10 @@ from test_events import text
 from test_sources import csv_line, put
 from tillroll.operators.quality import MaxNullRate, MinRows, MinTotal, QualityCheckFailed, YearsPresent
 from tillroll.plans.catalog import register_events, temporary_views
-from tillroll.plans.lake import build_warehouse, failed_runs, run_lake
+from tillroll.operators.warehouse import monthly_revenue
+from tillroll.plans.lake import build_warehouse, failed_runs, gate, run_lake
 from tillroll.sinks.events import ingest_events
+from tillroll.sinks.tables import write_curated
 from tillroll.sources.orders import read_curated
 
 RULES = (MinRows(3), MaxNullRate(), MinTotal(minimum=10.0), YearsPresent(("2010",)))
@@ -50,6 +52,14 @@ def test_whole_run_with_catalog(spark, raw):
     (product,) = spark.sql("SELECT * FROM shop.v_top_products").collect()
     assert (product.stockcode, product.revenue_rank) == ("A", 1)
 
+    monthly = spark.sql(
+        "SELECT year, month, round(sum(revenue), 2), count(DISTINCT invoice), count(DISTINCT customerid) "
+        "FROM shop.online_retail GROUP BY ALL"
+    )
+    ours = monthly_revenue(spark.table("shop.online_retail"))
+    assert [tuple(r) for r in monthly.collect()] == [tuple(r) for r in ours.collect()]
+    assert gate(spark.table("shop.online_retail"), RULES)["status"] == "PASSED"
+
     put(raw / "raw/b.csv", RAW, csv_line(50)[:4] + ["2011-01-05 10:00:00", "1", "1", "UK"])
     second = run(spark, raw, database="shop")
     assert (second.files, second.tables["customer_rfm"]) == (1, 9)
@@ -75,6 +85,14 @@ def test_any_failure_leaves_a_notice(spark, tmp_path):
     assert failed_runs(spark, str(tmp_path / "runs")).count() == 1
 
 
+def test_an_empty_curated_zone_builds_empty_tables(spark, raw):
+    run(spark, raw)
+    empty = read_curated(spark, str(raw / "curated")).where("false")
+    write_curated(empty, str(raw / "empty"), "b")
+    counts = build_warehouse(spark, str(raw / "empty"), str(raw / "w0"))
+    assert set(counts.values()) == {0}
+
+
 def test_warehouse_path_with_and_without_slash(spark, raw):
     run(spark, raw)
     for root in (f"{raw}/w1", f"{raw}/w2/"):

@@ -81,7 +81,7 @@ def values_at_ranks(
 
 def _narrow(df: DataFrame, pending: Mapping[object, Wanted], accuracy: int) -> dict:
     """For each pending rank either its value or a smaller search."""
-    sketch = df.agg(*(_bracket(w, accuracy) for w in pending.values())).first()
+    brackets = _brackets(df, pending, accuracy)
     counts = df.agg(
         *(
             F.struct(
@@ -90,20 +90,41 @@ def _narrow(df: DataFrame, pending: Mapping[object, Wanted], accuracy: int) -> d
                 F.count_if(w.values < high).alias("below_high"),
                 F.count_if(w.values <= high).alias("to_high"),
             )
-            for w, (low, high) in zip(pending.values(), sketch)
+            for w, (low, high) in zip(pending.values(), brackets.values())
         )
     ).first()
     return {
-        name: _settle(df, w, low, high, counted)
-        for (name, w), (low, high), counted in zip(pending.items(), sketch, counts)
+        name: _settle(df, w, *brackets[name], counted)
+        for (name, w), counted in zip(pending.items(), counts)
     }
 
 
-def _bracket(w: Wanted, accuracy: int) -> Column:
-    share, slack = (w.rank + 0.5) / w.rows, 2 / accuracy
-    return F.percentile_approx(
-        w.values, [max(share - slack, 0.0), min(share + slack, 1.0)], accuracy
-    )
+def _brackets(df: DataFrame, pending: Mapping[object, Wanted], accuracy: int) -> dict:
+    """A value somewhat below and one somewhat above each rank, from one sketch per set of rows."""
+    sketches: dict = {}
+    for name, w in pending.items():
+        sketches.setdefault((w.column, id(w.where)), []).append(name)
+
+    def shares(w: Wanted) -> list[float]:
+        share, slack = (w.rank + 0.5) / w.rows, 2 / accuracy
+        return [max(share - slack, 0.0), min(share + slack, 1.0)]
+
+    row = df.agg(
+        *(
+            F.percentile_approx(
+                pending[names[0]].values,
+                [share for name in names for share in shares(pending[name])],
+                accuracy,
+            )
+            for names in sketches.values()
+        )
+    ).first()
+    found = {
+        name: (values[2 * i], values[2 * i + 1])
+        for names, values in zip(sketches.values(), row)
+        for i, name in enumerate(names)
+    }
+    return {name: found[name] for name in pending}
 
 
 def _settle(df: DataFrame, w: Wanted, low, high, counted):
@@ -178,10 +199,11 @@ def ntile(
         start, n = starts[t], filled[name]
         return start if scores[name].ascending or start >= n else n - 1 - start
 
+    everywhere = F.lit(True)
     values = values_at_ranks(
         df,
         {
-            (name, t): Wanted(scores[name].column, F.lit(True), ascending_rank(name, t), filled[name])
+            (name, t): Wanted(scores[name].column, everywhere, ascending_rank(name, t), filled[name])
             for name, t in cuts
         },
         array_rows,

@@ -15,9 +15,7 @@ VIEWS = {
         SELECT year(order_date) AS year, month(order_date) AS month,
                sum(total_revenue) AS total_revenue, sum(num_orders) AS num_orders,
                sum(num_customers) AS num_customers, sum(total_units) AS total_units
-        FROM {database}.daily_revenue
-        GROUP BY year(order_date), month(order_date)
-        ORDER BY year, month""",
+        FROM {database}.daily_revenue GROUP BY ALL ORDER BY year, month""",
     # Scored when the warehouse is built, because quartiles over the whole table are found there
     # without sorting it; the view reads the finished rows.
     "v_customer_segments": "SELECT * FROM {database}.customer_segments",

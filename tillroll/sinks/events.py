@@ -49,6 +49,8 @@ def ingest_events(
     arrived_at = arrived_at or datetime.datetime.now(datetime.timezone.utc)
     batch = batch or f"replay-{uuid.uuid4().hex}"
     paths = list(dict.fromkeys(qualified(spark, path) for path in paths))
+    if not paths:
+        return {"files": 0, "events_written": 0, "events_rejected": 0, "dead_files": 0}
     names = spark.createDataFrame([(path,) for path in paths], "path string")
     files = _with_home(spark, _with_source(names), out, arrived_at)
     judged = validate_events(event_lines(read_event_lines(spark, paths)))
@@ -120,6 +122,7 @@ def _write_valid(valid: DataFrame, files: DataFrame, out: str) -> None:
 
 
 def _write_batch(rows: DataFrame, path: str, batch: str, arrived_at: datetime.datetime) -> None:
+    """Rows of one batch in few files, however many tasks the lines were read by."""
     (
         rows.withColumns(
             {
@@ -128,6 +131,7 @@ def _write_batch(rows: DataFrame, path: str, batch: str, arrived_at: datetime.da
                 "ingest_batch": F.lit(batch),
             }
         )
+        .hint("rebalance")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingest_date", "ingest_batch")

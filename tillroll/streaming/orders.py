@@ -11,7 +11,7 @@ from tillroll.sinks.tables import write_curated
 from tillroll.sources.files import arriving_files
 from tillroll.sources.orders import read_orders_csv
 
-MAX_FILES = 1000
+MAX_FILES = 10_000
 
 
 @dataclass
