@@ -8,35 +8,45 @@ when the lines of an invoice lie together in a file and loses half when they do
 
 import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
+# What the tables measure, one definition each.
+MEASURES = {
+    "revenue": "round(sum(Revenue), 2)",
+    "orders": "count(DISTINCT Invoice)",
+    "customers": "count(DISTINCT CustomerID)",
+    "units": "sum(Quantity)",
+}
+
+
+def measured(groups: GroupedData, *others: Column, **names: str) -> DataFrame:
+    """Aggregate groups to `others` and then the measures, given as column name = measure."""
+    return groups.agg(
+        *others, *(F.expr(MEASURES[measure]).alias(name) for name, measure in names.items())
+    )
+
 
 def daily_revenue(orders: DataFrame) -> DataFrame:
     """Revenue, orders, customers and units per calendar day, in date order."""
-    return (
-        orders.groupBy(F.to_date("InvoiceDate").alias("order_date"))
-        .agg(
-            F.round(F.sum("Revenue"), 2).alias("total_revenue"),
-            F.count_distinct("Invoice").alias("num_orders"),
-            F.count_distinct("CustomerID").alias("num_customers"),
-            F.sum("Quantity").alias("total_units"),
-        )
-        .orderBy("order_date")
-    )
+    days = orders.groupBy(F.to_date("InvoiceDate").alias("order_date"))
+    return measured(
+        days,
+        total_revenue="revenue",
+        num_orders="orders",
+        num_customers="customers",
+        total_units="units",
+    ).orderBy("order_date")
 
 
 def monthly_revenue(orders: DataFrame) -> DataFrame:
     """Revenue and distinct orders and customers per month, straight from the order lines."""
-    return (
-        orders.groupBy("year", "month")
-        .agg(
-            F.round(F.sum("Revenue"), 2).alias("total_revenue"),
-            F.count_distinct("Invoice").alias("num_orders"),
-            F.count_distinct("CustomerID").alias("num_customers"),
-        )
-        .orderBy("year", "month")
-    )
+    return measured(
+        orders.groupBy("year", "month"),
+        total_revenue="revenue",
+        num_orders="orders",
+        num_customers="customers",
+    ).orderBy("year", "month")
 
 
 def customer_rfm(
@@ -51,10 +61,9 @@ def customer_rfm(
         reference_date = orders.select(F.max("InvoiceDate")).scalar()
     elif not isinstance(reference_date, Column):
         reference_date = F.lit(reference_date)
-    return orders.groupBy("CustomerID").agg(
-        F.datediff(reference_date, F.max("InvoiceDate")).alias("recency_days"),
-        F.count_distinct("Invoice").alias("frequency"),
-        F.round(F.sum("Revenue"), 2).alias("monetary"),
+    recency = F.date_diff(reference_date, F.max("InvoiceDate")).alias("recency_days")
+    return measured(
+        orders.groupBy("CustomerID"), recency, frequency="orders", monetary="revenue"
     )
 
 
@@ -79,10 +88,11 @@ def top_products(orders: DataFrame) -> DataFrame:
     Totals and descriptions read different columns, so two pruned scans cost about one; keeping
     text out of the totals keeps them a hash aggregate and their shuffle narrow.
     """
-    totals = orders.groupBy("StockCode").agg(
-        F.round(F.sum("Revenue"), 2).alias("total_revenue"),
-        F.sum("Quantity").alias("total_units"),
-        F.count_distinct("Invoice").alias("num_orders"),
+    totals = measured(
+        orders.groupBy("StockCode"),
+        total_revenue="revenue",
+        total_units="units",
+        num_orders="orders",
     )
     described = product_descriptions(orders).withColumnRenamed("StockCode", "described_code")
     return (
