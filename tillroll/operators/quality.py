@@ -3,11 +3,18 @@
 import datetime
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHECK_COLUMNS = ("check", "passed", "message", "observed", "threshold")
+
+class Rule(Protocol):
+    """Aggregates to take over the table, and the check row to make of them."""
+
+    def measures(self) -> dict[str, Column]: ...
+
+    def verdict(self) -> Column: ...
 
 
 class QualityCheckFailed(Exception):
@@ -129,7 +136,7 @@ class YearsPresent:
 DEFAULT_RULES = (MinRows(), MaxNullRate(), MinTotal(), YearsPresent())
 
 
-def run_checks(df: DataFrame, rules: Sequence = DEFAULT_RULES) -> DataFrame:
+def run_checks(df: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
     """One row per rule, in rule order, from a single pass over `df`."""
     measures: dict[str, Column] = {}
     for rule in rules:

@@ -7,7 +7,13 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators.quality import DEFAULT_RULES, QualityCheckFailed, enforce, run_checks
+from tillroll.operators.quality import (
+    DEFAULT_RULES,
+    QualityCheckFailed,
+    Rule,
+    enforce,
+    run_checks,
+)
 from tillroll.operators.reports import customer_segments
 from tillroll.operators.warehouse import customer_rfm, daily_revenue, top_products
 from tillroll.plans.catalog import register_curated, register_warehouse, table_path
@@ -60,7 +66,7 @@ def build_warehouse(
     return counts
 
 
-def gate(orders: DataFrame, rules: Sequence = DEFAULT_RULES) -> dict:
+def gate(orders: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> dict:
     """Result of the quality rules; raises if one of them fails."""
     return enforce(run_checks(orders, rules))
 
@@ -72,7 +78,7 @@ def run_lake(
     warehouse: str,
     checkpoint: str,
     database: str | None = None,
-    rules: Sequence = DEFAULT_RULES,
+    rules: Sequence[Rule] = DEFAULT_RULES,
     run_log: str | None = None,
 ) -> RunRecord:
     """Clean new files, gate, rebuild the warehouse, refresh names. A failure stops the run there.

@@ -1,6 +1,8 @@
 """File names, sizes and first lines: metadata-sized work done where the paths are known."""
 
 import re
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,6 +10,8 @@ from pyspark.sql import functions as F
 # Schema of Spark's binaryFile source. Its content column is never selected, so no file is opened.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
+READ_THREADS = 32
+
 
 def literal_path(path: str) -> str:
     """Path that a Spark reader takes as it is, without reading [ ] { } * ? as a pattern."""
@@ -69,16 +73,22 @@ def empty_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     return found
 
 
-def first_line(spark: SparkSession, path: str) -> str | None:
-    """First line of a text file, decompressed by its suffix."""
-    location, system = _hadoop(spark, path)
-    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-        spark._jsc.hadoopConfiguration()
-    )
-    codec, stream = codecs.getCodec(location), system.open(location)
-    try:
-        text = stream if codec is None else codec.createInputStream(stream)
-        reader = spark._jvm.java.io.InputStreamReader(text, "UTF-8")
-        return spark._jvm.java.io.BufferedReader(reader).readLine()
-    finally:
-        stream.close()
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> list[str | None]:
+    """First line of each text file, decompressed by its suffix; None for an empty file."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop_path, reader = jvm.org.apache.hadoop.fs.Path, jvm.java.io.InputStreamReader
+    lines = jvm.java.io.BufferedReader
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(path: str) -> str | None:
+        location = hadoop_path(path)
+        stream = location.getFileSystem(conf).open(location)
+        try:
+            codec = codecs.getCodec(location)
+            text = stream if codec is None else codec.createInputStream(stream)
+            return lines(reader(text, "UTF-8")).readLine()
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(READ_THREADS) as pool:
+        return list(pool.map(first, paths))

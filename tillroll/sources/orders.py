@@ -2,16 +2,13 @@
 
 import csv
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tillroll.schemas import CURATED_SCHEMA, RAW_COLUMNS
-from tillroll.sources.files import files_in, first_line, literal_path
-
-HEADER_THREADS = 32
+from tillroll.sources.files import files_in, first_lines, literal_path
 
 
 def union_parts(parts: Iterable[DataFrame]) -> DataFrame:
@@ -19,9 +16,9 @@ def union_parts(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def header_columns(spark: SparkSession, path: str) -> tuple[str, ...]:
-    line = first_line(spark, path) or ""
-    return tuple(next(csv.reader([line.removeprefix("﻿")]), ()))
+def header_columns(line: str | None) -> tuple[str, ...]:
+    """Column names of a header line; a file without one holds no rows either."""
+    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ())) or RAW_COLUMNS
 
 
 def read_orders_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
@@ -38,9 +35,8 @@ def read_orders_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFram
     else:
         files = list(paths)
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        for path, header in zip(files, pool.map(lambda f: header_columns(spark, f), files)):
-            groups.setdefault(header or RAW_COLUMNS, []).append(literal_path(path))
+    for path, line in zip(files, first_lines(spark, files)):
+        groups.setdefault(header_columns(line), []).append(literal_path(path))
     if not groups:
         return spark.createDataFrame([], _text_schema(RAW_COLUMNS))
     return union_parts(
