@@ -1,3 +1,4 @@
+import datetime
 import gzip
 
 import pytest
@@ -8,7 +9,7 @@ from tillroll.operators.clean import clean_orders
 from tillroll.sinks.scratch import scratch_folder, stored
 from tillroll.sinks.tables import write_csv, write_curated, write_table
 from tillroll.sources.files import empty_files, files_in
-from tillroll.sources.orders import read_curated, read_orders_csv, union_parts
+from tillroll.sources.orders import orders_between, read_curated, read_orders_csv, union_parts
 
 TIERED_LAST = [*RAW, "loyalty_tier"]
 TIERED_EARLY = [RAW[0], "loyalty_tier", *RAW[1:]]
@@ -165,6 +166,29 @@ def test_months_are_pruned_and_columns_too(spark, orders, tmp_path):
     assert "ReadSchema: struct<Revenue:double>" in plan
 
 
+@pytest.mark.parametrize(
+    "start, end",
+    [
+        ((2009, 3, 1), (2009, 5, 2)),
+        ((2009, 8, 1, 12), (2011, 2, 1, 10)),
+        ((2010, 1, 1), (2010, 1, 1)),
+        ((2000, 1, 1), (2030, 12, 31)),
+    ],
+)
+def test_period_by_date_and_partition(spark, orders, tmp_path, start, end):
+    path = str(tmp_path / "curated")
+    write_curated(orders, path, "b")
+    start, end = datetime.datetime(*start), datetime.datetime(*end)
+    period = orders_between(read_curated(spark, path), start, end)
+    assert period.count() == sum(
+        r.InvoiceDate is not None and start <= r.InvoiceDate < end for r in orders.collect()
+    )
+    if start == end:  # Spark sees that nothing can match and reads nothing.
+        return
+    pruned = plan_of(period).split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "year#" in pruned and "month#" in pruned
+
+
 def test_price_filter_reaches_the_scan(spark, orders, tmp_path):
     path = str(tmp_path / "curated")
     write_curated(orders, path, "b")

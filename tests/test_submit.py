@@ -1,0 +1,53 @@
+import pytest
+
+import submit
+from shapes import RAW
+from test_events import text
+from test_sources import csv_line, put
+from tillroll.operators.quality import QualityCheckFailed
+from tillroll.sinks.events import NoValidEvents
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    put(tmp_path / "raw/a.csv", RAW, *(csv_line(n) for n in range(4)))
+    (tmp_path / "incoming").mkdir()
+    (tmp_path / "incoming/a.json").write_text(text())
+    (tmp_path / "incoming/bad.json").write_text("{}")
+    return tmp_path
+
+
+def call(lake, job, *names, **options):
+    paths = [item for name in names for item in (f"--{name}", str(lake / name))]
+    given = [f"--{k.replace('_', '-')}={v}" for k, v in options.items()]
+    return submit.main([job, *paths, *given])
+
+
+FITTED = {"min_rows": 1, "min_revenue": 1, "years": "2010"}
+
+
+def test_step_by_step(lake):
+    first = call(lake, "clean", "raw", "curated", "checkpoint", database="steps")
+    assert (first["files"], first["clean_rows"]) == (1, 4)
+    again = call(lake, "clean", "raw", "curated", "checkpoint", database="steps")
+    assert again["message"] == "No new files. Nothing to process."
+    with pytest.raises(QualityCheckFailed, match="below minimum 700000"):
+        call(lake, "gate", "curated")
+    assert call(lake, "gate", "curated", **FITTED)["status"] == "PASSED"
+    assert call(lake, "warehouse", "curated", "warehouse", database="steps")["daily_revenue"] == 1
+
+
+def test_whole_run(lake):
+    result = call(lake, "run", "raw", "curated", "warehouse", "checkpoint", **FITTED)
+    assert result["status"] == "PASSED" and result["tables"]["customer_segments"] == 1
+
+
+def test_events_and_replay(lake):
+    totals = call(lake, "events", "incoming", "out", "checkpoint", database="steps_events")
+    assert (totals["events_written"], totals["dead_files"]) == (1, 1)
+    again = submit.main(["replay", "--out", str(lake / "out"), str(lake / "incoming/a.json")])
+    assert again["events_written"] == 1
+    with pytest.raises(NoValidEvents):
+        submit.main(
+            ["replay", "--strict", "--out", str(lake / "out"), str(lake / "incoming/bad.json")]
+        )

@@ -1,10 +1,12 @@
 """Reading raw order files, curated order lines and parts of a data set."""
 
 import csv
+import datetime
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.schemas import CURATED_SCHEMA, RAW_COLUMNS
@@ -59,3 +61,24 @@ def read_curated(spark: SparkSession, path: str, extra: T.StructType | None = No
     """
     schema = T.StructType([*CURATED_SCHEMA.fields, *(extra.fields if extra else [])])
     return spark.read.schema(schema).parquet(path).select(schema.names)
+
+
+def orders_between(
+    orders: DataFrame, start: datetime.datetime, end: datetime.datetime
+) -> DataFrame:
+    """Order lines from `start` up to, not including, `end`.
+
+    The dates also become conditions on the partition columns, so only the months of the period are
+    read; a condition on `InvoiceDate` alone reads them all.
+    """
+
+    def from_month(at: datetime.datetime) -> Column:
+        later_year = F.col("year") > at.year
+        return later_year | ((F.col("year") == at.year) & (F.col("month") >= at.month))
+
+    def to_month(at: datetime.datetime) -> Column:
+        earlier_year = F.col("year") < at.year
+        return earlier_year | ((F.col("year") == at.year) & (F.col("month") <= at.month))
+
+    in_time = (F.col("InvoiceDate") >= F.lit(start)) & (F.col("InvoiceDate") < F.lit(end))
+    return orders.where(from_month(start) & to_month(end) & in_time)
