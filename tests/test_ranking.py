@@ -77,6 +77,13 @@ def test_all_null(spark):
     check(spark, [(float(k), None, None) for k in range(10)])
 
 
+@pytest.mark.parametrize("options", [{}, {"array_rows": 1, "accuracy": 10}])
+def test_a_null_key_comes_last_among_ties(spark, options):
+    df = spark.createDataFrame([(None, 1), (2.0, 1), (3.0, 1), (1.0, 1)], "k double, v int")
+    got = {r.k: r.t for r in ntile(df, "k", {"t": Order("v")}, 4, **options).collect()}
+    assert got == {1.0: 1, 2.0: 2, 3.0: 3, None: 4}
+
+
 @pytest.mark.parametrize("tiles", [1, 2, 3, 10])
 def test_other_tile_counts(spark, tiles):
     check(spark, [(float(k), k % 4, k / 3) for k in range(23)], tiles)

@@ -3,6 +3,7 @@ import gzip
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shapes import LINES, RAW, line, plan_of, raw_frame
 from tillroll.operators.clean import clean_orders
@@ -157,6 +158,16 @@ def test_old_files_without_a_column_read_as_null(spark, orders, tmp_path):
     assert {r.loyalty_tier: r["count"] for r in tiers} == {None: 61, "Gold": 61}
 
 
+def test_columns_that_only_some_batches_brought(spark, orders, tmp_path):
+    path = str(tmp_path / "curated")
+    write_curated(orders.withColumn("channel", F.lit("web")), path, "with")
+    write_curated(orders, path, "without")
+    extra = T.StructType([T.StructField("channel", T.StringType())])
+    seen = read_curated(spark, path, extra).groupBy("channel").count().collect()
+    assert {r.channel: r["count"] for r in seen} == {"web": 61, None: 61}
+    assert "channel" not in read_curated(spark, path).columns
+
+
 def test_months_are_pruned_and_columns_too(spark, orders, tmp_path):
     path = str(tmp_path / "curated")
     write_curated(orders, path, "b")
