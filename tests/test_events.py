@@ -58,7 +58,11 @@ CASES = [
     (text(invoice=None, stockcode=None), None),
     (text(customerid=...), "missing_fields"),
     (text(quantity=..., price=-1), "missing_fields"),
+    (text().replace('"quantity"', '"Quantity"'), "missing_fields"),
+    (text(description="caf\u00e9 \u2028 \ud83d\ude00"), None),
+    (text().replace("HEART", "caf\u00e9"), None),
     (text(quantity=-5), "invalid_quantity"),
+    (raw(quantity="-0"), "invalid_quantity"),
     (text(quantity=0), "invalid_quantity"),
     (text(quantity=0, price=0), "invalid_quantity"),
     (text(quantity=0.5), None),
