@@ -19,6 +19,7 @@ from tillroll.operators.events import (
 from tillroll.sinks.events import (
     NoValidEvents,
     ingest_events,
+    ingest_notified,
     read_dead_letters,
     read_ingest_log,
     read_rejected,
@@ -339,6 +340,21 @@ def test_odd_file_names(spark, incoming, tmp_path, name):
     assert streamed(spark, out) == [text()]
 
 
+def test_files_named_by_notifications(spark, incoming, tmp_path):
+    incoming("test orders.json", text(), text(invoice="2"))
+    incoming("sub/a+b.json", text(invoice="3"))
+    incoming("not notified.json", text(invoice="4"))
+    keys = ["test+orders.json", "sub/a%2Bb.json", "test%20orders.json"]
+    records = [{"s3": {"bucket": {"name": "incoming"}, "object": {"key": key}}} for key in keys]
+    sent = spark.createDataFrame(
+        [(json.dumps({"Records": records[:2]}),), (json.dumps({"Records": records[2:]}),)],
+        "payload string",
+    )
+    out = str(tmp_path / "out")
+    result = ingest_notified(spark, sent, out, location=f"{tmp_path}/{{bucket}}/{{key}}")
+    assert (result["files"], result["events_written"]) == (2, 3)
+
+
 def test_old_dead_letters_leave_the_table(spark, incoming, tmp_path):
     out = str(tmp_path / "out")
     at = datetime.datetime(2024, 3, 5, tzinfo=datetime.timezone.utc)

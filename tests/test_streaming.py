@@ -8,7 +8,7 @@ from test_events import text
 from test_sources import TIERED_EARLY, csv_line, put
 from tillroll.sinks.events import read_dead_letters, read_ingest_log, read_rejected, read_streaming
 from tillroll.sources.orders import read_curated
-from tillroll.streaming.events import run_event_ingest
+from tillroll.streaming.events import run_event_ingest, start_event_ingest
 from tillroll.streaming.orders import clean_batch, run_incremental
 
 
@@ -41,6 +41,7 @@ def test_only_new_files_are_read(spark, lake):
     put(lake / "raw/later/b.csv", TIERED_EARLY, csv_line(3, "Gold", early=True))
     third = clean_new(spark, lake)
     assert (third.files, third.clean_rows) == (1, 1)
+    assert third.columns == TIERED_EARLY
     rows = {r.Invoice: r.loyalty_tier for r in read_curated(spark, str(lake / "curated")).collect()}
     assert rows == {"1": None, "3": "Gold"}
 
@@ -56,7 +57,7 @@ def test_batches_are_bounded_by_files(spark, lake):
 def test_a_batch_run_again_adds_nothing(spark, lake):
     path = put(lake / "raw/a.csv", RAW, csv_line(1), csv_line(2))
     for _ in range(2):
-        assert clean_batch(spark, [path], str(lake / "curated"), "orders-0") == (2, 2)
+        assert clean_batch(spark, [path], str(lake / "curated"), "orders-0") == (RAW, 2, 2)
     assert invoices(spark, lake) == ["1", "2"]
 
 
@@ -114,3 +115,29 @@ def test_a_file_dropped_again_is_not_new_to_the_stream(spark, lake):
     time.sleep(1.1)
     path.write_text(text(invoice="2"))
     assert take_events(spark, lake)["files"] == 0
+
+
+def test_continuous_ingest(spark, lake):
+    incoming, out = lake / "incoming", str(lake / "out")
+    (incoming / "a.json").write_text(text(invoice="1"))
+    query = start_event_ingest(
+        spark, str(incoming), out, str(lake / "events"), processing_time="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        (incoming / "b.json").write_text(text(invoice="2"))
+        query.processAllAvailable()
+        assert read_streaming(spark, out).count() == 2
+        assert query.isActive
+    finally:
+        query.stop()
+
+
+def test_other_time_zones_are_pointed_out(spark, lake):
+    put(lake / "raw/a.csv", RAW, csv_line(1))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        with pytest.warns(UserWarning, match="Europe/London"):
+            clean_new(spark, lake)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

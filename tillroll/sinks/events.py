@@ -13,6 +13,7 @@ from tillroll.operators.events import (
     dead_files,
     event_lines,
     file_stats,
+    notification_files,
     rejected_events,
     valid_events,
     validate_events,
@@ -81,6 +82,22 @@ def ingest_events(
     return total.asDict()
 
 
+def ingest_notified(
+    spark: SparkSession,
+    notifications: DataFrame,
+    out: str,
+    location: str = "s3a://{bucket}/{key}",
+    **options,
+) -> dict[str, int]:
+    """Ingest the event files that arrival notifications name, as one batch of `ingest_events`.
+
+    `notifications` holds one JSON envelope per row in `payload`; a file named twice is read once.
+    """
+    named = notification_files(notifications).select("bucket", "key").distinct().collect()
+    paths = [location.format(bucket=row.bucket, key=row.key) for row in named]
+    return ingest_events(spark, paths, out, **options)
+
+
 def _with_source(df: DataFrame) -> DataFrame:
     return df.withColumn("source", source_key(F.col("path")))
 

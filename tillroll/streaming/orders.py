@@ -1,5 +1,6 @@
 """Incremental cleaning: every raw file is read once, over any number of runs."""
 
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +15,10 @@ from tillroll.sources.orders import read_orders_csv
 MAX_FILES = 10_000
 
 
+# Names of the same zone, as sessions spell them.
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00")
+
+
 @dataclass
 class IncrementalRun:
     """What one run read and wrote; all zero when no file was new.
@@ -25,6 +30,7 @@ class IncrementalRun:
     files: int = 0
     raw_rows: int = 0
     clean_rows: int = 0
+    columns: list[str] = field(default_factory=list)
     batches: list[str] = field(default_factory=list)
 
     def message(self) -> str:
@@ -35,13 +41,16 @@ class IncrementalRun:
 
 def clean_batch(
     spark: SparkSession, paths: list[str], curated: str, batch: str, rebalance: bool = True
-) -> tuple[int, int]:
-    """Clean some raw files into one curated batch; rows read and written, counted on the way."""
+) -> tuple[list[str], int, int]:
+    """Clean some raw files into one curated batch.
+
+    Returns the columns found, and the rows read and written, counted on the way.
+    """
     read, kept = Observation(), Observation()
     rows = F.count(F.lit(1)).alias("rows")
     raw = read_orders_csv(spark, paths).observe(read, rows)
     write_curated(clean_orders(raw).observe(kept, rows), curated, batch, rebalance)
-    return read.get["rows"], kept.get["rows"]
+    return raw.columns, read.get["rows"], kept.get["rows"]
 
 
 def start_incremental(
@@ -61,16 +70,20 @@ def start_incremental(
     that is run again after a crash replaces what it wrote.
     """
     report = report if report is not None else IncrementalRun()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        warnings.warn(f"order dates are read in the session time zone {zone}, not UTC", stacklevel=2)
 
     def ingest(files: DataFrame, batch_id: int) -> None:
         paths = [row.path for row in files.collect()]
         if not paths:
             return
         batch = f"{name}-{batch_id}"
-        read, kept = clean_batch(files.sparkSession, paths, curated, batch, rebalance)
+        columns, read, kept = clean_batch(files.sparkSession, paths, curated, batch, rebalance)
         report.files += len(paths)
         report.raw_rows += read
         report.clean_rows += kept
+        report.columns += [name for name in columns if name not in report.columns]
         report.batches.append(batch)
 
     return (
