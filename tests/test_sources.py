@@ -148,6 +148,16 @@ def test_rebalance_is_the_only_shuffle(spark, orders, tmp_path, rebalance):
     assert files == months if rebalance else files > months
 
 
+def test_no_month_is_left_to_one_task_without_adaptive_execution(spark, orders, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_curated(orders.repartition(8), str(tmp_path / "curated"), "b")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    files = list((tmp_path / "curated").rglob("*.parquet"))
+    assert len(files) > len({f.parent for f in files})
+
+
 def test_old_files_without_a_column_read_as_null(spark, orders, tmp_path):
     path = str(tmp_path / "curated")
     orders.drop("loyalty_tier").withColumn("ingest_batch", F.lit("old")).write.partitionBy(

@@ -76,6 +76,15 @@ def test_a_crash_behind_the_write_is_repaired(spark, lake):
     assert invoices(spark, lake) == ["1", "2"]
 
 
+def test_another_checkpoint_never_replaces_stored_rows(spark, lake):
+    put(lake / "raw/a.csv", RAW, csv_line(1))
+    clean_new(spark, lake)
+    os.remove(lake / "raw/a.csv")
+    put(lake / "raw/b.csv", RAW, csv_line(2))
+    run_incremental(spark, str(lake / "raw"), str(lake / "curated"), str(lake / "other"))
+    assert invoices(spark, lake) == ["1", "2"]
+
+
 def take_events(spark, lake, **options):
     return run_event_ingest(
         spark, str(lake / "incoming"), str(lake / "out"), str(lake / "events"), **options

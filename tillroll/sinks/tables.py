@@ -14,10 +14,11 @@ def write_curated(
     A batch written again replaces its own files and no others, so a rerun after a crash adds
     nothing twice. With `rebalance`, adaptive execution gathers the rows of a partition into files
     of the advisory size and splits a month that holds much of the data over many tasks. Raw files
-    already in date order can go without that shuffle.
+    already in date order can go without that shuffle, and without adaptive execution, which would
+    leave a large month to one task, it is not done.
     """
     rows = clean.withColumn("ingest_batch", F.lit(batch))
-    if rebalance:
+    if rebalance and clean.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         rows = rows.hint("rebalance", "year", "month")
     (
         rows.write.mode("overwrite")

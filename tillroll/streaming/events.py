@@ -2,12 +2,12 @@
 
 from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.sinks.events import ingest_events, read_ingest_log
 from tillroll.sources.files import arriving_files, empty_files, exists
+from tillroll.streaming.files import start_file_batches
 
 MAX_FILES = 1000
 
@@ -29,28 +29,15 @@ def start_event_ingest(
     dropped again under the same path is not new to the stream; pass it to `ingest_events`.
     """
 
-    def ingest(files: DataFrame, batch_id: int) -> None:
-        arrived = files.collect()
-        if not arrived:
-            return
-        result = ingest_events(
-            files.sparkSession,
-            [row.path for row in arrived],
-            out,
-            batch=f"{name}-{batch_id}",
-            arrived_at=arrived[0].arrived_at.astimezone(),
-        )
+    def ingest(files: list[Row], batch: str) -> None:
+        paths, arrived_at = [row.path for row in files], files[0].arrived_at.astimezone()
+        result = ingest_events(spark, paths, out, batch=batch, arrived_at=arrived_at)
         if totals is not None:
             totals.update(result)
 
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
-    return (
-        arriving_files(spark, incoming, pattern, max_files)
-        .writeStream.foreachBatch(ingest)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    arrivals = arriving_files(spark, incoming, pattern, max_files)
+    return start_file_batches(arrivals, checkpoint, name, ingest, **trigger)
 
 
 def sweep_empty_files(spark: SparkSession, incoming: str, out: str) -> dict[str, int]:

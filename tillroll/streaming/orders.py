@@ -3,7 +3,7 @@
 import warnings
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,6 +11,7 @@ from tillroll.operators.clean import clean_orders
 from tillroll.sinks.tables import write_curated
 from tillroll.sources.files import arriving_files
 from tillroll.sources.orders import read_orders_csv
+from tillroll.streaming.files import start_file_batches
 
 MAX_FILES = 10_000
 
@@ -74,25 +75,17 @@ def start_incremental(
     if zone not in UTC_NAMES:
         warnings.warn(f"order dates are read in the session time zone {zone}, not UTC", stacklevel=2)
 
-    def ingest(files: DataFrame, batch_id: int) -> None:
-        paths = [row.path for row in files.collect()]
-        if not paths:
-            return
-        batch = f"{name}-{batch_id}"
-        columns, read, kept = clean_batch(files.sparkSession, paths, curated, batch, rebalance)
+    def ingest(files: list[Row], batch: str) -> None:
+        paths = [row.path for row in files]
+        columns, read, kept = clean_batch(spark, paths, curated, batch, rebalance)
         report.files += len(paths)
         report.raw_rows += read
         report.clean_rows += kept
-        report.columns += [name for name in columns if name not in report.columns]
+        report.columns += [column for column in columns if column not in report.columns]
         report.batches.append(batch)
 
-    return (
-        arriving_files(spark, raw, "*.csv", max_files)
-        .writeStream.foreachBatch(ingest)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    arrivals = arriving_files(spark, raw, "*.csv", max_files)
+    return start_file_batches(arrivals, checkpoint, name, ingest, availableNow=True)
 
 
 def run_incremental(
