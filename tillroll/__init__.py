@@ -1 +1 @@
-"""Retail order lake on Spark: cleaning, quality gate, warehouse tables, reports and order events."""
+"""Retail order lake on Spark: cleaning, quality gate, warehouse tables, reports, order events."""

@@ -67,9 +67,8 @@ def values_at_ranks(
     while pending:
         small = {name: w for name, w in pending.items() if w.rows <= array_rows}
         if small:
-            row = df.agg(
-                *(F.get(F.sort_array(F.collect_list(w.values)), F.lit(w.rank)) for w in small.values())
-            ).first()
+            arrays = ((F.sort_array(F.collect_list(w.values)), w.rank) for w in small.values())
+            row = df.agg(*(F.get(values, F.lit(rank)) for values, rank in arrays)).first()
             found.update(zip(small, row))
         pending = {name: w for name, w in pending.items() if name not in small}
         if pending:
@@ -200,15 +199,11 @@ def ntile(
         return start if scores[name].ascending or start >= n else n - 1 - start
 
     everywhere = F.lit(True)
-    values = values_at_ranks(
-        df,
-        {
-            (name, t): Wanted(scores[name].column, everywhere, ascending_rank(name, t), filled[name])
-            for name, t in cuts
-        },
-        array_rows,
-        accuracy,
-    )
+    opening = {
+        (name, t): Wanted(scores[name].column, everywhere, ascending_rank(name, t), filled[name])
+        for name, t in cuts
+    }
+    values = values_at_ranks(df, opening, array_rows, accuracy)
     ties = df.agg(
         *(
             F.struct(

@@ -75,9 +75,8 @@ def gated_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{folder}/checkpoint",
         rules=FITTED_RULES,
     )
-    return _rounded(
-        reports.revenue_trend(spark.read.parquet(table_path(f"{folder}/warehouse", "daily_revenue")))
-    )
+    daily = spark.read.parquet(table_path(f"{folder}/warehouse", "daily_revenue"))
+    return _rounded(reports.revenue_trend(daily))
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,9 +115,8 @@ def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit('{"s3":{"bucket":{"name":"raw"},"object":{"key":"'), key, F.lit('"}}}')
         )
 
-    first = record(
-        F.concat(F.lit("incoming/"), F.col("event_type"), F.lit("+orders%2B"), number, F.lit(".json"))
-    )
+    named = F.concat(F.col("event_type"), F.lit("+orders%2B"), number, F.lit(".json"))
+    first = record(F.concat(F.lit("incoming/"), named))
     second = record(F.concat(F.lit("incoming/sub%20dir/"), number, F.lit(".json.json")))
     records = F.when(F.col("event_id") % 2 == 0, first).otherwise(F.concat_ws(",", first, second))
     return table(spark, sf_dir, "events").select(

@@ -73,7 +73,7 @@ def start_incremental(
     report = report if report is not None else IncrementalRun()
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in UTC_NAMES:
-        warnings.warn(f"order dates are read in the session time zone {zone}, not UTC", stacklevel=2)
+        warnings.warn(f"order dates are read in the session's zone {zone}, not UTC", stacklevel=2)
 
     def ingest(files: list[Row], batch: str) -> None:
         paths = [row.path for row in files]
