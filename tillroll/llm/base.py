@@ -3,6 +3,7 @@
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def text_slices(
     """
     for batch in batches:
         column = batch.column(text)
-        sizes = pa.compute.fill_null(pa.compute.utf8_length(column), 0).to_pylist()
+        sizes = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
         start = held = 0
         for row, size in enumerate(sizes):
             if held and held + size > chars:

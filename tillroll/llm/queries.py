@@ -2,10 +2,18 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import exact_dedup, mixing, warc
+from tillroll.llm import bpe, exact_dedup, mixing, token_files, warc
 from tillroll.llm.base import table
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digests(table(spark, sf_dir, "documents"))
+
+
+def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoding_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -20,6 +28,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_token_files": op4_token_files,
+    "op5_bpe_automaton": op5_bpe_automaton,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op10_warc": op10_warc,
