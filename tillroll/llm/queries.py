@@ -2,10 +2,19 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, exact_dedup, mixing, token_files, warc
+from tillroll.llm import bpe, exact_dedup, language_id, mixing, token_files, url_filter, warc
 from tillroll.llm.base import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judged(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"))
 
@@ -28,6 +37,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op3_url_rules": op3_url_rules,
     "op4_token_files": op4_token_files,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op6_exact_dedup": op6_exact_dedup,
