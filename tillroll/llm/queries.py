@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, exact_dedup, language_id, mixing, token_files, url_filter, warc
+from tillroll.llm import bpe, exact_dedup, language_id, mixing, secrets, token_files, url_filter, warc
 from tillroll.llm.base import table
 
 
@@ -10,6 +10,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judged(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -38,6 +42,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_secrets": op2_secrets,
     "op3_url_rules": op3_url_rules,
     "op4_token_files": op4_token_files,
     "op5_bpe_automaton": op5_bpe_automaton,
