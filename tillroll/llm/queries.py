@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, exact_dedup, language_id, mixing, secrets, token_files, url_filter, warc
+from tillroll.llm import ann, bpe, exact_dedup, language_id, mixing, secrets, token_files, url_filter, warc
 from tillroll.llm.base import table
 
 
@@ -36,6 +36,10 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", "epoch", "place")
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
@@ -48,5 +52,6 @@ QUERIES = {
     "op5_bpe_automaton": op5_bpe_automaton,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mix_sources": op8_mix_sources,
+    "op9_nearest": op9_nearest,
     "op10_warc": op10_warc,
 }
