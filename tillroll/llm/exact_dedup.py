@@ -1,11 +1,13 @@
 """Exact duplicates by content sort.
 
 Texts are compared after lower-casing A-Z; null counts as empty. Sampled splitters range-partition
-the rows by (text, id), an external sort puts equal texts next to each other, and each task compares
-every text in full with the one before it. The id is part of the sort key, so a text that a third of
-all rows hold is spread over many tasks; a task keeps ids of one run, never its texts. A run that
-reaches the edge of a task's range may go on in the next: those rows, and only those, meet by the
-SHA-256 of the whole text, in an aggregate that combines before its shuffle.
+the rows, an external sort puts equal texts next to each other, and each task compares every text in
+full with the one before it. Rows stand in the order of their first bytes; below those, of a hash of
+the whole text, then of the text, then of the id. Splitters are thus some bytes each, however long
+the texts are, and neither a text nor a beginning that a third of all rows hold stays in one task,
+which keeps ids of one run, never its texts. What reaches the edge of a task's range may go on in
+the next: those rows, and only those, meet by the SHA-256 of the whole text, in an aggregate that
+combines before its shuffle.
 
 Of equal texts the row with the largest id stays (`keep="largest"`), or the smallest. Null ids sort
 before all others. Of rows that repeat both id and text exactly one stays. An empty table gives an
@@ -17,6 +19,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,17 +47,18 @@ _ARROW = pa.schema(
     ]
 )
 EMIT_ROWS = 50_000
+HEAD_CHARS = 16
 
 
 class _Run:
     """Equal neighbours: the text once, the ids of all."""
 
-    def __init__(self, text: bytes, edge: bool):
-        self.text, self.edge, self.ids = text, edge, []
+    def __init__(self, text: bytes):
+        self.text, self.ids = text, []
 
     def rows(self, edge: bool) -> pa.RecordBatch:
         ids = pa.chunked_array(self.ids).combine_chunks()
-        n, edge = len(ids), edge or self.edge
+        n = len(ids)
         digest = hashlib.sha256(self.text).digest()
         last = np.zeros(n, bool)
         last[-1] = True
@@ -71,28 +75,38 @@ class _Run:
         )
 
 
+def _changes(column: pa.Array) -> np.ndarray:
+    """Whether each value differs from the one before; the first counts as different."""
+    differs = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1))
+    return np.concatenate([[True], differs.to_numpy(zero_copy_only=False)])
+
+
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by text and id to rows with the digest and, off the edges, the verdict."""
-    run, pending, held = None, [], 0
+    """Sorted rows to rows with the digest and, off the edges, the verdict.
+
+    Runs are held while the hash stays the same. The first and the last hash of a task are its
+    edges; on them, texts that share a hash can go on in the next task in any order.
+    """
+    group, group_hash, first, pending, held = [], None, True, [], 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        ids, texts = batch.column(0), batch.column(1).cast(pa.large_binary())
-        same = pa.compute.equal(texts.slice(1), texts.slice(0, len(texts) - 1))
-        starts = [0, *(np.flatnonzero(~np.asarray(same.to_numpy(zero_copy_only=False))) + 1)]
+        ids, hashes, texts = batch.column(0), batch.column(1), batch.column(2).cast(pa.large_binary())
+        starts = np.flatnonzero(_changes(texts) | _changes(hashes))
         for start, end in zip(starts, [*starts[1:], len(texts)]):
-            text = texts[start].as_py()
-            if run is None or run.text != text:
-                if run is not None:
-                    pending.append(run.rows(False))
-                    held += pending[-1].num_rows
-                run = _Run(text, edge=run is None)
-            run.ids.append(ids.slice(start, end - start))
+            text, text_hash = texts[start].as_py(), hashes[start].as_py()
+            if group and text_hash != group_hash:
+                pending += [run.rows(first) for run in group]
+                held += sum(rows.num_rows for rows in pending[-len(group) :])
+                group, first = [], False
+            group_hash = text_hash
+            if not group or group[-1].text != text:
+                group.append(_Run(text))
+            group[-1].ids.append(ids.slice(start, end - start))
             if held >= EMIT_ROWS:
                 yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
                 pending, held = [], 0
-    if run is not None:
-        pending.append(run.rows(True))
+    pending += [run.rows(True) for run in group]
     if pending:
         yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
 
@@ -102,12 +116,13 @@ def exact_duplicates(docs: DataFrame, keep: str = "largest") -> DataFrame:
     if keep not in ("largest", "smallest"):
         raise ValueError(f"keep is largest or smallest, not {keep}")
     order = F.asc_nulls_first if keep == "largest" else F.desc_nulls_first
-    key = [F.col("norm"), order("doc_id")]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), folded(text_or_empty()).alias("norm")
+    ).withColumns({"head": F.substring("norm", 1, HEAD_CHARS), "hash": F.xxhash64("norm")})
+    ordered = rows.repartitionByRange("head", "hash", order("doc_id")).sortWithinPartitions(
+        "head", "hash", "norm", order("doc_id")
     )
-    ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key)
-    runs = stored(ordered.mapInArrow(_runs, _RUNS))
+    runs = stored(ordered.select("doc_id", "hash", "norm").mapInArrow(_runs, _RUNS))
     pick = F.max if keep == "largest" else F.min
     met = (
         runs.where("edge")
