@@ -36,6 +36,7 @@ MAX_NGRAMS = 60_000
 LONGEST_NGRAM = 5
 SMOOTHING = 0.5
 SEEN_WORDS = 300_000
+MIN_SCORE = 0.3
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -225,3 +226,25 @@ def identified(docs: DataFrame, **limits) -> DataFrame:
     learned = docs.where(~held_out(F.col("doc_id")))
     found = predicted(docs, fit(learned, **limits))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def in_known_languages(
+    docs: DataFrame, min_score: float = MIN_SCORE, **limits
+) -> DataFrame:
+    """The documents, all columns, whose language is found with at least `min_score`.
+
+    Learned from the same documents, but for the held-out ones. What goes are texts without a letter
+    and texts that resemble no learned language.
+    """
+    model = fit(docs.where(~held_out(F.col("doc_id"))), **limits)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("text")
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for part, texts in text_slices(batches, place):
+            found = [scorer.predict(text) for text in texts]
+            good = [name != UNKNOWN and score >= min_score for name, score in found]
+            yield part.filter(pa.array(good))
+
+    return docs.mapInArrow(rows, docs.schema)

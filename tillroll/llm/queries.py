@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import ann, bpe, exact_dedup, language_id, mixing, secrets, token_files, url_filter, warc
+from tillroll.llm import ann, bpe, exact_dedup, language_id, minhash, mixing, secrets, token_files, url_filter, warc
 from tillroll.llm.base import table
 
 
@@ -31,6 +31,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mixed(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "source", "epoch", "place")
@@ -51,6 +55,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_near_dedup": op7_near_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_nearest": op9_nearest,
     "op10_warc": op10_warc,
