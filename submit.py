@@ -1,12 +1,13 @@
-"""Jobs for spark-submit: clean, gate, warehouse, run, events, replay.
+"""Jobs for spark-submit: clean, gate, warehouse, run, events, replay, notices.
 
     spark-submit submit.py run --raw … --curated … --warehouse … --checkpoint … --database shop
 
 The session comes from spark-submit. A failed quality gate or, with --strict, a file without valid
-events ends the job with an error.
+events ends the job with an error. The gate takes a folder or, with --table, a name in the catalog.
 """
 
 import argparse
+import datetime
 import json
 import os
 import sys
@@ -15,10 +16,17 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession
 
-from tillroll.operators.quality import MaxNullRate, MinRows, MinTotal, YearsPresent
+from tillroll.operators.quality import (
+    MaxNullRate,
+    MinRows,
+    MinTotal,
+    YearsPresent,
+    dead_letter_check,
+    enforce,
+)
 from tillroll.plans.catalog import register_curated, register_events, register_warehouse
-from tillroll.plans.lake import build_warehouse, gate, run_lake
-from tillroll.sinks.events import ingest_events
+from tillroll.plans.lake import build_warehouse, failed_runs, gate, run_lake, table_checks
+from tillroll.sinks.events import ingest_events, read_dead_letters
 from tillroll.sources.orders import read_curated
 from tillroll.streaming.events import run_event_ingest
 from tillroll.streaming.orders import run_incremental
@@ -42,12 +50,18 @@ def parser() -> argparse.ArgumentParser:
         added.add_argument("--years", nargs="+", default=list(YearsPresent.years))
 
     job("clean", "raw", "curated", "checkpoint")
-    with_rules(job("gate", "curated"))
+    judged = job("gate")
+    judged.add_argument("--curated")
+    judged.add_argument("--table")
+    with_rules(judged)
     job("warehouse", "curated", "warehouse")
     whole = job("run", "raw", "curated", "warehouse", "checkpoint")
     whole.add_argument("--run-log")
     with_rules(whole)
-    job("events", "incoming", "out", "checkpoint")
+    arriving = job("events", "incoming", "out", "checkpoint")
+    arriving.add_argument("--strict", action="store_true")
+    arriving.add_argument("--pattern", default="*.json")
+    job("notices", "run-log")
     replay = job("replay", "out")
     replay.add_argument("files", nargs="+")
     replay.add_argument("--strict", action="store_true")
@@ -71,6 +85,10 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> dict:
 
 
 def judge(spark: SparkSession, args: argparse.Namespace) -> dict:
+    if args.table:
+        return enforce(table_checks(spark, args.table, rules(args)))
+    if not args.curated:
+        raise SystemExit("gate: give --curated or --table")
     return gate(read_curated(spark, args.curated), rules(args))
 
 
@@ -96,10 +114,22 @@ def whole_run(spark: SparkSession, args: argparse.Namespace) -> dict:
 
 
 def events(spark: SparkSession, args: argparse.Namespace) -> dict:
-    totals = run_event_ingest(spark, args.incoming, args.out, args.checkpoint)
-    if args.database and totals["events_written"]:
+    """Ingest what is new; the alert says whether dead letters came with it."""
+    since = datetime.datetime.now(datetime.timezone.utc)
+    totals = run_event_ingest(spark, args.incoming, args.out, args.checkpoint, pattern=args.pattern)
+    if args.database and totals["files"]:
         register_events(spark, args.database, args.out)
-    return totals
+    alert = dead_letter_check(read_dead_letters(spark, args.out), since)
+    if args.strict:
+        enforce(alert)
+    return {**totals, "alert": alert.first().asDict()}
+
+
+def notices(spark: SparkSession, args: argparse.Namespace) -> dict:
+    """The newest failed run, and how many there are."""
+    failed = failed_runs(spark, args.run_log)
+    newest = failed.first()
+    return {"failed_runs": failed.count(), "newest": newest and newest.message}
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> dict:
@@ -113,6 +143,7 @@ JOBS = {
     "run": whole_run,
     "events": events,
     "replay": replay,
+    "notices": notices,
 }
 
 

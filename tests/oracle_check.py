@@ -3,6 +3,7 @@
 import datetime
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -78,6 +79,7 @@ def main(sf="0.01", *keys):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillroll-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,5 +1,7 @@
 import datetime
+import gzip
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,25 +29,27 @@ from tillroll.sinks.events import (
 )
 
 
+EVENT = {
+    "invoice": "E-9",
+    "stockcode": "KETTLE",
+    "description": "tea kettle",
+    "quantity": 2,
+    "price": 19.9,
+    "customerid": 512,
+    "country": "Japan",
+}
+
+
 def order(**changes):
-    event = {
-        "invoice": "1",
-        "stockcode": "85123A",
-        "description": "HEART",
-        "quantity": 6,
-        "price": 2.55,
-        "customerid": 17850,
-        "country": "UK",
-    }
-    event.update(changes)
-    return {k: v for k, v in event.items() if v is not ...}
+    """The sample event with some keys changed, or left out where the value is `...`."""
+    return {k: v for k, v in {**EVENT, **changes}.items() if v is not ...}
 
 
 def text(**changes):
     return json.dumps(order(**changes))
 
 
-def raw(quantity="6", price="2.55", tail="}"):
+def raw(quantity="6", price="19.9", tail="}"):
     return (
         f'{{"invoice":"1","stockcode":"A","customerid":1,"quantity":{quantity},"price":{price}{tail}'
     )
@@ -61,7 +65,7 @@ CASES = [
     (text(quantity=..., price=-1), "missing_fields"),
     (text().replace('"quantity"', '"Quantity"'), "missing_fields"),
     (text(description="caf\u00e9 \u2028 \ud83d\ude00"), None),
-    (text().replace("HEART", "caf\u00e9"), None),
+    (text().replace("tea kettle", "caf\u00e9"), None),
     (text(quantity=-5), "invalid_quantity"),
     (raw(quantity="-0"), "invalid_quantity"),
     (text(quantity=0), "invalid_quantity"),
@@ -75,7 +79,7 @@ CASES = [
     (text(quantity={"n": 6}), "invalid_quantity"),
     (text(quantity=10**60), None),
     (text(price=0), "invalid_price"),
-    (text(price="2.55"), "invalid_price"),
+    (text(price="19.9"), "invalid_price"),
     (text(price=None), "invalid_price"),
     (text(price=True), None),
     (text(price=1e-30), None),
@@ -258,8 +262,9 @@ def test_all_valid_events_are_written(spark, incoming, tmp_path):
     result = ingest_events(spark, [incoming("a.json", *lines)], out, arrived_at=at)
     assert result == {"files": 1, "events_written": 3, "events_rejected": 0, "dead_files": 0}
     assert streamed(spark, out) == sorted(lines)
-    (folder,) = (tmp_path / "out/streaming/year=2024/month=3").iterdir()
-    assert folder.name.startswith("source=a-")
+    assert {(r.year, r.month) for r in read_streaming(spark, out).collect()} == {(2024, 3)}
+    (folder,) = (tmp_path / "out/lines/outcome=accepted/year=2024/month=3").iterdir()
+    assert folder.name.startswith("ingest_batch=")  # not a folder per file
 
 
 def test_bad_lines_are_kept_aside(spark, incoming, tmp_path):
@@ -306,7 +311,51 @@ def test_replay_replaces(spark, incoming, tmp_path):
     incoming("a.json", text(invoice="3"))
     ingest_events(spark, [path], out, arrived_at=april)
     assert streamed(spark, out) == sorted([text(invoice="3"), text(invoice="9")])
-    assert {(r.year, r.month) for r in read_streaming(spark, out).collect()} == {(2024, 3)}
+    # Every file counts in the month its newest version arrived.
+    months = {r.value: r.month for r in read_streaming(spark, out).collect()}
+    assert months == {text(invoice="3"): 4, text(invoice="9"): 3}
+
+
+def test_only_the_newest_outcome_of_a_file_counts(spark, incoming, tmp_path):
+    out = str(tmp_path / "out")
+
+    def state():
+        dead = [r.path for r in read_dead_letters(spark, out).collect()]
+        return len(streamed(spark, out)), read_rejected(spark, out).count(), len(dead)
+
+    ingest_events(spark, [incoming("a.json", "{}")], out)
+    assert state() == (0, 1, 1)
+    ingest_events(spark, [incoming("a.json", text(), "{}")], out)
+    assert state() == (1, 1, 0)
+    ingest_events(spark, [incoming("a.json", "x", "y")], out)
+    assert state() == (0, 2, 1)
+    assert read_ingest_log(spark, out).count() == 1
+
+
+def test_missing_and_unreadable_files_are_dead_by_themselves(spark, incoming, tmp_path):
+    out, broken = str(tmp_path / "out"), tmp_path / "incoming/broken.json.gz"
+    good = [incoming(f"{n}.json", text(invoice=str(n))) for n in range(3)]
+    broken.write_bytes(gzip.compress(text().encode() * 1000)[:-20] + b"damage")
+    gone = str(tmp_path / "incoming/gone.json")
+    result = ingest_events(spark, [*good[:2], gone, str(broken), good[2]], out)
+    assert (result["files"], result["events_written"], result["dead_files"]) == (5, 3, 2)
+    dead = {r.error_type for r in read_dead_letters(spark, out).collect()}
+    assert dead == {"MissingFile", "UnreadableFile"}
+    # The missing file arrives after all.
+    incoming("gone.json", text(invoice="7"))
+    ingest_events(spark, [gone], out)
+    assert len(streamed(spark, out)) == 4
+
+
+def test_a_batch_without_its_log_does_not_count(spark, incoming, tmp_path):
+    out = str(tmp_path / "out")
+    ingest_events(spark, [incoming("a.json", text())], out, batch="whole")
+    ingest_events(spark, [incoming("b.json", "{}")], out, batch="broken off")
+    for folder in (tmp_path / "out/ingest_log").rglob("ingest_batch=broken*"):
+        shutil.rmtree(folder)
+    assert read_rejected(spark, out).count() == 0 and read_dead_letters(spark, out).count() == 0
+    ingest_events(spark, [str(tmp_path / "incoming/b.json")], out, batch="broken off")
+    assert read_rejected(spark, out).count() == 1 and read_dead_letters(spark, out).count() == 1
 
 
 def test_same_batch_twice_changes_nothing(spark, incoming, tmp_path):
@@ -353,6 +402,10 @@ def test_files_named_by_notifications(spark, incoming, tmp_path):
     out = str(tmp_path / "out")
     result = ingest_notified(spark, sent, out, location=f"{tmp_path}/{{bucket}}/{{key}}")
     assert (result["files"], result["events_written"]) == (2, 3)
+    one_by_one = ingest_notified(
+        spark, sent, str(tmp_path / "out2"), location=f"{tmp_path}/{{bucket}}/{{key}}", max_files=1
+    )
+    assert one_by_one == result
 
 
 def test_old_dead_letters_leave_the_table(spark, incoming, tmp_path):

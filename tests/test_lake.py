@@ -8,17 +8,17 @@ from test_sources import csv_line, put
 from tillroll.operators.quality import MaxNullRate, MinRows, MinTotal, QualityCheckFailed, YearsPresent
 from tillroll.plans.catalog import register_events, temporary_views
 from tillroll.operators.warehouse import monthly_revenue
-from tillroll.plans.lake import build_warehouse, failed_runs, gate, run_lake
+from tillroll.plans.lake import build_warehouse, failed_runs, run_lake, table_checks
 from tillroll.sinks.events import ingest_events
 from tillroll.sinks.tables import write_curated
 from tillroll.sources.orders import read_curated
 
-RULES = (MinRows(3), MaxNullRate(), MinTotal(minimum=10.0), YearsPresent(("2010",)))
+RULES = (MinRows(3), MaxNullRate(), MinTotal(minimum=10.0), YearsPresent(("2014",)))
 
 
 @pytest.fixture
 def raw(tmp_path):
-    rows = [csv_line(n)[:6] + [str(17850 + n), "UK"] for n in range(8)]
+    rows = [csv_line(n)[:6] + [str(100 + n), "Norway"] for n in range(8)]
     put(tmp_path / "raw/a.csv", RAW, *rows)
     return tmp_path
 
@@ -44,23 +44,21 @@ def test_whole_run_with_catalog(spark, raw):
         "top_products": 1,
         "customer_segments": 8,
     }
-    assert spark.sql("SELECT count(*) FROM shop.online_retail WHERE year = 2010").first()[0] == 8
+    assert spark.sql("SELECT count(*) FROM shop.online_retail WHERE year = 2014").first()[0] == 8
     (trend,) = spark.sql("SELECT * FROM shop.v_revenue_trend").collect()
-    assert (trend.year, trend.month, trend.num_customers) == (2010, 12, 8)
+    assert (trend.year, trend.month, trend.num_customers) == (2014, 7, 8)
     segments = spark.sql("SELECT * FROM shop.v_customer_segments").collect()
     assert sorted(r.m_score for r in segments) == [1, 1, 2, 2, 3, 3, 4, 4]
     (product,) = spark.sql("SELECT * FROM shop.v_top_products").collect()
     assert (product.stockcode, product.revenue_rank) == ("A", 1)
 
-    monthly = spark.sql(
-        "SELECT year, month, round(sum(revenue), 2), count(DISTINCT invoice), count(DISTINCT customerid) "
-        "FROM shop.online_retail GROUP BY ALL"
-    )
+    monthly = spark.table("shop.v_monthly_revenue")
     ours = monthly_revenue(spark.table("shop.online_retail"))
     assert [tuple(r) for r in monthly.collect()] == [tuple(r) for r in ours.collect()]
-    assert gate(spark.table("shop.online_retail"), RULES)["status"] == "PASSED"
+    checks = table_checks(spark, "shop.online_retail", RULES).collect()
+    assert [c.passed for c in checks] == [True] * 4
 
-    put(raw / "raw/b.csv", RAW, csv_line(50)[:4] + ["2011-01-05 10:00:00", "1", "1", "UK"])
+    put(raw / "raw/b.csv", RAW, csv_line(50)[:4] + ["2014-08-05 10:00:00", "1", "1", "UK"])
     second = run(spark, raw, database="shop")
     assert (second.files, second.tables["customer_rfm"]) == (1, 9)
     assert spark.sql("SELECT count(*) FROM shop.online_retail").first()[0] == 9
@@ -96,10 +94,10 @@ def test_an_empty_curated_zone_builds_empty_tables(spark, raw):
 def test_warehouse_path_with_and_without_slash(spark, raw):
     run(spark, raw)
     for root in (f"{raw}/w1", f"{raw}/w2/"):
-        build_warehouse(spark, str(raw / "curated"), root, datetime.date(2011, 1, 1))
+        build_warehouse(spark, str(raw / "curated"), root, datetime.date(2014, 7, 20))
     for name in ("w1", "w2"):
         rfm = spark.read.parquet(f"{raw}/{name}/customer_rfm")
-        assert {r.recency_days for r in rfm.collect()} == {31}
+        assert {r.recency_days for r in rfm.collect()} == {17}
 
 
 def test_views_for_one_session(spark, raw):

@@ -42,19 +42,19 @@ def check(spark, rows, tiles=4, **options):
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5, 7, 8, 1000])
-@pytest.mark.parametrize("options", [{}, {"array_rows": 5, "accuracy": 20}])
+@pytest.mark.parametrize("options", [{}, {"accuracy": 20}])
 def test_sizes(spark, n, options):
     rng = random.Random(n)
     rows = [(float(k), rng.randint(0, 20), rng.choice([rng.random(), 0.5])) for k in range(n)]
     check(spark, rows, **options)
 
 
-@pytest.mark.parametrize("options", [{}, {"array_rows": 3, "accuracy": 10}])
+@pytest.mark.parametrize("options", [{}, {"accuracy": 10}])
 def test_everything_tied(spark, options):
     check(spark, [(float(k), 7, 1.5) for k in range(101)], **options)
 
 
-@pytest.mark.parametrize("options", [{}, {"array_rows": 3, "accuracy": 10}])
+@pytest.mark.parametrize("options", [{}, {"accuracy": 10}])
 def test_a_third_holds_one_value(spark, options):
     rng = random.Random(3)
     rows = [
@@ -64,7 +64,7 @@ def test_a_third_holds_one_value(spark, options):
     check(spark, rows, **options)
 
 
-@pytest.mark.parametrize("options", [{}, {"array_rows": 2, "accuracy": 10}])
+@pytest.mark.parametrize("options", [{}, {"accuracy": 10}])
 def test_nulls_and_nan(spark, options):
     rows = [
         (float(k), None if k % 2 else k, [None, float("nan"), 1.0, float("inf"), -0.5][k % 5])
@@ -77,7 +77,7 @@ def test_all_null(spark):
     check(spark, [(float(k), None, None) for k in range(10)])
 
 
-@pytest.mark.parametrize("options", [{}, {"array_rows": 1, "accuracy": 10}])
+@pytest.mark.parametrize("options", [{}, {"accuracy": 10}])
 def test_a_null_key_comes_last_among_ties(spark, options):
     df = spark.createDataFrame([(None, 1), (2.0, 1), (3.0, 1), (1.0, 1)], "k double, v int")
     got = {r.k: r.t for r in ntile(df, "k", {"t": Order("v")}, 4, **options).collect()}
@@ -98,11 +98,10 @@ def test_other_tile_counts(spark, tiles):
         ),
         max_size=40,
     ),
-    array_rows=st.sampled_from([1, 4, 100]),
 )
-def test_random_frames(spark, values, array_rows):
+def test_random_frames(spark, values):
     rows = [(float(k), v, w) for k, (v, w) in enumerate(values)]
-    check(spark, rows, array_rows=array_rows, accuracy=8)
+    check(spark, rows, accuracy=8)
 
 
 def test_values_at_ranks_narrow_down_to_every_rank(spark):
@@ -110,7 +109,7 @@ def test_values_at_ranks_narrow_down_to_every_rank(spark):
     df = spark.createDataFrame([(v,) for v in data], "v bigint").repartition(4)
     ranks = [0, 1, 299, 300, 450, 898, 899]
     wanted = {r: Wanted("v", F.lit(True), r, len(data)) for r in ranks}
-    got = values_at_ranks(df, wanted, array_rows=10, accuracy=10)
+    got = values_at_ranks(df, wanted, accuracy=10)
     assert got == {r: data[r] for r in ranks}
 
 
@@ -119,5 +118,5 @@ def test_integers_that_share_a_double(spark):
     data = sorted(base + n % 8 for n in range(400))
     df = spark.createDataFrame([(v,) for v in data], "v bigint").repartition(4)
     wanted = {r: Wanted("v", F.lit(True), r, len(data)) for r in (0, 133, 250, 399)}
-    got = values_at_ranks(df, wanted, array_rows=5, accuracy=100)
+    got = values_at_ranks(df, wanted, accuracy=100)
     assert got == {r: data[r] for r in wanted}

@@ -17,10 +17,7 @@ def test_shared_folder_of_the_session_is_used():
     assert first.startswith("hdfs:///shared/tillroll-") and first != second
 
 
-def test_a_cluster_without_one_is_refused():
+@pytest.mark.parametrize("master", ["spark://host:7077", "local[4]"])
+def test_a_session_without_one_is_refused(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_folder(session("spark://host:7077"))
-
-
-def test_a_local_session_may_use_its_own_disk():
-    assert "tillroll-" in scratch_folder(session("local[4]"))
+        scratch_folder(session(master))

@@ -1,12 +1,13 @@
 import datetime
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shapes import LINES, RAW, line, plan_of, raw_frame
 from tillroll.operators.clean import clean_orders
+from tillroll.plans.catalog import register_curated
 from tillroll.sinks.scratch import scratch_folder, stored
 from tillroll.sinks.tables import write_csv, write_curated, write_table
 from tillroll.sources.files import empty_files, files_in
@@ -23,7 +24,7 @@ def put(path, header, *rows):
 
 
 def csv_line(n, tier=None, early=False):
-    row = [str(n), "A", "HEART", "6", "2010-12-01 08:26:00", "2.55", "17850", "UK"]
+    row = list(line(Invoice=str(n), StockCode="A"))
     if tier:
         row.insert(1 if early else 8, tier)
     return row
@@ -45,8 +46,8 @@ def test_columns_bind_by_each_files_header(spark, mixed):
         "3": "Gold",
         "4": "Silver",
     }
-    assert {r.Quantity for r in rows.values()} == {"6"}
-    assert {r["Customer ID"] for r in rows.values()} == {"17850"}
+    assert {r.Quantity for r in rows.values()} == {"4"}
+    assert {r["Customer ID"] for r in rows.values()} == {"31"}
 
 
 def test_files_with_one_header_are_one_scan(spark, tmp_path):
@@ -56,6 +57,32 @@ def test_files_with_one_header_are_one_scan(spark, tmp_path):
     assert plan.count("FileScan csv") == 1
 
 
+def test_several_headers_are_one_scan_too(spark, mixed):
+    plan = plan_of(read_orders_csv(spark, mixed)).split("== Physical Plan ==")[1]
+    assert plan.count("FileScan csv") == 1
+
+
+def test_any_name_and_compression(spark, tmp_path):
+    put(tmp_path / "raw/a.csv", RAW, csv_line(1))
+    put(tmp_path / "raw/C.CSV", RAW, csv_line(2))
+    put(tmp_path / "raw/part-0001", TIERED_LAST, csv_line(3, "Gold"))
+    text = ",".join(RAW) + "\n" + ",".join(csv_line(4)) + "\n"
+    (tmp_path / "raw/b.csv.gz").write_bytes(gzip.compress(text.encode()))
+    rows = read_orders_csv(spark, str(tmp_path / "raw")).collect()
+    assert sorted(r.Invoice for r in rows) == ["1", "2", "3", "4"]
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    rows = [line(Description='two\n"quoted"\r\nlines, three'), line(Invoice="2")]
+    write_csv(raw_frame(spark, rows), str(tmp_path / "out"))
+    back = read_orders_csv(spark, str(tmp_path / "out"), multiline=True)
+    texts = {r.Invoice: r.Description for r in back.collect()}
+    assert {k: v.replace("\r\n", "\n") for k, v in texts.items()} == {
+        "700001": 'two\n"quoted"\nlines, three',
+        "2": "blue mug",
+    }
+
+
 def test_list_of_files(spark, mixed):
     assert read_orders_csv(spark, [f"{mixed}/old.csv"]).count() == 2
 
@@ -110,8 +137,12 @@ def test_listing_shows_no_empty_files(spark, tmp_path):
     (tmp_path / "in/sub").mkdir()
     (tmp_path / "in/sub/e.csv").touch()
     folder = str(tmp_path / "in")
+    (tmp_path / "in/old.csv").touch()
+    os.utime(tmp_path / "in/old.csv", (0, 0))
     assert [r.path.split("/")[-1] for r in files_in(spark, folder, "*.csv").collect()] == ["a.csv"]
-    assert [p.split("/")[-1] for p in empty_files(spark, folder, ".csv")] == ["e.csv"]
+    names = lambda **only: sorted(p.split("/")[-1] for p in empty_files(spark, folder, **only))
+    assert names() == ["e.csv", "old.csv"] and names(pattern="*.txt") == []
+    assert names(pattern="*.csv", since="2020-01-01T00:00:00") == ["e.csv"]
 
 
 @pytest.fixture
@@ -172,10 +203,13 @@ def test_columns_that_only_some_batches_brought(spark, orders, tmp_path):
     path = str(tmp_path / "curated")
     write_curated(orders.withColumn("channel", F.lit("web")), path, "with")
     write_curated(orders, path, "without")
-    extra = T.StructType([T.StructField("channel", T.StringType())])
-    seen = read_curated(spark, path, extra).groupBy("channel").count().collect()
+    seen = read_curated(spark, path).groupBy("channel").count().collect()
     assert {r.channel: r["count"] for r in seen} == {"web": 61, None: 61}
-    assert "channel" not in read_curated(spark, path).columns
+    register_curated(spark, "extras", path)
+    assert spark.table("extras.online_retail").where("channel = 'web'").count() == 61
+    write_curated(orders.withColumn("shop_floor", F.lit("2")), path, "third")
+    register_curated(spark, "extras", path)
+    assert spark.table("extras.online_retail").where("shop_floor = '2'").count() == 61
 
 
 def test_months_are_pruned_and_columns_too(spark, orders, tmp_path):
@@ -221,6 +255,7 @@ def test_write_table_counts_and_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     assert write_table(spark.range(10), path) == 10
     assert write_table(spark.range(3), path) == 3
+    assert write_table(spark.range(3).where("id > 5"), str(tmp_path / "none")) == 0
     assert spark.read.parquet(path).count() == 3
 
 

@@ -46,6 +46,21 @@ def test_only_new_files_are_read(spark, lake):
     assert rows == {"1": None, "3": "Gold"}
 
 
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_batches_without_a_line_to_keep_are_committed(spark, lake, rebalance):
+    put(lake / "raw/header.csv", RAW)
+    first = clean_new(spark, lake, rebalance=rebalance)
+    assert (first.files, first.raw_rows, first.clean_rows) == (1, 0, 0)
+    put(lake / "raw/cancelled.csv", RAW, csv_line("C1"), csv_line("C2"))
+    second = clean_new(spark, lake, rebalance=rebalance)
+    assert (second.files, second.raw_rows, second.clean_rows) == (1, 2, 0)
+    assert clean_new(spark, lake, rebalance=rebalance).files == 0
+    put(lake / "raw/good", RAW, csv_line(3))
+    third = clean_new(spark, lake, rebalance=rebalance)
+    assert (third.files, third.raw_rows, third.clean_rows) == (1, 1, 1)
+    assert invoices(spark, lake) == ["3"]
+
+
 def test_batches_are_bounded_by_files(spark, lake):
     for n in range(5):
         put(lake / f"raw/{n}.csv", RAW, csv_line(n))
@@ -117,6 +132,15 @@ def test_event_files_as_they_arrive(spark, lake):
     assert read_ingest_log(spark, out).count() == 5
 
 
+def test_the_pattern_holds_for_empty_files_too(spark, lake):
+    (lake / "incoming/a.txt").write_text(text())
+    (lake / "incoming/empty.txt").touch()
+    (lake / "incoming/empty.json").touch()
+    totals = take_events(spark, lake, pattern="*.txt")
+    assert (totals["files"], totals["dead_files"]) == (2, 1)
+    assert take_events(spark, lake, pattern="*.txt")["files"] == 0
+
+
 def test_a_file_dropped_again_is_not_new_to_the_stream(spark, lake):
     path = lake / "incoming/a.json"
     path.write_text(text())
@@ -134,8 +158,10 @@ def test_continuous_ingest(spark, lake):
     )
     try:
         query.processAllAvailable()
+        (incoming / "empty.json").touch()
         (incoming / "b.json").write_text(text(invoice="2"))
         query.processAllAvailable()
+        assert read_dead_letters(spark, out).count() == 1
         assert read_streaming(spark, out).count() == 2
         assert query.isActive
     finally:

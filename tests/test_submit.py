@@ -23,7 +23,7 @@ def call(lake, job, *names, **options):
     return submit.main([job, *paths, *given])
 
 
-FITTED = {"min_rows": 1, "min_revenue": 1, "years": "2010"}
+FITTED = {"min_rows": 1, "min_revenue": 1, "years": "2014"}
 
 
 def test_step_by_step(lake):
@@ -34,6 +34,7 @@ def test_step_by_step(lake):
     with pytest.raises(QualityCheckFailed, match="below minimum 700000"):
         call(lake, "gate", "curated")
     assert call(lake, "gate", "curated", **FITTED)["status"] == "PASSED"
+    assert call(lake, "gate", table="steps.online_retail", **FITTED)["status"] == "PASSED"
     assert call(lake, "warehouse", "curated", "warehouse", database="steps")["daily_revenue"] == 1
 
 
@@ -42,9 +43,24 @@ def test_whole_run(lake):
     assert result["status"] == "PASSED" and result["tables"]["customer_segments"] == 1
 
 
+def test_notices(lake):
+    run_log = str(lake / "runs")
+    with pytest.raises(QualityCheckFailed):
+        call(lake, "run", "raw", "curated", "warehouse", "checkpoint", run_log=run_log)
+    found = submit.main(["notices", "--run-log", run_log])
+    assert found["failed_runs"] == 1 and "below minimum" in found["newest"]
+
+
+EVENTS = ["events", "--strict"]
+
+
 def test_events_and_replay(lake):
     totals = call(lake, "events", "incoming", "out", "checkpoint", database="steps_events")
     assert (totals["events_written"], totals["dead_files"]) == (1, 1)
+    assert totals["alert"]["message"] == "Dead letters 1"
+    (lake / "incoming/worse.json").write_text("x")
+    with pytest.raises(QualityCheckFailed, match="dead_letters"):
+        submit.main([*EVENTS, *(f"--{n}={lake / n}" for n in ("incoming", "out", "checkpoint"))])
     again = submit.main(["replay", "--out", str(lake / "out"), str(lake / "incoming/a.json")])
     assert again["events_written"] == 1
     with pytest.raises(NoValidEvents):

@@ -1,4 +1,7 @@
-"""Declarative quality rules, judged together in one aggregate over the table."""
+"""Declarative quality rules, judged together in one aggregate over the table.
+
+Names and message texts of the rules are fixed values: alerts are matched on them.
+"""
 
 import datetime
 from collections.abc import Sequence

@@ -6,8 +6,6 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Once this few rows are left around a wanted rank they are sorted as one array.
-ARRAY_ROWS = 100_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -50,31 +48,21 @@ class Wanted:
 
 
 def values_at_ranks(
-    df: DataFrame,
-    wanted: Mapping[object, Wanted],
-    array_rows: int = ARRAY_ROWS,
-    accuracy: int = SKETCH_ACCURACY,
+    df: DataFrame, wanted: Mapping[object, Wanted], accuracy: int = SKETCH_ACCURACY
 ) -> dict:
     """Exact values at the wanted ranks; a rank past the last non-NULL value gives None.
 
     Every round is one-row aggregates over all wanted ranks at once. A quantile sketch proposes
     two values around each rank, exact counts then say whether one of them is the answer or which
-    open interval holds it, and the interval is searched again until it is small. The counts make
-    the result exact however rough the sketch is; heavy ties resolve by being a bound themselves.
+    open interval holds it, and the interval is searched again. The counts make the result exact
+    however rough the sketch is; heavy ties resolve by being a bound themselves.
     """
     found = {name: None for name, w in wanted.items() if w.rank >= w.rows}
     pending = {name: w for name, w in wanted.items() if name not in found}
     while pending:
-        small = {name: w for name, w in pending.items() if w.rows <= array_rows}
-        if small:
-            arrays = ((F.sort_array(F.collect_list(w.values)), w.rank) for w in small.values())
-            row = df.agg(*(F.get(values, F.lit(rank)) for values, rank in arrays)).first()
-            found.update(zip(small, row))
-        pending = {name: w for name, w in pending.items() if name not in small}
-        if pending:
-            narrowed = _narrow(df, pending, accuracy)
-            found.update({name: v for name, v in narrowed.items() if not isinstance(v, Wanted)})
-            pending = {name: v for name, v in narrowed.items() if isinstance(v, Wanted)}
+        narrowed = _narrow(df, pending, accuracy)
+        found.update({name: v for name, v in narrowed.items() if not isinstance(v, Wanted)})
+        pending = {name: v for name, v in narrowed.items() if isinstance(v, Wanted)}
     return found
 
 
@@ -148,24 +136,22 @@ def _settle(df: DataFrame, w: Wanted, low, high, counted):
             rank=w.rank - counted.to_low,
             rows=counted.below_high - counted.to_low,
         )
-    return inner if inner.rows < w.rows else _value_by_histogram(df, w)
+    return inner if inner.rows < w.rows else _value_by_steps(df, w)
 
 
-def _value_by_histogram(df: DataFrame, w: Wanted):
-    """Value at the rank from counts per distinct value.
+def _value_by_steps(df: DataFrame, w: Wanted):
+    """Value at the rank by going from each distinct value to the next, one small aggregate a step.
 
     Reached only when the sketch cannot tell the values apart (64-bit integers that share one
     double), so few distinct values are left.
     """
-    per_value = (
-        df.where(w.where & F.col(w.column).isNotNull())
-        .groupBy(F.col(w.column).alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
-    running = F.sum("n").over(Window.orderBy("value"))
-    return per_value.select("value", running.alias("upto")).where(F.col("upto") > w.rank).agg(
-        F.min("value")
-    ).first()[0]
+    while True:
+        value = df.agg(F.min(w.values)).first()[0]
+        rows = df.agg(F.count_if(w.values == value)).first()[0]
+        if w.rank < rows:
+            return value
+        where = w.where & (F.col(w.column) > value)
+        w = replace(w, where=where, rank=w.rank - rows, rows=w.rows - rows)
 
 
 def ntile(
@@ -173,7 +159,6 @@ def ntile(
     key: str,
     scores: Mapping[str, Order],
     tiles: int = 4,
-    array_rows: int = ARRAY_ROWS,
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Add `NTILE(tiles) OVER (ORDER BY <order>, key)` for each score.
@@ -203,7 +188,7 @@ def ntile(
         (name, t): Wanted(scores[name].column, everywhere, ascending_rank(name, t), filled[name])
         for name, t in cuts
     }
-    values = values_at_ranks(df, opening, array_rows, accuracy)
+    values = values_at_ranks(df, opening, accuracy)
     ties = df.agg(
         *(
             F.struct(
@@ -220,7 +205,7 @@ def ntile(
         for (name, t), tie in zip(cuts, ties)
         if starts[t] > tie.ahead
     }
-    keys = values_at_ranks(df, split, array_rows, accuracy) if split else {}
+    keys = values_at_ranks(df, split, accuracy) if split else {}
 
     def opened(name: str, t: int) -> Column:
         """Whether the row stands at or behind the first row of the tile after `t`."""

@@ -12,22 +12,26 @@ RFM_SCORES = {
 }
 
 
+# Monthly sums of the daily facts, whole cents; one definition for the frame and the view.
+TREND = {
+    "year": "year(order_date)",
+    "month": "month(order_date)",
+    "total_revenue": "round(sum(total_revenue), 2)",
+    "num_orders": "sum(num_orders)",
+    "num_customers": "sum(num_customers)",
+    "total_units": "sum(total_units)",
+}
+
+
 def revenue_trend(daily: DataFrame) -> DataFrame:
     """Monthly sums of the daily facts.
 
     Customers and orders are sums of daily distinct counts here, so a customer who buys on five
     days counts five times; the monthly report over order lines counts them once.
     """
-    return (
-        daily.groupBy(F.year("order_date").alias("year"), F.month("order_date").alias("month"))
-        .agg(
-            F.sum("total_revenue").alias("total_revenue"),
-            F.sum("num_orders").alias("num_orders"),
-            F.sum("num_customers").alias("num_customers"),
-            F.sum("total_units").alias("total_units"),
-        )
-        .orderBy("year", "month")
-    )
+    columns = {name: F.expr(text).alias(name) for name, text in TREND.items()}
+    keys = [columns.pop("year"), columns.pop("month")]
+    return daily.groupBy(*keys).agg(*columns.values()).orderBy("year", "month")
 
 
 def segment_label(r: Column, f: Column, m: Column) -> Column:

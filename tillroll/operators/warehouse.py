@@ -27,26 +27,29 @@ def measured(groups: GroupedData, *others: Column, **names: str) -> DataFrame:
     )
 
 
-def daily_revenue(orders: DataFrame) -> DataFrame:
-    """Revenue, orders, customers and units per calendar day, in date order."""
+def daily_revenue(orders: DataFrame, ordered: bool = True) -> DataFrame:
+    """Revenue, orders, customers and units per calendar day, in date order.
+
+    Spark keeps a sort below an aggregate of doubles, so leave `ordered` out for further aggregates.
+    """
     days = orders.groupBy(F.to_date("InvoiceDate").alias("order_date"))
-    return measured(
+    daily = measured(
         days,
         total_revenue="revenue",
         num_orders="orders",
         num_customers="customers",
         total_units="units",
-    ).orderBy("order_date")
+    )
+    return daily.orderBy("order_date") if ordered else daily
+
+
+# The monthly report, for the frame and the view.
+MONTHLY = {"total_revenue": "revenue", "num_orders": "orders", "num_customers": "customers"}
 
 
 def monthly_revenue(orders: DataFrame) -> DataFrame:
     """Revenue and distinct orders and customers per month, straight from the order lines."""
-    return measured(
-        orders.groupBy("year", "month"),
-        total_revenue="revenue",
-        num_orders="orders",
-        num_customers="customers",
-    ).orderBy("year", "month")
+    return measured(orders.groupBy("year", "month"), **MONTHLY).orderBy("year", "month")
 
 
 def customer_rfm(

@@ -4,18 +4,25 @@ _RAW = """
 raw AS (
   SELECT CASE WHEN l_returnflag = 'R' THEN 'C' ELSE '' END || CAST(l_orderkey AS VARCHAR) AS "Invoice",
          CAST(l_partkey AS VARCHAR) AS "StockCode",
-         p_name AS "Description",
-         CAST(CASE WHEN l_linenumber = 7 THEN -CAST(l_quantity AS INTEGER)
-                   ELSE CAST(l_quantity AS INTEGER) END AS VARCHAR) AS "Quantity",
-         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "InvoiceDate",
-         CASE WHEN l_tax = 0 THEN '0'
+         CASE l_linenumber WHEN 5 THEN NULL WHEN 4 THEN p_name || ' (second)'
+              WHEN 3 THEN p_name || chr(10) || '"quoted", on two lines' ELSE p_name
+         END AS "Description",
+         CASE l_partkey % 41 WHEN 5 THEN 'abc' WHEN 6 THEN units || '.7' WHEN 7 THEN '1e2'
+              ELSE units END AS "Quantity",
+         CASE WHEN l_orderkey % 97 = 0 THEN 'unknown'
+              ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS "InvoiceDate",
+         CASE WHEN l_tax = 0 THEN '0' WHEN l_partkey % 41 = 8 THEN 'n/a'
               ELSE CAST(floor(l_extendedprice) / 100 AS VARCHAR) END AS "Price",
-         CASE WHEN o_custkey % 10 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS "Customer ID",
+         CASE WHEN o_custkey % 10 <> 0
+              THEN CASE WHEN o_custkey % 17 = 3 THEN 'x' ELSE '' END || CAST(o_custkey AS VARCHAR)
+         END AS "Customer ID",
          n_name AS "Country",
          CASE WHEN year(o_orderdate) >= 2000
               THEN CASE o_custkey % 3 WHEN 0 THEN 'Gold' WHEN 1 THEN 'Silver' ELSE 'Bronze' END
          END AS loyalty_tier
-  FROM lineitem
+  FROM (SELECT *, CAST(CASE WHEN l_linenumber = 7 THEN -CAST(l_quantity AS INTEGER)
+                            ELSE CAST(l_quantity AS INTEGER) END AS VARCHAR) AS units
+        FROM lineitem)
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey
   JOIN customer ON o_custkey = c_custkey
@@ -25,16 +32,22 @@ raw AS (
 _EVOLVED = (
     _RAW
     + """,
-evolved AS (
-  SELECT "Invoice", "StockCode", "Description", CAST("Quantity" AS INTEGER) AS "Quantity",
-         CAST("InvoiceDate" AS TIMESTAMP) AS "InvoiceDate", CAST("Price" AS DOUBLE) AS "UnitPrice",
-         CAST("Customer ID" AS DOUBLE) AS "CustomerID", "Country", loyalty_tier,
-         CAST("Quantity" AS INTEGER) * CAST("Price" AS DOUBLE) AS "Revenue",
-         CAST(year(CAST("InvoiceDate" AS TIMESTAMP)) AS INTEGER) AS year,
-         CAST(month(CAST("InvoiceDate" AS TIMESTAMP)) AS INTEGER) AS month
+typed AS (
+  SELECT * REPLACE (
+           CAST(trunc(TRY_CAST(CASE WHEN regexp_full_match("Quantity", '[-+]?[0-9]+([.][0-9]*)?')
+                                    THEN "Quantity" END AS DOUBLE)) AS INTEGER) AS "Quantity",
+           TRY_CAST("InvoiceDate" AS TIMESTAMP) AS "InvoiceDate",
+           TRY_CAST("Price" AS DOUBLE) AS "Price",
+           TRY_CAST("Customer ID" AS DOUBLE) AS "Customer ID")
   FROM raw
-  WHERE "Customer ID" IS NOT NULL AND "Invoice" NOT LIKE 'C%'
-    AND CAST("Quantity" AS INTEGER) > 0 AND CAST("Price" AS DOUBLE) > 0
+),
+evolved AS (
+  SELECT "Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price" AS "UnitPrice",
+         "Customer ID" AS "CustomerID", "Country", loyalty_tier, "Quantity" * "Price" AS "Revenue",
+         CAST(year("InvoiceDate") AS INTEGER) AS year,
+         CAST(month("InvoiceDate") AS INTEGER) AS month
+  FROM typed
+  WHERE "Customer ID" IS NOT NULL AND "Invoice" NOT LIKE 'C%' AND "Quantity" > 0 AND "Price" > 0
 )"""
 )
 
@@ -91,10 +104,22 @@ segments AS (
 _PRODUCTS = (
     _CLEAN
     + """,
-products AS (
-  SELECT "StockCode", min("Description") AS description, round(sum("Revenue"), 2) AS total_revenue,
+described AS (
+  SELECT "StockCode" AS code, "Description" AS description, min("InvoiceDate") AS seen
+  FROM clean WHERE "Description" IS NOT NULL GROUP BY 1, 2
+),
+earliest AS (
+  SELECT code, description FROM described
+  QUALIFY row_number() OVER (PARTITION BY code ORDER BY seen NULLS LAST, description) = 1
+),
+totals AS (
+  SELECT "StockCode", round(sum("Revenue"), 2) AS total_revenue,
          CAST(sum("Quantity") AS BIGINT) AS total_units, count(DISTINCT "Invoice") AS num_orders
   FROM clean GROUP BY "StockCode"
+),
+products AS (
+  SELECT "StockCode", description, total_revenue, total_units, num_orders
+  FROM totals LEFT JOIN earliest ON "StockCode" = code
 )"""
 )
 
@@ -112,10 +137,11 @@ plain AS (
          || CASE event_id % 10 WHEN 0 THEN CAST(-(1 + event_id % 9) AS VARCHAR)
                                WHEN 3 THEN '"' || (1 + event_id % 9) || '"'
                                ELSE CAST(1 + event_id % 9 AS VARCHAR) END
-         || ',"price":' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)
+         || ',"price":' || CASE event_id % 10 WHEN 4 THEN '-' || amount
+                               WHEN 5 THEN '"' || amount || '"' ELSE amount END
          || CASE event_id % 10 WHEN 1 THEN '' ELSE ',"customerid":' || user_id END
          || CASE event_id % 10 WHEN 2 THEN '' ELSE '}' END AS line
-  FROM events
+  FROM (SELECT *, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS amount FROM events)
 ),
 judged AS (
   SELECT *, CASE
@@ -185,7 +211,8 @@ SELECT * REPLACE (CAST(NULL AS VARCHAR) AS loyalty_tier) FROM raw""",
     "loyalty_tier_counts": f"""WITH {_EVOLVED}
 SELECT coalesce(loyalty_tier, '(legacy)') AS loyalty_tier, count(*) AS num_rows
 FROM evolved GROUP BY 1""",
-    "daily_revenue": f"WITH {_DAILY} SELECT * FROM daily ORDER BY order_date",
+    "daily_revenue": f"""WITH {_DAILY}
+SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM daily ORDER BY order_date""",
     "customer_rfm": f"WITH {_RFM} SELECT * FROM rfm",
     "top_products": f"""WITH {_PRODUCTS}
 SELECT * FROM products ORDER BY total_revenue DESC NULLS LAST, "StockCode" """,
@@ -226,6 +253,29 @@ SELECT 'orders_' || source || '.json' AS source, 'ValidationError' AS error_type
        'No valid events in orders_' || source || '.json' AS error_message, count(*) AS n_lines
 FROM judged GROUP BY source HAVING count(*) FILTER (reason IS NULL) = 0""",
     "event_ingest": f"WITH {_EVENTS} SELECT line, reason FROM judged",
+    "event_replay": f"""WITH {_EVENTS}
+SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome, line, reason
+FROM judged
+UNION ALL
+SELECT 'dead', 'ValidationError', CAST(count(*) AS VARCHAR) FROM judged WHERE event_id % 10 < 6""",
+    "catalog_reports": f"""WITH {_SEGMENTS}, {_PRODUCTS.replace(_CLEAN + ",", "")},
+{_DAILY.replace(_CLEAN + ",", "")}
+SELECT 'gate' AS report, 'row_count' AS name, CAST(count(*) AS DOUBLE) AS value FROM clean
+UNION ALL
+SELECT 'monthly', coalesce(CAST(year AS VARCHAR), 'none') || '-' || coalesce(CAST(month AS VARCHAR), 'none'),
+       CAST(count(DISTINCT "CustomerID") AS DOUBLE) FROM clean GROUP BY year, month
+UNION ALL
+SELECT 'trend', coalesce(CAST(year(order_date) AS VARCHAR), 'none') || '-'
+                || coalesce(CAST(month(order_date) AS VARCHAR), 'none'),
+       CAST(sum(num_customers) AS DOUBLE) FROM daily GROUP BY year(order_date), month(order_date)
+UNION ALL
+SELECT 'segments', segment, CAST(count(*) AS DOUBLE) FROM segments GROUP BY segment
+UNION ALL
+SELECT * FROM (
+  SELECT 'products', "StockCode", CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS DOUBLE)
+  FROM products ORDER BY total_revenue DESC NULLS LAST, "StockCode" LIMIT 50)""",
+    "passed_through": f"""WITH {_CLEAN}
+SELECT "Invoice", "StockCode", "Country" AS store FROM clean""",
     "notification_keys": """
 SELECT event_id, 'raw' AS bucket, 'incoming/' || event_type || ' orders+' || event_id || '.json' AS key,
        event_type || ' orders+' || event_id AS source_name

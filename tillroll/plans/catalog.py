@@ -3,19 +3,33 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tillroll.operators.reports import revenue_trend, top_products_ranked
+from tillroll.operators.reports import TREND, revenue_trend, top_products_ranked
+from tillroll.operators.warehouse import MEASURES, MONTHLY, monthly_revenue
 from tillroll.schemas import CURATED_PARTITIONS, CURATED_SCHEMA
+from tillroll.sinks.events import ACCEPTED, LINES_SCHEMA, LOG_SCHEMA
+from tillroll.sources.orders import extra_columns
 
 CURATED_TABLE = "online_retail"
-EVENTS_TABLE = "streaming"
+EVENTS_VIEW = "streaming"
+EVENT_LINES_TABLE = "event_lines"
+EVENT_LOG_TABLE = "event_ingest_log"
 WAREHOUSE_TABLES = ("daily_revenue", "customer_rfm", "top_products", "customer_segments")
 
+
+def _columns(definitions: dict[str, str]) -> str:
+    return ", ".join(f"{text} AS {name}" for name, text in definitions.items())
+
+
+CURATED_VIEWS = {
+    "v_monthly_revenue": f"""
+        SELECT year, month, {_columns({name: MEASURES[m] for name, m in MONTHLY.items()})}
+        FROM {{database}}.{CURATED_TABLE} GROUP BY year, month ORDER BY year, month""",
+}
+
 VIEWS = {
-    "v_revenue_trend": """
-        SELECT year(order_date) AS year, month(order_date) AS month,
-               sum(total_revenue) AS total_revenue, sum(num_orders) AS num_orders,
-               sum(num_customers) AS num_customers, sum(total_units) AS total_units
-        FROM {database}.daily_revenue GROUP BY ALL ORDER BY year, month""",
+    "v_revenue_trend": f"""
+        SELECT {_columns(TREND)} FROM {{database}}.daily_revenue
+        GROUP BY {TREND["year"]}, {TREND["month"]} ORDER BY year, month""",
     # Scored when the warehouse is built, because quartiles over the whole table are found there
     # without sorting it; the view reads the finished rows.
     "v_customer_segments": "SELECT * FROM {database}.customer_segments",
@@ -28,48 +42,71 @@ VIEWS = {
         ORDER BY total_revenue DESC NULLS LAST, stockcode""",
 }
 
+EVENT_VIEWS = {
+    EVENTS_VIEW: f"""
+        SELECT line AS value, year, month, source
+        FROM {{database}}.{EVENT_LINES_TABLE} AS lines LEFT SEMI JOIN (
+            SELECT path, max_by(ingest_batch, struct(ingested_at, ingest_batch)) AS newest
+            FROM {{database}}.{EVENT_LOG_TABLE} GROUP BY path) AS log
+          ON lines.path = log.path AND lines.ingest_batch = log.newest
+        WHERE outcome = '{ACCEPTED}'""",
+}
+
 
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def _register(
-    spark: SparkSession, name: str, columns: str, source: str, path: str, partitions=()
+    spark: SparkSession, name: str, schema: T.StructType, path: str, partitions=()
 ) -> None:
+    """Create the table, or add the columns it lacks, and find its partitions."""
     clause = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {source} {clause} LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}) USING parquet {clause} LOCATION '{path}'"
     )
+    known = {column.lower() for column in spark.table(name).columns}
+    new = T.StructType([f for f in schema.fields if f.name.lower() not in known])
+    if new.fields:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(new)})")
     if partitions:
         spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
 
 
+def _create_views(spark: SparkSession, database: str, views: dict[str, str]) -> None:
+    for name, query in views.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {query.format(database=database)}")
+
+
+def _parsed(ddl: str) -> T.StructType:
+    return T._parse_datatype_string(ddl)
+
+
 def register_curated(spark: SparkSession, database: str, curated: str) -> None:
     """Register or refresh the curated table with the partitions found in its folder."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    schema = T.StructType([*CURATED_SCHEMA.fields, T.StructField("ingest_batch", T.StringType())])
-    _register(
-        spark,
-        f"{database}.{CURATED_TABLE}",
-        _ddl(schema),
-        "parquet",
-        curated,
-        CURATED_PARTITIONS,
+    schema = T.StructType(
+        [
+            *CURATED_SCHEMA.fields,
+            *extra_columns(spark, curated),
+            T.StructField("ingest_batch", T.StringType()),
+        ]
     )
+    _register(spark, f"{database}.{CURATED_TABLE}", schema, curated, CURATED_PARTITIONS)
+    _create_views(spark, database, CURATED_VIEWS)
 
 
 def register_events(spark: SparkSession, database: str, out: str) -> None:
-    """Register or refresh the zone of accepted events, one JSON line per row."""
+    """Register or refresh the event zones and the view of accepted events, a JSON line per row."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    _register(
-        spark,
-        f"{database}.{EVENTS_TABLE}",
-        "value string, year int, month int, source string",
-        "text",
-        f"{out}/streaming",
-        ("year", "month", "source"),
+    tables = (
+        (EVENT_LINES_TABLE, LINES_SCHEMA, "lines", ("outcome", "year", "month", "ingest_batch")),
+        (EVENT_LOG_TABLE, LOG_SCHEMA, "ingest_log", ("ingest_date", "ingest_batch")),
     )
+    for name, schema, folder, partitions in tables:
+        _register(spark, f"{database}.{name}", _parsed(schema), f"{out}/{folder}", partitions)
+    _create_views(spark, database, EVENT_VIEWS)
 
 
 def register_warehouse(spark: SparkSession, database: str, warehouse: str) -> None:
@@ -77,18 +114,19 @@ def register_warehouse(spark: SparkSession, database: str, warehouse: str) -> No
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in WAREHOUSE_TABLES:
         path = table_path(warehouse, table)
-        _register(
-            spark, f"{database}.{table}", _ddl(spark.read.parquet(path).schema), "parquet", path
-        )
-    for name, query in VIEWS.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {query.format(database=database)}")
+        _register(spark, f"{database}.{table}", spark.read.parquet(path).schema, path)
+    _create_views(spark, database, VIEWS)
 
 
-def temporary_views(daily: DataFrame, segments: DataFrame, products: DataFrame) -> None:
+def temporary_views(
+    daily: DataFrame, segments: DataFrame, products: DataFrame, orders: DataFrame | None = None
+) -> None:
     """The same views for one session, over frames that need no catalog."""
     revenue_trend(daily).createOrReplaceTempView("v_revenue_trend")
     segments.createOrReplaceTempView("v_customer_segments")
     top_products_ranked(products).createOrReplaceTempView("v_top_products")
+    if orders is not None:
+        monthly_revenue(orders).createOrReplaceTempView("v_monthly_revenue")
 
 
 def table_path(warehouse: str, table: str) -> str:

@@ -71,6 +71,13 @@ def gate(orders: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> dict:
     return enforce(run_checks(orders, rules))
 
 
+def table_checks(
+    spark: SparkSession, table: str, rules: Sequence[Rule] = DEFAULT_RULES
+) -> DataFrame:
+    """The quality rules over a table by its catalog name, a row each."""
+    return run_checks(spark.table(table), rules)
+
+
 def run_lake(
     spark: SparkSession,
     raw: str,
@@ -80,6 +87,7 @@ def run_lake(
     database: str | None = None,
     rules: Sequence[Rule] = DEFAULT_RULES,
     run_log: str | None = None,
+    **increment_options,
 ) -> RunRecord:
     """Clean new files, gate, rebuild the warehouse, refresh names. A failure stops the run there.
 
@@ -88,7 +96,7 @@ def run_lake(
     """
     record = RunRecord(datetime.datetime.now(datetime.timezone.utc))
     try:
-        increment = run_incremental(spark, raw, curated, checkpoint)
+        increment = run_incremental(spark, raw, curated, checkpoint, **increment_options)
         record.files, record.raw_rows, record.clean_rows = (
             increment.files,
             increment.raw_rows,
@@ -105,7 +113,7 @@ def run_lake(
         record.status, record.message = "FAILED", str(failure)
         raise
     except Exception as failure:
-        record.status, record.message = "FAILED", f"{type(failure).__name__}: {failure}"[:2000]
+        record.status, record.message = "FAILED", f"{type(failure).__name__}: {failure}"
         raise
     finally:
         if run_log:

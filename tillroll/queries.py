@@ -1,16 +1,25 @@
 """The registered queries: every operator over whole tables, as `(spark, sf_dir) -> DataFrame`."""
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll import retail_shapes as shapes
 from tillroll.operators import events, quality, reports, warehouse
 from tillroll.operators.clean import backfill_optional, clean_orders
-from tillroll.plans.catalog import table_path
-from tillroll.plans.lake import run_lake
-from tillroll.sinks.events import read_rejected, read_streaming
+from tillroll.plans.catalog import CURATED_TABLE, table_path
+from tillroll.plans.lake import run_lake, table_checks
+from tillroll.schemas import CURATED_SCHEMA
+from tillroll.sinks.events import (
+    ingest_events,
+    read_dead_letters,
+    read_ingest_log,
+    read_rejected,
+    read_streaming,
+)
 from tillroll.sinks.scratch import scratch_folder, stored
-from tillroll.sinks.tables import write_csv, write_curated
+from tillroll.sinks.tables import stored_rows, write_csv, write_curated
 from tillroll.sources.orders import read_curated, read_orders_csv, union_parts
 from tillroll.streaming.events import run_event_ingest
 from tillroll.streaming.orders import run_incremental
@@ -39,16 +48,17 @@ def _generations(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [shapes.old_generation(spark, sf_dir), shapes.new_generation(spark, sf_dir)]
 
 
-def _raw_files(spark: SparkSession, sf_dir: str) -> str:
-    """Both generations as CSV files with different headers below one folder."""
-    folder = scratch_folder(spark)
-    for name, part in zip(("old", "new"), _generations(spark, sf_dir)):
-        write_csv(part, f"{folder}/{name}")
+def _raw_files(spark: SparkSession, sf_dir: str, folder: str | None = None) -> str:
+    """Both generations below one folder, one as plain files and one compressed."""
+    folder = folder or scratch_folder(spark)
+    old, new = _generations(spark, sf_dir)
+    write_csv(old, f"{folder}/old")
+    write_csv(new, f"{folder}/new", compression="gzip")
     return folder
 
 
 def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_orders_csv(spark, _raw_files(spark, sf_dir))
+    return read_orders_csv(spark, _raw_files(spark, sf_dir), multiline=True)
 
 
 def curated_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,15 +67,33 @@ def curated_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, curated)
 
 
+def passed_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw column the schema does not declare, read back from the curated table."""
+    raw = shapes.raw_orders(spark, sf_dir).withColumn("store", F.col("Country"))
+    curated = scratch_folder(spark)
+    write_curated(clean_orders(raw), curated, "first")
+    return read_curated(spark, curated).select("Invoice", "StockCode", "store")
+
+
 def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of both generations through the incremental stream, read back curated."""
+    """Three runs of the incremental stream, read back curated.
+
+    The first finds only lines that cleaning drops, the second both generations, the third nothing.
+    """
     folder = scratch_folder(spark)
-    run_incremental(spark, _raw_files(spark, sf_dir), f"{folder}/curated", f"{folder}/checkpoint")
-    return read_curated(spark, f"{folder}/curated")
+    raw, curated = f"{folder}/raw", f"{folder}/curated"
+    dropped = shapes.raw_orders(spark, sf_dir).where(F.col("Invoice").startswith("C"))
+    write_csv(dropped, f"{raw}/dropped")
+    for _ in range(2):
+        run_incremental(spark, raw, curated, f"{folder}/checkpoint", multiline=True)
+        if not stored_rows(spark, curated, CURATED_SCHEMA):
+            _raw_files(spark, sf_dir, raw)
+    run_incremental(spark, raw, curated, f"{folder}/checkpoint", multiline=True)
+    return read_curated(spark, curated)
 
 
-def gated_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New files cleaned, judged and rolled up; the trend read from the rebuilt warehouse."""
+def _lake(spark: SparkSession, sf_dir: str, database: str | None = None) -> str:
+    """New files cleaned, judged and rolled up; the folder of the warehouse."""
     folder, raw = scratch_folder(spark), _raw_files(spark, sf_dir)
     run_lake(
         spark,
@@ -73,10 +101,46 @@ def gated_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{folder}/curated",
         f"{folder}/warehouse",
         f"{folder}/checkpoint",
+        database=database,
         rules=FITTED_RULES,
+        multiline=True,
+    )
+    return f"{folder}/warehouse"
+
+
+def gated_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend read from a rebuilt warehouse."""
+    daily = spark.read.parquet(table_path(_lake(spark, sf_dir), "daily_revenue"))
+    return reports.revenue_trend(daily)
+
+
+def catalog_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over a table by name and every view, as (report, name, value)."""
+    database = f"shop_{uuid.uuid4().hex}"
+    _lake(spark, sf_dir, database)
+    month = F.concat_ws("-", *(F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in ("year", "month")))
+
+    def rows(report: str, frame: DataFrame, name: Column, value: Column) -> DataFrame:
+        return frame.select(
+            F.lit(report).alias("report"), name.alias("name"), value.cast("double").alias("value")
+        )
+
+    checks = table_checks(spark, f"{database}.{CURATED_TABLE}", FITTED_RULES[:1])
+    segments = spark.table(f"{database}.v_customer_segments").groupBy("segment").count()
+    return union_parts(
+        [
+            rows("gate", checks, F.col("check"), F.col("observed")),
+            rows("monthly", spark.table(f"{database}.v_monthly_revenue"), month, F.col("num_customers")),
+            rows("trend", spark.table(f"{database}.v_revenue_trend"), month, F.col("num_customers")),
+            rows("segments", segments, F.col("segment"), F.col("count")),
+            rows(
+                "products",
+                spark.table(f"{database}.v_top_products"),
+                F.col("stockcode"),
+                F.col("revenue_rank"),
+            ),
+        ]
     )
-    daily = spark.read.parquet(table_path(f"{folder}/warehouse", "daily_revenue"))
-    return _rounded(reports.revenue_trend(daily))
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +165,9 @@ def loyalty_tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse.daily_revenue(_clean(spark, sf_dir))
+    """With the day as text: engines hand a missing date over in different ways."""
+    daily = warehouse.daily_revenue(_clean(spark, sf_dir))
+    return daily.withColumn("order_date", F.col("order_date").cast("string"))
 
 
 def monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,13 +182,8 @@ def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.top_products(_clean(spark, sf_dir))
 
 
-def _rounded(trend: DataFrame) -> DataFrame:
-    """Sums of rounded sums in whole cents, so two engines can be compared."""
-    return trend.withColumn("total_revenue", F.round("total_revenue", 2))
-
-
 def revenue_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(reports.revenue_trend(daily_revenue(spark, sf_dir)))
+    return reports.revenue_trend(warehouse.daily_revenue(_clean(spark, sf_dir), ordered=False))
 
 
 def customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +249,31 @@ def event_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted.unionByName(read_rejected(spark, out).select("line", "reason"))
 
 
+def event_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good, bad and empty files through the stream, all ingested again, and what is then read."""
+    folder = scratch_folder(spark)
+    incoming, out = f"{folder}/incoming", f"{folder}/events"
+    lines = shapes.padded_lines(shapes.order_events(spark, sf_dir))
+    good = F.col("event_id") % 10 >= 6
+    for name, part in (("good", good), ("bad", ~good)):
+        lines.where(part).select("line").write.text(f"{incoming}/{name}")
+    lines.where("false").select("line").coalesce(1).write.text(f"{incoming}/empty")
+    run_event_ingest(spark, incoming, out, f"{folder}/checkpoint", pattern="part-*.txt")
+    files = [row.path for row in read_ingest_log(spark, out).select("path").toLocalIterator()]
+    ingest_events(spark, files, out)
+    accepted = read_streaming(spark, out).select(
+        F.lit("accepted").alias("outcome"), F.col("value").alias("line"), F.lit(None).cast("string").alias("reason")
+    )
+    rejected = read_rejected(spark, out).select(F.lit("rejected").alias("outcome"), "line", "reason")
+    dead = (
+        read_dead_letters(spark, out)
+        .groupBy(F.col("error_type").alias("line"))
+        .agg(F.sum("n_lines").cast("string").alias("reason"))
+        .select(F.lit("dead").alias("outcome"), "line", "reason")
+    )
+    return union_parts([accepted, rejected, dead])
+
+
 def notification_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.notification_files(shapes.notifications(spark, sf_dir))
 
@@ -199,6 +285,7 @@ def dead_letter_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "raw_scan": raw_scan,
     "curated_scan": curated_scan,
+    "passed_through": passed_through,
     "incremental_clean": incremental_clean,
     "clean_orders": clean,
     "backfill_optional": backfilled,
@@ -216,6 +303,7 @@ QUERIES = {
     "quality_checks": quality_checks,
     "quality_failures": quality_failures,
     "gated_build": gated_build,
+    "catalog_reports": catalog_reports,
     "event_lines": event_lines,
     "event_validation": event_validation,
     "valid_events": valid_events,
@@ -223,6 +311,7 @@ QUERIES = {
     "event_file_stats": event_file_stats,
     "dead_files": dead_files,
     "event_ingest": event_ingest,
+    "event_replay": event_replay,
     "notification_keys": notification_keys,
     "dead_letter_triage": dead_letter_triage,
 }

@@ -13,11 +13,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_orders(spark: SparkSession, sf_dir: str, tier: bool = False) -> DataFrame:
-    """Raw order lines as text, eight columns, or nine with the loyalty tier."""
+def raw_orders(
+    spark: SparkSession, sf_dir: str, tier: bool = False, period: Column | None = None
+) -> DataFrame:
+    """Raw order lines as text, eight columns, or nine with the loyalty tier.
+
+    Among them are cancelled lines, numbers no cast reads or one has to cut, dates nobody can read,
+    missing and second descriptions, and descriptions with quotes and line breaks. `period` is a
+    condition on the order date itself, which reaches the scan.
+    """
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    orders = table(spark, sf_dir, "orders")
     buyers = (
-        table(spark, sf_dir, "orders")
+        (orders if period is None else orders.where(period))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     )
@@ -26,19 +34,33 @@ def raw_orders(spark: SparkSession, sf_dir: str, tier: bool = False) -> DataFram
         .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
+    number, part = F.col("l_linenumber"), F.col("l_partkey") % 41
     units = F.col("l_quantity").cast("int")
+    signed = F.when(number == 7, -units).otherwise(units).cast("string")
     price = (F.floor("l_extendedprice") / 100).cast("string")
+    customer = F.col("o_custkey").cast("string")
     columns = {
         "Invoice": F.concat(
             F.when(F.col("l_returnflag") == "R", "C").otherwise(""),
             F.col("l_orderkey").cast("string"),
         ),
         "StockCode": F.col("l_partkey").cast("string"),
-        "Description": F.col("p_name"),
-        "Quantity": F.when(F.col("l_linenumber") == 7, -units).otherwise(units).cast("string"),
-        "InvoiceDate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
-        "Price": F.when(F.col("l_tax") == 0, "0").otherwise(price),
-        "Customer ID": F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey").cast("string")),
+        "Description": F.when(number == 5, F.lit(None))
+        .when(number == 4, F.concat("p_name", F.lit(" (second)")))
+        .when(number == 3, F.concat("p_name", F.lit('\n"quoted", on two lines')))
+        .otherwise(F.col("p_name")),
+        "Quantity": F.when(part == 5, "abc")
+        .when(part == 6, F.concat(signed, F.lit(".7")))
+        .when(part == 7, "1e2")
+        .otherwise(signed),
+        "InvoiceDate": F.when(F.col("l_orderkey") % 97 == 0, "unknown").otherwise(
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+        ),
+        "Price": F.when(F.col("l_tax") == 0, "0").when(part == 8, "n/a").otherwise(price),
+        "Customer ID": F.when(
+            F.col("o_custkey") % 10 != 0,
+            F.when(F.col("o_custkey") % 17 == 3, F.concat(F.lit("x"), customer)).otherwise(customer),
+        ),
         "Country": F.col("n_name"),
     }
     if tier:
@@ -48,19 +70,17 @@ def raw_orders(spark: SparkSession, sf_dir: str, tier: bool = False) -> DataFram
     return lines.select(*(column.alias(name) for name, column in columns.items()))
 
 
-def _year(raw: DataFrame) -> Column:
-    return F.substring("InvoiceDate", 1, 4).cast("int")
+def _has_tier() -> Column:
+    return F.col("o_orderdate") >= F.lit(f"{FIRST_YEAR_WITH_TIER}-01-01").cast("timestamp_ntz")
 
 
 def old_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders from before the tier column existed."""
-    raw = raw_orders(spark, sf_dir)
-    return raw.where(_year(raw) < FIRST_YEAR_WITH_TIER)
+    """Orders from before the tier column existed, and any without a date."""
+    return raw_orders(spark, sf_dir, period=~_has_tier() | F.col("o_orderdate").isNull())
 
 
 def new_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_orders(spark, sf_dir, tier=True)
-    return raw.where(_year(raw) >= FIRST_YEAR_WITH_TIER)
+    return raw_orders(spark, sf_dir, tier=True, period=_has_tier())
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +92,12 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, F.concat(F.lit('"'), units.cast("string"), F.lit('"')))
         .otherwise(units.cast("string"))
     )
+    amount = F.col("value").cast("decimal(18,2)").cast("string")
+    price = (
+        F.when(kind == 4, F.concat(F.lit("-"), amount))
+        .when(kind == 5, F.concat(F.lit('"'), amount, F.lit('"')))
+        .otherwise(amount)
+    )
     customer = F.when(kind == 1, "").otherwise(
         F.concat(F.lit(',"customerid":'), F.col("user_id").cast("string"))
     )
@@ -83,7 +109,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('","quantity":'),
         quantity,
         F.lit(',"price":'),
-        F.col("value").cast("decimal(18,2)").cast("string"),
+        price,
         customer,
         F.when(kind == 2, "").otherwise("}"),
     )

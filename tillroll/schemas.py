@@ -37,6 +37,9 @@ CURATED_SCHEMA = T.StructType(
 
 CURATED_PARTITIONS = ("year", "month", "ingest_batch")
 
+# Where the writer of a curated table notes columns the schema does not declare; scans skip it.
+NOTED_COLUMNS = "_noted_columns"
+
 REQUIRED_EVENT_KEYS = ("invoice", "stockcode", "quantity", "price", "customerid")
 
 # Arrival notification of the object store.

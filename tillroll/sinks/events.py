@@ -1,27 +1,51 @@
-"""Ingesting event files: valid lines, rejected lines, dead letters and a log row per file."""
+"""Ingesting event files: judged lines, dead letters and a log row per file.
+
+Below a folder `out`:
+
+* `lines`: every line that is not blank, with the reason if it is rejected, by outcome, month of
+  arrival and batch. One write for both outcomes; nothing shuffles.
+* `dead_letter`: one row per file without a valid event, unreadable and missing files too.
+* `ingest_log`: one row per file with its counts, written last.
+
+All three are keyed by batch: the same batch run again replaces its rows. A batch counts once its log
+is there, and of each file only the newest logged batch does: what a file gave before it was ingested
+again, accepted, rejected or dead, is no longer read.
+"""
 
 import datetime
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
-from pyspark import StorageLevel
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.paths import source_key
-from tillroll.operators.events import (
-    dead_files,
-    event_lines,
-    file_stats,
-    notification_files,
-    rejected_events,
-    valid_events,
-    validate_events,
-)
+from tillroll.operators.events import event_lines, notification_files, validate_events
 from tillroll.sources.events import read_event_lines
-from tillroll.sources.files import exists, qualified
+from tillroll.sources.files import is_missing, present_and_missing
 
 RETENTION_DAYS = 14
+MAX_FILES = 1_000
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+LINES_SCHEMA = (
+    "path string, source string, line string, reason string, ingested_at timestamp, "
+    "outcome string, year int, month int, ingest_batch string"
+)
+LOG_SCHEMA = (
+    "path string, source string, n_valid bigint, n_bad bigint, error_type string, "
+    "error_message string, ingested_at timestamp, ingest_date date, ingest_batch string"
+)
+DEAD_LETTER_TABLE_SCHEMA = (
+    "path string, error_type string, error_message string, n_lines bigint, "
+    "ingested_at timestamp, ingest_date date, ingest_batch string"
+)
+# Errors of executors reach the driver as one or the other.
+SCAN_ERRORS = (PySparkException, Py4JJavaError)
+NOTHING = {"files": 0, "events_written": 0, "events_rejected": 0, "dead_files": 0}
 
 
 class NoValidEvents(Exception):
@@ -36,40 +60,57 @@ def ingest_events(
     arrived_at: datetime.datetime | None = None,
     strict: bool = False,
 ) -> dict[str, int]:
-    """Validate event files and write the outcome below `out`.
-
-    * `streaming/year=/month=/source=`: valid lines as they came. Ingesting a file again replaces
-      its folder, in the month of its first ingest.
-    * `rejected`: bad lines with the reason.
-    * `dead_letter`: one row per file without a valid event.
-    * `ingest_log`: one row per file with its counts.
+    """Judge the lines of event files and store the outcome below `out`.
 
-    The last three are keyed by batch: the same batch run again replaces its rows. `paths` is one
-    micro-batch of file names and is the only thing held by the driver. Empty files are dead too.
+    `paths` is one micro-batch of file names and is the only thing held by the driver. A file that is
+    empty, missing or unreadable is a dead letter by itself and keeps no other from being stored.
     """
     arrived_at = arrived_at or datetime.datetime.now(datetime.timezone.utc)
     batch = batch or f"replay-{uuid.uuid4().hex}"
-    paths = list(dict.fromkeys(qualified(spark, path) for path in paths))
-    if not paths:
-        return {"files": 0, "events_written": 0, "events_rejected": 0, "dead_files": 0}
-    names = spark.createDataFrame([(path,) for path in paths], "path string")
-    files = _with_home(spark, _with_source(names), out, arrived_at)
-    judged = validate_events(event_lines(read_event_lines(spark, paths)))
-    judged = _with_source(judged).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _write_valid(valid_events(judged), files, out)
-        _write_batch(rejected_events(judged), f"{out}/rejected", batch, arrived_at)
-        counts = file_stats(judged, "path").withColumnRenamed("path", "counted_path")
-        log = (
-            files.join(counts, F.col("path") == F.col("counted_path"), "left")
-            .drop("counted_path")
-            .fillna(0, ["n_valid", "n_bad"])
+    present, missing = present_and_missing(spark, list(dict.fromkeys(paths)))
+    present = list(dict.fromkeys(present))
+    if not present and not missing:
+        return dict(NOTHING)
+    unreadable = _write_lines(spark, present, out, batch, arrived_at)
+    faults = [(path, "MissingFile", f"No such file: {path}") for path in missing]
+    faults += [(path, "UnreadableFile", f"Cannot read {path}") for path in unreadable]
+    sound = [(path, None, None) for path in present if path not in set(unreadable)]
+    files = spark.createDataFrame(
+        [*sound, *faults], "path string, error_type string, error_message string"
+    )
+    counts = (
+        _batch_lines(spark, out, batch)
+        .groupBy(F.col("path").alias("counted"))
+        .agg(
+            F.count_if(F.col("outcome") == ACCEPTED).alias("n_valid"),
+            F.count_if(F.col("outcome") == REJECTED).alias("n_bad"),
+        )
+    )
+    nothing_valid = F.col("n_valid") == 0
+    log = (
+        files.join(counts, F.col("path") == F.col("counted"), "left")
+        .drop("counted")
+        .fillna(0, ["n_valid", "n_bad"])
+        .withColumns(
+            {
+                "source": source_key(F.col("path")),
+                "error_type": F.coalesce(
+                    "error_type", F.when(nothing_valid, F.lit("ValidationError"))
+                ),
+                "error_message": F.coalesce(
+                    "error_message",
+                    F.when(nothing_valid, F.concat(F.lit("No valid events in "), F.col("path"))),
+                ),
+            }
         )
-        _write_batch(log, f"{out}/ingest_log", batch, arrived_at)
-    finally:
-        judged.unpersist()
-    logged = read_ingest_log(spark, out).where(F.col("ingest_batch") == batch)
-    _write_batch(dead_files(logged, "path"), f"{out}/dead_letter", batch, arrived_at)
+    )
+    dead = log.where("error_type IS NOT NULL").select(
+        "path", "error_type", "error_message", F.col("n_bad").alias("n_lines")
+    )
+    _write_batch(dead, f"{out}/dead_letter", batch, arrived_at)
+    columns = ["path", "source", "n_valid", "n_bad", "error_type", "error_message"]
+    _write_batch(log.select(*columns), f"{out}/ingest_log", batch, arrived_at)
+    logged = _log(spark, out).where(F.col("ingest_batch") == batch)
     total = logged.agg(
         F.count("*").alias("files"),
         F.coalesce(F.sum("n_valid"), F.lit(0)).alias("events_written"),
@@ -77,8 +118,8 @@ def ingest_events(
         F.count_if(F.col("n_valid") == 0).alias("dead_files"),
     ).first()
     if strict and total.dead_files:
-        dead = logged.where(F.col("n_valid") == 0).agg(F.min("path")).first()[0]
-        raise NoValidEvents(f"No valid events in {dead}")
+        first = logged.where("n_valid = 0").agg(F.min("error_message")).first()[0]
+        raise NoValidEvents(first)
     return total.asDict()
 
 
@@ -87,59 +128,84 @@ def ingest_notified(
     notifications: DataFrame,
     out: str,
     location: str = "s3a://{bucket}/{key}",
+    max_files: int = MAX_FILES,
     **options,
 ) -> dict[str, int]:
-    """Ingest the event files that arrival notifications name, as one batch of `ingest_events`.
+    """Ingest the event files that arrival notifications name, in batches of `max_files`.
 
     `notifications` holds one JSON envelope per row in `payload`; a file named twice is read once.
     """
-    named = notification_files(notifications).select("bucket", "key").distinct().collect()
-    paths = [location.format(bucket=row.bucket, key=row.key) for row in named]
-    return ingest_events(spark, paths, out, **options)
+    named = notification_files(notifications).select("bucket", "key").distinct().toLocalIterator()
+    totals = dict(NOTHING)
+    while part := [location.format(bucket=r.bucket, key=r.key) for r in islice(named, max_files)]:
+        for name, count in ingest_events(spark, part, out, **options).items():
+            totals[name] += count
+    return totals
 
 
-def _with_source(df: DataFrame) -> DataFrame:
-    return df.withColumn("source", source_key(F.col("path")))
+def _judged(spark: SparkSession, paths: list[str]) -> DataFrame:
+    lines = validate_events(event_lines(read_event_lines(spark, paths)))
+    return lines.withColumn("source", source_key(F.col("path")))
 
 
-def _with_home(
-    spark: SparkSession, files: DataFrame, out: str, arrived_at: datetime.datetime
-) -> DataFrame:
-    """Year and month a file's events belong to: those of its first ingest, else of this one."""
-    utc = arrived_at.astimezone(datetime.timezone.utc)
-    now = files.withColumns({"year": F.lit(utc.year), "month": F.lit(utc.month)})
-    if not exists(spark, f"{out}/ingest_log"):
-        return now
-    first = (
-        read_ingest_log(spark, out)
-        .where(F.col("n_valid") > 0)
-        .join(F.broadcast(files.select("source")), "source", "left_semi")
-        .groupBy("source")
-        .agg(F.min_by(F.struct("year", "month"), "ingested_at").alias("home"))
-    )
-    return now.join(first, "source", "left").select(
-        "path",
-        "source",
-        F.coalesce("home.year", "year").alias("year"),
-        F.coalesce("home.month", "month").alias("month"),
-    )
+def _write_lines(
+    spark: SparkSession, paths: list[str], out: str, batch: str, arrived_at: datetime.datetime
+) -> list[str]:
+    """Store the judged lines of the files and return the files that cannot be read."""
+    if not paths:
+        return []
+    try:
+        _store_lines(_judged(spark, paths), out, batch, arrived_at)
+        return []
+    except SCAN_ERRORS:
+        unreadable = list(_unreadable(spark, paths))
+        if not unreadable:
+            raise
+    readable = [path for path in paths if path not in set(unreadable)]
+    if readable:
+        _store_lines(_judged(spark, readable), out, batch, arrived_at)
+    return unreadable
 
 
-def _write_valid(valid: DataFrame, files: DataFrame, out: str) -> None:
-    """Valid lines by month and source. Each task writes the sources it read; nothing shuffles."""
-    homes = F.broadcast(files.select("source", "year", "month"))
+def _unreadable(spark: SparkSession, paths: list[str]) -> Iterator[str]:
+    """The files whose scan fails, found by halving; used only after a scan has failed."""
+    try:
+        read_event_lines(spark, paths).agg(F.sum(F.length("line"))).collect()
+    except SCAN_ERRORS:
+        if len(paths) == 1:
+            yield paths[0]
+        else:
+            half = len(paths) // 2
+            yield from _unreadable(spark, paths[:half])
+            yield from _unreadable(spark, paths[half:])
+
+
+def _store_lines(
+    judged: DataFrame, out: str, batch: str, arrived_at: datetime.datetime
+) -> None:
+    utc = arrived_at.astimezone(datetime.timezone.utc)
+    outcome = F.when(F.col("reason").isNull(), ACCEPTED).otherwise(REJECTED)
     (
-        valid.join(homes, "source")
-        .select(F.col("line").alias("value"), "year", "month", "source")
+        judged.select(
+            "path",
+            "source",
+            "line",
+            "reason",
+            F.lit(arrived_at).alias("ingested_at"),
+            outcome.alias("outcome"),
+            F.lit(utc.year).alias("year"),
+            F.lit(utc.month).alias("month"),
+            F.lit(batch).alias("ingest_batch"),
+        )
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month", "source")
-        .text(f"{out}/streaming")
+        .partitionBy("outcome", "year", "month", "ingest_batch")
+        .parquet(f"{out}/lines")
     )
 
 
 def _write_batch(rows: DataFrame, path: str, batch: str, arrived_at: datetime.datetime) -> None:
-    """Rows of one batch in few files, however many tasks the lines were read by."""
+    """Rows of one batch, a row per file at most, in few files."""
     (
         rows.withColumns(
             {
@@ -148,7 +214,7 @@ def _write_batch(rows: DataFrame, path: str, batch: str, arrived_at: datetime.da
                 "ingest_batch": F.lit(batch),
             }
         )
-        .hint("rebalance")
+        .coalesce(1)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingest_date", "ingest_batch")
@@ -156,31 +222,54 @@ def _write_batch(rows: DataFrame, path: str, batch: str, arrived_at: datetime.da
     )
 
 
-LOG_SCHEMA = (
-    "path string, source string, year int, month int, n_valid bigint, n_bad bigint, "
-    "ingested_at timestamp, ingest_date date, ingest_batch string"
-)
-REJECTED_SCHEMA = (
-    "path string, line string, reason string, source string, "
-    "ingested_at timestamp, ingest_date date, ingest_batch string"
-)
-DEAD_LETTER_TABLE_SCHEMA = (
-    "path string, error_type string, error_message string, n_lines bigint, "
-    "ingested_at timestamp, ingest_date date, ingest_batch string"
-)
+def _table(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    """A table that may not have been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if is_missing(error):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def _batch_lines(spark: SparkSession, out: str, batch: str) -> DataFrame:
+    return _table(spark, LINES_SCHEMA, f"{out}/lines").where(F.col("ingest_batch") == batch)
+
+
+def _log(spark: SparkSession, out: str) -> DataFrame:
+    return _table(spark, LOG_SCHEMA, f"{out}/ingest_log")
 
 
 def read_ingest_log(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(f"{out}/ingest_log")
+    """The newest outcome of every file."""
+    log = _log(spark, out)
+    row = F.struct(*(F.col(name) for name in log.columns))
+    newest = F.max_by(row, F.struct("ingested_at", "ingest_batch")).alias("row")
+    return log.groupBy(F.col("path").alias("of")).agg(newest).select("row.*")
+
+
+def _newest(spark: SparkSession, out: str, rows: DataFrame) -> DataFrame:
+    """The rows that belong to the newest batch of their file."""
+    current = read_ingest_log(spark, out).select(
+        F.col("path").alias("logged"), F.col("ingest_batch").alias("newest")
+    )
+    same = (F.col("path") == F.col("logged")) & (F.col("ingest_batch") == F.col("newest"))
+    return rows.join(current, same, "left_semi")
+
+
+def _read_lines(spark: SparkSession, out: str, outcome: str) -> DataFrame:
+    rows = _table(spark, LINES_SCHEMA, f"{out}/lines").where(F.col("outcome") == outcome)
+    return _newest(spark, out, rows)
 
 
 def read_rejected(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(REJECTED_SCHEMA).parquet(f"{out}/rejected")
+    return _read_lines(spark, out, REJECTED).drop("outcome")
 
 
 def read_streaming(spark: SparkSession, out: str) -> DataFrame:
-    schema = "value string, year int, month int, source string"
-    return spark.read.schema(schema).text(f"{out}/streaming")
+    """Accepted events as they came, with the month they arrived in."""
+    rows = _read_lines(spark, out, ACCEPTED)
+    return rows.select(F.col("line").alias("value"), "year", "month", "source")
 
 
 def read_dead_letters(
@@ -192,5 +281,5 @@ def read_dead_letters(
     """Dead letters still within retention; older days are pruned by partition."""
     today = today or datetime.datetime.now(datetime.timezone.utc).date()
     oldest = today - datetime.timedelta(days=retention_days)
-    dead = spark.read.schema(DEAD_LETTER_TABLE_SCHEMA).parquet(f"{out}/dead_letter")
-    return dead.where(F.col("ingest_date") >= F.lit(oldest))
+    dead = _table(spark, DEAD_LETTER_TABLE_SCHEMA, f"{out}/dead_letter")
+    return _newest(spark, out, dead.where(F.col("ingest_date") >= F.lit(oldest)))

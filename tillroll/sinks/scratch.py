@@ -1,6 +1,5 @@
 """Stored intermediate tables, which survive the loss of any executor."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder in the shared checkpoint folder of the session.
 
-    Only a local session without one falls back to a folder of this machine.
+    What is stored there is read lazily by the frames returned, so it stays; clean the checkpoint
+    folder up when a job is over, or give it a life-time rule.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and spark.sparkContext.master.startswith("local"):
-        shared = tempfile.mkdtemp(prefix="tillroll-")
     if shared is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{shared.rstrip('/')}/tillroll-{uuid.uuid4().hex}"

@@ -1,94 +1,124 @@
-"""File names, sizes and first lines: metadata-sized work done where the paths are known."""
+"""File names and first lines, by Spark's own listing and scans."""
 
 import re
+import urllib.parse
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Schema of Spark's binaryFile source. Its content column is never selected, so no file is opened.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-READ_THREADS = 32
-
 
 def literal_path(path: str) -> str:
     """Path that a Spark reader takes as it is, without reading [ ] { } * ? as a pattern."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def files_in(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+def plain_path(uri: str) -> str:
+    """A reader's URI of a file, spelled as `_metadata.file_path` is by `decoded_path`."""
+    return re.sub("^file:/+", "file:/", urllib.parse.unquote(uri))
+
+
+def _listing(spark: SparkSession, folder: str, pattern: str | None, **options) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).options(**options)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(folder).select("path", "length")
+
+
+def files_in(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """Path and length of the non-empty files below a folder; Spark distributes the listing."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(folder)
-        .select("path", "length")
-    )
+    return _listing(spark, folder, pattern)
 
 
 def arriving_files(
-    spark: SparkSession, folder: str, pattern: str, max_files: int
+    spark: SparkSession, folder: str, pattern: str | None, max_files: int
 ) -> DataFrame:
     """Stream of new files: path, length and the arrival time fixed by the micro-batch."""
-    return (
+    reader = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files)
-        .load(folder)
-        .select("path", "length", F.current_timestamp().alias("arrived_at"))
     )
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(folder).select("path", "length", F.current_timestamp().alias("arrived_at"))
 
 
-def _hadoop(spark: SparkSession, path: str):
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+def is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    location, system = _hadoop(spark, path)
-    return system.exists(location)
-
-
-def qualified(spark: SparkSession, path: str) -> str:
-    """Path with its file system, spelled as Spark's file sources report it."""
-    if ":/" in path:
-        return re.sub("^file:/+", "file:/", path)
-    location, system = _hadoop(spark, path)
-    return system.makeQualified(location).toString()
-
-
-def empty_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
-    """Zero-length files below a folder, which no Spark reader shows."""
-    location, system = _hadoop(spark, folder)
-    found, listing = [], system.listFiles(location, True)
-    while listing.hasNext():
-        status = listing.next()
-        if status.getLen() == 0 and status.getPath().getName().endswith(suffix):
-            found.append(status.getPath().toString())
-    return found
-
-
-def first_lines(spark: SparkSession, paths: Sequence[str]) -> list[str | None]:
-    """First line of each text file, decompressed by its suffix; None for an empty file."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    hadoop_path, reader = jvm.org.apache.hadoop.fs.Path, jvm.java.io.InputStreamReader
-    lines = jvm.java.io.BufferedReader
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-
-    def first(path: str) -> str | None:
-        location = hadoop_path(path)
-        stream = location.getFileSystem(conf).open(location)
-        try:
-            codec = codecs.getCodec(location)
-            text = stream if codec is None else codec.createInputStream(stream)
-            return lines(reader(text, "UTF-8")).readLine()
-        finally:
-            stream.close()
-
-    with ThreadPoolExecutor(READ_THREADS) as pool:
-        return list(pool.map(first, paths))
+    try:
+        spark.read.format("binaryFile").load(literal_path(path))
+    except AnalysisException as error:
+        if is_missing(error):
+            return False
+        raise
+    return True
+
+
+def present_and_missing(
+    spark: SparkSession, paths: Sequence[str]
+) -> tuple[list[str], list[str]]:
+    """Of some file names: those that are there, as readers spell them, and the others as given.
+
+    One listing if all are there; only around a missing one the list is halved.
+    """
+    if not paths:
+        return [], []
+    try:
+        listed = spark.read.format("binaryFile").load([literal_path(path) for path in paths])
+        return [plain_path(uri) for uri in listed.inputFiles()], []
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+    if len(paths) == 1:
+        return [], list(paths)
+    half = len(paths) // 2
+    first, second = (present_and_missing(spark, part) for part in (paths[:half], paths[half:]))
+    return first[0] + second[0], first[1] + second[1]
+
+
+def empty_files(
+    spark: SparkSession, folder: str, pattern: str | None = None, since: str | None = None
+) -> list[str]:
+    """Zero-length files below a folder, modified after `since`, which no scan shows.
+
+    The listing is Spark's and names empty files too; a scan of the same files names the others.
+    """
+    listing = _listing(spark, folder, pattern, **({"modifiedAfter": since} if since else {}))
+    names = [(plain_path(uri),) for uri in listing.inputFiles()]
+    if not names:
+        return []
+    listed = spark.createDataFrame(names, "listed string")
+    filled = listing.select(F.regexp_replace("path", "^file:/+", "file:/").alias("listed"))
+    return [row.listed for row in listed.join(filled, "listed", "left_anti").collect()]
+
+
+def header_lines(spark: SparkSession, source: str | Sequence[str]) -> DataFrame:
+    """`file` and `header`, its first line that is not blank, of each text file in a scan.
+
+    The lines of a file's first block come in order, so the first is the one with the smallest id.
+    A file in which nothing stands has no row.
+    """
+    lines = (
+        spark.read.option("recursiveFileLookup", True)
+        .text(source)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            "value",
+        )
+        .withColumn("place", F.monotonically_increasing_id())
+    )
+    return (
+        lines.where((F.col("block") == 0) & (F.trim("value") != ""))
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"))
+    )

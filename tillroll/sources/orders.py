@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.schemas import CURATED_SCHEMA, RAW_COLUMNS
-from tillroll.sources.files import files_in, first_lines, literal_path
+from tillroll.schemas import CURATED_SCHEMA, NOTED_COLUMNS, RAW_COLUMNS
+from tillroll.sources.files import exists, header_lines, literal_path
 
 
 def union_parts(parts: Iterable[DataFrame]) -> DataFrame:
@@ -23,43 +23,81 @@ def header_columns(line: str | None) -> tuple[str, ...]:
     return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ())) or RAW_COLUMNS
 
 
-def read_orders_csv(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+def read_orders_csv(
+    spark: SparkSession, paths: str | Iterable[str], multiline: bool = False
+) -> DataFrame:
     """Raw order lines as text columns, bound to each file's own header.
 
-    Spark binds the columns of a CSV read by position, so files are grouped by header and every
-    group is one scan. Only the first line of each file is read on the way; files with one header,
-    the usual case, make a single scan however many they are.
+    A string names a folder, all files below which are read, whatever their names; a list names
+    files. Compression goes by suffix. Spark binds the columns of a CSV by position, so the headers
+    are found first, by a scan that splits the files into lines and keeps one line each. Files with
+    one header, the usual case, are then read as they are; otherwise one scan reads cells by
+    position and every file's rows are put in order by its header.
 
-    A string names a folder, which is searched for `*.csv` at any depth; a list names files.
+    `multiline` reads quoted fields with line breaks, at the price of a task per file. A header is a
+    single line in any case.
     """
-    if isinstance(paths, str):
-        files = [row.path for row in files_in(spark, paths, "*.csv").collect()]
-    else:
-        files = list(paths)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, line in zip(files, first_lines(spark, files)):
-        groups.setdefault(header_columns(line), []).append(literal_path(path))
-    if not groups:
+    if not isinstance(paths, str):
+        paths = [literal_path(path) for path in paths]
+    if not paths:
+        return spark.createDataFrame([], _text_schema(RAW_COLUMNS))
+    headers = header_lines(spark, paths)
+    lines = [row.header for row in headers.groupBy("header").count().orderBy("header").collect()]
+    names = sorted({header_columns(line) for line in lines}, key=lambda h: (len(h), h))
+    if not names:
         return spark.createDataFrame([], _text_schema(RAW_COLUMNS))
-    return union_parts(
-        spark.read.schema(_text_schema(header))
-        .option("header", True)
-        .option("escape", '"')
-        .csv(group)
-        for header, group in groups.items()
-    )
+
+    def scanned(columns: Iterable[str]) -> DataFrame:
+        return (
+            spark.read.schema(_text_schema(columns))
+            .option("header", True)
+            .option("escape", '"')
+            .option("multiLine", multiline)
+            .option("recursiveFileLookup", True)
+            .csv(paths)
+        )
+
+    if len(names) == 1:
+        return scanned(names[0])
+    cells = scanned(f"cell_{n}" for n in range(max(map(len, names))))
+    cells = cells.select("*", F.col("_metadata.file_path").alias("file"))
+    kind = F.lit(None).cast("int")
+    for line in lines:
+        kind = F.when(F.col("header") == line, names.index(header_columns(line))).otherwise(kind)
+    placed = cells.join(headers.select("file", kind.alias("kind")), "file")
+
+    def cell(name: str) -> Column:
+        found = F.lit(None).cast("string")
+        for number, header in enumerate(names):
+            if name in header:
+                own = F.col(f"cell_{header.index(name)}")
+                found = F.when(F.col("kind") == number, own).otherwise(found)
+        return found.alias(name)
+
+    return placed.select(*(cell(name) for name in dict.fromkeys(n for h in names for n in h)))
 
 
 def _text_schema(columns: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
-def read_curated(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
-    """Curated order lines with the declared columns, plus `extra` ones that raw files brought.
+def extra_columns(spark: SparkSession, path: str) -> list[T.StructField]:
+    """Columns that raw files brought along and some batch of a curated table holds."""
+    noted = f"{path.rstrip('/')}/{NOTED_COLUMNS}"
+    if not exists(spark, noted):
+        return []
+    rows = spark.read.schema("name string, kind string").parquet(noted)
+    known = rows.groupBy("name").agg(F.min("kind").alias("kind")).orderBy("name").collect()
+    return [T.StructField(row.name, T._parse_datatype_string(row.kind)) for row in known]
+
+
+def read_curated(spark: SparkSession, path: str) -> DataFrame:
+    """Curated order lines: the declared columns, then those that raw files brought along.
 
-    The declared schema spares a footer scan and gives NULL for columns older files lack.
+    The schema is declared, the extra part noted by the writer, which spares a scan of all footers
+    and gives NULL for columns that older files lack.
     """
-    schema = T.StructType([*CURATED_SCHEMA.fields, *(extra.fields if extra else [])])
+    schema = T.StructType([*CURATED_SCHEMA.fields, *extra_columns(spark, path)])
     return spark.read.schema(schema).parquet(path).select(schema.names)
 
 

@@ -1,16 +1,16 @@
 """Event files as they arrive."""
 
+import hashlib
 from collections import Counter
 
 from pyspark.sql import Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.sinks.events import ingest_events, read_ingest_log
-from tillroll.sources.files import arriving_files, empty_files, exists
+from tillroll.sinks.events import MAX_FILES, NOTHING, ingest_events, read_ingest_log
+from tillroll.sources.files import arriving_files, empty_files
 from tillroll.streaming.files import start_file_batches
 
-MAX_FILES = 1000
-
 
 def start_event_ingest(
     spark: SparkSession,
@@ -26,38 +26,61 @@ def start_event_ingest(
     """Ingest new files that match `pattern`, once through or every `processing_time`.
 
     The arrival time comes from the micro-batch, so a retried batch lands in the same month. A file
-    dropped again under the same path is not new to the stream; pass it to `ingest_events`.
+    dropped again under the same path is not new to the stream; pass it to `ingest_events`. A
+    stream shows no empty files; with `processing_time` every micro-batch looks for new ones.
     """
 
     def ingest(files: list[Row], batch: str) -> None:
         paths, arrived_at = [row.path for row in files], files[0].arrived_at.astimezone()
-        result = ingest_events(spark, paths, out, batch=batch, arrived_at=arrived_at)
+        results = [ingest_events(spark, paths, out, batch=batch, arrived_at=arrived_at)]
+        if processing_time:
+            results.append(sweep_empty_files(spark, incoming, out, pattern))
         if totals is not None:
-            totals.update(result)
+            for result in results:
+                totals.update(result)
 
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
     arrivals = arriving_files(spark, incoming, pattern, max_files)
     return start_file_batches(arrivals, checkpoint, name, ingest, **trigger)
 
 
-def sweep_empty_files(spark: SparkSession, incoming: str, out: str) -> dict[str, int]:
-    """Dead-letter zero-length files that are not logged yet; the stream does not show them."""
-    paths = empty_files(spark, incoming, ".json")
-    if paths and exists(spark, f"{out}/ingest_log"):
-        listed = spark.createDataFrame([(path,) for path in paths], "path string")
-        logged = read_ingest_log(spark, out).select("path")
-        paths = [row.path for row in listed.join(logged, "path", "left_anti").collect()]
-    return ingest_events(spark, paths, out) if paths else {}
+def sweep_empty_files(
+    spark: SparkSession, incoming: str, out: str, pattern: str = "*.json", overlap_days: int = 2
+) -> dict[str, int]:
+    """Dead-letter zero-length files that are not logged yet.
+
+    Only files modified since shortly before the newest log entry are listed. The batch is named by
+    its files, so a sweep that is run again after a crash replaces what it wrote.
+    """
+    log = read_ingest_log(spark, out).select("path", "ingested_at")
+    newest = log.agg(F.max("ingested_at") - F.make_dt_interval(F.lit(overlap_days))).first()[0]
+    since = newest and newest.strftime("%Y-%m-%dT%H:%M:%S")
+    paths = empty_files(spark, incoming, pattern, since)
+    if paths and since:
+        listed = spark.createDataFrame([(path,) for path in paths], "listed string")
+        known = log.select(F.col("path").alias("listed"))
+        paths = [row.listed for row in listed.join(known, "listed", "left_anti").collect()]
+    totals: Counter = Counter()
+    for at in range(0, len(paths), MAX_FILES):
+        part = sorted(paths)[at : at + MAX_FILES]
+        batch = "sweep-" + hashlib.md5("\n".join(part).encode()).hexdigest()
+        totals.update(ingest_events(spark, part, out, batch=batch))
+    return dict(totals)
 
 
 def run_event_ingest(
-    spark: SparkSession, incoming: str, out: str, checkpoint: str, **options
+    spark: SparkSession,
+    incoming: str,
+    out: str,
+    checkpoint: str,
+    pattern: str = "*.json",
+    **options,
 ) -> dict[str, int]:
-    """Ingest everything new, empty files included, and return the totals."""
+    """Ingest everything new that matches `pattern`, empty files included, and return the totals."""
     totals: Counter = Counter()
-    query = start_event_ingest(spark, incoming, out, checkpoint, totals=totals, **options)
+    query = start_event_ingest(
+        spark, incoming, out, checkpoint, totals=totals, pattern=pattern, **options
+    )
     query.awaitTermination()
-    totals.update(sweep_empty_files(spark, incoming, out))
-    return {
-        key: totals[key] for key in ("files", "events_written", "events_rejected", "dead_files")
-    }
+    totals.update(sweep_empty_files(spark, incoming, out, pattern))
+    return {key: totals[key] for key in NOTHING}

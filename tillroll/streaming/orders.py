@@ -5,16 +5,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.operators.clean import clean_orders
-from tillroll.sinks.tables import write_curated
+from tillroll.schemas import CURATED_SCHEMA
+from tillroll.sinks.tables import stored_rows, write_curated
 from tillroll.sources.files import arriving_files
 from tillroll.sources.orders import read_orders_csv
 from tillroll.streaming.files import start_file_batches
 
 MAX_FILES = 10_000
 
+STORED_SCHEMA = T.StructType([*CURATED_SCHEMA.fields, T.StructField("ingest_batch", T.StringType())])
 
 # Names of the same zone, as sessions spell them.
 UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00")
@@ -24,8 +27,8 @@ UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00")
 class IncrementalRun:
     """What one run read and wrote; all zero when no file was new.
 
-    Rows are counted on the way by the tasks, so a task repeated after a lost executor may count its
-    rows again. The stored rows are not affected.
+    Raw rows are counted on the way by the tasks, so a task repeated after a lost executor may count
+    its rows again; clean rows are counted in the table.
     """
 
     files: int = 0
@@ -41,17 +44,24 @@ class IncrementalRun:
 
 
 def clean_batch(
-    spark: SparkSession, paths: list[str], curated: str, batch: str, rebalance: bool = True
+    spark: SparkSession,
+    paths: list[str],
+    curated: str,
+    batch: str,
+    rebalance: bool = True,
+    multiline: bool = False,
 ) -> tuple[list[str], int, int]:
-    """Clean some raw files into one curated batch.
+    """Clean some raw files into one curated batch, which may turn out empty.
 
-    Returns the columns found, and the rows read and written, counted on the way.
+    Returns the columns found, the rows read, counted on the way, and the rows stored.
     """
-    read, kept = Observation(), Observation()
-    rows = F.count(F.lit(1)).alias("rows")
-    raw = read_orders_csv(spark, paths).observe(read, rows)
-    write_curated(clean_orders(raw).observe(kept, rows), curated, batch, rebalance)
-    return raw.columns, read.get["rows"], kept.get["rows"]
+    read = Observation()
+    lines = read_orders_csv(spark, paths, multiline)
+    raw = lines.observe(read, F.count(F.lit(1)).alias("rows"))
+    write_curated(clean_orders(raw), curated, batch, rebalance)
+    kept = stored_rows(spark, curated, STORED_SCHEMA, f"ingest_batch = '{batch}'")
+    # When no row is left to write, adaptive execution drops the stage and the count with it.
+    return lines.columns, read.get["rows"] if kept else lines.count(), kept
 
 
 def start_incremental(
@@ -63,12 +73,15 @@ def start_incremental(
     max_files: int = MAX_FILES,
     rebalance: bool = True,
     report: IncrementalRun | None = None,
+    pattern: str | None = None,
+    multiline: bool = False,
 ) -> StreamingQuery:
     """Stream the files that arrived since the last committed run, then stop.
 
     The stream carries file names only. Headers differ between files, so each micro-batch is read
     by name as a batch job and written under the micro-batch's own partition value: a micro-batch
-    that is run again after a crash replaces what it wrote.
+    that is run again after a crash replaces what it wrote. All files count, or those whose name
+    matches `pattern`.
     """
     report = report if report is not None else IncrementalRun()
     zone = spark.conf.get("spark.sql.session.timeZone")
@@ -77,14 +90,14 @@ def start_incremental(
 
     def ingest(files: list[Row], batch: str) -> None:
         paths = [row.path for row in files]
-        columns, read, kept = clean_batch(spark, paths, curated, batch, rebalance)
+        columns, read, kept = clean_batch(spark, paths, curated, batch, rebalance, multiline)
         report.files += len(paths)
         report.raw_rows += read
         report.clean_rows += kept
         report.columns += [column for column in columns if column not in report.columns]
         report.batches.append(batch)
 
-    arrivals = arriving_files(spark, raw, "*.csv", max_files)
+    arrivals = arriving_files(spark, raw, pattern, max_files)
     return start_file_batches(arrivals, checkpoint, name, ingest, availableNow=True)
 
 
