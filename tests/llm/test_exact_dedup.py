@@ -1,0 +1,100 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.llm import exact_dedup
+from tillroll.llm.exact_dedup import exact_duplicates, without_copies
+
+CLASHES = ("norm", "hash", "head", "keep_id", "kept", "digest", "edge")
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute_force(rows, pick=max):
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(lowered(text), []).append(doc_id)
+    return sorted(
+        (d, pick(ids), len(ids), d == pick(ids), hashlib.sha256(text.encode()).hexdigest())
+        for text, ids in groups.items()
+        for d in ids
+    )
+
+
+def found(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+ROWS = [
+    (1, "Some Text"),
+    (2, "some text"),
+    (3, "some text "),
+    (4, None),
+    (5, ""),
+    (6, "É a"),
+    (7, "é a"),
+    (8, "É A"),
+    (9, "x" * 200_000),
+    (10, "X" * 200_000),
+    (11, "x" * 199_999 + "y"),
+]
+
+
+@pytest.mark.parametrize("keep, pick", [("largest", max), ("smallest", min)])
+def test_against_brute_force(docs, keep, pick):
+    assert found(exact_duplicates(docs(ROWS, CLASHES), keep)) == brute_force(ROWS, pick)
+
+
+def test_a_text_that_a_third_of_rows_hold_is_met_across_tasks(spark, docs):
+    rng = random.Random(4)
+    rows = [(n, "hot" if n % 3 == 0 else f"text {rng.randint(0, 300)}") for n in range(3_000)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert found(exact_duplicates(docs(rows))) == brute_force(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_equal_hashes_are_told_apart(spark, docs, monkeypatch):
+    """Texts are compared in full, also where first bytes and hash say nothing."""
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    monkeypatch.setattr(exact_dedup, "HEAD_CHARS", 1)
+    rows = [(n, f"t{n % 7}") for n in range(200)]
+    assert found(exact_duplicates(docs(rows))) == brute_force(rows)
+
+
+def test_null_and_repeated_ids(docs):
+    rows = [(None, "a"), (None, "a"), (3, "a"), (3, "a"), (None, "b"), (5, "c"), (5, "d")]
+    got = [tuple(r)[:4] for r in exact_duplicates(docs(rows)).collect()]
+    by_text = sorted(got, key=str)
+    assert sum(kept for *_, kept in got) == 4
+    assert [r for r in by_text if r[1] == 3 and r[3]] == [(3, 3, 4, True)]
+    assert (None, None, 1, True) in got
+    kept = without_copies(docs(rows)).collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept))) == sorted(
+        map(str, [(3, "a"), (None, "b"), (5, "c"), (5, "d")])
+    )
+
+
+def test_empty_table(docs):
+    assert found(exact_duplicates(docs([]))) == []
+    assert without_copies(docs([])).collect() == []
+
+
+def test_documents_that_stay_keep_their_columns(docs):
+    frame = docs(ROWS, ("kept", "norm"))
+    left = without_copies(frame)
+    assert left.columns == frame.columns
+    assert sorted(r.doc_id for r in left.collect()) == [2, 3, 5, 7, 8, 10, 11]
+
+
+def test_unknown_rule(docs):
+    with pytest.raises(ValueError):
+        exact_duplicates(docs([]), "any")

@@ -1,0 +1,120 @@
+import hashlib
+import math
+from collections import Counter
+
+import pytest
+
+from tillroll.llm.mixing import fits, bisected_exponent, mixed, mixing_plan
+
+ROWS = [
+    (n, " ".join(["w"] * (1 + n % 7)), None, "big" if n % 3 else f"s{n % 4}") for n in range(1_200)
+]
+
+
+def tokens(text):
+    return len((text or "").replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ")) and len(
+        [w for w in (text or "").replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") if w]
+    )
+
+
+def exponent(totals, entropy_share, repeats, budget):
+    whole = sum(totals.values())
+
+    def good(a):
+        powers = {s: (t / whole) ** a for s, t in totals.items()}
+        z = sum(powers.values())
+        entropy = -sum(p / z * math.log(p / z) for p in powers.values())
+        most = max(budget * p / z / totals[s] for s, p in powers.items())
+        return entropy <= entropy_share * math.log(len(totals)) + 1e-12 and most <= repeats + 1e-12
+
+    if good(0.0):
+        return 0.0
+    low, high = 0.0, 1.0
+    for _ in range(24):
+        middle = (low + high) / 2
+        low, high = (low, middle) if good(middle) else (middle, high)
+    return high
+
+
+def brute_force(rows, budget=None, entropy_share=0.95, repeats=4.0, seed="mix-1"):
+    """Ids with their epoch, by sorting each source as a whole."""
+    sources = {}
+    for doc_id, text, _, source in rows:
+        sources.setdefault(source, []).append((doc_id, tokens(text)))
+    totals = {s: sum(n for _, n in d) for s, d in sources.items() if any(n for _, n in d)}
+    whole = sum(totals.values())
+    budget = whole if budget is None else budget
+    a = exponent(totals, entropy_share, repeats, budget)
+    powers = {s: (t / whole) ** a for s, t in totals.items()}
+    z, taken = sum(powers.values()), []
+    for source, total in totals.items():
+        quota = math.floor(round(powers[source] / z, 9) * budget)
+        full, rest = divmod(quota, total)
+        taken += [(d, e) for d, _ in sources[source] for e in range(1, full + 1)]
+        order = sorted(
+            sources[source], key=lambda d: hashlib.md5(f"{seed}|{full + 1}|{d[0]}".encode()).hexdigest()
+        )
+        running = 0
+        for doc_id, n in order:
+            running += n
+            if rest and running <= rest:
+                taken.append((doc_id, full + 1))
+    return sorted(taken)
+
+
+@pytest.mark.parametrize("options", [{}, {"budget": 9_000}, {"budget": 700}, {"entropy_share": 0.5}])
+def test_against_brute_force(docs, options):
+    got = sorted((r.doc_id, r.epoch) for r in mixed(docs(ROWS), rows_per_block=8, **options).collect())
+    assert got == brute_force(ROWS, **options)
+
+
+def test_the_plan_meets_target_and_limit(docs):
+    plan = {r.source: r for r in mixing_plan(docs(ROWS), budget=6_000, max_repeats=1.4).collect()}
+    assert sum(r.weight for r in plan.values()) == pytest.approx(1)
+    assert max(r.budget / r.tokens for r in plan.values()) <= 1.4 + 1e-6
+    weights = [r.weight for r in plan.values()]
+    assert -sum(w * math.log(w) for w in weights) <= 0.95 * math.log(len(weights)) + 1e-6
+    totals = {s: r.tokens for s, r in plan.items()}
+    shares = {s: t / sum(totals.values()) for s, t in totals.items()}
+    # Temperature flattens: the big source loses weight, the small ones gain.
+    assert plan["big"].weight < shares["big"]
+
+
+def test_bisection_meets_its_bound(spark):
+    shares = spark.createDataFrame([("a", 90, 0.9), ("b", 10, 0.1)], "source string, tokens bigint, share double")
+    found = bisected_exponent(shares, 0.6, 100.0, 100)
+    assert fits(shares, found, 0.6, 100.0, 100) and not fits(shares, found - 1e-6, 0.6, 100.0, 100)
+
+
+def test_nulls_empties_ties_and_clashing_columns(docs):
+    rows = [
+        (1, None, None, None),
+        (2, "a b", None, None),
+        (2, "a b", None, None),
+        (None, "c", None, "s"),
+        (None, "d e f", None, "s"),
+        (5, "", None, "only empty"),
+        (6, "w " * 50_000, None, "s"),
+    ]
+    frame = docs(rows, ("epoch", "tokens", "weight", "identity", "cutoff"))
+    result = mixed(frame)
+    assert result.columns[-2:] == ["epoch", "place"]
+    counted = Counter((r.doc_id, r.source) for r in result.collect())
+    assert not counted[5, "only empty"]
+    assert set(counted) <= {(1, None), (2, None), (None, "s"), (6, "s")}
+    assert counted[2, None] % 2 == 0
+
+
+def test_a_budget_beyond_the_limit_is_refused(docs):
+    with pytest.raises(ValueError, match="max_repeats"):
+        mixing_plan(docs(ROWS), budget=10**9)
+
+
+def test_empty_table(docs):
+    assert mixed(docs([])).collect() == []
+    assert mixed(docs([(1, "", None, "s"), (2, None, None, None)])).collect() == []
+
+
+def test_no_python_in_the_plan(docs):
+    plan = mixed(docs(ROWS))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
