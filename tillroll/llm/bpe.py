@@ -59,14 +59,12 @@ class TokenAutomaton:
             self._add_gadget(time, vocab[left], vocab[right], vocab[left + right])
         self.longest = max((len(self._plain(token)) for token in vocab), default=0)
         self.arcs.clear()
-        self.inner = {token: n for token, n in vocab.items() if not self._is_final(token)}
-        self.final = {self._plain(token): n for token, n in vocab.items() if self._is_final(token)}
-
-    def _is_final(self, token: str) -> bool:
-        return not self.suffix or token.endswith(self.suffix)
+        # Tokens inside a word and at its end; without a suffix they are the same.
+        self.inner = {t: n for t, n in vocab.items() if not suffix or not t.endswith(suffix)}
+        self.final = {self._plain(t): n for t, n in vocab.items() if t.endswith(suffix)}
 
     def _plain(self, token: str) -> str:
-        return token.removesuffix(self.suffix) if self.suffix else token
+        return token.removesuffix(self.suffix)
 
     def _add_gadget(self, time: int, left: int, right: int, joined: int) -> None:
         led = self.target[right]
