@@ -21,6 +21,7 @@ result.
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ MAX_NGRAMS = 60_000
 LONGEST_NGRAM = 5
 SMOOTHING = 0.5
 SEEN_WORDS = 300_000
+SLICE_CHARS = 8_000_000
 MIN_SCORE = 0.3
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -48,89 +50,119 @@ def held_out(doc_id: Column) -> Column:
 
 @dataclass
 class LanguageModel:
-    """Languages by rank, and per word and n-gram the log frequency in each."""
+    """Languages by rank; words and n-grams with their row in a table of log frequencies."""
 
     languages: list[str] = field(default_factory=list)
-    words: dict[str, np.ndarray] = field(default_factory=dict)
-    ngrams: dict[str, np.ndarray] = field(default_factory=dict)
+    words: dict[str, int] = field(default_factory=dict)
+    word_scores: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
+    ngrams: dict[str, int] = field(default_factory=dict)
+    ngram_scores: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
 
-    def word_scores(self, word: str) -> np.ndarray | None:
-        known = self.words.get(word)
-        if known is not None:
-            return known
+    def known_ngrams(self, word: str) -> list[int]:
+        """Rows of the word's n-grams of the longest order of which any is known."""
         marked, ngrams = f"^{word}$", self.ngrams
         for order in range(min(LONGEST_NGRAM, len(marked)), 0, -1):
-            found = [
-                scores
-                for at in range(len(marked) - order + 1)
-                if (scores := ngrams.get(marked[at : at + order])) is not None
-            ]
+            pieces = [marked[at : at + order] for at in range(len(marked) - order + 1)]
+            found = [row for row in map(ngrams.get, pieces) if row is not None]
             if found:
-                return sum(found[1:], found[0]) / len(found)
-        return None
+                return found
+        return []
+
+    def unseen_scores(self, words: list[str]) -> np.ndarray:
+        """A row for each word: the mean over its known n-grams; zeros if there are none."""
+        rows = [self.known_ngrams(word) for word in words]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        scores = np.zeros((len(words), len(self.languages)))
+        if sizes.any():
+            flat = np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum()))
+            starts = np.cumsum(sizes[sizes > 0]) - sizes[sizes > 0]
+            sums = np.add.reduceat(self.ngram_scores[flat], starts, axis=0)
+            scores[sizes > 0] = sums / sizes[sizes > 0, None]
+        return scores
 
 
 def _probabilities(scores: np.ndarray) -> np.ndarray:
-    weights = np.exp(scores - scores.max(axis=-1, keepdims=True))
-    return weights / weights.sum(axis=-1, keepdims=True)
+    weights = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return weights / weights.sum(axis=1, keepdims=True)
 
 
 class Scorer:
-    """Scores texts; words met before are looked up, the model's own for good, others for a while."""
+    """Scores texts, every distinct word of a slice once.
+
+    Row 0 of the table is for words that say nothing. Known words have rows for good, unseen ones
+    until the table is full; then they are worked out anew.
+    """
 
     def __init__(self, model: LanguageModel, seen_words: int = SEEN_WORDS):
         self.model, self.n = model, len(model.languages)
-        self.capacity = len(model.words) + 1 + seen_words
-        self.table = np.zeros((self.capacity, 2 * self.n), np.float64)
-        self.lasting = {word: row for row, word in enumerate(model.words, 1)}
+        self.lasting = len(model.words) + 1
+        self.table = np.zeros((self.lasting + seen_words, 2 * self.n))
+        self.places: dict[str, int] = {}
         if model.words:
-            scores = np.stack(list(model.words.values()))
-            self.table[1 : len(scores) + 1] = np.hstack([scores, _probabilities(scores)])
-        self.places = dict(self.lasting)
-        self.next = len(self.lasting) + 1
-
-    def _place(self, word: str) -> int:
-        scores = self.model.word_scores(word)
-        if scores is None:
-            place = 0
-        else:
-            if self.next == self.capacity:
-                raise OverflowError
-            place, self.next = self.next, self.next + 1
-            self.table[place, : self.n] = scores
-            self.table[place, self.n :] = _probabilities(scores)
-        self.places[word] = place
-        return place
+            scores = model.word_scores
+            self.table[1 : self.lasting] = np.hstack([scores, _probabilities(scores)])
+        self._forget()
 
     def _forget(self) -> None:
-        self.places, self.next = dict(self.lasting), len(self.lasting) + 1
-
-    def sums(self, words: list[str]) -> tuple[np.ndarray, int]:
-        """Sum of scores and probabilities over the words that say something, and their number."""
-        total, said, places = np.zeros(2 * self.n), 0, self.places
-        for at in range(0, len(words), 100_000):
-            part = words[at : at + 100_000]
-            while True:
-                try:
-                    rows = [places[w] if w in places else self._place(w) for w in part]
-                    break
-                except OverflowError:
-                    self._forget()
-                    places = self.places
-            rows = np.fromiter(rows, np.int64, len(rows))
-            said += int(np.count_nonzero(rows))
-            total += self.table[rows].sum(axis=0)
-        return total, said
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = _WORD.findall(text.lower()) if text else []
-        if not self.n or not any(any(map(str.isalpha, word)) for word in words):
-            return UNKNOWN, 0.0
-        total, said = self.sums(words)
-        best = int(total[: self.n].argmax())
-        if not said:
-            return self.model.languages[best], 1 / self.n
-        return self.model.languages[best], float(min(1.0, total[self.n + best] / said))
+        self.places = {word: row + 1 for word, row in self.model.words.items()}
+        self.next = self.lasting
+
+    def _rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row for each distinct word, in the table or in the extra rows behind it."""
+        found = list(map(self.places.get, words))
+        missing = [place for place, row in enumerate(found) if row is None]
+        extra = np.empty((0, 2 * self.n))
+        if missing:
+            scores = self.model.unseen_scores([words[place] for place in missing])
+            extra = np.hstack([scores, _probabilities(scores)])
+            said = scores.any(axis=1)
+            room = len(self.table) - self.next
+            if len(missing) > room and self.next > self.lasting:
+                self._forget()
+                return self._rows(words)
+            kept = min(room, len(missing))
+            self.table[self.next : self.next + kept] = extra[:kept]
+            for number, place in enumerate(missing):
+                if not said[number]:
+                    found[place] = 0
+                else:
+                    found[place] = self.next + number if number < kept else len(self.table) + number
+                if number < kept:
+                    self.places[words[place]] = found[place]
+            self.next += kept
+        return np.fromiter(found, np.int64, len(found)), extra
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language and score of each text."""
+        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        if not self.n:
+            return names, scores
+        found = [_WORD.findall(text.lower()) if text else [] for text in texts]
+        spoken = [
+            place
+            for place, words in enumerate(found)
+            if any(any(map(str.isalpha, word)) for word in words)
+        ]
+        if not spoken:
+            return names, scores
+        flat = pa.array([w for place in spoken for w in found[place]], pa.large_string())
+        encoded = flat.dictionary_encode()
+        distinct = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        rows, extra = self._rows(distinct)
+        beyond = rows >= len(self.table)
+        values = self.table[np.where(beyond, 0, rows)]
+        values[beyond] = extra[rows[beyond] - len(self.table)]
+        numbers = encoded.indices.to_numpy()
+        bounds = np.cumsum([0, *(len(found[place]) for place in spoken)])
+        for place, start, end in zip(spoken, bounds, bounds[1:]):
+            own = numbers[start:end]
+            counts = np.bincount(own) if end - start > len(distinct) else None
+            total = counts @ values[: len(counts)] if counts is not None else values[own].sum(axis=0)
+            said = int(np.count_nonzero(rows[own]))
+            best = int(total[: self.n].argmax())
+            names[place] = self.model.languages[best]
+            scores[place] = float(min(1.0, total[self.n + best] / said)) if said else 1 / self.n
+        return names, scores
 
 
 def labelled_sample(docs: DataFrame, per_language: int) -> tuple[DataFrame, list[str]]:
@@ -140,16 +172,20 @@ def labelled_sample(docs: DataFrame, per_language: int) -> tuple[DataFrame, list
         F.col("text").cast("string").alias("text"),
         F.xxhash64(F.col("doc_id").cast("string")).alias("spread"),
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    languages = [row.lang for row in counts.orderBy(F.desc("n"), "lang").collect()]
-    picked = known.join(counts.withColumnRenamed("lang", "counted"), F.col("lang") == F.col("counted"))
-    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("n"))
-    bound = (share * (1 << 30)).cast("long")
-    return picked.where(F.pmod("spread", F.lit(1 << 30)) < bound).select("lang", "text"), languages
-
-
-def _frequencies(counts: DataFrame, name: str, languages: list[str], most: int) -> dict:
-    """The most frequent items with smoothed log frequencies per language."""
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    found = {row.lang: row.n for row in counts.collect()}
+    bounds = {lang: int((1 << 30) * min(1.0, per_language / n)) for lang, n in found.items()}
+    bound = F.lit(0)
+    for lang, limit in bounds.items():
+        bound = F.when(F.col("lang") == lang, limit).otherwise(bound)
+    sample = known.where(F.pmod("spread", F.lit(1 << 30)) < bound).select("lang", "text")
+    return sample, list(found)
+
+
+def _frequencies(
+    counts: DataFrame, name: str, languages: list[str], most: int
+) -> tuple[dict[str, int], np.ndarray]:
+    """The most frequent items with their row in a table of smoothed log frequencies."""
     per_item = (
         counts.groupBy(name)
         .agg(
@@ -162,14 +198,10 @@ def _frequencies(counts: DataFrame, name: str, languages: list[str], most: int)
     )
     totals = {row.lang: row.n for row in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     sizes = np.array([totals.get(language, 0) for language in languages], float)
-    sizes += SMOOTHING * max(1, len(per_item))
-    return {
-        row[name]: np.log(
-            (np.array([row.by_language.get(language, 0) for language in languages]) + SMOOTHING)
-            / sizes
-        )
-        for row in per_item
-    }
+    found = np.array([[r.by_language.get(lang, 0) for lang in languages] for r in per_item], float)
+    found = found.reshape(len(per_item), len(languages))
+    scores = np.log((found + SMOOTHING) / (sizes + SMOOTHING * max(1, len(per_item))))
+    return {row[name]: place for place, row in enumerate(per_item)}, scores
 
 
 def fit(
@@ -199,8 +231,8 @@ def fit(
     )
     return LanguageModel(
         languages,
-        _frequencies(words, "word", languages, max_words),
-        _frequencies(ngrams, "ngram", languages, max_ngrams),
+        *_frequencies(words, "word", languages, max_words),
+        *_frequencies(ngrams, "ngram", languages, max_ngrams),
     )
 
 
@@ -212,10 +244,8 @@ def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for part, texts in text_slices(batches):
-            found = [scorer.predict(text) for text in texts]
-            names, scores = [name for name, _ in found], [score for _, score in found]
-            yield arrow_rows(schema, [part.column(0), names, scores])
+        for part, texts in text_slices(batches, chars=SLICE_CHARS):
+            yield arrow_rows(schema, [part.column(0), *scorer.predict(texts)])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return texts.mapInArrow(rows, "doc_id bigint, lang_pred string, score double")
@@ -242,8 +272,8 @@ def in_known_languages(
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for part, texts in text_slices(batches, place):
-            found = [scorer.predict(text) for text in texts]
+        for part, texts in text_slices(batches, place, SLICE_CHARS):
+            found = zip(*scorer.predict(texts))
             good = [name != UNKNOWN and score >= min_score for name, score in found]
             yield part.filter(pa.array(good))
 
