@@ -1,0 +1,178 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from conftest import words
+
+from tillroll.llm import minhash
+from tillroll.llm.components import components
+from tillroll.llm.minhash import Measure, near_duplicates, signature, without_near_copies
+
+
+def stretches(text, size=5):
+    found = re.findall(r"\w+", (text or "").lower())
+    n = min(size, len(found))
+    return {tuple(found[i : i + n]) for i in range(len(found) - n + 1)} if found else set()
+
+
+def brute_force(rows, threshold=0.8, counted=False):
+    """Class of each row: components of all pairs that are similar enough."""
+    from collections import Counter
+
+    def bag(text):
+        found = re.findall(r"\w+", (text or "").lower())
+        n = min(5, len(found))
+        return Counter(tuple(found[i : i + n]) for i in range(len(found) - n + 1)) if found else Counter()
+
+    sets = [bag(text) for _, text in rows]
+    if not counted:
+        sets = [Counter(dict.fromkeys(s, 1)) for s in sets]
+    label = list(range(len(rows)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and sum((a & b).values()) >= threshold * sum((a | b).values()):
+                label[root(i)] = root(j)
+    classes = {}
+    for i, (doc_id, _) in enumerate(rows):
+        classes.setdefault(root(i), []).append(doc_id)
+    return {d: min(c) for c in classes.values() for d in c}
+
+
+def changed(text, rng, n):
+    parts = text.split()
+    for _ in range(n):
+        parts[rng.randrange(len(parts))] = "".join(rng.choices("klmnop", k=6))
+    return " ".join(parts)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """A base that a third of all rows vary more or less, small groups, chains and loners."""
+    rng = random.Random(8)
+    base = " ".join(words(120, 1))
+    texts = [changed(base, rng, rng.randint(1, 8)) for _ in range(150)] + [base]
+    for seed in range(2, 60):
+        own = " ".join(words(rng.randint(3, 90), seed))
+        texts += [own, changed(own, rng, 1), own.upper() + "!"][: 1 + seed % 3]
+    chain = " ".join(words(100, 99))
+    for _ in range(8):
+        chain = changed(chain, rng, 2)
+        texts.append(chain)
+    shared = " ".join(words(60, 77))
+    texts += [f"{shared} {' '.join(words(40, 1_000 + n))}" for n in range(30)]
+    rng.shuffle(texts)
+    return list(enumerate(texts, 10))
+
+
+@pytest.mark.parametrize("block", [1_000, 7])
+def test_classes_against_all_pairs(docs, rows, block):
+    got = {r.doc_id: r.class_id for r in near_duplicates(docs(rows, ("node", "keys", "kept")), block=block).collect()}
+    assert got == brute_force(rows)
+
+
+def test_counted_elements(docs):
+    rng = random.Random(3)
+    line = " ".join(words(12, 5))
+    rows = [(n, " ".join([line] * times + words(10, 50 + n))) for n, times in enumerate((1, 8, 9, 9, 20))]
+    rows += [(10 + n, changed(rows[2][1], rng, 1)) for n in range(3)]
+    got = near_duplicates(docs(rows), Measure(counted=True)).collect()
+    assert {r.doc_id: r.class_id for r in got} == brute_force(rows, counted=True)
+    plain = near_duplicates(docs(rows)).collect()
+    assert {r.doc_id: r.class_id for r in plain} == brute_force(rows)
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_signatures_agree_as_often_as_sets_are_alike(weighted):
+    rng = np.random.default_rng(2)
+    errors = []
+    for _ in range(30):
+        elements = rng.integers(0, 2**63, 300).astype(np.uint64)
+        a = rng.uniform(0.1, 9, 300) if weighted else np.ones(300)
+        b = np.where(rng.random(300) < 0.3, rng.uniform(0.1, 9, 300), a) if weighted else a.copy()
+        in_a, in_b = rng.random(300) < 0.9, rng.random(300) < 0.9
+        alike = np.minimum(a * in_a, b * in_b).sum() / np.maximum(a * in_a, b * in_b).sum()
+        first = signature(elements[in_a], a[in_a], 512)
+        second = signature(elements[in_b], b[in_b], 512)
+        errors.append((first == second).mean() - alike)
+    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.035
+
+
+def test_signatures_of_one_and_of_many_elements():
+    one = signature(np.array([5], np.uint64), np.ones(1))
+    assert len(np.unique(one)) > 100  # a dart of its own in each coordinate
+    many = np.arange(200_000, dtype=np.uint64)
+    assert (signature(many, np.ones(len(many))) == signature(many[::-1], np.ones(len(many)))).all()
+
+
+def test_shortened_sets_never_look_less_alike():
+    rng = np.random.default_rng(1)
+    a, b = (np.sort(rng.integers(0, 500, 200).astype("<u4")) for _ in range(2))
+    bound = minhash._shared_at_most(a, [b, a[:1]])
+    assert bound[0] >= len(set(a) & set(b)) and bound[1] == 1
+
+
+ODD = [
+    (1, None),
+    (2, ""),
+    (3, "!!! ..."),
+    (4, "one two"),
+    (5, "One, two"),
+    (6, "one two three"),
+    (7, "again " * 30_000),
+    (8, "again " * 40_000),
+    (None, "one two"),
+    (None, "nameless words here"),
+    (None, "nameless words here"),
+    (9, "same id"),
+    (9, "same id"),
+]
+
+
+def test_odd_texts_and_ids(docs):
+    rows = near_duplicates(docs(ODD)).collect()
+    got = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert len(rows) == len(ODD)
+    assert {d: r.class_id for d, r in got.items()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 8: 7, 9: 9}
+    nameless = sorted((r.class_id, r.kept) for r in rows if r.doc_id is None and r.class_id)
+    assert nameless == [(4, False)]
+
+
+def test_documents_that_stay(docs, rows):
+    frame = docs(rows, ("class_id", "first_id"))
+    left = without_near_copies(frame)
+    assert left.columns == frame.columns
+    expected = brute_force(rows)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(d for d, c in expected.items() if d == c)
+
+
+def test_empty_table(docs):
+    assert near_duplicates(docs([])).collect() == []
+    assert without_near_copies(docs([])).collect() == []
+
+
+def test_components(spark):
+    rng = random.Random(6)
+    links = [(a, a + 1) for a in range(100, 140)] + [(0, n) for n in range(1, 60)]
+    links += [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)] + [(5, 3), (3, 5)]
+    label = {}
+
+    def root(x):
+        label.setdefault(x, x)
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in links:
+        first, second = sorted((root(a), root(b)))
+        label[second] = first
+    got = components(spark.createDataFrame(links, "a bigint, b bigint"))
+    assert {r.node: r.label for r in got.collect()} == {n: root(n) for n in label}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
