@@ -1,0 +1,126 @@
+"""The dealt operators as registered queries, and the pipeline, on small tables."""
+
+import hashlib
+import os
+import random
+import subprocess
+import sys
+
+import pytest
+from conftest import words
+from oracle_check import compare, duck, tables_at
+from test_minhash import brute_force as near_classes
+from test_minhash import changed
+from test_mixing import brute_force as mixed_by_hand
+
+import corpus_pipeline
+from tillroll.llm import bpe, pretokens
+from tillroll.llm.oracle import ORACLE
+from tillroll.llm.queries import QUERIES
+
+SF_DIR = tables_at("0.001")
+ROOT = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+with_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert ORACLE.keys() <= QUERIES.keys()
+
+
+@with_tables
+@pytest.mark.parametrize("key", ORACLE)
+def test_same_as_sql(spark, key):
+    assert compare(spark, duck(SF_DIR), key, QUERIES[key], ORACLE[key], SF_DIR) is None
+
+
+COLUMNS = {
+    "op1_language_id": {"doc_id", "held_out", "lang_pred", "score"},
+    "op2_secrets": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
+    "op3_url_rules": {"page_id", "host", "path", "rule", "verdict"},
+    "op4_token_files": {"doc_id", "start", "n_tokens", "ids_crc32"},
+    "op5_bpe_automaton": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op7_near_dedup": {"doc_id", "class_id"},
+    "op9_nearest": {"query_id", "rank", "vec_id", "score"},
+}
+
+
+@with_tables
+@pytest.mark.parametrize("key", COLUMNS)
+def test_every_row_is_answered(spark, key):
+    result = QUERIES[key](spark, SF_DIR)
+    assert COLUMNS[key] <= set(result.columns)
+    name = {"op3_url_rules": "pages"}.get(key, "documents")
+    if key != "op9_nearest":
+        assert result.count() == spark.read.parquet(f"{SF_DIR}/{name}.parquet").count()
+    else:
+        assert result.groupBy("query_id").count().where("count <> 10").count() == 0
+
+
+def test_the_rest_does_not_need_these_operators():
+    """The entry module imports without this package and without the pipeline."""
+    code = (
+        "import importlib.util as u; find = u.find_spec;"
+        "u.find_spec = lambda n, *a: None if n in ('tillroll.llm', 'corpus_pipeline') else find(n, *a);"
+        "import sys, __spark_entry__ as e;"
+        "assert not [m for m in sys.modules if m.startswith('tillroll.llm')];"
+        "assert not [k for k in e.queries() if k[:2] == 'op' or k == 'pipeline']"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_entry_registers_them():
+    import __spark_entry__ as entry
+
+    assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
+    assert ORACLE.keys() <= entry.oracle_sql().keys()
+
+
+# The pipeline
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(12)
+    made = []
+    for n in range(60):
+        text = " ".join(words(rng.randint(8, 60), n))
+        made.append(text)
+        made += [text.upper(), changed(text, rng, 1)][: n % 3]
+    made += ["12 34 !!", None, ""]
+    rng.shuffle(made)
+    return [(n, text, "en", f"s{n % 3 if n % 2 else 0}") for n, text in enumerate(made)]
+
+
+def expected(rows):
+    kept = {}
+    for row in rows:
+        if any(c.isalpha() for c in row[1] or ""):
+            key = row[1].lower()
+            kept[key] = max(row, kept.get(key, row))
+    left = list(kept.values())
+    classes = near_classes([(row[0], row[1]) for row in left])
+    left = [row for row in left if classes[row[0]] == row[0]]
+    texts = {row[0]: row[1] for row in left}
+    library, out = pretokens.tokenizer(bpe.TOKENIZER), []
+    for doc_id, _ in mixed_by_hand(left):
+        ids = library.encode(texts[doc_id], add_special_tokens=False).ids
+        out.append((doc_id, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()))
+    return sorted(out)
+
+
+def test_pipeline_against_plain_python(spark, docs, rows, tmp_path):
+    docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256) for r in got.collect()) == expected(rows)
+
+
+def test_stages_return_documents(spark, docs, rows):
+    frame = docs(rows, ("kept", "score", "epoch"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, frame, "").columns == frame.columns, name
+
+
+def test_empty_pipeline(spark, docs, tmp_path):
+    docs([]).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
