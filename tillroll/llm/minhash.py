@@ -14,10 +14,10 @@ sets agree in a coordinate with a chance equal to their similarity.
 Joining: equal sets are one node. Nodes with equal band keys share a bucket. First every node is
 compared with one hub per bucket, so a bucket costs as many comparisons as it has nodes, and the
 links found join most of a group of copies. Then, where a bucket still holds several components, the
-nodes outside the hub's component are compared with the bucket's others in blocks: by signature
-inside a task, which passes on only pairs that are not joined yet, were not met in an earlier band,
-and agree in enough coordinates for the threshold to be in reach. All pairs passed on are checked on
-their whole sets. What is missed is what signatures miss: about 3 in 100,000 pairs just at the
+nodes outside the hub's component are compared with the bucket's others in blocks inside a task: pairs
+that are not joined yet and were not met in an earlier band by their signatures, those that agree in
+enough coordinates by their sets with elements cut to 32 bits, which can only make sets look more
+alike. A task gives out what passes for a link, and that is checked on the whole sets. What is missed is what signatures miss: about 3 in 100,000 pairs just at the
 threshold share no band, and as many fall short of the agreement asked for; more similar pairs far
 fewer.
 
@@ -48,7 +48,7 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = 128
-BLOCK = 2_000
+BLOCK = 1_000
 
 _WORD = re.compile(r"\w+")
 _U64 = np.uint64
@@ -210,20 +210,26 @@ def signatures(docs: DataFrame, measure: Measure) -> DataFrame:
 
 
 def node_sets(docs: DataFrame, measure: Measure) -> DataFrame:
-    """node with its elements; one that counts n times is n elements."""
-    schema = pa.schema([("node", pa.binary()), ("elements", pa.list_(pa.int64()))])
+    """node with its elements, one that counts n times being n, and with 32 bits of each, sorted."""
+    schema = pa.schema(
+        [("node", pa.binary()), ("elements", pa.list_(pa.int64())), ("short", pa.binary())]
+    )
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_slices(batches):
-            nodes, sets = [], []
+            nodes, sets, shorts = [], [], []
             for text in texts:
                 elements, weights = measure.elements(text)
                 if len(elements):
+                    units = _copies(elements, weights)
                     nodes.append(node_name(elements, weights))
-                    sets.append(_copies(elements, weights).view(np.int64))
-            yield arrow_rows(schema, [nodes, sets])
+                    sets.append(units.view(np.int64))
+                    shorts.append(np.sort(units.astype("<u4")).tobytes())
+            yield arrow_rows(schema, [nodes, sets, shorts])
 
-    return _documents(docs).mapInArrow(rows, "node binary, elements array<bigint>")
+    return _documents(docs).mapInArrow(
+        rows, "node binary, elements array<bigint>, short binary"
+    )
 
 
 def _copies(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -236,8 +242,8 @@ def _copies(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 def checked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
-    first = sets.toDF("a", "a_elements")
-    second = sets.toDF("b", "b_elements")
+    elements = sets.select("node", "elements")
+    first, second = elements.toDF("a", "a_elements"), elements.toDF("b", "b_elements")
     both = pairs.join(second, "b").join(first, "a")
     shared = F.size(F.array_intersect("a_elements", "b_elements"))
     union = F.size("a_elements") + F.size("b_elements") - shared
@@ -257,15 +263,25 @@ def hub_pairs(members: DataFrame, buckets: DataFrame, threshold: float) -> DataF
     return near.select(*ordered).distinct()
 
 
-def _block_pairs(measure: Measure):
-    """Cells of blocks to compare, sorted, to the pairs in them worth a check.
+def _shared_at_most(elements: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """For each other set an upper bound of the elements shared: equal in 32 bits."""
+    flat = np.concatenate(others)
+    place = np.minimum(np.searchsorted(elements, flat), len(elements) - 1)
+    starts = np.cumsum([0, *(len(other) for other in others[:-1])])
+    return np.add.reduceat((elements[place] == flat).astype(np.int64), starts)
+
+
+def _block_links(measure: Measure):
+    """Cells of blocks to compare, sorted, to the pairs in them that pass for links.
 
     A cell's first rows are the nodes outside the hub's component, its others the bucket's nodes.
+    Pairs of one component, pairs met in an earlier band, and pairs whose signatures, and then whose
+    shortened sets, put the threshold out of reach are left out.
     """
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-    least = measure.least_agreement
+    least, threshold = measure.least_agreement, measure.threshold
 
-    def pairs(rows: list[dict]) -> tuple[list[bytes], list[bytes]]:
+    def links(rows: list[dict]) -> tuple[list[bytes], list[bytes]]:
         asked = [row for row in rows if row["asked"]]
         others = [row for row in rows if not row["asked"]]
         found = ([], [])
@@ -274,20 +290,27 @@ def _block_pairs(measure: Measure):
         sketches = np.stack([np.frombuffer(row["sketch"], "<u2") for row in others])
         keys = np.array([row["keys"] for row in others])
         totals = np.array([row["total"] for row in others])
-        bands = [row["band"] for row in asked]
-        for row, band in zip(asked, bands):
+        shorts = [np.frombuffer(row["short"], "<u4") for row in others]
+        for row in asked:
             near = (sketches == np.frombuffer(row["sketch"], "<u2")).sum(1) >= least
-            near &= np.minimum(totals, row["total"]) >= (measure.threshold - 1e-9) * np.maximum(
-                totals, row["total"]
-            )
-            near &= ~(keys[:, :band] == np.array(row["keys"][:band])).any(1)
-            for place in np.flatnonzero(near):
-                other = others[place]
-                if other["label"] != row["label"] and not (
-                    other["outside"] and other["node"] <= row["node"]
-                ):
-                    found[0].append(min(row["node"], other["node"]))
-                    found[1].append(max(row["node"], other["node"]))
+            small, large = np.minimum(totals, row["total"]), np.maximum(totals, row["total"])
+            near &= small >= (threshold - 1e-9) * large
+            near &= ~(keys[:, : row["band"]] == np.array(row["keys"][: row["band"]])).any(1)
+            places = [
+                place
+                for place in np.flatnonzero(near)
+                if others[place]["label"] != row["label"]
+                and not (others[place]["outside"] and others[place]["node"] <= row["node"])
+            ]
+            if not places:
+                continue
+            own = np.frombuffer(row["short"], "<u4")
+            shared = _shared_at_most(own, [shorts[place] for place in places])
+            for place, count in zip(places, shared):
+                if count >= threshold * (len(own) + len(shorts[place]) - count):
+                    pair = sorted((row["node"], others[place]["node"]))
+                    found[0].append(pair[0])
+                    found[1].append(pair[1])
         return found
 
     def cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,15 +319,15 @@ def _block_pairs(measure: Measure):
             for row in batch.to_pylist():
                 name = (row["key"], row["row_block"], row["column_block"])
                 if name != cell:
-                    yield arrow_rows(schema, list(pairs(held)))
+                    yield arrow_rows(schema, list(links(held)))
                     cell, held = name, []
                 held.append(row)
-        yield arrow_rows(schema, list(pairs(held)))
+        yield arrow_rows(schema, list(links(held)))
 
     return cells
 
 
-def block_pairs(
+def block_links(
     members: DataFrame,
     buckets: DataFrame,
     nodes: DataFrame,
@@ -312,7 +335,7 @@ def block_pairs(
     measure: Measure,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Pairs left to check in buckets that hold more than one component."""
+    """Pairs that pass for links in buckets that hold more than one component."""
     label = F.coalesce("label", "node")
     hubs = labels.toDF("hub", "joined")
     placed = (
@@ -354,11 +377,12 @@ def block_pairs(
     cells = asked.unionByName(others).drop("n", "n_outside").join(nodes, "node")
     cell = ["key", "row_block", "column_block"]
     sorted_cells = cells.repartition(*cell).sortWithinPartitions(*cell)
-    return sorted_cells.mapInArrow(_block_pairs(measure), "a binary, b binary").distinct()
+    return sorted_cells.mapInArrow(_block_links(measure), "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, measure: Measure = Measure(), block: int = BLOCK) -> DataFrame:
     """doc_id, class_id and kept (whether it is the document that names its class)."""
+    docs = docs.select("doc_id", "text")
     signed = stored(signatures(docs, measure))
     nodes = stored(
         signed.where(F.col("node").isNotNull())
@@ -389,8 +413,10 @@ def near_duplicates(docs: DataFrame, measure: Measure = Measure(), block: int =
     sets = stored(node_sets(texts, measure).dropDuplicates(["node"]))
     links = stored(checked(hub_pairs(members, buckets, measure.threshold), sets, measure.threshold))
     labels = components(links)
-    measured = nodes.select("node", "total", "keys", "sketch")
-    rest = block_pairs(members, buckets, measured, labels, measure, block)
+    measured = nodes.select("node", "total", "keys", "sketch").join(
+        sets.select("node", "short"), "node"
+    )
+    rest = block_links(members, buckets, measured, labels, measure, block)
     more = stored(checked(rest, sets, measure.threshold))
     labels = components(links.union(more))
     class_id = F.min("first_id").alias("class_id")
