@@ -23,6 +23,7 @@ each on at most `SAMPLE_BYTES` of its array. Everything else covers all document
 
 import functools
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -30,13 +31,14 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm import pretokens
-from tillroll.llm.base import arrow_rows, text_or_empty, text_slices
+from tillroll.llm.base import arrow_rows, stored, text_or_empty, text_slices
 from tillroll.sinks.scratch import scratch_folder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +47,8 @@ SAMPLE_DOCS = 512
 SAMPLE_BYTES = 1 << 14
 DICTIONARY_BYTES = 1 << 15
 SHARD_BYTES = 1 << 22
+ENCODED_CHARS = 12_000_000
+KNOWN_STRETCHES = 2_000_000
 LEVEL = 3
 MAGIC = b"TIDS1\0"
 NO_ID = -(1 << 63)
@@ -66,37 +70,112 @@ _SHARDS_ARROW = pa.schema(
 )
 
 
+# A blank before a visible character always starts a piece of its own, so there texts can be cut.
+_CUT = re.compile(r" (?=\S)")
+_NO_CUT = ("  ", " \n", " \r", " \t")
+
+
 class TextEncoder:
-    """Ids of whole texts. Pieces are encoded by the library once and remembered."""
+    """Ids of whole texts by the library, which sees every distinct stretch between blanks once.
+
+    Stretches are told apart per slice in Arrow. What the library gave for them is kept as two Arrow
+    arrays, stretches and their ids, so a million takes some tens of megabytes; when there are more
+    than `KNOWN_STRETCHES`, those of the last slice are kept and the others learned anew.
+    """
 
     def __init__(self, path: str):
         self.library, self.path = pretokens.tokenizer(path), path
-        self.pieces = pretokens.PieceCache(self._alone)
         self.specials = tuple(pretokens.special_tokens(path))
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.after_blank = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.after_blank[[n for token, n in vocab.items() if token.startswith("Ġ")]] = True
+        self.forget()
 
-    def _alone(self, piece: str) -> bytes:
-        ids = self.library.encode(piece, add_special_tokens=False).ids
+    def forget(self) -> None:
+        self.names = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_list(pa.uint32()))
+
+    def _alone(self, text: str) -> bytes:
+        ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _split(self, text: str) -> list[str] | None:
-        """Pieces the library would encode by themselves; None if it has to split the text."""
-        if not pretokens.is_plain(text) or any(name in text for name in self.specials):
-            return None
-        return pretokens.BYTE_PATTERN.findall(text)
+    def _learn(self, stretches: list[str]) -> pa.LargeListArray:
+        """Ids of stretches behind a blank.
+
+        Those without a blank inside are encoded some at a time as one text; there the tokens that
+        begin with a blank are the ones that begin a stretch.
+        """
+        found, sizes = [], []
+        for at in range(0, len(stretches), 200):
+            part = stretches[at : at + 200]
+            joined = " " + " ".join(part)
+            ids = np.array(self.library.encode(joined, add_special_tokens=False).ids, "<u4")
+            starts = np.flatnonzero(self.after_blank[ids])
+            if joined.count(" ") != len(part) or len(starts) != len(part) or starts[0]:
+                each = [np.frombuffer(self._alone(" " + stretch), "<u4") for stretch in part]
+                found += each
+                sizes += map(len, each)
+            else:
+                found.append(ids)
+                sizes += np.diff(starts, append=len(ids)).tolist()
+        values = np.concatenate(found) if found else np.empty(0, "<u4")
+        return pa.LargeListArray.from_arrays(np.cumsum([0, *sizes]), pa.array(values, pa.uint32()))
+
+    def _lists(self, names: pa.Array) -> pa.LargeListArray:
+        """Ids of distinct stretches behind a blank."""
+        if len(self.names) > KNOWN_STRETCHES:
+            self.forget()
+        place = pc.index_in(names, value_set=self.names)
+        unseen = pc.is_null(place)
+        fresh = names.filter(unseen)
+        learned = self._learn(fresh.to_numpy(zero_copy_only=False).tolist())
+        known = len(self.names)
+        self.names = pa.concat_arrays([self.names, fresh])
+        self.ids = pa.concat_arrays([self.ids, learned])
+        rows = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        rows[unseen.to_numpy(zero_copy_only=False)] = known + np.arange(len(fresh))
+        return self.ids.take(pa.array(rows))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [self._split(text) for text in texts]
-        known, old = self.pieces, self.pieces.old
-        new = set().union(*(pieces for pieces in split if pieces)) - known.keys() - old.keys()
-        names = list(new)
-        fresh = self.library.encode_batch_fast(names, add_special_tokens=False)
-        for name, encoding in zip(names, fresh):
-            known.put(name, np.array(encoding.ids, "<u4").tobytes())
-        return [
-            self._alone(text) if pieces is None else b"".join(map(known.__getitem__, pieces))
-            for text, pieces in zip(texts, split)
-        ]
+        results: list[bytes] = [b""] * len(texts)
+        plain, odd = [], []
+        for place, text in enumerate(texts):
+            if not pretokens.is_plain(text) or any(name in text for name in self.specials):
+                results[place] = self._alone(text)
+            elif text:
+                blanks = text[-1] == " " or any(pair in text for pair in _NO_CUT)
+                (odd if blanks else plain).append(place)
+        places = plain + odd
+        if not places:
+            return results
+        kind = pa.list_(pa.large_string())
+        cut = pa.concat_arrays(
+            [
+                pc.split_pattern(pa.array([texts[p] for p in plain], pa.large_string()), " ").cast(kind),
+                pa.array([_CUT.split(texts[p]) for p in odd], kind),
+            ]
+        )
+        bounds = cut.offsets.to_numpy()
+        firsts, flat = bounds[:-1], cut.flatten().dictionary_encode()
+        numbers, names = flat.indices.to_numpy().copy(), flat.dictionary
+        # The first stretch of a text has no blank before it.
+        opening = [self._alone(names[number].as_py()) for number in numbers[firsts]]
+        inner, used = np.ones(len(numbers), bool), np.zeros(len(names), bool)
+        inner[firsts] = False
+        used[numbers[inner]] = True
+        lists = self._lists(names.filter(pa.array(used)))
+        ends = np.cumsum([0, *(len(ids) // 4 for ids in opening)])
+        first_ids = pa.array(np.frombuffer(b"".join(opening), "<u4"), pa.uint32())
+        numbers = (np.cumsum(used) - 1)[numbers]
+        numbers[firsts] = len(lists) + np.arange(len(places))
+        lists = pa.concat_arrays([lists, pa.LargeListArray.from_arrays(ends, first_ids)])
+        taken = lists.take(pa.array(numbers))
+        values, ends = taken.flatten().to_numpy(), taken.offsets.to_numpy()
+        bounds = ends[bounds] - ends[0]
+        for place, start, end in zip(places, bounds, bounds[1:]):
+            results[place] = values[start:end].tobytes()
+        return results
 
 
 @functools.lru_cache(maxsize=2)
@@ -211,7 +290,7 @@ def _sharded(path: str, dictionary, end_id: int, shard_bytes: int):
             totals = [len(writer.doc_ids), writer.tokens, writer.finish()]
             return arrow_rows(_SHARDS_ARROW, [[v] for v in (name, part, number, *totals)])
 
-        for slice_, texts in text_slices(batches):
+        for slice_, texts in text_slices(batches, chars=ENCODED_CHARS):
             for doc_id, ids in zip(slice_.column(0).to_pylist(), encode(texts)):
                 writer.add(doc_id, ids + end)
                 if writer.bytes >= shard_bytes:
@@ -260,6 +339,8 @@ def read_shards(spark: SparkSession, out: str) -> DataFrame:
         .join(tasks, F.col("part") == F.col("in_part"))
         .select(F.col("shard").alias("named"), (F.col("base") + F.col("upto")).alias("first"))
     )
+    # Stored, so that the join knows its size and need not shuffle the shards.
+    firsts = stored(firsts)
     return shards.join(firsts, F.col("shard") == F.col("named")).drop("named")
 
 
@@ -271,18 +352,11 @@ def _number(doc_id) -> int | None:
     return None if doc_id == NO_ID else int(doc_id)
 
 
-def token_rows(spark: SparkSession, out: str) -> DataFrame:
+def token_rows(spark: SparkSession, out: str, with_ids: bool = True) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 and `ids` of every document, from the files."""
     dictionary = read_dictionary(spark, out)
-    schema = pa.schema(
-        [
-            ("doc_id", pa.int64()),
-            ("start", pa.int64()),
-            ("n_tokens", pa.int64()),
-            ("ids_crc32", pa.int64()),
-            ("ids", pa.list_(pa.int32())),
-        ]
-    )
+    fields = [(name, pa.int64()) for name in ("doc_id", "start", "n_tokens", "ids_crc32")]
+    schema = pa.schema([*fields, ("ids", pa.list_(pa.int32()))] if with_ids else fields)
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -292,7 +366,8 @@ def token_rows(spark: SparkSession, out: str) -> DataFrame:
                 for place, doc_id in enumerate(shard.doc_ids):
                     ids = shard.ids(place).astype("<u4")
                     crc = zlib.crc32(ids.tobytes())
-                    found.append((_number(doc_id), start, len(ids), crc, ids.astype("<i4")))
+                    row = (_number(doc_id), start, len(ids), crc)
+                    found.append((*row, ids.astype("<i4")) if with_ids else row)
                     start, held = start + len(ids), held + len(ids)
                     if held >= 1 << 20:
                         yield arrow_rows(schema, [list(column) for column in zip(*found)])
@@ -300,17 +375,13 @@ def token_rows(spark: SparkSession, out: str) -> DataFrame:
                 if found:
                     yield arrow_rows(schema, [list(column) for column in zip(*found)])
 
-    return (
-        read_shards(spark, out)
-        .select("content", "first")
-        .mapInArrow(
-            rows, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<int>"
-        )
-    )
+    columns = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+    shards = read_shards(spark, out).select("content", "first")
+    return shards.mapInArrow(rows, f"{columns}, ids array<int>" if with_ids else columns)
 
 
 def token_digests(docs: DataFrame, path: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
     """Documents written to token-id files and read back: place, length and checksum of each."""
     out = scratch_folder(docs.sparkSession)
     write_tokens(docs, out, path, end_id)
-    return token_rows(docs.sparkSession, out).drop("ids")
+    return token_rows(docs.sparkSession, out, with_ids=False)
