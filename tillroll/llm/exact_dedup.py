@@ -124,7 +124,8 @@ def exact_duplicates(docs: DataFrame, keep: str = "largest") -> DataFrame:
     )
     runs = stored(ordered.select("doc_id", "hash", "norm").mapInArrow(_runs, _RUNS))
     pick = F.max if keep == "largest" else F.min
-    met = (
+    # A row or two for each task, stored so that the join knows and need not shuffle a hot text.
+    met = stored(
         runs.where("edge")
         .groupBy("digest")
         .agg(pick("doc_id").alias("met_id"), F.count("*").alias("met_size"))
@@ -151,21 +152,21 @@ def without_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """The documents that stay, all columns. Rows that repeat id and text leave one row behind."""
     kept = stored(exact_duplicates(docs, keep).where("kept").select("doc_id", "text_sha256"))
     digest = F.sha2(folded(text_or_empty()), 256)
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id"))
     # Ids are unique as a rule. Only where one repeats must rows also agree on the text, and only
     # those rows are compared by it.
-    repeated = docs.groupBy(F.col("doc_id").cast("long").alias("_twice")).agg(F.count("*").alias("n"))
-    repeated = stored(repeated.where("n > 1").select("_twice"))
-    twice = F.col("doc_id").cast("long").eqNullSafe(F.col("_twice"))
+    repeated = docs.groupBy(F.col("doc_id").cast("long").alias("__twice")).agg(F.count("*").alias("n"))
+    repeated = stored(repeated.where("n > 1").select("__twice"))
+    twice = F.col("doc_id").cast("long").eqNullSafe(F.col("__twice"))
     once = docs.join(kept, same, "left_semi").join(repeated, twice, "left_anti")
     again = (
         docs.join(repeated, twice, "left_semi")
-        .withColumn("_sha256", digest)
-        .join(kept, same & (F.col("_sha256") == F.col("_sha")), "left_semi")
+        .withColumn("__sha", digest)
+        .join(kept, same & (F.col("__sha") == F.col("__kept_sha")), "left_semi")
     )
     names = docs.columns
-    first = again.groupBy("doc_id", "_sha256").agg(
-        F.first(F.struct(*(F.col(name) for name in names))).alias("_row")
+    first = again.groupBy("doc_id", "__sha").agg(
+        F.first(F.struct(*(F.col(name) for name in names))).alias("__row")
     )
-    return once.unionByName(first.select(*(F.col("_row")[name].alias(name) for name in names)))
+    return once.unionByName(first.select(*(F.col("__row")[name].alias(name) for name in names)))
