@@ -17,7 +17,12 @@ def test_shared_folder_of_the_session_is_used():
     assert first.startswith("hdfs:///shared/tillroll-") and first != second
 
 
-@pytest.mark.parametrize("master", ["spark://host:7077", "local[4]"])
-def test_a_session_without_one_is_refused(master):
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_one_is_refused(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_folder(session(master))
+
+
+@pytest.mark.parametrize("master", ["local", "local[4]", "local[*]", "local[2,3]"])
+def test_a_session_in_one_process_has_its_own(master):
+    assert "tillroll-" in scratch_folder(session(master))
