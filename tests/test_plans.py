@@ -53,3 +53,20 @@ def test_text_is_grouped_not_buffered(spark):
     plan = physical(QUERIES["top_products"](spark, SF_DIR))
     lowest = plan.rindex("SortAggregate")
     assert "HashAggregate(keys=[StockCode" in plan[lowest:]
+
+
+def test_the_generations_filter_the_order_scan(spark):
+    for key in ("schema_evolution", "union_parts", "loyalty_tier_counts"):
+        plan = physical(QUERIES[key](spark, SF_DIR))
+        assert len(re.findall(r"PushedFilters: \[[^]]*o_orderdate", plan)) >= 2
+        assert re.search(r"(GreaterThanOrEqual|LessThan)\(o_orderdate,2000-01-01", plan)
+
+
+def test_scores_need_no_shuffle_and_no_lists(spark):
+    plan = physical(QUERIES["customer_segments"](spark, SF_DIR))
+    assert not re.search("Exchange|Window|collect_list", plan)
+
+
+def test_the_trend_sorts_months_only(spark):
+    plan = physical(QUERIES["revenue_trend"](spark, SF_DIR))
+    assert plan.count("rangepartitioning") == 1
