@@ -3,8 +3,8 @@ import re
 
 import numpy as np
 import pytest
-from conftest import words
 
+from texts import words
 from tillroll.llm import minhash
 from tillroll.llm.components import components
 from tillroll.llm.minhash import Measure, near_duplicates, signature, without_near_copies

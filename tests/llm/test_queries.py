@@ -7,11 +7,11 @@ import subprocess
 import sys
 
 import pytest
-from conftest import words
 from oracle_check import compare, duck, tables_at
 from test_minhash import brute_force as near_classes
 from test_minhash import changed
 from test_mixing import brute_force as mixed_by_hand
+from texts import words
 
 import corpus_pipeline
 from tillroll.llm import bpe, pretokens
