@@ -39,6 +39,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """What a Python worker keeps from task to task, of one operator at a time.
+
+    Workers are used again by the next stages of a job; what an earlier operator left is let go.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        pa.default_memory_pool().release_unused()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def text_slices(
     batches: Iterable[pa.RecordBatch], text: int = 1, chars: int = SLICE_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -20,21 +20,26 @@ rows are handled one by one, so ties, repeats and empty tables need nothing spec
 """
 
 import bisect
-import functools
 import hashlib
 import json
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import pretokens
-from tillroll.llm.base import arrow_rows, text_or_empty, text_slices
+from tillroll.llm.base import arrow_rows, held, text_or_empty, text_slices
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 ARC_TABLE_SIZE = 500_000
+KNOWN_STRETCHES = 700_000
+KNOWN_WORDS = 50_000
+SLICE_CHARS = 6_000_000
 
 
 class TokenAutomaton:
@@ -149,7 +154,12 @@ class TokenAutomaton:
 
 
 class WordCodec:
-    """A word-level tokenizer file: splitting, the automaton, and what words gave so far."""
+    """A word-level tokenizer file: splitting, the automaton, and what words gave so far.
+
+    Results of stretches between blanks are kept as Arrow arrays, some tens of bytes each, so a slice
+    of texts costs Python work for its new stretches only. When there are more than
+    `KNOWN_STRETCHES`, all are worked out anew as they come.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -161,46 +171,88 @@ class WordCodec:
         self.specials = pretokens.special_tokens(path)
         for name, number in self.specials.items():
             self.automaton.labels[number] = name
-        self.cache = pretokens.PieceCache(self._entry)
+        self.words = pretokens.PieceCache(self._word, KNOWN_WORDS)
+        self.forget()
 
-    def _entry(self, piece: tuple[int, str] | str) -> tuple[int, bytes, bytes]:
-        """Count, numbers as text and labels as text of one word."""
-        symbols = piece[1] if isinstance(piece, tuple) else pretokens.byte_text(piece)
-        return self._texts(self.automaton.encode(symbols))
+    def forget(self) -> None:
+        self.names = self.ids = self.decoded = pa.array([], pa.large_string())
+        self.counts = np.empty(0, np.int64)
 
-    def _texts(self, numbers: list[int]) -> tuple[int, bytes, bytes]:
-        written = " ".join(map(str, numbers)).encode()
-        return len(numbers), written, self.automaton.decode(numbers).encode()
+    def _word(self, piece: str) -> list[int]:
+        return self.automaton.encode(pretokens.byte_text(piece))
 
-    def _words(self, text: str) -> list:
-        if pretokens.is_plain(text):
-            return pretokens.WORD_PATTERN.findall(text.lower())
+    def _odd(self, text: str) -> list[int]:
+        """A text without special tokens, split by the library."""
         normal = self.library.normalizer.normalize_str(text)
-        # Already byte letters; marked so that they are not taken for a plain word.
-        return [(0, piece) for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(normal)
+        return [n for piece, _ in pieces for n in self.automaton.encode(piece)]
+
+    def _stretch(self, stretch: str) -> list[int]:
+        pieces = pretokens.WORD_PATTERN.findall(stretch)
+        return [n for piece in pieces for n in self.words[piece]]
+
+    def _is_plain(self, text: str) -> bool:
+        has_special = "<|" in text and any(name in text for name in self.specials)
+        return pretokens.is_plain(text) and not has_special
 
-    def entries(self, text: str) -> list[tuple[int, bytes, bytes]]:
-        """Entries of the words and special tokens of a text, in order."""
+    def encode(self, text: str) -> list[int]:
         pattern = pretokens.special_pattern(self.path)
         found, at = [], 0
         for match in pattern.finditer(text) if pattern and "<|" in text else ():
-            found += map(self.cache.__getitem__, self._words(text[at : match.start()]))
-            found.append(self._texts([self.specials[match[0]]]))
+            found += self.encode(text[at : match.start()])
+            found.append(self.specials[match[0]])
             at = match.end()
-        found += map(self.cache.__getitem__, self._words(text[at:] if at else text))
-        return found
-
-    def encode(self, text: str) -> list[int]:
-        return [int(n) for _, written, _ in self.entries(text) for n in written.split()]
+        rest = text[at:] if at else text
+        return found + (self._stretch(rest.lower()) if self._is_plain(rest) else self._odd(rest))
 
     def decode(self, numbers: Iterable[int]) -> str:
         return self.automaton.decode(numbers)
 
+    def _written(self, numbers: list[int]) -> tuple[str, str]:
+        return " ".join(map(str, numbers)), self.decode(numbers)
+
+    def _rows(self, stretches: pa.Array) -> np.ndarray:
+        """Where the results of distinct stretches stand, after those that are new were added."""
+        if len(self.names) > KNOWN_STRETCHES:
+            self.forget()
+        place = pc.index_in(stretches, value_set=self.names)
+        unseen = pc.is_null(place)
+        fresh = stretches.filter(unseen)
+        numbers = [self._stretch(s) for s in fresh.to_numpy(zero_copy_only=False).tolist()]
+        written = [self._written(found) for found in numbers]
+        kind, known = pa.large_string(), len(self.names)
+        self.names = pa.concat_arrays([self.names, fresh])
+        self.ids = pa.concat_arrays([self.ids, pa.array([w[0] for w in written], kind)])
+        self.decoded = pa.concat_arrays([self.decoded, pa.array([w[1] for w in written], kind)])
+        own = np.fromiter(map(len, numbers), np.int64, len(numbers))
+        self.counts = np.concatenate([self.counts, own])
+        rows = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        rows[unseen.to_numpy(zero_copy_only=False)] = known + np.arange(len(fresh))
+        return rows
+
+    def written(self, texts: list[str]) -> Iterator[tuple[int, int, str, str]]:
+        """(place, token count, numbers as text, labels as text) of every text."""
+        plain = [place for place, text in enumerate(texts) if self._is_plain(text)]
+        for place in set(range(len(texts))).difference(plain):
+            numbers = self.encode(texts[place])
+            yield place, len(numbers), *self._written(numbers)
+        cut = [texts[place].lower().split() for place in plain]
+        bounds = np.cumsum([0, *map(len, cut)])
+        flat = pa.array(list(chain.from_iterable(cut)), pa.large_string()).dictionary_encode()
+        rows = self._rows(flat.dictionary)[flat.indices.to_numpy()]
+        totals = np.concatenate([[0], np.cumsum(self.counts[rows])])[bounds]
+        offsets, blank = pa.array(bounds), pa.scalar(" ", pa.large_string())
+        ids, decoded = (
+            pc.binary_join(pa.LargeListArray.from_arrays(offsets, column.take(pa.array(rows))), blank)
+            for column in (self.ids, self.decoded)
+        )
+        for at, place in enumerate(plain):
+            yield place, int(totals[at + 1] - totals[at]), ids[at].as_py(), decoded[at].as_py()
+
 
-@functools.lru_cache(maxsize=2)
 def codec(path: str = TOKENIZER) -> WordCodec:
     """Compiled once per worker."""
-    return WordCodec(path)
+    return held(("bpe", path), lambda: WordCodec(path))
 
 
 def _digests(path: str):
@@ -215,14 +267,12 @@ def _digests(path: str):
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = codec(path)
-        for part, texts in text_slices(batches):
-            counts, ids, decoded = [], [], []
-            for text in texts:
-                entries = words.entries(text)
-                counts.append(sum([entry[0] for entry in entries]))
-                ids.append(hashlib.sha256(b" ".join([e[1] for e in entries])).hexdigest())
-                decoded.append(hashlib.sha256(b" ".join([e[2] for e in entries])).hexdigest())
-            yield arrow_rows(schema, [part.column(0), counts, ids, decoded])
+        for part, texts in text_slices(batches, chars=SLICE_CHARS):
+            found = [(0, "", "")] * len(texts)
+            for place, count, *written in words.written(texts):
+                digests = (hashlib.sha256(text.encode()).hexdigest() for text in written)
+                found[place] = (count, *digests)
+            yield arrow_rows(schema, [part.column(0), *(list(column) for column in zip(*found))])
 
     return rows
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import arrow_rows, stored, text_or_empty, text_slices
+from tillroll.llm.base import arrow_rows, held, stored, text_or_empty, text_slices
 
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 4_000
@@ -36,8 +36,8 @@ MAX_WORDS = 60_000
 MAX_NGRAMS = 60_000
 LONGEST_NGRAM = 5
 SMOOTHING = 0.5
-SEEN_WORDS = 300_000
-SLICE_CHARS = 8_000_000
+SEEN_WORDS = 200_000
+SLICE_CHARS = 3_000_000
 MIN_SCORE = 0.3
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -237,13 +237,18 @@ def fit(
 
 
 
+def _scorer(model: LanguageModel) -> Scorer:
+    """Kept from task to task; it holds the model, so no other can have the same identity."""
+    return held(("language", id(model)), lambda: Scorer(model))
+
+
 def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """doc_id, lang_pred and score of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = _scorer(shared.value)
         for part, texts in text_slices(batches, chars=SLICE_CHARS):
             yield arrow_rows(schema, [part.column(0), *scorer.predict(texts)])
 
@@ -271,7 +276,7 @@ def in_known_languages(
     place = docs.columns.index("text")
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = _scorer(shared.value)
         for part, texts in text_slices(batches, place, SLICE_CHARS):
             found = zip(*scorer.predict(texts))
             good = [name != UNKNOWN and score >= min_score for name, score in found]

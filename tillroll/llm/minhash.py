@@ -27,7 +27,6 @@ unless nobody in it has one. Rows that repeat a doc_id are judged by their texts
 gives an empty result. Columns beside doc_id and text are ignored.
 """
 
-import functools
 import hashlib
 import math
 import re
@@ -40,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.base import arrow_rows, stored, text_or_empty, text_slices
+from tillroll.llm.base import arrow_rows, held, stored, text_or_empty, text_slices
 from tillroll.llm.components import components
 from tillroll.llm.pretokens import PieceCache
 
@@ -49,6 +48,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 20, 4
 COORDINATES = 128
 BLOCK = 1_000
+KNOWN_WORDS = 100_000
 
 _WORD = re.compile(r"\w+")
 _U64 = np.uint64
@@ -69,9 +69,8 @@ def uniform(values: np.ndarray) -> np.ndarray:
     return ((values >> _U64(11)).astype(np.float64) + 1) * 2.0**-53
 
 
-@functools.lru_cache(maxsize=1)
 def _word_hashes() -> PieceCache:
-    return PieceCache(lambda word: xxhash.xxh3_64_intdigest(word))
+    return held("word hashes", lambda: PieceCache(xxhash.xxh3_64_intdigest, KNOWN_WORDS))
 
 
 def shingles(text: str, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:

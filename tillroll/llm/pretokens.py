@@ -72,7 +72,7 @@ class PieceCache(dict):
     the next one is full. Frequent pieces stay and memory is bounded.
     """
 
-    def __init__(self, work, limit: int = 250_000):
+    def __init__(self, work, limit: int = 150_000):
         super().__init__()
         self.work, self.limit, self.old = work, limit, {}
 

@@ -21,7 +21,6 @@ The dictionary is fitted on at most `SAMPLE_DOCS` documents, those with the smal
 each on at most `SAMPLE_BYTES` of its array. Everything else covers all documents.
 """
 
-import functools
 import hashlib
 import re
 import struct
@@ -38,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm import pretokens
-from tillroll.llm.base import arrow_rows, stored, text_or_empty, text_slices
+from tillroll.llm.base import arrow_rows, held, stored, text_or_empty, text_slices
 from tillroll.sinks.scratch import scratch_folder
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -178,9 +177,8 @@ class TextEncoder:
         return results
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str = TOKENIZER) -> TextEncoder:
-    return TextEncoder(path)
+    return held(("token files", path), lambda: TextEncoder(path))
 
 
 def id_width(path: str) -> int:
