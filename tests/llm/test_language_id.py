@@ -119,7 +119,12 @@ def test_odd_texts(docs, rows):
         (row,) = by_id[10**6 + doc_id]
         assert (row.lang_pred, row.score) == ("und", 0.0)
     assert by_id[None][0].lang_pred == "en" and by_id[None][0].held_out
-    assert by_id[10**6 + 4][0].lang_pred in PIECES
+    assert by_id[10**6 + 4][0].lang_pred in PIECES and by_id[10**6 + 4][0].score == 0
+
+
+def test_words_that_all_languages_repeat_do_not_cost_a_document(docs, rows):
+    hot = [(d, f"{t} {'zwo dri ' * 200}", lang) for d, t, lang in rows]
+    assert in_known_languages(docs(hot)).count() == len(hot)
 
 
 def test_without_labels_or_rows(docs):
@@ -129,7 +134,7 @@ def test_without_labels_or_rows(docs):
 
 
 def test_filter_keeps_columns_and_clean_documents(docs, rows):
-    frame = docs(rows + [(9_001, "12 34"), (9_002, None)], ("score",))
+    frame = docs(rows + [(9_001, "12 34"), (9_002, None), (9_003, "漢字 中文")], ("score",))
     kept = in_known_languages(frame)
     assert kept.columns == frame.columns
     assert sorted(r.doc_id for r in kept.collect()) == [d for d, *_ in rows]

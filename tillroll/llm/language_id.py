@@ -4,8 +4,8 @@ A known word is scored by its log frequency in each language. An unseen word fal
 character n-grams (the word's ends marked), the longest order of which any is known, down to single
 characters; it counts as one observation, the mean over its known n-grams. A word without any known
 n-gram says nothing. The language with the highest sum is predicted, ties going to the one with more
-labelled documents and then to the first in text order. The score is the mean over words of the
-probability that the word gives to that language.
+labelled documents and then to the first in text order. The score is the mean, over the words that say
+something, of the probability that the word gives to that language; 0 if none does.
 
 The classifier is fitted on a bounded sample, at most about `docs_per_language` labelled documents
 of each language picked by a hash of the id, and keeps the `max_words` most frequent words and
@@ -36,9 +36,11 @@ MAX_WORDS = 60_000
 MAX_NGRAMS = 60_000
 LONGEST_NGRAM = 5
 SMOOTHING = 0.5
-SEEN_WORDS = 200_000
-SLICE_CHARS = 3_000_000
-MIN_SCORE = 0.3
+SEEN_WORDS = 150_000
+SLICE_CHARS = 2_000_000
+MIN_SCORE = 0.0
+# Languages are told apart by columns of a table; more labels than this are something else.
+MAX_LANGUAGES = 1_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -161,7 +163,7 @@ class Scorer:
             said = int(np.count_nonzero(rows[own]))
             best = int(total[: self.n].argmax())
             names[place] = self.model.languages[best]
-            scores[place] = float(min(1.0, total[self.n + best] / said)) if said else 1 / self.n
+            scores[place] = float(min(1.0, total[self.n + best] / said)) if said else 0.0
         return names, scores
 
 
@@ -173,7 +175,9 @@ def labelled_sample(docs: DataFrame, per_language: int) -> tuple[DataFrame, list
         F.xxhash64(F.col("doc_id").cast("string")).alias("spread"),
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
-    found = {row.lang: row.n for row in counts.collect()}
+    found = {row.lang: row.n for row in counts.limit(MAX_LANGUAGES + 1).collect()}
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"lang has more than {MAX_LANGUAGES} values")
     bounds = {lang: int((1 << 30) * min(1.0, per_language / n)) for lang, n in found.items()}
     bound = F.lit(0)
     for lang, limit in bounds.items():
@@ -226,6 +230,7 @@ def fit(
         .select("lang", "n", "marked", "start", F.explode(orders).alias("size"))
         .where(F.col("start") + F.col("size") - 1 <= F.length("marked"))
         .select("lang", "n", F.substring("marked", F.col("start"), F.col("size")).alias("ngram"))
+        .where(~F.col("ngram").isin("^", "$"))
         .groupBy("lang", "ngram")
         .agg(F.sum("n").alias("n"))
     )
@@ -266,10 +271,11 @@ def identified(docs: DataFrame, **limits) -> DataFrame:
 def in_known_languages(
     docs: DataFrame, min_score: float = MIN_SCORE, **limits
 ) -> DataFrame:
-    """The documents, all columns, whose language is found with at least `min_score`.
+    """The documents, all columns, whose language is found with a score above `min_score`.
 
-    Learned from the same documents, but for the held-out ones. What goes are texts without a letter
-    and texts that resemble no learned language.
+    Learned from the same documents, but for the held-out ones. By default only texts go that have no
+    letter or nothing in common with a learned language: text that repeats a few words all languages
+    have gets a low score, whatever its language.
     """
     model = fit(docs.where(~held_out(F.col("doc_id"))), **limits)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -279,7 +285,7 @@ def in_known_languages(
         scorer = _scorer(shared.value)
         for part, texts in text_slices(batches, place, SLICE_CHARS):
             found = zip(*scorer.predict(texts))
-            good = [name != UNKNOWN and score >= min_score for name, score in found]
+            good = [name != UNKNOWN and score > min_score for name, score in found]
             yield part.filter(pa.array(good))
 
     return docs.mapInArrow(rows, docs.schema)
