@@ -36,10 +36,10 @@ from tillroll.llm import pretokens
 from tillroll.llm.base import arrow_rows, held, text_or_empty, text_slices
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-ARC_TABLE_SIZE = 500_000
-KNOWN_STRETCHES = 700_000
+ARC_TABLE_SIZE = 200_000
+KNOWN_STRETCHES = 400_000
 KNOWN_WORDS = 50_000
-SLICE_CHARS = 6_000_000
+SLICE_CHARS = 3_000_000
 
 
 class TokenAutomaton:
@@ -59,7 +59,8 @@ class TokenAutomaton:
         self.left: dict[int, int] = {}
         self.copies: dict[int, list[tuple[int, int]]] = {}
         self.lost: dict[tuple[int, int], int] = {}
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}
+        self.row = max(vocab.values(), default=0) + 1
         for time, (left, right) in enumerate(merges, 1):
             self._add_gadget(time, vocab[left], vocab[right], vocab[left + right])
         self.longest = max((len(self._plain(token)) for token in vocab), default=0)
@@ -95,11 +96,12 @@ class TokenAutomaton:
 
     def has_arc(self, state: int, token: int) -> bool:
         """Whether the token may follow; an entry of the arc table."""
-        found = self.arcs.get((state, token))
+        entry = state * self.row + token
+        found = self.arcs.get(entry)
         if found is None:
             if len(self.arcs) >= ARC_TABLE_SIZE:
                 self.arcs.clear()
-            found = self.arcs[state, token] = self._arc(state, token)
+            found = self.arcs[entry] = self._arc(state, token)
         return found
 
     def _arc(self, state: int, token: int) -> bool:
@@ -119,7 +121,7 @@ class TokenAutomaton:
 
     def encode(self, word: str) -> list[int]:
         """Token numbers of one word given as base symbols."""
-        size, longest, arcs = len(word), self.longest, self.arcs
+        size, longest, arcs, row = len(word), self.longest, self.arcs, self.row
         inner, final, target = self.inner, self.final, self.target
         # Path so far: where each token starts and the state before it. An end from which the word
         # cannot be finished is tried once, as only one state goes with it.
@@ -132,7 +134,7 @@ class TokenAutomaton:
                 else:
                     token = None if end in dead else inner.get(word[start:end])
                 if token is not None:
-                    open_arc = arcs.get((state, token))
+                    open_arc = arcs.get(state * row + token)
                     if open_arc or (open_arc is None and self.has_arc(state, token)):
                         break
                 end -= 1
