@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 from tillroll.schemas import CURATED_PARTITIONS, CURATED_SCHEMA, NOTED_COLUMNS
 from tillroll.sources.files import is_missing
 
-# Parts a month is dealt to at most when one batch of it is written.
-MONTH_PARTS = 64
+# Parts a month is dealt to when a batch is written; adaptive execution splits a large one further.
+MONTH_PARTS = 4
 
 
 def write_curated(clean: DataFrame, path: str, batch: str, rebalance: bool = True) -> None:
