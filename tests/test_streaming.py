@@ -1,3 +1,4 @@
+import datetime
 import os
 import time
 
@@ -8,6 +9,7 @@ from test_events import text
 from test_sources import TIERED_EARLY, csv_line, put
 from tillroll.sinks.events import read_dead_letters, read_ingest_log, read_rejected, read_streaming
 from tillroll.sources.orders import read_curated
+from tillroll.streaming import events as streaming_events
 from tillroll.streaming.events import run_event_ingest, start_event_ingest
 from tillroll.streaming.orders import clean_batch, run_incremental
 
@@ -141,6 +143,56 @@ def test_the_pattern_holds_for_empty_files_too(spark, lake):
     assert take_events(spark, lake, pattern="*.txt")["files"] == 0
 
 
+def test_old_empty_files_are_dead_letters_too(spark, lake):
+    """In a first run over a backlog, and copied with their old time between two runs."""
+    incoming, out = lake / "incoming", str(lake / "out")
+    dead = lambda: {r.path.split("/")[-1] for r in read_dead_letters(spark, out).collect()}
+    (incoming / "a.json").write_text(text())
+    (incoming / "backlog.json").touch()
+    os.utime(incoming / "backlog.json", (10**9, 10**9))
+    assert take_events(spark, lake)["dead_files"] == 1
+    assert dead() == {"backlog.json"}
+    (incoming / "copied.json").touch()
+    os.utime(incoming / "copied.json", (10**9, 10**9))
+    assert take_events(spark, lake)["dead_files"] == 1
+    assert dead() == {"backlog.json", "copied.json"}
+    assert take_events(spark, lake)["files"] == 0
+
+
+def test_a_running_stream_sweeps_in_full_first_and_then_what_is_new(spark, lake, monkeypatch):
+    incoming, out = lake / "incoming", str(lake / "out")
+    since = []
+    sweep = streaming_events.sweep_empty_files
+
+    def noted(*args):
+        since.append(args[4])
+        return sweep(*args)
+
+    monkeypatch.setattr(streaming_events, "sweep_empty_files", noted)
+    (incoming / "a.json").write_text(text(invoice="1"))
+    (incoming / "backlog.json").touch()
+    os.utime(incoming / "backlog.json", (10**9, 10**9))
+    query = start_event_ingest(
+        spark, str(incoming), out, str(lake / "events"), processing_time="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        assert read_dead_letters(spark, out).count() == 1
+        (incoming / "new.json").touch()
+        (incoming / "b.json").write_text(text(invoice="2"))
+        query.processAllAvailable()
+        assert read_dead_letters(spark, out).count() == 2
+        assert since[0] is None and since[1] is not None
+        monkeypatch.setattr(streaming_events, "FULL_SWEEP", datetime.timedelta(0))
+        (incoming / "copied.json").touch()
+        os.utime(incoming / "copied.json", (10**9, 10**9))
+        (incoming / "c.json").write_text(text(invoice="3"))
+        query.processAllAvailable()
+        assert read_dead_letters(spark, out).count() == 3
+    finally:
+        query.stop()
+
+
 def test_a_file_dropped_again_is_not_new_to_the_stream(spark, lake):
     path = lake / "incoming/a.json"
     path.write_text(text())

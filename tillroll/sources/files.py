@@ -88,11 +88,12 @@ def present_and_missing(
 def empty_files(
     spark: SparkSession, folder: str, pattern: str | None = None, since: str | None = None
 ) -> list[str]:
-    """Zero-length files below a folder, modified after `since`, which no scan shows.
+    """Zero-length files below a folder, modified after `since` (UTC), which no scan shows.
 
     The listing is Spark's and names empty files too; a scan of the same files names the others.
     """
-    listing = _listing(spark, folder, pattern, **({"modifiedAfter": since} if since else {}))
+    newer = {"modifiedAfter": since, "timeZone": "UTC"} if since else {}
+    listing = _listing(spark, folder, pattern, **newer)
     names = [(plain_path(uri),) for uri in listing.inputFiles()]
     if not names:
         return []

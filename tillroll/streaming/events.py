@@ -1,5 +1,6 @@
 """Event files as they arrive."""
 
+import datetime
 import hashlib
 from collections import Counter
 
@@ -11,6 +12,10 @@ from tillroll.sinks.events import MAX_FILES, NOTHING, ingest_events, read_ingest
 from tillroll.sources.files import arriving_files, empty_files
 from tillroll.streaming.files import start_file_batches
 
+# Between two full sweeps a running stream lists what was modified since shortly before the last one.
+FULL_SWEEP = datetime.timedelta(days=1)
+OVERLAP = datetime.timedelta(days=2)
+
 
 def start_event_ingest(
     spark: SparkSession,
@@ -27,14 +32,24 @@ def start_event_ingest(
 
     The arrival time comes from the micro-batch, so a retried batch lands in the same month. A file
     dropped again under the same path is not new to the stream; pass it to `ingest_events`. A
-    stream shows no empty files; with `processing_time` every micro-batch looks for new ones.
+    stream shows no empty files; with `processing_time` every micro-batch looks for new ones, the
+    first and then one a day among all files, the others among those modified since the last sweep.
     """
+    full = last = None
+
+    def sweep() -> dict[str, int]:
+        nonlocal full, last
+        start = datetime.datetime.now(datetime.timezone.utc)
+        whole = full is None or start - full >= FULL_SWEEP
+        result = sweep_empty_files(spark, incoming, out, pattern, None if whole else last - OVERLAP)
+        full, last = start if whole else full, start
+        return result
 
     def ingest(files: list[Row], batch: str) -> None:
         paths, arrived_at = [row.path for row in files], files[0].arrived_at.astimezone()
         results = [ingest_events(spark, paths, out, batch=batch, arrived_at=arrived_at)]
         if processing_time:
-            results.append(sweep_empty_files(spark, incoming, out, pattern))
+            results.append(sweep())
         if totals is not None:
             for result in results:
                 totals.update(result)
@@ -45,20 +60,22 @@ def start_event_ingest(
 
 
 def sweep_empty_files(
-    spark: SparkSession, incoming: str, out: str, pattern: str = "*.json", overlap_days: int = 2
+    spark: SparkSession,
+    incoming: str,
+    out: str,
+    pattern: str = "*.json",
+    since: datetime.datetime | None = None,
 ) -> dict[str, int]:
-    """Dead-letter zero-length files that are not logged yet.
+    """Dead-letter zero-length files that are not logged yet, of all files unless `since` is given.
 
-    Only files modified since shortly before the newest log entry are listed. The batch is named by
-    its files, so a sweep that is run again after a crash replaces what it wrote.
+    A file copied with its old modification time shows only when all are listed. The batch is named
+    by its files, so a sweep that is run again after a crash replaces what it wrote.
     """
-    log = read_ingest_log(spark, out).select("path", "ingested_at")
-    newest = log.agg(F.max("ingested_at") - F.make_dt_interval(F.lit(overlap_days))).first()[0]
-    since = newest and newest.strftime("%Y-%m-%dT%H:%M:%S")
-    paths = empty_files(spark, incoming, pattern, since)
-    if paths and since:
+    after = since and since.astimezone(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+    paths = empty_files(spark, incoming, pattern, after)
+    if paths:
         listed = spark.createDataFrame([(path,) for path in paths], "listed string")
-        known = log.select(F.col("path").alias("listed"))
+        known = read_ingest_log(spark, out).select(F.col("path").alias("listed"))
         paths = [row.listed for row in listed.join(known, "listed", "left_anti").collect()]
     totals: Counter = Counter()
     for at in range(0, len(paths), MAX_FILES):
