@@ -102,6 +102,34 @@ def test_mined_rules_are_those_counting_gives(spark, baskets):
         assert row.filed in row.rule_tokens
 
 
+def test_rules_hold_for_whole_urls_of_many_tokens(spark):
+    """Twelve frequent tokens a URL: eleven that tell much, and one that is rarely the first ten's."""
+    rng = random.Random(5)
+    made = []
+    for n in range(600):
+        bad = rng.random() < 0.5
+        odds = 0.9 if bad else 0.6
+        tokens = {f"t{k:02d}" for k in range(12) if rng.random() < odds} | {"z"}
+        if rng.random() < 0.3:
+            tokens.add("q" if bad == (n % 5 > 0) else "r")
+        made.append((sorted(tokens), BLOCK if bad else ALLOW))
+    sample = spark.createDataFrame(made, "tokens array<string>, label string")
+    rows = mined_rules(sample, 0.2, 0.6).collect()
+    got = {(tuple(r.rule_tokens), r.verdict): r.confidence for r in rows}
+    assert got == pytest.approx(mined_by_hand(made, 0.2, 0.6))
+
+
+def test_long_urls_that_are_alike_do_not_multiply(spark):
+    """Sixty tokens that only come together have more combinations than can be listed."""
+    long = [f"t{k:02d}" for k in range(60)]
+    made = [(long + ["u"] * (n % 2), BLOCK if n % 4 == 1 else ALLOW) for n in range(100)]
+    sample = spark.createDataFrame(made, "tokens array<string>, label string")
+    rows = mined_rules(sample, 0.1, 0.7).collect()
+    assert {(tuple(r.rule_tokens), r.verdict, r.confidence) for r in rows} == {
+        ((token,), ALLOW, 0.75) for token in long
+    }
+
+
 def test_verdicts_against_brute_force(pages):
     """Labels by listed rules, tokens mined, and the best rule by looking at all of them."""
     rng = random.Random(9)

@@ -2,8 +2,11 @@
 
 Listed rules decide first: a rule fits its host and all subdomains if the path starts with the
 rule's, and the longest fitting rule wins. What no listed rule fits is judged by association rules:
-FP-growth mines combinations of URL tokens that go with a label, rules below the wanted support or
-confidence are pruned, and so is a rule when part of its tokens says the same at least as surely.
+combinations of URL tokens that go with a label are mined level by level, rules below the wanted
+support or confidence are pruned, and so is a rule when part of its tokens says the same at least as
+surely. A combination grows only while a longer one could still be surer: not when all its URLs have
+one label, and not when one of its tokens stands in all URLs that have the others. What is left out
+is what the pruning would drop, so support and confidence are exact however many tokens a URL has.
 The rules left are matched by an inverted index: each is filed under its rarest token, is met through
 that token, and applies if all its tokens are there. Of the rules that apply the surest wins, then
 the one with more support, fewer tokens, and the first in text order; without any, the label most
@@ -13,8 +16,7 @@ Tokens are scheme, host labels, path segments, file ending, names in the query a
 a fragment, with digits made alike. Matching runs over distinct token sets, so a pattern that a third
 of all URLs share is judged once; the verdicts come back by a join whose hot keys adaptive execution
 splits. Mining is a fit: it takes at most `labelled_rows` labelled URLs, those with the smallest hash,
-and of each the `items_per_url` tokens that tell most about the label; judging covers every row and
-every token.
+with all their tokens; judging covers every row and every token.
 
 Null URLs, and ones without `://`, have an empty host and path and no tokens; they get the most
 frequent label unless a rule fits. Repeated rows are judged alike, URLs of any length are taken
@@ -23,8 +25,8 @@ whole, and an empty table gives an empty result. Added columns replace ones of t
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,6 @@ ALLOW, BLOCK = "allow", "block"
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.75
 LABELLED_ROWS = 500_000
-ITEMS_PER_URL = 10
 
 
 @dataclass(frozen=True)
@@ -131,7 +132,6 @@ def mined_rules(
     sample: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-    items_per_url: int = ITEMS_PER_URL,
 ) -> DataFrame:
     """Stored rules: rule_tokens, verdict, confidence, support, and the token they are filed under."""
     total = sample.count()
@@ -140,55 +140,107 @@ def mined_rules(
     )
     if not total:
         return sample.sparkSession.createDataFrame([], schema)
-    counts = sample.groupBy("label").agg(F.count("*").alias("n")).collect()
-    base = {row.label: row.n / total for row in counts}
-    # What a token tells: how far the labels beside it are from the usual ones, in counts.
-    told = sum(
-        (
-            F.abs(F.count_if(F.col("label") == label) - F.count("*") * share)
-            for label, share in base.items()
-        ),
-        F.lit(0.0),
-    )
-    tokens = stored(
-        sample.select("label", F.explode("tokens").alias("token"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n"), told.alias("told"))
-        .where(F.col("n") >= min_support * total)
-    )
+    least = min_support * total
+    alike = stored(sample.groupBy("tokens", "label").agg(F.count("*").alias("n")))
+    single = alike.withColumn("rule_tokens", F.explode("tokens"))
+    single = single.withColumn("rule_tokens", F.array("rule_tokens"))
+    levels = [_counted(single, least)]
+    tokens = levels[0].select(F.col("rule_tokens")[0].alias("token"), "n")
+    growing = stored(_open(levels[0]))
     # At most tokens-per-URL / min_support names, whatever the size of the input.
-    telling = [row.token for row in tokens.orderBy(F.desc("told"), "token").select("token").collect()]
-    items = F.slice(F.array_intersect(F.lit(telling), F.col("tokens")), 1, items_per_url)
-    baskets = stored(
-        sample.select(
-            F.concat(items, F.array(F.concat(F.lit("="), F.col("label")))).alias("items")
-        )
-    )
-    mined = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
+    names = [row.token for row in growing.select(F.col("rule_tokens")[0].alias("token")).collect()]
+    kept = F.array_sort(F.array_intersect(F.col("tokens"), F.lit(names).cast("array<string>")))
+    rows = alike.select(kept.alias("tokens"), "label", "n").groupBy("tokens", "label")
+    rows = stored(rows.agg(F.sum("n").alias("n")).where(F.size("tokens") > 1))
+    met = _pairs(rows)
+    while True:
+        level = _counted(met, least)
+        levels.append(level)
+        growing = stored(_open(level, levels[-2]))
+        candidates = stored(_grown(growing))
+        if candidates.isEmpty():
+            break
+        met = _containing(rows, _filed(candidates, tokens))
+    found = reduce(DataFrame.union, levels).withColumn("one", F.explode("by_label"))
+    confidence = F.col("one.hits") / F.col("n")
     rules = stored(
-        mined.fit(baskets)
-        .associationRules.where(F.startswith(F.col("consequent")[0], F.lit("=")))
-        .where(~F.exists("antecedent", lambda token: F.startswith(token, F.lit("="))))
-        .select(
-            F.array_sort("antecedent").alias("rule_tokens"),
-            F.substring(F.col("consequent")[0], 2, 1 << 20).alias("verdict"),
-            "confidence",
-            "support",
+        found.where(confidence >= min_confidence).select(
+            "rule_tokens",
+            F.col("one.label").alias("verdict"),
+            confidence.alias("confidence"),
+            (F.col("one.hits") / F.lit(total)).alias("support"),
         )
     )
     return _filed(_pruned(rules), tokens)
 
 
+def _counted(met: DataFrame, least: float) -> DataFrame:
+    """Stored rule_tokens with n, their URLs, and the labels that at least `least` of them have."""
+    hits = met.groupBy("rule_tokens", "label").agg(F.sum("n").alias("hits"))
+    often = F.when(F.col("hits") >= least, F.struct("label", "hits"))
+    counts = hits.groupBy("rule_tokens").agg(
+        F.sum("hits").alias("n"), F.collect_list(often).alias("by_label")
+    )
+    return stored(counts.where(F.size("by_label") > 0))
+
+
+def _parts(level: DataFrame) -> DataFrame:
+    """Each row once for every token, with `part`, the other tokens."""
+    others = F.transform("rule_tokens", lambda t: F.array_remove(F.col("rule_tokens"), t))
+    return level.withColumn("part", F.explode(others))
+
+
+def _open(level: DataFrame, shorter: DataFrame | None = None) -> DataFrame:
+    """`rule_tokens` of which more tokens can make a surer rule.
+
+    Not if all URLs have one label, nor if as many URLs have one token less: each longer one then
+    says what a part of it says.
+    """
+    mixed = level.where(F.exists("by_label", lambda one: one["hits"] < F.col("n")))
+    if shorter is None:
+        return mixed.select("rule_tokens")
+    known = shorter.select(F.col("rule_tokens").alias("part"), F.col("n").alias("part_n"))
+    met = _parts(mixed).join(known, "part").groupBy("rule_tokens")
+    return met.agg(F.min(F.col("part_n") > F.col("n")).alias("free")).where("free").drop("free")
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Every two tokens of a row, as `rule_tokens` with label and n."""
+    first = rows.select("tokens", "label", "n", F.posexplode("tokens").alias("at", "one"))
+    others = F.slice("tokens", F.col("at") + 2, F.size("tokens"))
+    both = first.select("label", "n", "one", F.explode(others).alias("other"))
+    return both.select(F.array("one", "other").alias("rule_tokens"), "label", "n")
+
+
+def _grown(growing: DataFrame) -> DataFrame:
+    """`rule_tokens` one token longer, of which every part is growing."""
+    size = F.size("rule_tokens")
+    ends = growing.select(
+        F.slice("rule_tokens", F.lit(1), size - 1).alias("begin"),
+        F.element_at("rule_tokens", -1).alias("last"),
+    )
+    longer = (
+        ends.join(ends.withColumnRenamed("last", "next"), "begin")
+        .where(F.col("last") < F.col("next"))
+        .select(F.concat("begin", F.array("last", "next")).alias("rule_tokens"))
+    )
+    met = _parts(longer).join(growing.select(F.col("rule_tokens").alias("part")), "part")
+    whole = met.groupBy("rule_tokens").agg(F.count("*").alias("parts"))
+    return whole.where(F.col("parts") == F.size("rule_tokens")).drop("parts")
+
+
+def _containing(rows: DataFrame, filed: DataFrame) -> DataFrame:
+    """Each filed row once for every row of `rows` that has all its tokens."""
+    return (
+        rows.withColumn("filed", F.explode("tokens"))
+        .join(filed, "filed")
+        .where(F.size(F.array_except("rule_tokens", "tokens")) == 0)
+    )
+
+
 def _pruned(rules: DataFrame) -> DataFrame:
     """Rules without those of which one token less says the same at least as surely."""
-    parts = rules.select(
-        "rule_tokens",
-        "verdict",
-        "confidence",
-        F.explode(
-            F.transform("rule_tokens", lambda t: F.array_remove(F.col("rule_tokens"), t))
-        ).alias("part"),
-    )
+    parts = _parts(rules).select("rule_tokens", "verdict", "confidence", "part")
     simpler = rules.select(
         F.col("rule_tokens").alias("part"),
         F.col("verdict").alias("part_verdict"),
@@ -213,19 +265,13 @@ def _filed(rules: DataFrame, tokens: DataFrame) -> DataFrame:
     spread = rules.withColumn("member", F.explode("rule_tokens"))
     rarest = F.min_by("member", F.struct("n", "member")).alias("filed")
     return stored(
-        spread.join(tokens, F.col("member") == F.col("token"))
-        .groupBy("rule_tokens", "verdict", "confidence", "support")
-        .agg(rarest)
+        spread.join(tokens, F.col("member") == F.col("token")).groupBy(*rules.columns).agg(rarest)
     )
 
 
 def matched(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
     """`tokens` and the verdict of the best rule that applies, for token sets with one."""
-    met = (
-        token_sets.withColumn("filed", F.explode("tokens"))
-        .join(rules, "filed")
-        .where(F.size(F.array_except("rule_tokens", "tokens")) == 0)
-    )
+    met = _containing(token_sets, rules)
     rank = F.struct(
         -F.col("confidence"), -F.col("support"), F.size("rule_tokens"), "rule_tokens", "verdict"
     )
