@@ -167,6 +167,23 @@ def test_the_labelled_sample_is_bounded(pages):
     assert labelled_sample(frame, 5_000).count() == 2_000
 
 
+@pytest.mark.parametrize("given", [True, False])
+def test_rows_of_a_hot_url_are_drawn_one_by_one(pages, monkeypatch, given):
+    """A third of the labels on one URL, from a table of labels and from pages without an id."""
+    urls = [f"http://{'hot' if n % 3 == 0 else f'h{n}'}.net/" for n in range(3_000)]
+    labels = pages([(url, BLOCK) for url in urls], "url string, label string")
+    taken = []
+    draw = url_filter.labelled_sample
+    monkeypatch.setattr(url_filter, "labelled_sample", lambda *a: taken.append(draw(*a)) or taken[-1])
+    if given:
+        judged(pages([(1, "http://y.net/")]), (), labels, labelled_rows=600)
+    else:
+        judged(labels.select("url"), (HostRule(BLOCK, "net/"),), labelled_rows=600)
+    sample = taken[0]
+    assert 480 < sample.count() < 720
+    assert 140 < sample.where(F.array_contains("tokens", "host:hot")).count() < 260
+
+
 def test_odd_rows_and_clashing_columns(pages):
     rows = [(1, None, "x"), (2, "", "x"), (2, "", "x"), (None, "http://a.org/", "x"), (4, "http://a.net/" + "y/" * 20_000, "x")]
     frame = pages(rows, "page_id bigint, url string, label string").withColumns(

@@ -36,6 +36,7 @@ ALLOW, BLOCK = "allow", "block"
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.75
 LABELLED_ROWS = 500_000
+SEED = 3
 
 
 @dataclass(frozen=True)
@@ -119,7 +120,7 @@ def url_tokens(url: str = "url") -> Column:
 
 
 def labelled_sample(labelled: DataFrame, rows: int) -> DataFrame:
-    """`tokens` and `label` of at most about `rows` labelled URLs, by hash of the URL's row."""
+    """`tokens` and `label` of at most about `rows` labelled URLs, by hash of URL and the row's salt."""
     known = labelled.where(F.col("label").isNotNull())
     total = known.count()
     if total > rows:
@@ -293,12 +294,15 @@ def judged(
     added = ("host", "path", "rule", "rule_verdict", "tokens", "mined_verdict", "verdict")
     own = pages.drop(*added)
     at = listed(located(own), rules).withColumn("tokens", url_tokens())
+    # Rows of one URL are drawn one by one: by page id or, where there is none, by a number of the row.
+    drawn = F.rand(SEED)
     if labelled is None:
-        salt = F.col("page_id") if "page_id" in own.columns else F.lit(0)
-        known = at.select("url", "tokens", salt.alias("salt"), F.col("rule_verdict").alias("label"))
+        if "page_id" in own.columns:
+            drawn = F.coalesce(F.col("page_id").cast("string"), drawn.cast("string"))
+        known = at.select("url", "tokens", drawn.alias("salt"), F.col("rule_verdict").alias("label"))
     else:
-        known = located(labelled.select("url", "label")).withColumn("tokens", url_tokens())
-        known = known.withColumn("salt", F.lit(0))
+        rows = stored(labelled.select("url", "label").withColumn("salt", drawn))
+        known = located(rows).withColumn("tokens", url_tokens())
     sample = labelled_sample(known, labelled_rows)
     usual = (
         sample.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").first()
