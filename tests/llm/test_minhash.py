@@ -153,6 +153,26 @@ def test_documents_that_stay(docs, rows):
     assert sorted(r.doc_id for r in left.collect()) == sorted(d for d, c in expected.items() if d == c)
 
 
+def test_repeated_and_missing_ids_stay_by_their_text(docs):
+    rng = random.Random(8)
+    a, b, c, d, e = (" ".join(words(60, 200 + n)) for n in range(5))
+    near = lambda text: changed(text, rng, 1)
+    rows = [(1, a), (7, near(a)), (7, b)]  # 7 names only b
+    rows += [(8, c), (8, near(c)), (8, c)]  # 8 names c, one of them stays
+    rows += [(None, d), (None, near(d)), (None, e), (None, near(a))]  # one d, e, no near copy of 1
+    rows += [(9, "!!"), (9, "?"), (None, None)]
+    left = [(r.doc_id, r.text) for r in without_near_copies(docs(rows, ("label", "node"))).collect()]
+    kind = {text: name for name, text in zip("abcde", (a, b, c, d, e))}
+    for _, text in rows:
+        for name, whole in zip("abcde", (a, b, c, d, e)):
+            if len(stretches(text) & stretches(whole)) > 40:
+                kind[text] = name
+    got = sorted(((i, kind.get(t, t)) for i, t in left), key=str)
+    assert got == sorted(
+        [(1, "a"), (7, "b"), (8, "c"), (None, "d"), (None, "e"), (9, "!!"), (9, "?"), (None, None)], key=str
+    )
+
+
 def test_empty_table(docs):
     assert near_duplicates(docs([])).collect() == []
     assert without_near_copies(docs([])).collect() == []

@@ -38,6 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tillroll.llm.base import arrow_rows, held, stored, text_or_empty, text_slices
 from tillroll.llm.components import components
@@ -381,6 +382,11 @@ def block_links(
 
 def near_duplicates(docs: DataFrame, measure: Measure = Measure(), block: int = BLOCK) -> DataFrame:
     """doc_id, class_id and kept (whether it is the document that names its class)."""
+    return _judged(docs, measure, block).select("doc_id", "class_id", "kept")
+
+
+def _judged(docs: DataFrame, measure: Measure, block: int = BLOCK) -> DataFrame:
+    """The same with the row's node and its class by the name of a node, which no id is needed for."""
     docs = docs.select("doc_id", "text")
     signed = stored(signatures(docs, measure))
     nodes = stored(
@@ -421,17 +427,59 @@ def near_duplicates(docs: DataFrame, measure: Measure = Measure(), block: int =
     class_id = F.min("first_id").alias("class_id")
     named = labels.join(nodes.select("node", "first_id"), "node")
     classes = named.groupBy("label").agg(class_id)
-    single = nodes.join(labels, "node", "left_anti").select("node", F.col("first_id").alias("class_id"))
-    all_nodes = stored(named.join(classes, "label").select("node", "class_id").union(single))
+    single = nodes.join(labels, "node", "left_anti").select(
+        "node", F.col("first_id").alias("class_id"), F.col("node").alias("label")
+    )
+    all_nodes = stored(named.join(classes, "label").select("node", "class_id", "label").union(single))
     judged = signed.select("doc_id", "node").join(all_nodes, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-    return judged.select("doc_id", own.alias("class_id")).withColumn(
+    return judged.select("doc_id", "node", "label", own.alias("class_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("class_id"))
     )
 
 
+def _with_node(docs: DataFrame, measure: Measure) -> DataFrame:
+    """Add `__node`, null without words."""
+    place = docs.columns.index("text")
+    names = [*docs.columns, "__node"]
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_slices(batches, place):
+            nodes = []
+            for text in texts:
+                elements, weights = measure.elements(text or "")
+                nodes.append(node_name(elements, weights) if len(elements) else None)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.binary())], names)
+
+    return docs.mapInArrow(rows, StructType([*docs.schema, StructField("__node", BinaryType())]))
+
+
 def without_near_copies(docs: DataFrame, measure: Measure = Measure()) -> DataFrame:
-    """The documents that name their class, all columns."""
-    kept = stored(near_duplicates(docs, measure).where("kept").select(F.col("doc_id").alias("__kept")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept"))
-    return docs.join(kept, same, "left_semi")
+    """The documents that name their class, all columns, one of each class.
+
+    Where an id repeats or several documents have none, the verdict goes by the text too: of the rows
+    of a class that have the id that names it, one stays. Texts without words all stay.
+    """
+    kept = stored(
+        _judged(docs, measure)
+        .where("kept")
+        .select(F.col("doc_id").alias("__kept"), F.col("node").alias("__named"), F.col("label").alias("__class"))
+    )
+    doc_id = F.col("doc_id").cast("long")
+    same = doc_id.eqNullSafe(F.col("__kept"))
+    # Ids are unique as a rule. Only of rows whose id repeats the text is looked at again.
+    repeated = docs.groupBy(doc_id.alias("__twice")).agg(F.count("*").alias("n"))
+    repeated = stored(repeated.where("n > 1").select("__twice"))
+    twice = doc_id.eqNullSafe(F.col("__twice"))
+    once = docs.join(kept, same, "left_semi").join(repeated, twice, "left_anti")
+    names = docs.columns
+    again = stored(_with_node(docs.join(repeated, twice, "left_semi"), measure))
+    wordless = again.where(F.col("__node").isNull()).select(*names)
+    verdicts = kept.where(F.col("__named").isNotNull()).distinct()
+    first = (
+        again.join(verdicts, same & (F.col("__node") == F.col("__named")))
+        .groupBy("__class")
+        .agg(F.min_by(F.struct(*(F.col(name) for name in names)), F.sha2("text", 256)).alias("__row"))
+    )
+    first = first.select(*(F.col("__row")[name].alias(name) for name in names))
+    return once.unionByName(wordless).unionByName(first)
