@@ -24,7 +24,7 @@ with_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tabl
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert ORACLE.keys() <= QUERIES.keys()
 
 
@@ -42,6 +42,7 @@ COLUMNS = {
     "op5_bpe_automaton": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
     "op7_near_dedup": {"doc_id", "class_id"},
     "op9_nearest": {"query_id", "rank", "vec_id", "score"},
+    "op12_fill_in_middle": {"doc_id", "n", "form", "output_sha256", "restored_sha256"},
 }
 
 

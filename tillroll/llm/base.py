@@ -54,26 +54,31 @@ def held(key, make):
     return _HELD[key]
 
 
-def text_slices(
+def batch_slices(
     batches: Iterable[pa.RecordBatch], text: int = 1, chars: int = SLICE_CHARS
-) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+) -> Iterator[pa.RecordBatch]:
     """Rows of Arrow batches in order, cut so that a slice holds about `chars` characters.
 
-    A longer text makes a slice of its own, so no more than one is held as Python text at a time.
+    A longer text makes a slice of its own.
     """
     for batch in batches:
-        column = batch.column(text)
-        sizes = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+        sizes = pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_pylist()
         start = held = 0
         for row, size in enumerate(sizes):
             if held and held + size > chars:
-                part = batch.slice(start, row - start)
-                yield part, part.column(text).to_pylist()
+                yield batch.slice(start, row - start)
                 start, held = row, 0
             held += size + 1
         if start < len(sizes):
-            part = batch.slice(start)
-            yield part, part.column(text).to_pylist()
+            yield batch.slice(start)
+
+
+def text_slices(
+    batches: Iterable[pa.RecordBatch], text: int = 1, chars: int = SLICE_CHARS
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices with their texts; no more than one long text is held as Python text at a time."""
+    for part in batch_slices(batches, text, chars):
+        yield part, part.column(text).to_pylist()
 
 
 def arrow_rows(schema: pa.Schema, columns: list) -> pa.RecordBatch:

@@ -2,7 +2,21 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import ann, bpe, exact_dedup, language_id, minhash, mixing, secrets, token_files, url_filter, warc
+from tillroll.llm import (
+    ann,
+    bpe,
+    exact_dedup,
+    fill_in_middle,
+    language_id,
+    merkle,
+    minhash,
+    mixing,
+    packing,
+    secrets,
+    token_files,
+    url_filter,
+    warc,
+)
 from tillroll.llm.base import table
 
 
@@ -48,6 +62,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.form_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digests(table(spark, sf_dir, "documents"), merkle.tampered_leaf())
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_secrets": op2_secrets,
@@ -59,4 +85,7 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_nearest": op9_nearest,
     "op10_warc": op10_warc,
+    "op11_best_two_fit": op11_best_two_fit,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_merkle": op13_merkle,
 }
