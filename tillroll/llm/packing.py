@@ -23,6 +23,7 @@ their own; pieces of equal length take the order in which tasks read them. Texts
 encoded whole. An empty table gives an empty result, columns beside doc_id and text are ignored.
 """
 
+import json
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import groupby
@@ -59,6 +60,11 @@ class WordEncoder:
     def __init__(self, path: str):
         self.library = pretokens.tokenizer(path)
         self.specials = tuple(pretokens.special_tokens(path))
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        self.ends_piece = np.zeros(max(model["vocab"].values(), default=0) + 1, bool)
+        suffix = model["end_of_word_suffix"] or ""
+        self.ends_piece[[n for token, n in model["vocab"].items() if token.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -68,6 +74,28 @@ class WordEncoder:
     def alone(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def _learn(self, stretches: pa.Array) -> pa.LargeListArray:
+        """Ids of stretches, encoded some at a time as one text.
+
+        Each piece the tokenizer splits off ends with a token of its own kind, so the stretches are
+        found again by their numbers of pieces.
+        """
+        names = stretches.to_numpy(zero_copy_only=False).tolist()
+        n_pieces = pc.count_substring_regex(stretches, pretokens.WORD_PATTERN.pattern).to_numpy()
+        found, sizes = [np.empty(0, "<u4")], [np.zeros(1, np.int64)]
+        for at in range(0, len(names), 200):
+            part = names[at : at + 200]
+            ids, last = self.alone(" ".join(part)), np.cumsum(n_pieces[at : at + 200])
+            ends = np.flatnonzero(self.ends_piece[ids]) + 1
+            if len(last) and len(ends) == last[-1]:
+                found.append(ids)
+                sizes.append(np.diff(np.concatenate([[0], ends])[last], prepend=0))
+            else:
+                found += map(self.alone, part)
+                sizes.append(np.array(list(map(len, found[len(found) - len(part) :]))))
+        offsets = np.cumsum(np.concatenate(sizes))
+        return pa.LargeListArray.from_arrays(offsets, pa.array(np.concatenate(found), pa.uint32()))
+
     def _rows(self, stretches: pa.Array) -> np.ndarray:
         """Where the ids of distinct stretches stand, after new ones were added."""
         if len(self.names) > KNOWN_STRETCHES:
@@ -75,14 +103,10 @@ class WordEncoder:
         place = pc.index_in(stretches, value_set=self.names)
         unseen = pc.is_null(place)
         fresh = stretches.filter(unseen)
-        encode = self.library.encode
-        found = [
-            encode(text, add_special_tokens=False).ids
-            for text in fresh.to_numpy(zero_copy_only=False).tolist()
-        ]
+        learned = self._learn(fresh)
         known = len(self.names)
         self.names = pa.concat_arrays([self.names, fresh])
-        self.ids = pa.concat_arrays([self.ids, pa.array(found, pa.large_list(pa.uint32()))])
+        self.ids = pa.concat_arrays([self.ids, learned])
         rows = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).astype(np.int64)
         rows[unseen.to_numpy(zero_copy_only=False)] = known + np.arange(len(fresh))
         return rows
