@@ -274,6 +274,23 @@ UNION ALL
 SELECT * FROM (
   SELECT 'products', "StockCode", CAST(rank() OVER (ORDER BY total_revenue DESC NULLS LAST) AS DOUBLE)
   FROM products ORDER BY total_revenue DESC NULLS LAST, "StockCode" LIMIT 50)""",
+    "incremental_warehouse": f"""WITH {_SEGMENTS}, {_PRODUCTS.replace(_CLEAN + ",", "")},
+{_DAILY.replace(_CLEAN + ",", "")}
+SELECT 'daily_revenue' AS report, coalesce(CAST(order_date AS VARCHAR), 'none') AS name,
+       CAST(total_revenue AS DOUBLE) AS value_0, CAST(num_orders AS DOUBLE) AS value_1,
+       CAST(num_customers AS DOUBLE) AS value_2, CAST(total_units AS DOUBLE) AS value_3 FROM daily
+UNION ALL
+SELECT 'customer_rfm', CAST("CustomerID" AS VARCHAR), CAST(recency_days AS DOUBLE),
+       CAST(frequency AS DOUBLE), monetary, NULL FROM rfm
+UNION ALL
+SELECT 'top_products', "StockCode", total_revenue, CAST(num_orders AS DOUBLE),
+       CAST(total_units AS DOUBLE), NULL FROM products
+UNION ALL
+SELECT 'customer_segments', CAST(customerid AS VARCHAR), CAST(r_score AS DOUBLE),
+       CAST(f_score AS DOUBLE), CAST(m_score AS DOUBLE), NULL FROM segments""",
+    "incremental_products": f"""WITH {_PRODUCTS}
+SELECT * FROM products ORDER BY total_revenue DESC NULLS LAST, "StockCode" """,
+    "compacted_scan": f"WITH {_CLEAN} SELECT * FROM clean",
     "passed_through": f"""WITH {_CLEAN}
 SELECT "Invoice", "StockCode", "Country" AS store FROM clean""",
     "notification_keys": """

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from tillroll.operators.reports import TREND, revenue_trend, top_products_ranked
 from tillroll.operators.warehouse import MEASURES, MONTHLY, monthly_revenue
 from tillroll.schemas import CURATED_PARTITIONS, CURATED_SCHEMA
+from tillroll.sinks.compaction import live
 from tillroll.sinks.events import ACCEPTED, LINES_SCHEMA, LOG_SCHEMA
 from tillroll.sources.orders import extra_columns
 
@@ -84,7 +85,10 @@ def _parsed(ddl: str) -> T.StructType:
 
 
 def register_curated(spark: SparkSession, database: str, curated: str) -> None:
-    """Register or refresh the curated table with the partitions found in its folder."""
+    """Register or refresh the curated table with the partitions found in its folder.
+
+    Partitions that compaction replaced are no part of the table; their files stay.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     schema = T.StructType(
         [
@@ -93,7 +97,14 @@ def register_curated(spark: SparkSession, database: str, curated: str) -> None:
             T.StructField("ingest_batch", T.StringType()),
         ]
     )
-    _register(spark, f"{database}.{CURATED_TABLE}", schema, curated, CURATED_PARTITIONS)
+    table = f"{database}.{CURATED_TABLE}"
+    _register(spark, table, schema, curated, CURATED_PARTITIONS)
+    if (seen := live(spark, curated)) is not None:
+        hidden = spark.table(table).where(~seen).select(*CURATED_PARTITIONS).distinct()
+        for part in hidden.collect():
+            values = ((n, "null" if part[n] is None else repr(part[n])) for n in CURATED_PARTITIONS)
+            named = ", ".join(f"{name}={value}" for name, value in values)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({named})")
     _create_views(spark, database, CURATED_VIEWS)
 
 
@@ -118,6 +129,15 @@ def register_warehouse(spark: SparkSession, database: str, warehouse: str) -> No
     _create_views(spark, database, VIEWS)
 
 
+def move_warehouse(spark: SparkSession, database: str, warehouse: str) -> None:
+    """Point the registered tables to another folder that holds all of them, and refresh the views."""
+    register_warehouse(spark, database, warehouse)
+    for table in WAREHOUSE_TABLES:
+        path = table_path(warehouse, table)
+        spark.sql(f"ALTER TABLE {database}.{table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(f"{database}.{table}")
+
+
 def temporary_views(
     daily: DataFrame, segments: DataFrame, products: DataFrame, orders: DataFrame | None = None
 ) -> None:

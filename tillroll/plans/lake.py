@@ -16,7 +16,8 @@ from tillroll.operators.quality import (
 )
 from tillroll.operators.reports import customer_segments
 from tillroll.operators.warehouse import customer_rfm, daily_revenue, top_products
-from tillroll.plans.catalog import register_curated, register_warehouse, table_path
+from tillroll.plans.catalog import register_curated, table_path
+from tillroll.plans.increments import update_warehouse
 from tillroll.sinks.tables import write_table
 from tillroll.sources.orders import read_curated
 from tillroll.streaming.orders import run_incremental
@@ -89,7 +90,10 @@ def run_lake(
     run_log: str | None = None,
     **increment_options,
 ) -> RunRecord:
-    """Clean new files, gate, rebuild the warehouse, refresh names. A failure stops the run there.
+    """Clean new files, gate, renew the warehouse, refresh names. A failure stops the run there.
+
+    With `database` the new batches are taken into the next version of the warehouse, whose tables
+    take the place of the old ones together; without, the tables are rebuilt in place.
 
     The gate reads the folder just written, and nothing is registered or rebuilt behind a failed
     gate. With `run_log`, the record of every run is appended to that folder, failed ones too.
@@ -105,9 +109,9 @@ def run_lake(
         gate(read_curated(spark, curated), rules)
         if database:
             register_curated(spark, database, curated)
-        record.tables = build_warehouse(spark, curated, warehouse)
-        if database:
-            register_warehouse(spark, database, warehouse)
+            record.tables = update_warehouse(spark, curated, warehouse, database)
+        else:
+            record.tables = build_warehouse(spark, curated, warehouse)
         record.status, record.message = "PASSED", increment.message()
     except QualityCheckFailed as failure:
         record.status, record.message = "FAILED", str(failure)

@@ -9,8 +9,10 @@ from tillroll import retail_shapes as shapes
 from tillroll.operators import events, quality, reports, warehouse
 from tillroll.operators.clean import backfill_optional, clean_orders
 from tillroll.plans.catalog import CURATED_TABLE, table_path
+from tillroll.plans.increments import published_path, update_warehouse
 from tillroll.plans.lake import run_lake, table_checks
 from tillroll.schemas import CURATED_SCHEMA
+from tillroll.sinks.compaction import drop_replaced
 from tillroll.sinks.events import (
     ingest_events,
     read_dead_letters,
@@ -20,7 +22,7 @@ from tillroll.sinks.events import (
 )
 from tillroll.sinks.scratch import scratch_folder, stored
 from tillroll.sinks.tables import stored_rows, write_csv, write_curated
-from tillroll.sources.orders import read_curated, read_orders_csv, union_parts
+from tillroll.sources.orders import compact_curated, read_curated, read_orders_csv, union_parts
 from tillroll.streaming.events import run_event_ingest
 from tillroll.streaming.orders import run_incremental
 
@@ -143,6 +145,57 @@ def catalog_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dealt(spark: SparkSession, sf_dir: str, parts: int) -> list[DataFrame]:
+    """All order lines, dealt so that invoices, customers, products and days fall apart."""
+    lines = stored(_clean(spark, sf_dir).withColumn("_part", F.pmod(F.xxhash64("Invoice", "StockCode"), F.lit(parts))))
+    return [lines.where(F.col("_part") == part).drop("_part") for part in range(parts)]
+
+
+def incremental_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three increments, the batches of the first two compacted before the last: all four tables."""
+    folder = scratch_folder(spark)
+    curated, target = f"{folder}/curated", f"{folder}/warehouse"
+    for number, lines in enumerate(_dealt(spark, sf_dir, 3)):
+        if number == 2:
+            compact_curated(spark, curated, min_batches=2)
+        write_curated(lines, curated, f"part-{number}")
+        update_warehouse(spark, curated, target)
+
+    def rows(table: str, key: str, *values: str) -> DataFrame:
+        found = spark.read.parquet(published_path(spark, target, table))
+        numbered = (F.col(name).cast("double").alias(f"value_{n}") for n, name in enumerate(values))
+        name = F.coalesce(F.col(key).cast("string"), F.lit("none")).alias("name")
+        return found.select(F.lit(table).alias("report"), name, *numbered)
+
+    return union_parts(
+        [
+            rows("daily_revenue", "order_date", "total_revenue", "num_orders", "num_customers", "total_units"),
+            rows("customer_rfm", "CustomerID", "recency_days", "frequency", "monetary"),
+            rows("top_products", "StockCode", "total_revenue", "num_orders", "total_units"),
+            rows("customer_segments", "customerid", "r_score", "f_score", "m_score"),
+        ]
+    )
+
+
+def product_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions of an incrementally kept product table."""
+    folder = scratch_folder(spark)
+    for number, lines in enumerate(_dealt(spark, sf_dir, 2)):
+        write_curated(lines, f"{folder}/curated", f"part-{number}")
+        update_warehouse(spark, f"{folder}/curated", f"{folder}/warehouse")
+    return spark.read.parquet(published_path(spark, f"{folder}/warehouse", "top_products"))
+
+
+def compacted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines of eight batches, read back from one."""
+    curated = scratch_folder(spark)
+    for number, lines in enumerate(_dealt(spark, sf_dir, 8)):
+        write_curated(lines, curated, f"part-{number}", rebalance=False)
+    compact_curated(spark, curated)
+    drop_replaced(spark, curated)
+    return read_curated(spark, curated)
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean(spark, sf_dir)
 
@@ -304,6 +357,9 @@ QUERIES = {
     "quality_failures": quality_failures,
     "gated_build": gated_build,
     "catalog_reports": catalog_reports,
+    "incremental_warehouse": incremental_warehouse,
+    "incremental_products": product_texts,
+    "compacted_scan": compacted_scan,
     "event_lines": event_lines,
     "event_validation": event_validation,
     "valid_events": valid_events,

@@ -40,6 +40,9 @@ CURATED_PARTITIONS = ("year", "month", "ingest_batch")
 # Where the writer of a curated table notes columns the schema does not declare; scans skip it.
 NOTED_COLUMNS = "_noted_columns"
 
+# Where compaction notes which batches it replaced; scans skip it.
+COMPACTION_LOG = "_compactions"
+
 REQUIRED_EVENT_KEYS = ("invoice", "stockcode", "quantity", "price", "customerid")
 
 # Arrival notification of the object store.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.schemas import CURATED_SCHEMA, NOTED_COLUMNS, RAW_COLUMNS
+from tillroll.sinks.compaction import compact, live
 from tillroll.sources.files import exists, header_lines, literal_path
 
 
@@ -91,14 +92,27 @@ def extra_columns(spark: SparkSession, path: str) -> list[T.StructField]:
     return [T.StructField(row.name, T._parse_datatype_string(row.kind)) for row in known]
 
 
-def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    """Curated order lines: the declared columns, then those that raw files brought along.
+def stored_orders(spark: SparkSession, path: str) -> DataFrame:
+    """Curated order lines with the batch they lie in, without what compaction replaced.
 
     The schema is declared, the extra part noted by the writer, which spares a scan of all footers
     and gives NULL for columns that older files lack.
     """
-    schema = T.StructType([*CURATED_SCHEMA.fields, *extra_columns(spark, path)])
-    return spark.read.schema(schema).parquet(path).select(schema.names)
+    own = [*CURATED_SCHEMA.fields, *extra_columns(spark, path)]
+    schema = T.StructType([*own, T.StructField("ingest_batch", T.StringType())])
+    rows = spark.read.schema(schema).parquet(path).select(schema.names)
+    seen = live(spark, path)
+    return rows if seen is None else rows.where(seen)
+
+
+def read_curated(spark: SparkSession, path: str) -> DataFrame:
+    """Curated order lines: the declared columns, then those that raw files brought along."""
+    return stored_orders(spark, path).drop("ingest_batch")
+
+
+def compact_curated(spark: SparkSession, path: str, min_batches: int = 8) -> str | None:
+    """One batch in place of the many of a month; readers see equal rows before, during and after."""
+    return compact(spark, path, stored_orders(spark, path), min_batches)
 
 
 def orders_between(
