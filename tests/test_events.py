@@ -18,8 +18,10 @@ from tillroll.operators.events import (
     valid_events,
     validate_events,
 )
+from tillroll.sinks import events as sinks
 from tillroll.sinks.events import (
     NoValidEvents,
+    compact_events,
     ingest_events,
     ingest_notified,
     read_dead_letters,
@@ -347,11 +349,11 @@ def test_missing_and_unreadable_files_are_dead_by_themselves(spark, incoming, tm
     assert len(streamed(spark, out)) == 4
 
 
-def test_a_batch_without_its_log_does_not_count(spark, incoming, tmp_path):
+def test_a_batch_broken_off_does_not_count(spark, incoming, tmp_path):
     out = str(tmp_path / "out")
     ingest_events(spark, [incoming("a.json", text())], out, batch="whole")
     ingest_events(spark, [incoming("b.json", "{}")], out, batch="broken off")
-    for folder in (tmp_path / "out/ingest_log").rglob("ingest_batch=broken*"):
+    for folder in (tmp_path / "out/batches").rglob("ingest_batch=broken*"):
         shutil.rmtree(folder)
     assert read_rejected(spark, out).count() == 0 and read_dead_letters(spark, out).count() == 0
     ingest_events(spark, [str(tmp_path / "incoming/b.json")], out, batch="broken off")
@@ -414,3 +416,78 @@ def test_old_dead_letters_leave_the_table(spark, incoming, tmp_path):
     ingest_events(spark, [incoming("bad.json", "{}")], out, arrived_at=at)
     assert read_dead_letters(spark, out, today=datetime.date(2024, 3, 19)).count() == 1
     assert read_dead_letters(spark, out, today=datetime.date(2024, 3, 20)).count() == 0
+
+
+def outcome(spark, out):
+    accepted = [("accepted", r.value, r.year, r.month) for r in read_streaming(spark, out).collect()]
+    rejected = [("rejected", r.path, r.line, r.reason) for r in read_rejected(spark, out).collect()]
+    dead = [("dead", r.path, r.error_type) for r in read_dead_letters(spark, out).collect()]
+    return sorted(accepted + rejected + dead, key=str)
+
+
+def many_batches(spark, incoming, out):
+    paths = [incoming(f"{n}.json", "\n".join([text(invoice=str(n)), "{}"])) for n in range(6)]
+    paths.append(incoming("bad.json", "x"))
+    for path in paths:
+        ingest_events(spark, [path], out)
+    return paths
+
+
+def test_compacted_batches_read_the_same(spark, incoming, tmp_path):
+    out = str(tmp_path / "out")
+    paths = many_batches(spark, incoming, out)
+    incoming("0.json", text(invoice="again"))
+    ingest_events(spark, paths[:1], out)
+    before = outcome(spark, out)
+    assert compact_events(spark, out, min_batches=50) == []
+    (name,) = compact_events(spark, out, min_batches=3)
+    assert outcome(spark, out) == before
+    lines = spark.read.parquet(f"{out}/lines").where(f"ingest_batch = '{name}'")
+    assert lines.where("line LIKE '%\"0\"%'").count() == 0
+    # A file ingested again behind the compaction, and a second compaction over the first.
+    incoming("1.json", "{}\n{}")
+    ingest_events(spark, paths[1:2], out)
+    after = outcome(spark, out)
+    assert len(after) == len(before) + 1
+    assert any(row[0] == "dead" and row[1].endswith("/1.json") for row in after)
+    assert len(compact_events(spark, out, min_batches=2)) == 1
+    assert outcome(spark, out) == after
+    assert read_ingest_log(spark, out).count() == 7
+
+
+def test_a_compaction_broken_off_changes_nothing(spark, incoming, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    many_batches(spark, incoming, out)
+    before, commit = outcome(spark, out), sinks._commit
+
+    def crash(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(sinks, "_commit", crash)
+    with pytest.raises(OSError):
+        compact_events(spark, out, min_batches=2)
+    assert outcome(spark, out) == before
+    monkeypatch.setattr(sinks, "_commit", commit)
+    compact_events(spark, out, min_batches=2)
+    assert outcome(spark, out) == before
+
+
+def test_the_later_batch_wins_whichever_is_written_first(spark, incoming, tmp_path):
+    out, path = str(tmp_path / "out"), incoming("a.json", text(invoice="1"))
+    days = [datetime.datetime(2024, 3, day, tzinfo=datetime.timezone.utc) for day in (1, 2)]
+    ingest_events(spark, [path], out, batch="late", arrived_at=days[1])
+    incoming("a.json", text(invoice="2"))
+    ingest_events(spark, [path], out, batch="early", arrived_at=days[0])
+    (row,) = read_streaming(spark, out).collect()
+    assert row.value == text(invoice="1")
+    ingest_events(spark, [path], out, batch="late", arrived_at=days[1])
+    (row,) = read_streaming(spark, out).collect()
+    assert row.value == text(invoice="2")
+
+
+def test_events_are_read_without_the_log(spark, incoming, tmp_path):
+    out = str(tmp_path / "out")
+    many_batches(spark, incoming, out)
+    plan = read_streaming(spark, out)._jdf.queryExecution().executedPlan().toString()
+    assert "ingest_log" not in plan and "max_by" not in plan and "HashAggregate" not in plan
+    assert "/superseded" in plan and "/batches" in plan

@@ -7,13 +7,21 @@ from tillroll.operators.reports import TREND, revenue_trend, top_products_ranked
 from tillroll.operators.warehouse import MEASURES, MONTHLY, monthly_revenue
 from tillroll.schemas import CURATED_PARTITIONS, CURATED_SCHEMA
 from tillroll.sinks.compaction import live
-from tillroll.sinks.events import ACCEPTED, LINES_SCHEMA, LOG_SCHEMA
+from tillroll.sinks.events import (
+    ACCEPTED,
+    BATCHES_SCHEMA,
+    LINES_SCHEMA,
+    LOG_SCHEMA,
+    SUPERSEDED_SCHEMA,
+)
 from tillroll.sources.orders import extra_columns
 
 CURATED_TABLE = "online_retail"
 EVENTS_VIEW = "streaming"
 EVENT_LINES_TABLE = "event_lines"
 EVENT_LOG_TABLE = "event_ingest_log"
+EVENT_BATCHES_TABLE = "event_batches"
+EVENT_SUPERSEDED_TABLE = "event_superseded"
 WAREHOUSE_TABLES = ("daily_revenue", "customer_rfm", "top_products", "customer_segments")
 
 
@@ -46,10 +54,17 @@ VIEWS = {
 EVENT_VIEWS = {
     EVENTS_VIEW: f"""
         SELECT line AS value, year, month, source
-        FROM {{database}}.{EVENT_LINES_TABLE} AS lines LEFT SEMI JOIN (
-            SELECT path, max_by(ingest_batch, struct(ingested_at, ingest_batch)) AS newest
-            FROM {{database}}.{EVENT_LOG_TABLE} GROUP BY path) AS log
-          ON lines.path = log.path AND lines.ingest_batch = log.newest
+        FROM {{database}}.{EVENT_LINES_TABLE} AS lines
+        LEFT SEMI JOIN (
+            SELECT ingest_batch AS counted FROM {{database}}.{EVENT_BATCHES_TABLE} LEFT ANTI JOIN (
+                SELECT explode(replaces) AS gone FROM {{database}}.{EVENT_BATCHES_TABLE})
+              ON ingest_batch = gone)
+          ON lines.ingest_batch = counted
+        LEFT ANTI JOIN (
+            SELECT path AS gone_path, loser FROM {{database}}.{EVENT_SUPERSEDED_TABLE} LEFT SEMI JOIN (
+                SELECT ingest_batch AS known FROM {{database}}.{EVENT_BATCHES_TABLE})
+              ON winner = known)
+          ON lines.path = gone_path AND coalesce(lines.origin, lines.ingest_batch) = loser
         WHERE outcome = '{ACCEPTED}'""",
 }
 
@@ -114,6 +129,8 @@ def register_events(spark: SparkSession, database: str, out: str) -> None:
     tables = (
         (EVENT_LINES_TABLE, LINES_SCHEMA, "lines", ("outcome", "year", "month", "ingest_batch")),
         (EVENT_LOG_TABLE, LOG_SCHEMA, "ingest_log", ("ingest_date", "ingest_batch")),
+        (EVENT_BATCHES_TABLE, BATCHES_SCHEMA, "batches", ("ingest_batch",)),
+        (EVENT_SUPERSEDED_TABLE, SUPERSEDED_SCHEMA, "superseded", ("ingest_batch",)),
     )
     for name, schema, folder, partitions in tables:
         _register(spark, f"{database}.{name}", _parsed(schema), f"{out}/{folder}", partitions)

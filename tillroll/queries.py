@@ -14,7 +14,8 @@ from tillroll.plans.lake import run_lake, table_checks
 from tillroll.schemas import CURATED_SCHEMA
 from tillroll.sinks.compaction import drop_replaced
 from tillroll.sinks.events import (
-    ingest_events,
+    compact_events,
+    ingest_logged,
     read_dead_letters,
     read_ingest_log,
     read_rejected,
@@ -312,8 +313,7 @@ def event_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.where(part).select("line").write.text(f"{incoming}/{name}")
     lines.where("false").select("line").coalesce(1).write.text(f"{incoming}/empty")
     run_event_ingest(spark, incoming, out, f"{folder}/checkpoint", pattern="part-*.txt")
-    files = [row.path for row in read_ingest_log(spark, out).select("path").toLocalIterator()]
-    ingest_events(spark, files, out)
+    ingest_logged(spark, read_ingest_log(spark, out), out)
     accepted = read_streaming(spark, out).select(
         F.lit("accepted").alias("outcome"), F.col("value").alias("line"), F.lit(None).cast("string").alias("reason")
     )
@@ -327,6 +327,22 @@ def event_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_parts([accepted, rejected, dead])
 
 
+def event_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event files in many batches, a third of them ingested again, then one batch a month."""
+    folder = scratch_folder(spark)
+    incoming, out = f"{folder}/incoming", f"{folder}/events"
+    lines = shapes.padded_lines(shapes.order_events(spark, sf_dir))
+    lines.select("line").repartition(12, "line").write.text(incoming)
+    run_event_ingest(spark, incoming, out, f"{folder}/checkpoint", pattern="part-*.txt", max_files=4)
+    again = read_ingest_log(spark, out).where(F.xxhash64("path") % 3 == 0)
+    ingest_logged(spark, again, out)
+    compact_events(spark, out, min_batches=2)
+    accepted = read_streaming(spark, out).select(
+        F.col("value").alias("line"), F.lit(None).cast("string").alias("reason")
+    )
+    return accepted.unionByName(read_rejected(spark, out).select("line", "reason"))
+
+
 def notification_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.notification_files(shapes.notifications(spark, sf_dir))
 
@@ -368,6 +384,7 @@ QUERIES = {
     "dead_files": dead_files,
     "event_ingest": event_ingest,
     "event_replay": event_replay,
+    "event_compaction": event_compaction,
     "notification_keys": notification_keys,
     "dead_letter_triage": dead_letter_triage,
 }

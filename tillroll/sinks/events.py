@@ -5,14 +5,22 @@ Below a folder `out`:
 * `lines`: every line that is not blank, with the reason if it is rejected, by outcome, month of
   arrival and batch. One write for both outcomes; nothing shuffles.
 * `dead_letter`: one row per file without a valid event, unreadable and missing files too.
-* `ingest_log`: one row per file with its counts, written last.
-
-All three are keyed by batch: the same batch run again replaces its rows. A batch counts once its log
-is there, and of each file only the newest logged batch does: what a file gave before it was ingested
-again, accepted, rejected or dead, is no longer read.
+* `ingest_log`: one row per file with its counts.
+* `superseded`: (path, loser, winner) for files that were ingested before, worked out against the log
+  when a batch is written. Of two batches the later one wins, whichever was written first.
+* `batches`: one row per batch, written last; batches without one do not count.
+
+All are keyed by batch: the same batch run again replaces its rows. What a file gave before it was
+ingested again, accepted, rejected or dead, is no longer read: readers take the lines of counted
+batches and leave out what is superseded. Both tables are small, the second holds files ingested again
+and nothing else, and the log is not read.
+
+A compaction writes the lines of many batches of a month under one, with the batch they came from as
+their `origin`, and then its row in `batches`, which names those it replaces.
 """
 
 import datetime
+import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
 from itertools import islice
@@ -30,11 +38,14 @@ from tillroll.sources.files import is_missing, present_and_missing
 RETENTION_DAYS = 14
 MAX_FILES = 1_000
 ACCEPTED, REJECTED = "accepted", "rejected"
+COMPACTED = "compact-"
 
 LINES_SCHEMA = (
-    "path string, source string, line string, reason string, ingested_at timestamp, "
+    "path string, source string, line string, reason string, ingested_at timestamp, origin string, "
     "outcome string, year int, month int, ingest_batch string"
 )
+SUPERSEDED_SCHEMA = "path string, loser string, winner string, ingest_batch string"
+BATCHES_SCHEMA = "ingested_at timestamp, replaces array<string>, ingest_batch string"
 LOG_SCHEMA = (
     "path string, source string, n_valid bigint, n_bad bigint, error_type string, "
     "error_message string, ingested_at timestamp, ingest_date date, ingest_batch string"
@@ -110,6 +121,8 @@ def ingest_events(
     _write_batch(dead, f"{out}/dead_letter", batch, arrived_at)
     columns = ["path", "source", "n_valid", "n_bad", "error_type", "error_message"]
     _write_batch(log.select(*columns), f"{out}/ingest_log", batch, arrived_at)
+    _write_keyed(_superseded(spark, out, batch), f"{out}/superseded", batch)
+    _commit(spark, out, batch, arrived_at)
     logged = _log(spark, out).where(F.col("ingest_batch") == batch)
     total = logged.agg(
         F.count("*").alias("files"),
@@ -136,8 +149,23 @@ def ingest_notified(
     `notifications` holds one JSON envelope per row in `payload`; a file named twice is read once.
     """
     named = notification_files(notifications).select("bucket", "key").distinct().toLocalIterator()
+    paths = (location.format(bucket=row.bucket, key=row.key) for row in named)
+    return _ingest_parts(spark, paths, out, max_files, **options)
+
+
+def ingest_logged(
+    spark: SparkSession, files: DataFrame, out: str, max_files: int = MAX_FILES, **options
+) -> dict[str, int]:
+    """Ingest the files named in `files.path` again, in batches of `max_files`."""
+    paths = (row.path for row in files.select("path").distinct().toLocalIterator())
+    return _ingest_parts(spark, paths, out, max_files, **options)
+
+
+def _ingest_parts(
+    spark: SparkSession, paths: Iterator[str], out: str, max_files: int, **options
+) -> dict[str, int]:
     totals = dict(NOTHING)
-    while part := [location.format(bucket=r.bucket, key=r.key) for r in islice(named, max_files)]:
+    while part := list(islice(paths, max_files)):
         for name, count in ingest_events(spark, part, out, **options).items():
             totals[name] += count
     return totals
@@ -192,6 +220,7 @@ def _store_lines(
             "line",
             "reason",
             F.lit(arrived_at).alias("ingested_at"),
+            F.lit(None).cast("string").alias("origin"),
             outcome.alias("outcome"),
             F.lit(utc.year).alias("year"),
             F.lit(utc.month).alias("month"),
@@ -241,25 +270,82 @@ def _log(spark: SparkSession, out: str) -> DataFrame:
 
 
 def read_ingest_log(spark: SparkSession, out: str) -> DataFrame:
-    """The newest outcome of every file."""
-    log = _log(spark, out)
+    """The newest outcome of every file in a batch that counts."""
+    counted = _batches(spark, out).select(F.col("ingest_batch").alias("counted"))
+    log = _log(spark, out).join(counted, F.col("ingest_batch") == F.col("counted"), "left_semi")
     row = F.struct(*(F.col(name) for name in log.columns))
     newest = F.max_by(row, F.struct("ingested_at", "ingest_batch")).alias("row")
     return log.groupBy(F.col("path").alias("of")).agg(newest).select("row.*")
 
 
-def _newest(spark: SparkSession, out: str, rows: DataFrame) -> DataFrame:
-    """The rows that belong to the newest batch of their file."""
-    current = read_ingest_log(spark, out).select(
-        F.col("path").alias("logged"), F.col("ingest_batch").alias("newest")
+def _superseded(spark: SparkSession, out: str, batch: str) -> DataFrame:
+    """(path, loser, winner) between a logged batch and the others that hold some of its files.
+
+    The batch's own log is written first, so of two that run at once one sees the other.
+    """
+    order = F.struct("ingested_at", "ingest_batch").alias("order")
+    log = _log(spark, out).select("path", order)
+    ours = log.where(F.col("order.ingest_batch") == batch)
+    ours = ours.select(F.col("path").alias("our_path"), F.col("order").alias("our_order"))
+    others = log.where(F.col("order.ingest_batch") != batch)
+    met = others.join(ours, F.col("path") == F.col("our_path"))
+    first, last = F.least("order", "our_order"), F.greatest("order", "our_order")
+    return met.select("path", first["ingest_batch"].alias("loser"), last["ingest_batch"].alias("winner"))
+
+
+def _write_keyed(rows: DataFrame, path: str, batch: str) -> None:
+    """Few rows of one batch, in one file."""
+    (
+        rows.withColumn("ingest_batch", F.lit(batch))
+        .coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ingest_batch")
+        .parquet(path)
+    )
+
+
+def _commit(
+    spark: SparkSession, out: str, batch: str, at: datetime.datetime, replaces: Iterable[str] = ()
+) -> None:
+    row = spark.createDataFrame([(at, list(replaces))], "ingested_at timestamp, replaces array<string>")
+    _write_keyed(row, f"{out}/batches", batch)
+
+
+def _batches(spark: SparkSession, out: str) -> DataFrame:
+    return _table(spark, BATCHES_SCHEMA, f"{out}/batches")
+
+
+def _live(spark: SparkSession, out: str) -> DataFrame:
+    """Batches that count and that no compaction replaced."""
+    batches = _batches(spark, out)
+    replaced = batches.select(F.explode("replaces").alias("gone"))
+    return batches.join(replaced, F.col("ingest_batch") == F.col("gone"), "left_anti")
+
+
+def _current(spark: SparkSession, out: str, rows: DataFrame) -> DataFrame:
+    """Rows of counted batches without those of files that a later batch ingested again.
+
+    Lines (with `origin`) are compacted, dead letters are not.
+    """
+    compacted = "origin" in rows.columns
+    counted = _live(spark, out) if compacted else _batches(spark, out)
+    counted = counted.select(F.col("ingest_batch").alias("counted"))
+    winners = _batches(spark, out).select(F.col("ingest_batch").alias("known"))
+    gone = (
+        _table(spark, SUPERSEDED_SCHEMA, f"{out}/superseded")
+        .join(winners, F.col("winner") == F.col("known"), "left_semi")
+        .select(F.col("path").alias("gone_path"), "loser")
+    )
+    origin = F.coalesce("origin", "ingest_batch") if compacted else F.col("ingest_batch")
+    return rows.join(counted, F.col("ingest_batch") == F.col("counted"), "left_semi").join(
+        gone, (F.col("path") == F.col("gone_path")) & (origin == F.col("loser")), "left_anti"
     )
-    same = (F.col("path") == F.col("logged")) & (F.col("ingest_batch") == F.col("newest"))
-    return rows.join(current, same, "left_semi")
 
 
 def _read_lines(spark: SparkSession, out: str, outcome: str) -> DataFrame:
     rows = _table(spark, LINES_SCHEMA, f"{out}/lines").where(F.col("outcome") == outcome)
-    return _newest(spark, out, rows)
+    return _current(spark, out, rows).drop("origin")
 
 
 def read_rejected(spark: SparkSession, out: str) -> DataFrame:
@@ -282,4 +368,37 @@ def read_dead_letters(
     today = today or datetime.datetime.now(datetime.timezone.utc).date()
     oldest = today - datetime.timedelta(days=retention_days)
     dead = _table(spark, DEAD_LETTER_TABLE_SCHEMA, f"{out}/dead_letter")
-    return _newest(spark, out, dead.where(F.col("ingest_date") >= F.lit(oldest)))
+    return _current(spark, out, dead.where(F.col("ingest_date") >= F.lit(oldest)))
+
+
+def compact_events(spark: SparkSession, out: str, min_batches: int = 8) -> list[str]:
+    """Write one batch in place of those of every month that holds at least `min_batches`.
+
+    Readers see equal rows before, during and after; a crash before the last write changes nothing.
+    What is superseded is not carried over. Returns the names of the new batches.
+    """
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    at = F.to_utc_timestamp("ingested_at", zone).alias("at")
+    live = _live(spark, out).select("ingest_batch", at)
+    # Names of the batches since the last compaction.
+    months = live.groupBy(F.year("at").alias("year"), F.month("at").alias("month")).agg(
+        F.sort_array(F.collect_list("ingest_batch")).alias("batches")
+    )
+    made = []
+    for due in months.where(F.size("batches") >= min_batches).collect():
+        name = COMPACTED + hashlib.md5("\n".join(due.batches).encode()).hexdigest()
+        rows = _table(spark, LINES_SCHEMA, f"{out}/lines").where(F.col("ingest_batch").isin(due.batches))
+        (
+            _current(spark, out, rows)
+            .withColumn("origin", F.coalesce("origin", "ingest_batch"))
+            .withColumn("ingest_batch", F.lit(name))
+            .hint("rebalance", "outcome")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("outcome", "year", "month", "ingest_batch")
+            .parquet(f"{out}/lines")
+        )
+        newest = _batches(spark, out).where(F.col("ingest_batch").isin(due.batches))
+        _commit(spark, out, name, newest.agg(F.max("ingested_at")).first()[0].astimezone(), due.batches)
+        made.append(name)
+    return made
