@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from tillroll.llm.mixing import fits, bisected_exponent, mixed, mixing_plan
+from tillroll.llm.mixing import GRID, LARGEST, _measures, bisected_exponent, mixed, mixing_plan
 
 ROWS = [
     (n, " ".join(["w"] * (1 + n % 7)), None, "big" if n % 3 else f"s{n % 4}") for n in range(1_200)
@@ -17,23 +17,45 @@ def tokens(text):
     )
 
 
+def first_step(low, high, test):
+    """The first whole step above `low` at which the test holds, at most `high`."""
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if test(middle) else (middle, high)
+    return high
+
+
 def exponent(totals, entropy_share, repeats, budget):
     whole = sum(totals.values())
 
-    def good(a):
-        powers = {s: (t / whole) ** a for s, t in totals.items()}
-        z = sum(powers.values())
-        entropy = -sum(p / z * math.log(p / z) for p in powers.values())
-        most = max(budget * p / z / totals[s] for s, p in powers.items())
-        return entropy <= entropy_share * math.log(len(totals)) + 1e-12 and most <= repeats + 1e-12
-
-    if good(0.0):
-        return 0.0
-    low, high = 0.0, 1.0
-    for _ in range(24):
-        middle = (low + high) / 2
-        low, high = (low, middle) if good(middle) else (middle, high)
-    return high
+    def powers(step):
+        return {s: (t / whole) ** (step / GRID) for s, t in totals.items()}
+
+    def flat(step):
+        p = powers(step)
+        z = sum(p.values())
+        entropy = math.log(z) - sum(v * math.log(v) for v in p.values() if v) / z
+        return entropy <= entropy_share * math.log(len(totals)) + 1e-12
+
+    def kept(step):
+        p = powers(step)
+        return max(budget * v / sum(p.values()) / totals[s] for s, v in p.items()) <= repeats + 1e-12
+
+    wanted = first_step(-1, LARGEST * GRID, flat)
+    least = first_step(-1, GRID, kept)
+    most = first_step(GRID, LARGEST * GRID + 1, lambda step: not kept(step)) - 1
+    return min(max(wanted, least), most) / GRID
+
+
+def budgets(totals, a, budget):
+    whole = sum(totals.values())
+    powers = {s: (t / whole) ** a for s, t in totals.items()}
+    exact = {s: p / sum(powers.values()) * budget for s, p in powers.items()}
+    whole_parts = {s: math.floor(x + 1e-6 + x * 1e-12) for s, x in exact.items()}
+    order = sorted(exact, key=lambda s: (whole_parts[s] - exact[s], s is not None, s or ""))
+    for s in order[: budget - sum(whole_parts.values())]:
+        whole_parts[s] += 1
+    return whole_parts
 
 
 def brute_force(rows, budget=None, entropy_share=0.95, repeats=4.0, seed="mix-1"):
@@ -45,11 +67,9 @@ def brute_force(rows, budget=None, entropy_share=0.95, repeats=4.0, seed="mix-1"
     whole = sum(totals.values())
     budget = whole if budget is None else budget
     a = exponent(totals, entropy_share, repeats, budget)
-    powers = {s: (t / whole) ** a for s, t in totals.items()}
-    z, taken = sum(powers.values()), []
+    quotas, taken = budgets(totals, a, budget), []
     for source, total in totals.items():
-        quota = math.floor(round(powers[source] / z, 9) * budget)
-        full, rest = divmod(quota, total)
+        full, rest = divmod(quotas[source], total)
         taken += [(d, e) for d, _ in sources[source] for e in range(1, full + 1)]
         order = sorted(
             sources[source], key=lambda d: hashlib.md5(f"{seed}|{full + 1}|{d[0]}".encode()).hexdigest()
@@ -62,12 +82,65 @@ def brute_force(rows, budget=None, entropy_share=0.95, repeats=4.0, seed="mix-1"
     return sorted(taken)
 
 
-@pytest.mark.parametrize("options", [{}, {"budget": 9_000}, {"budget": 700}, {"entropy_share": 0.5}])
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"budget": 9_000}, {"budget": 700}, {"entropy_share": 0.5}, {"entropy_share": 1.0, "repeats": 1.2}],
+)
 def test_against_brute_force(docs, options):
-    got = sorted((r.doc_id, r.epoch) for r in mixed(docs(ROWS), rows_per_block=8, **options).collect())
+    ours = {{"repeats": "max_repeats"}.get(name, name): value for name, value in options.items()}
+    got = sorted((r.doc_id, r.epoch) for r in mixed(docs(ROWS), rows_per_block=2, **ours).collect())
     assert got == brute_force(ROWS, **options)
 
 
+EVEN = [(n, "w " * (9 + n % 9), None, f"s{n % 9}") for n in range(900)]
+
+
+def entropy_of(plan):
+    return -sum(r.weight * math.log(r.weight) for r in plan)
+
+
+def test_sources_flatter_than_the_target_are_sharpened(docs):
+    """The natural entropy lies above the target: the exponent goes beyond 1."""
+    plan = mixing_plan(docs(EVEN), entropy_share=0.9, max_repeats=50.0).collect()
+    assert entropy_of(plan) == pytest.approx(0.9 * math.log(9), abs=1e-5)
+    large = max(plan, key=lambda r: r.tokens)
+    assert large.weight > large.tokens / sum(r.tokens for r in plan)
+    got = sorted((r.doc_id, r.epoch) for r in mixed(docs(EVEN), entropy_share=0.9, max_repeats=50.0).collect())
+    assert got == brute_force(EVEN, entropy_share=0.9, repeats=50.0)
+
+
+def test_equal_sources_stay_equal(docs):
+    """No exponent changes their entropy."""
+    rows = [(n, "w " * 6, None, f"s{n % 9}") for n in range(90)]
+    plan = mixing_plan(docs(rows), entropy_share=0.5).collect()
+    assert [r.budget for r in plan] == [60] * 9
+
+
+def test_the_repetition_limit_wins(docs):
+    plan = mixing_plan(docs(ROWS), entropy_share=0.1, max_repeats=1.1).collect()
+    assert max(r.budget / r.tokens for r in plan) == pytest.approx(1.1, abs=1e-2)
+    assert entropy_of(plan) > 0.1 * math.log(len(plan))
+
+
+def test_no_document_is_lost_at_the_natural_weights(docs):
+    plan = mixing_plan(docs(ROWS), entropy_share=0.0, max_repeats=1.0).collect()
+    assert all(r.budget == r.tokens and (r.whole_epochs, r.cutoff) == (1, None) for r in plan)
+    rows = mixed(docs(ROWS), entropy_share=0.0, max_repeats=1.0).collect()
+    assert sorted((r.doc_id, r.epoch) for r in rows) == [(row[0], 1) for row in ROWS]
+
+
+@pytest.mark.parametrize("budget", [1, 7, 1_001, 4_799])
+def test_budgets_add_up(docs, budget):
+    assert sum(r.budget for r in mixing_plan(docs(ROWS), budget=budget).collect()) == budget
+
+
+def test_one_key_with_a_third_of_all_rows(docs):
+    rows = ROWS[:600] + [(7, "w w", None, "big")] * 300
+    frame = mixed(docs(rows), budget=900, rows_per_block=4)
+    taken = Counter(r.doc_id for r in frame.collect())
+    assert taken[7] in (0, 300, 301) and sum(taken.values()) > 100
+
+
 def test_the_plan_meets_target_and_limit(docs):
     plan = {r.source: r for r in mixing_plan(docs(ROWS), budget=6_000, max_repeats=1.4).collect()}
     assert sum(r.weight for r in plan.values()) == pytest.approx(1)
@@ -82,8 +155,9 @@ def test_the_plan_meets_target_and_limit(docs):
 
 def test_bisection_meets_its_bound(spark):
     shares = spark.createDataFrame([("a", 90, 0.9), ("b", 10, 0.1)], "source string, tokens bigint, share double")
-    found = bisected_exponent(shares, 0.6, 100.0, 100)
-    assert fits(shares, found, 0.6, 100.0, 100) and not fits(shares, found - 1e-6, 0.6, 100.0, 100)
+    found = round(bisected_exponent(shares, 0.6, 100.0, 100) * GRID)
+    measured = _measures(shares, [found - 1, found], 100)
+    assert measured[found][0] <= 0.6 < measured[found - 1][0]
 
 
 def test_nulls_empties_ties_and_clashing_columns(docs):
@@ -110,6 +184,13 @@ def test_a_budget_beyond_the_limit_is_refused(docs):
         mixing_plan(docs(ROWS), budget=10**9)
 
 
+def test_added_columns_by_other_names(docs):
+    rows = [(n, "a b", None, "s") for n in range(4)]
+    frame = docs(rows, ("epoch", "place"))
+    kept = mixed(frame, epoch="e", place="p", entropy_share=0.0).collect()
+    assert {(r.epoch, r.place, r.e) for r in kept} == {("clash", "clash", 1)}
+
+
 def test_empty_table(docs):
     assert mixed(docs([])).collect() == []
     assert mixed(docs([(1, "", None, "s"), (2, None, None, None)])).collect() == []

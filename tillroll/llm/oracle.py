@@ -34,28 +34,40 @@ ORACLE = {
         shares AS (
             SELECT source, tokens, tokens / budget::DOUBLE AS share
             FROM totals, whole WHERE tokens > 0),
-        tried(step, low, high, middle) AS (
-            SELECT -1, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE
+        -- Of three searches over exponents in millionths of a binary million: the first with at most
+        -- the target entropy, the first below 1 and the last above 1 that repeat no source too often.
+        tried(search, low, high) AS (
+            SELECT * FROM (VALUES (1, -1, 67108864), (2, -1, 1048576), (3, 1048576, 67108865))
             UNION ALL
-            SELECT step + 1, CASE WHEN fits THEN low ELSE middle END,
-                   CASE WHEN fits THEN middle ELSE high END,
-                   ((CASE WHEN fits THEN low ELSE middle END)
-                    + (CASE WHEN fits THEN middle ELSE high END)) / 2
+            SELECT search, CASE WHEN holds THEN low ELSE middle END, CASE WHEN holds THEN middle ELSE high END
             FROM (
-                SELECT step, any_value(low) AS low, any_value(high) AS high,
-                       any_value(middle) AS middle,
-                       ln(sum(pow(share, middle)))
-                         - sum(pow(share, middle) * ln(pow(share, middle)))
-                           / sum(pow(share, middle)) <= any_value(target) + 1e-12
-                       AND any_value(budget) * max(pow(share, middle) / tokens)
-                           / sum(pow(share, middle)) <= 4.0 + 1e-12 AS fits
-                FROM tried, shares, whole WHERE step < 24 GROUP BY step)),
-        found AS (SELECT high AS exponent FROM tried WHERE step = 24),
+                SELECT search, low, high, middle, CASE search
+                       WHEN 1 THEN ln(sum(p)) - sum(CASE WHEN p > 0 THEN p * ln(p) ELSE 0 END) / sum(p)
+                                   <= any_value(target) + 1e-12
+                       WHEN 2 THEN any_value(budget) * max(p / tokens) / sum(p) <= 4.0 + 1e-12
+                       ELSE any_value(budget) * max(p / tokens) / sum(p) > 4.0 + 1e-12 END AS holds
+                FROM (
+                    SELECT search, low, high, (low + high) // 2 AS middle, tokens, budget, target,
+                           pow(share, ((low + high) // 2) / 1048576.0) AS p
+                    FROM tried, shares, whole WHERE high - low > 1)
+                GROUP BY search, low, high, middle)),
+        found AS (
+            SELECT least(greatest(min(high) FILTER (search = 1), min(high) FILTER (search = 2)),
+                         max(low) FILTER (search = 3)) / 1048576.0 AS exponent
+            FROM tried),
         powered AS (SELECT source, tokens, pow(share, exponent) AS p FROM shares, found),
-        planned AS (
-            SELECT source, tokens,
-                   floor(round(p / (SELECT sum(p) FROM powered), 9) * budget)::BIGINT AS quota
+        exact AS (
+            SELECT source, tokens, budget, p / (SELECT sum(p) FROM powered) * budget AS quota
             FROM powered, whole),
+        floored AS (
+            SELECT *, floor(quota + 1e-6 + quota * 1e-12)::BIGINT AS held FROM exact),
+        ranked AS (
+            SELECT *, row_number() OVER (ORDER BY quota - held DESC, source NULLS FIRST) AS place,
+                   budget - sum(held) OVER () AS missing
+            FROM floored),
+        planned AS (
+            SELECT source, tokens, held + CASE WHEN place <= missing THEN 1 ELSE 0 END AS quota
+            FROM ranked),
         epochs AS (
             SELECT source, quota // tokens AS whole_epochs, quota % tokens AS rest FROM planned),
         placed AS (
