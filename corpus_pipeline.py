@@ -28,7 +28,7 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated or left out for the sources' target weights."""
-    return mixing.mixed(docs).select(docs.columns)
+    return mixing.mixed(docs, epoch="__epoch", place="__place").drop("__epoch", "__place")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -490,4 +490,3 @@ def test_events_are_read_without_the_log(spark, incoming, tmp_path):
     many_batches(spark, incoming, out)
     plan = read_streaming(spark, out)._jdf.queryExecution().executedPlan().toString()
     assert "ingest_log" not in plan and "max_by" not in plan and "HashAggregate" not in plan
-    assert "/superseded" in plan and "/batches" in plan
