@@ -1,37 +1,68 @@
 import hashlib
+import math
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tillroll.llm import secrets
-from tillroll.llm.secrets import PIECE, char_cost, log10_guesses, pieces, scanned
+from tillroll.llm.secrets import char_cost, date_cost, log10_guesses, scanned, word_cost
 
 RANKS = {"pass": 3, "word": 5, "password": 1, "monkey": 9, "abc": 7, "cat": 11}
 
 
-def cheapest_cut(value, ranks):
-    """Least cost over every way to cut the value, each tried."""
-    known = {}
-    for end, found in enumerate(pieces(value, ranks), 1):
-        for start, cost in found:
-            known[start, end] = min(cost, known.get((start, end), 99))
-
-    def cost_from(start, open_brute):
-        """open_brute: the piece before is a brute-force stretch that may go on."""
-        if start == len(value):
-            return 0.0
-        joint = PIECE if start else 0.0
-        own = char_cost(value[start]) + cost_from(start + 1, True)
-        best = own if open_brute else own + joint
-        for end in range(start + 1, len(value) + 1):
-            if (start, end) in known:
-                best = min(best, joint + known[start, end] + cost_from(end, False))
-        return best
-
-    return cost_from(0, False)
+ROWS_OF_KEYS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
+PLACES = {k: (2 * at + row, row) for row, keys in enumerate(ROWS_OF_KEYS) for at, k in enumerate(keys)}
+
+
+def move(a, b):
+    """Kind and direction from one character to the next, as in the alphabet or on the keyboard."""
+    for kind in (str.isalpha, str.isdigit):
+        if a.isascii() and b.isascii() and kind(a) and kind(b) and abs(ord(a) - ord(b)) == 1:
+            return "order", ord(b) - ord(a)
+    if a in PLACES and b in PLACES:
+        x, y = (one - other for one, other in zip(PLACES[b], PLACES[a]))
+        if (abs(x), abs(y)) in ((2, 0), (1, 1)):
+            return "keys", x, y
+    return None
+
+
+def walk(piece):
+    moves = [move(a, b) for a, b in zip(piece.lower(), piece.lower()[1:])]
+    if len(piece) < 3 or None in moves or len({m[0] for m in moves}) > 1:
+        return None
+    turns = 1 + sum(a != b for a, b in zip(moves, moves[1:]))
+    return math.log10(len(PLACES)) + turns * math.log10(4) + math.log10(len(piece))
+
+
+def cheapest_cut(value, ranks, known=None):
+    """Least cost over every way to cut the value, each tried; blocks of repeats alike."""
+    known = {} if known is None else known
+
+    def whole(piece):
+        """Cost of a piece that is not brute force."""
+        found = [word_cost(piece, ranks), walk(piece), date_cost(piece) if piece[0].isdigit() else None]
+        for width in range(1, len(piece) // 2 + 1):
+            times, rest = divmod(len(piece), width)
+            if not rest and piece[:width] * times == piece:
+                found.append(cheapest_cut(piece[:width], ranks, known) + math.log10(times))
+        return min((cost for cost in found if cost is not None), default=None)
+
+    if value not in known:
+        best = [0.0]
+        for end in range(1, len(value) + 1):
+            found = []
+            for start in range(end):
+                joint = best[start] + (math.log10(2) if start else 0.0)
+                found.append(joint + sum(map(char_cost, value[start:end])))
+                if (cost := whole(value[start:end])) is not None:
+                    found.append(joint + cost)
+            best.append(min(found))
+        known[value] = best[-1]
+    return known[value]
 
 
 @settings(max_examples=150, deadline=None)
@@ -45,6 +76,37 @@ def test_least_cost_of_words_dates_walks_and_repeats(value):
     assert log10_guesses(value, RANKS) == pytest.approx(cheapest_cut(value, RANKS))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from("ab1c"), min_size=1, max_size=4), st.integers(1, 4), st.text(st.sampled_from("abq"), max_size=3))
+def test_least_cost_of_repeats(block, times, tail):
+    value = block * times + tail + block * 2
+    assert log10_guesses(value, RANKS) == pytest.approx(cheapest_cut(value, RANKS))
+
+
+@pytest.mark.parametrize("value", ["asdfghj" * 4, "sunshinehouse" * 3, "qwertyuiop[]\\" * 3, "Summer1999" * 2, "x" * 60])
+def test_repeats_cost_their_blocks_own_least(value):
+    ranks = secrets.word_ranks()
+    assert log10_guesses(value) == pytest.approx(cheapest_cut(value, ranks))
+    assert log10_guesses(value) < secrets.MIN_LOG10_GUESSES
+
+
+def test_the_limit_only_cuts_off():
+    rng = random.Random(8)
+    for _ in range(300):
+        value = "".join(rng.choices(["pass", "a", "7", "qwe", "Zx", "cat", "#"], k=rng.randint(1, 9)))
+        whole = log10_guesses(value, RANKS)
+        for limit in (3.0, 6.0, 10.0):
+            assert log10_guesses(value, RANKS, limit) == (pytest.approx(whole) if whole < limit else math.inf)
+
+
+def test_long_words_walks_and_blocks():
+    long = "incomprehensibilities" * 2
+    assert log10_guesses(long, {long: 40}) == pytest.approx(math.log10(40))
+    assert log10_guesses("abcdefghijklmnopqrstuvwxyz", RANKS) < 5
+    block = "".join(random.Random(3).choices("abcdefgh", k=30))
+    assert log10_guesses(block * 2, RANKS) < log10_guesses(block, RANKS) + 1
+
+
 def test_what_is_easy_to_guess_is_cheap():
     cheap = ["password", "required", "qwertyuiop", "aaaaaaaaaaaa", "20230415", "P@ssw0rd1", "Summer2023!", "abcdefgh"]
     dear = ["k7#Qw9!zLp", "0641917ea4e9feb9cda83477b57ac265", "xK9f2LmQvT"]
@@ -54,7 +116,12 @@ def test_what_is_easy_to_guess_is_cheap():
 def test_long_values_take_time_in_proportion():
     assert log10_guesses("aB3$" * 5_000) < 20  # a repeated block
     rng = random.Random(1)
-    assert log10_guesses("".join(rng.choices("bcdfghjkmnpqrstvwxz", k=3_000))) > 3_000
+    value = "".join(rng.choices("bcdfghjkmnpqrstvwxz", k=3_000))
+    assert log10_guesses(value) > 3_000
+    start = time.perf_counter()
+    for text in ("a" * 20_000, value * 50, "qwertyuiop" * 2_000, "Ab1" * 9_000):
+        log10_guesses(text, limit=10.0)
+    assert time.perf_counter() - start < 60
 
 
 def plain_base(text):

@@ -7,13 +7,16 @@ match), `access` (20 or more), `hex` (24 or more).
 `guess` spans are added to them: values that stand behind a credential name, whatever characters they
 are made of, and that a guesser would need many tries for. The number of tries is the least over all
 ways of cutting the value into dictionary words (with capitals and look-alike digits), dates,
-repeats, keyboard walks and brute-force stretches, found by dynamic programming over the value. So
-"password is required" is no secret and "password is k7#Qw9!zLp" is.
+repeats, keyboard walks and brute-force stretches, found by dynamic programming over the value; the
+block of a repeat is priced by the same programme. So "password is required" is no secret and "password
+is k7#Qw9!zLp" is.
 
 Words are ranked by their place in a public tokenizer's vocabulary, which is sorted by frequency, so
-nothing is learned from the corpus. Spans are code-point offsets, end exclusive. Texts are scanned
-whole, values of any length cost time in proportion to it; null text is empty and has no spans. Each
-row is judged by itself, in one pass without a shuffle.
+nothing is learned from the corpus. Spans are code-point offsets, end exclusive. Texts, words, walks and
+repeated blocks may be of any length; a value is cut on only while that costs less than the limit. Null
+text is empty and has no spans. Each row is judged by itself, in one pass without a shuffle, so repeated
+rows agree and an empty table gives an empty result. Columns beside doc_id and text are ignored,
+whatever their names.
 """
 
 import functools
@@ -23,6 +26,7 @@ import math
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,7 +70,6 @@ KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "0123456789")
 YEAR_NOW = 2025
 
-LONGEST_PIECE = 24
 LONGEST_DATE = 10
 _DATE = re.compile(
     r"(?:(?P<y1>(?:19|20)\d\d)([-/._]?)(?:0[1-9]|1[0-2])\2(?:0[1-9]|[12]\d|3[01]))$"
@@ -84,20 +87,20 @@ def word_ranks(path: str = VOCABULARY) -> dict[str, int]:
     ranks = {word: rank for rank, word in enumerate(COMMON, 1)}
     for token, _ in sorted(vocab.items(), key=lambda entry: entry[1]):
         word = token.removeprefix("Ġ").lower()
-        if 3 <= len(word) <= LONGEST_PIECE and word.isascii() and word.isalpha():
+        if len(word) >= 3 and word.isascii() and word.isalpha():
             ranks.setdefault(word, len(ranks) + 1)
     return ranks
 
 
-def _neighbours() -> dict[str, str]:
-    """Keys beside each key of a keyboard whose rows are shifted by half a key."""
+def _neighbours() -> dict[str, dict[str, tuple[int, int]]]:
+    """Keys beside each key, with the direction, of a keyboard whose rows are shifted by half a key."""
     at = {key: (row, 2 * place + row) for row, keys in enumerate(KEY_ROWS) for place, key in enumerate(keys)}
     return {
-        key: "".join(
-            other
+        key: {
+            other: (r - row, p - place)
             for other, (r, p) in at.items()
             if (r == row and abs(p - place) == 2) or (abs(r - row) == 1 and abs(p - place) == 1)
-        )
+        }
         for key, (row, place) in at.items()
     }
 
@@ -153,82 +156,138 @@ WALK_TURN = math.log10(4)
 PIECE = math.log10(2)
 
 
-def _step(before: str, after: str) -> tuple[str, int] | None:
+def _step(before: str, after: str) -> tuple | None:
     """Kind and direction of the move from one key to the next, if it is part of a walk."""
     for alphabet in ALPHABETS:
         if before in alphabet and after in alphabet:
             gap = alphabet.index(after) - alphabet.index(before)
             if abs(gap) == 1:
                 return "order", gap
-    beside = NEIGHBOURS.get(before, "")
-    return ("keys", beside.index(after)) if after in beside else None
+    direction = NEIGHBOURS.get(before, {}).get(after)
+    return None if direction is None else ("keys", direction)
+
+
+def _walks(steps: list, start: int) -> Iterator[tuple[int, float]]:
+    """(end, cost) of the walks over three keys and more that begin at `start`."""
+    if start + 1 >= len(steps) or steps[start + 1] is None:
+        return
+    turns, first = 1, steps[start + 1]
+    for end in range(start + 2, len(steps)):
+        step = steps[end]
+        if step is None or step[0] != first[0]:
+            return
+        turns += step != steps[end - 1]
+        yield end + 1, WALK_START + WALK_TURN * turns + math.log10(end + 1 - start)
 
 
-def walk_costs(value: str, steps: list, end: int) -> Iterator[tuple[int, float]]:
-    """(start, cost) of the walks over three keys and more that end at `end`."""
-    turns, start = 1, end - 1
-    while start > 0 and end - start < LONGEST_PIECE:
-        step, later = steps[start], steps[start + 1] if start + 1 < end else None
-        if step is None or (later is not None and later[0] != step[0]):
-            return
-        turns += later is not None and later != step
-        start -= 1
-        if end - start >= 3:
-            yield start, WALK_START + WALK_TURN * turns + math.log10(end - start)
-
-
-def pieces(value: str, ranks: dict[str, int]) -> Iterator[list[tuple[int, float]]]:
-    """For every end from 1: (start, cost) of the words, dates, walks and repeats that end there."""
-    lowered = value.lower()
-    steps = [None, *(_step(a, b) for a, b in zip(lowered, lowered[1:]))]
-    blocks, run = _repeated_blocks(value, ranks), 0
-    for end in range(1, len(value) + 1):
-        found = list(blocks.get(end, ()))
-        for start in range(max(0, end - LONGEST_PIECE), end - 2):
-            piece = value[start:end]
-            if (cost := word_cost(piece, ranks)) is not None:
-                found.append((start, cost))
-            if piece[0].isdigit() and (cost := date_cost(piece)) is not None:
-                found.append((start, cost))
-        found += walk_costs(value, steps, end)
-        run = run if end > 1 and value[end - 1] == value[end - 2] else end - 1
-        if end - run >= 3:
-            found.append((run, char_cost(value[run]) + math.log10(end - run)))
-        yield found
-
-
-def log10_guesses(value: str, ranks: dict[str, int] | None = None) -> float:
-    """Least log10 of tries over all cuts of the value; each piece after the first doubles them."""
-    ranks = word_ranks() if ranks is None else ranks
-    # Least cost up to each end, and of cuts whose last piece is a brute-force stretch, which goes
-    # on by a character at a time.
-    best, brute = [0.0], math.inf
-    for end, found in enumerate(pieces(value, ranks), 1):
-        brute = min(brute, best[-1] + PIECE * (end > 1)) + char_cost(value[end - 1])
-        costs = (best[start] + PIECE * (start > 0) + cost for start, cost in found)
-        best.append(min(brute, min(costs, default=math.inf)))
-    return best[-1]
-
-
-def _repeated_blocks(value: str, ranks: dict[str, int]) -> dict[int, list[tuple[int, float]]]:
-    """Blocks of 2 to LONGEST_PIECE characters that stand there two and more times, by end."""
-    found: dict[int, list[tuple[int, float]]] = {}
-    for width in range(2, min(LONGEST_PIECE, len(value) // 2) + 1):
-        at = 0
-        while at + 2 * width <= len(value):
-            times = 1
-            while value.startswith(value[at : at + width], at + times * width):
-                times += 1
-            if times > 1:
-                block = value[at : at + width]
-                cost = word_cost(block, ranks)
-                plain = sum(map(char_cost, block))
-                cost = plain if cost is None else min(cost, plain)
-                for n in range(2, times + 1):
-                    found.setdefault(at + n * width, []).append((at, cost + math.log10(n)))
-                at += (times - 1) * width
+class _Words:
+    """Ranked words and all that they begin with."""
+
+    def __init__(self, ranks: dict[str, int]):
+        self.ranks = ranks
+        self.longest = max(map(len, ranks), default=0)
+        self.beginnings = {word[:size] for word in ranks for size in range(1, len(word) + 1)}
+
+    def from_(self, value: str, start: int) -> Iterator[tuple[int, float]]:
+        """(end, cost) of the words that begin at `start`."""
+        lowered = value[start : start + self.longest].lower()
+        plain, known = lowered.translate(LOOKALIKES), self.beginnings
+        for size in range(1, len(lowered) + 1):
+            if lowered[:size] not in known and plain[:size] not in known:
+                return
+            if lowered[:size] in self.ranks or plain[:size] in self.ranks:
+                yield start + size, word_cost(value[start : start + size], self.ranks)
+
+
+@functools.lru_cache(maxsize=2)
+def ranked_words(path: str = VOCABULARY) -> _Words:
+    return _Words(word_ranks(path))
+
+
+class Guesser:
+    """Least log10 of tries over all cuts of a value; each piece after the first doubles them.
+
+    Costs of `limit` and more count as infinite, and nothing is cut on from there, so a long value
+    that is dear is settled by its beginning.
+    """
+
+    def __init__(self, words: _Words, limit: float = math.inf):
+        self.words, self.limit, self.blocks = words, limit, {}
+
+    def cost(self, value: str) -> float:
+        lowered, codes = value.lower(), np.frombuffer(value.encode("utf-32-le", "surrogatepass"), "<u4")
+        # The way to each key from the one before; lower-casing may make a character two.
+        steps = [None, *map(_step, lowered, lowered[1:])] if len(lowered) == len(value) else [None] * len(value)
+        # Least cost up to each end, and of cuts whose last piece is a brute-force stretch, which goes
+        # on by a character at a time.
+        best, brute = np.full(len(value) + 1, math.inf), math.inf
+        best[0] = 0.0
+        for start, char in enumerate(value):
+            so_far = float(best[start])
+            if so_far >= self.limit and brute >= self.limit:
+                brute = math.inf
+                continue
+            joint = so_far + PIECE * (start > 0)
+            brute = min(brute, joint) + char_cost(char)
+            best[start + 1] = min(best[start + 1], brute)
+            if joint >= self.limit:
+                continue
+            for end, cost in self.words.from_(value, start):
+                best[end] = min(best[end], joint + cost)
+            for end, cost in _walks(steps, start):
+                best[end] = min(best[end], joint + cost)
+            if char.isdigit():
+                for end in range(start + 4, min(len(value), start + LONGEST_DATE) + 1):
+                    if (cost := date_cost(value[start:end])) is not None:
+                        best[end] = min(best[end], joint + cost)
+            for width, times in self._repeats(value, codes, start):
+                cost = joint + self._block(value[start : start + width])
+                ends = best[start + 2 * width : start + times * width + 1 : width]
+                np.minimum(ends, cost + _logs(times)[2:], out=ends)
+        return float(best[-1]) if best[-1] < self.limit else math.inf
+
+    def _block(self, block: str) -> float:
+        if block not in self.blocks:
+            self.blocks[block] = char_cost(block) if len(block) == 1 else self.cost(block)
+        return self.blocks[block]
+
+    def _repeats(self, value: str, codes: np.ndarray, start: int) -> Iterator[tuple[int, int]]:
+        """(width, times) of the blocks that begin at `start` and stand there twice and more.
+
+        A block that is itself a repeat says what its own block says, unless it is a word. Inside a
+        run of blocks there are no others but such, so only wider ones than fit twice into it are
+        looked for beyond it.
+        """
+        widths = np.flatnonzero(codes[start + 1 : (len(codes) + start) // 2 + 1] == codes[start]) + 1
+        at, beyond = 0, 0
+        while at < len(widths):
+            width = int(widths[at])
+            if self.words.longest < width <= beyond:
+                at = int(np.searchsorted(widths, beyond, "right"))
+                continue
             at += 1
-    return found
+            if value[start : start + width] != value[start + width : start + 2 * width]:
+                continue
+            differ = np.flatnonzero(codes[start + width :] != codes[start : len(codes) - width])
+            run = int(differ[0]) + width if len(differ) else len(codes) - start
+            yield width, run // width
+            beyond = max(beyond, run // 2)
+
+
+@functools.lru_cache(maxsize=64)
+def _logs_to(size: int) -> np.ndarray:
+    return np.log10(np.maximum(1, np.arange(size)))
+
+
+def _logs(times: int) -> np.ndarray:
+    """log10 of 0 to `times`."""
+    return _logs_to(1 << (times + 1).bit_length())[: times + 1]
+
+
+def log10_guesses(value: str, ranks: dict[str, int] | None = None, limit: float = math.inf) -> float:
+    """Least log10 of tries over all cuts of the value, infinite from `limit` on."""
+    words = ranked_words() if ranks is None else _Words(ranks)
+    return Guesser(words, limit).cost(value)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -246,11 +305,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=_by_start)
 
 
-def guess_spans(text: str, minimum: float, ranks: dict[str, int]) -> list[tuple[int, int, str]]:
+def guess_spans(text: str, minimum: float, words: _Words) -> list[tuple[int, int, str]]:
     return [
         (m.start(1), m.end(1), "guess")
         for m in CONTEXT.finditer(text)
-        if log10_guesses(m[1], ranks) >= minimum
+        if Guesser(words, minimum).cost(m[1]) >= minimum
     ]
 
 
@@ -277,12 +336,12 @@ def scanned(
     )
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = word_ranks(vocabulary)
+        words = ranked_words(vocabulary)
         for part, texts in text_slices(batches):
             found = []
             for text in texts:
                 base = base_spans(text)
-                every = sorted(base + guess_spans(text, minimum, ranks), key=_by_start)
+                every = sorted(base + guess_spans(text, minimum, words), key=_by_start)
                 kinds = [span[2] for span in every]
                 digest = hashlib.sha256(written(base).encode()).hexdigest()
                 found.append((*(kinds.count(kind) for kind in KINDS), digest, written(every)))
