@@ -2,11 +2,12 @@
 
 Listed rules decide first: a rule fits its host and all subdomains if the path starts with the
 rule's, and the longest fitting rule wins. What no listed rule fits is judged by association rules:
-combinations of URL tokens that go with a label are mined level by level, rules below the wanted
-support or confidence are pruned, and so is a rule when part of its tokens says the same at least as
-surely. A combination grows only while a longer one could still be surer: not when all its URLs have
-one label, and not when one of its tokens stands in all URLs that have the others. What is left out
-is what the pruning would drop, so support and confidence are exact however many tokens a URL has.
+combinations of URL tokens that go with a label are mined by Spark's FP-growth, with the label as an
+item of its URL, rules below the wanted support or confidence are pruned, and so is a rule when part of
+its tokens says the same at least as surely. Whole token sets are mined, less what cannot change the
+result: tokens below the support, and ones whose URLs have one label, which are rules by themselves and
+in longer ones would be pruned; and tokens that always come together are mined as one and put in again
+afterwards. So support and confidence are exact however many tokens a URL has.
 The rules left are matched by an inverted index: each is filed under its rarest token, is met through
 that token, and applies if all its tokens are there. Of the rules that apply the surest wins, then
 the one with more support, fewer tokens, and the first in text order; without any, the label most
@@ -15,8 +16,9 @@ URLs have.
 Tokens are scheme, host labels, path segments, file ending, names in the query and whether there is
 a fragment, with digits made alike. Matching runs over distinct token sets, so a pattern that a third
 of all URLs share is judged once; the verdicts come back by a join whose hot keys adaptive execution
-splits. Mining is a fit: it takes at most `labelled_rows` labelled URLs, those with the smallest hash,
-with all their tokens; judging covers every row and every token.
+splits. Mining is a fit: it takes at most `labelled_rows` labelled URLs, drawn by a hash, with all their
+tokens; judging covers every row and every token. FP-growth lists every frequent combination: frequent
+tokens of both labels that come and go independently of each other multiply, see the README.
 
 Null URLs, and ones without `://`, have an empty host and path and no tokens; they get the most
 frequent label unless a rule fits. Repeated rows are judged alike, URLs of any length are taken
@@ -25,8 +27,8 @@ whole, and an empty table gives an empty result. Added columns replace ones of t
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,8 @@ MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.75
 LABELLED_ROWS = 500_000
 SEED = 3
+# Marks a basket's label among its items; no token begins so.
+LABEL = "label:"
 
 
 @dataclass(frozen=True)
@@ -141,93 +145,108 @@ def mined_rules(
     )
     if not total:
         return sample.sparkSession.createDataFrame([], schema)
-    least = min_support * total
     alike = stored(sample.groupBy("tokens", "label").agg(F.count("*").alias("n")))
-    single = alike.withColumn("rule_tokens", F.explode("tokens"))
-    single = single.withColumn("rule_tokens", F.array("rule_tokens"))
-    levels = [_counted(single, least)]
-    tokens = levels[0].select(F.col("rule_tokens")[0].alias("token"), "n")
-    growing = stored(_open(levels[0]))
+    single = stored(_single(alike, min_support * total))
+    tokens = single.select("token", "n")
+    pure = _rules(single.where("not mixed"), total, min_confidence)
+    # Of tokens that always come together one is mined for all.
+    classes = stored(
+        single.where("mixed")
+        .groupBy("n", "urls", "same_urls")
+        .agg(F.min("token").alias("item"), F.sort_array(F.collect_list("token")).alias("members"))
+        .select("item", "members")
+    )
     # At most tokens-per-URL / min_support names, whatever the size of the input.
-    names = [row.token for row in growing.select(F.col("rule_tokens")[0].alias("token")).collect()]
-    kept = F.array_sort(F.array_intersect(F.col("tokens"), F.lit(names).cast("array<string>")))
-    rows = alike.select(kept.alias("tokens"), "label", "n").groupBy("tokens", "label")
-    rows = stored(rows.agg(F.sum("n").alias("n")).where(F.size("tokens") > 1))
-    met = _pairs(rows)
-    while True:
-        level = _counted(met, least)
-        levels.append(level)
-        growing = stored(_open(level, levels[-2]))
-        candidates = stored(_grown(growing))
-        if candidates.isEmpty():
-            break
-        met = _containing(rows, _filed(candidates, tokens))
-    found = reduce(DataFrame.union, levels).withColumn("one", F.explode("by_label"))
-    confidence = F.col("one.hits") / F.col("n")
-    rules = stored(
-        found.where(confidence >= min_confidence).select(
-            "rule_tokens",
-            F.col("one.label").alias("verdict"),
-            confidence.alias("confidence"),
-            (F.col("one.hits") / F.lit(total)).alias("support"),
+    names = [row.item for row in classes.select("item").collect()]
+    rules = pure
+    if names:
+        kept = F.array_intersect(F.col("tokens"), F.lit(names).cast("array<string>"))
+        items = F.array_append(kept, F.concat(F.lit(LABEL), F.col("label"))).alias("items")
+        baskets = alike.select(items, F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+        model = FPGrowth(itemsCol="items", minSupport=min_support).fit(stored(baskets.select("items")))
+        found = _labelled_sets(stored(model.freqItemsets), total, min_confidence)
+        rules = pure.unionByName(_expanded(_pruned(stored(found)), classes))
+    return _filed(stored(rules), tokens)
+
+
+def _single(alike: DataFrame, least: float) -> DataFrame:
+    """Tokens that some label has `least` times: n, hits by label, and what tells their URLs apart.
+
+    `mixed` ones have URLs of two labels; with others, no further token makes a surer rule.
+    """
+    one = alike.withColumn("token", F.explode("tokens"))
+    hits = one.groupBy("token", "label").agg(
+        F.sum("n").alias("hits"),
+        F.bit_xor(F.xxhash64("tokens", "label")).alias("urls"),
+        F.bit_xor(F.xxhash64(F.lit(SEED), "label", "tokens")).alias("same_urls"),
+    )
+    return (
+        hits.groupBy("token")
+        .agg(
+            F.sum("hits").alias("n"),
+            F.collect_list(F.when(F.col("hits") >= least, F.struct("label", "hits"))).alias("by_label"),
+            F.bit_xor("urls").alias("urls"),
+            F.bit_xor("same_urls").alias("same_urls"),
         )
+        .where(F.size("by_label") > 0)
+        .withColumn("mixed", F.exists("by_label", lambda one: one["hits"] < F.col("n")))
     )
-    return _filed(_pruned(rules), tokens)
 
 
-def _counted(met: DataFrame, least: float) -> DataFrame:
-    """Stored rule_tokens with n, their URLs, and the labels that at least `least` of them have."""
-    hits = met.groupBy("rule_tokens", "label").agg(F.sum("n").alias("hits"))
-    often = F.when(F.col("hits") >= least, F.struct("label", "hits"))
-    counts = hits.groupBy("rule_tokens").agg(
-        F.sum("hits").alias("n"), F.collect_list(often).alias("by_label")
-    )
-    return stored(counts.where(F.size("by_label") > 0))
+def _rules(single: DataFrame, total: int, min_confidence: float) -> DataFrame:
+    """Rules of one token."""
+    one = single.select(F.array("token").alias("rule_tokens"), "n", F.explode("by_label").alias("one"))
+    return _sure(one.select("rule_tokens", "n", "one.label", "one.hits"), total, min_confidence)
 
 
-def _parts(level: DataFrame) -> DataFrame:
-    """Each row once for every token, with `part`, the other tokens."""
-    others = F.transform("rule_tokens", lambda t: F.array_remove(F.col("rule_tokens"), t))
-    return level.withColumn("part", F.explode(others))
+def _sure(counted: DataFrame, total: int, min_confidence: float) -> DataFrame:
+    confidence = F.col("hits") / F.col("n")
+    return counted.where(confidence >= min_confidence).select(
+        "rule_tokens",
+        F.col("label").alias("verdict"),
+        confidence.alias("confidence"),
+        (F.col("hits") / F.lit(total)).alias("support"),
+    )
 
 
-def _open(level: DataFrame, shorter: DataFrame | None = None) -> DataFrame:
-    """`rule_tokens` of which more tokens can make a surer rule.
+def _labelled_sets(sets: DataFrame, total: int, min_confidence: float) -> DataFrame:
+    """Rules from frequent sets: those with a label over those of the same tokens without."""
 
-    Not if all URLs have one label, nor if as many URLs have one token less: each longer one then
-    says what a part of it says.
-    """
-    mixed = level.where(F.exists("by_label", lambda one: one["hits"] < F.col("n")))
-    if shorter is None:
-        return mixed.select("rule_tokens")
-    known = shorter.select(F.col("rule_tokens").alias("part"), F.col("n").alias("part_n"))
-    met = _parts(mixed).join(known, "part").groupBy("rule_tokens")
-    return met.agg(F.min(F.col("part_n") > F.col("n")).alias("free")).where("free").drop("free")
-
-
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Every two tokens of a row, as `rule_tokens` with label and n."""
-    first = rows.select("tokens", "label", "n", F.posexplode("tokens").alias("at", "one"))
-    others = F.slice("tokens", F.col("at") + 2, F.size("tokens"))
-    both = first.select("label", "n", "one", F.explode(others).alias("other"))
-    return both.select(F.array("one", "other").alias("rule_tokens"), "label", "n")
-
-
-def _grown(growing: DataFrame) -> DataFrame:
-    """`rule_tokens` one token longer, of which every part is growing."""
-    size = F.size("rule_tokens")
-    ends = growing.select(
-        F.slice("rule_tokens", F.lit(1), size - 1).alias("begin"),
-        F.element_at("rule_tokens", -1).alias("last"),
+    def is_label(item: Column) -> Column:
+        return F.startswith(item, F.lit(LABEL))
+
+    with_label, without = F.filter("items", is_label), F.filter("items", lambda item: ~is_label(item))
+    parted = sets.select(
+        F.array_sort(without).alias("rule_tokens"), F.get(with_label, F.lit(0)).alias("label"), "freq"
+    )
+    plain = parted.where("label is null").select(
+        F.col("rule_tokens").alias("plain_tokens"), F.col("freq").alias("n")
     )
-    longer = (
-        ends.join(ends.withColumnRenamed("last", "next"), "begin")
-        .where(F.col("last") < F.col("next"))
-        .select(F.concat("begin", F.array("last", "next")).alias("rule_tokens"))
+    label = F.substring("label", len(LABEL) + 1, 1 << 20).alias("label")
+    rows = parted.where("label is not null").join(plain, F.col("rule_tokens") == F.col("plain_tokens"))
+    return _sure(rows.select("rule_tokens", "n", label, F.col("freq").alias("hits")), total, min_confidence)
+
+
+def _expanded(rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each rule once for every choice of a token from the class of each of its items."""
+    spread = rules.withColumn("own", F.explode("rule_tokens"))
+    met = spread.join(classes, F.col("own") == F.col("item")).groupBy(*rules.columns)
+    chosen = F.aggregate(
+        F.collect_list("members"),
+        F.array(F.array().cast("array<string>")),
+        lambda begun, members: F.flatten(
+            F.transform(begun, lambda one: F.transform(members, lambda token: F.array_append(one, token)))
+        ),
     )
-    met = _parts(longer).join(growing.select(F.col("rule_tokens").alias("part")), "part")
-    whole = met.groupBy("rule_tokens").agg(F.count("*").alias("parts"))
-    return whole.where(F.col("parts") == F.size("rule_tokens")).drop("parts")
+    named = met.agg(chosen.alias("choices")).withColumn("choice", F.explode("choices"))
+    rest = [name for name in rules.columns if name != "rule_tokens"]
+    return named.select(F.array_sort("choice").alias("rule_tokens"), *rest)
+
+
+def _parts(level: DataFrame) -> DataFrame:
+    """Each row once for every token, with `part`, the other tokens."""
+    others = F.transform("rule_tokens", lambda t: F.array_remove(F.col("rule_tokens"), t))
+    return level.withColumn("part", F.explode(others))
 
 
 def _containing(rows: DataFrame, filed: DataFrame) -> DataFrame:
