@@ -127,6 +127,34 @@ def test_words_that_all_languages_repeat_do_not_cost_a_document(docs, rows):
     assert in_known_languages(docs(hot)).count() == len(hot)
 
 
+UNLEARNED = (
+    "La lingvo Esperanto estas konstruita lingvo kiu celas faciligi komunikadon inter homoj de malsamaj "
+    "landoj kaj estis kreita de Ludoviko Zamenhof en la jaro mil okcent okdek sep"
+)
+
+
+def test_gibberish_and_unlearned_languages_go(docs, rows):
+    rng = random.Random(2)
+    random_words = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(n))
+    planted = [(9_000 + n, random_words(3 * n + 4)) for n in range(20)] + [(9_100, UNLEARNED), (9_101, UNLEARNED * 50)]
+    planted += [(9_200, "ing ing ing " * 2_000), (9_201, "The the. THE!"), (9_202, "ould erly thing whing " * 9)]
+    kept = {r.doc_id for r in in_known_languages(docs(rows + planted)).collect()}
+    assert kept == {d for d, *_ in rows} | {9_200, 9_201, 9_202}
+
+
+def test_evidence_counts_distinct_words(docs, rows):
+    model = fit(docs(rows), max_words=50)
+    texts = [t + " zqxj zqxj wvkq" for _, t, _ in rows[:40]]
+    for (n, sure), text in zip(Scorer(model, seen_words=30).judge(texts)[2], texts):
+        words = set(__import__("re").findall(r"[^\W\d_]+", text.lower()))
+        marked = {w: f"^{w}$" for w in words}
+        known = {
+            w for w, m in marked.items()
+            if w in model.words or any(m[i : i + min(5, len(m))] in model.ngrams for i in range(max(1, len(m) - 4)))
+        }
+        assert (n, sure) == (len(words), len(known))
+
+
 def test_without_labels_or_rows(docs):
     assert {r.lang_pred for r in identified(docs([(1, "some text"), (2, None)])).collect()} == {"und"}
     assert identified(docs([])).collect() == []

@@ -15,7 +15,8 @@ shuffle, whatever its length.
 
 A text that is null, empty or without a letter is `und` with score 0, as is everything when there
 are no labelled rows. Rows are judged one by one, so repeats agree and an empty table gives an empty
-result.
+result. Columns beside doc_id, text and lang are not looked at, whatever their names; the filter keeps
+them as they are.
 """
 
 import re
@@ -38,7 +39,8 @@ LONGEST_NGRAM = 5
 SMOOTHING = 0.5
 SEEN_WORDS = 150_000
 SLICE_CHARS = 2_000_000
-MIN_SCORE = 0.0
+MIN_SURE = 0.5
+FEW_WORDS = 3
 # Languages are told apart by columns of a table; more labels than this are something else.
 MAX_LANGUAGES = 1_000
 
@@ -60,19 +62,22 @@ class LanguageModel:
     ngrams: dict[str, int] = field(default_factory=dict)
     ngram_scores: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
 
-    def known_ngrams(self, word: str) -> list[int]:
-        """Rows of the word's n-grams of the longest order of which any is known."""
+    def known_ngrams(self, word: str) -> tuple[list[int], bool]:
+        """Rows of the word's n-grams of the longest order of which any is known; whether none is longer."""
         marked, ngrams = f"^{word}$", self.ngrams
-        for order in range(min(LONGEST_NGRAM, len(marked)), 0, -1):
+        longest = min(LONGEST_NGRAM, len(marked))
+        for order in range(longest, 0, -1):
             pieces = [marked[at : at + order] for at in range(len(marked) - order + 1)]
             found = [row for row in map(ngrams.get, pieces) if row is not None]
             if found:
-                return found
-        return []
-
-    def unseen_scores(self, words: list[str]) -> np.ndarray:
-        """A row for each word: the mean over its known n-grams; zeros if there are none."""
-        rows = [self.known_ngrams(word) for word in words]
+                return found, order == longest
+        return [], False
+
+    def unseen_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each word the mean over its known n-grams, zeros if there are none; and whether any of
+        the longest order is known."""
+        known = [self.known_ngrams(word) for word in words]
+        rows = [found for found, _ in known]
         sizes = np.fromiter(map(len, rows), np.int64, len(rows))
         scores = np.zeros((len(words), len(self.languages)))
         if sizes.any():
@@ -80,7 +85,7 @@ class LanguageModel:
             starts = np.cumsum(sizes[sizes > 0]) - sizes[sizes > 0]
             sums = np.add.reduceat(self.ngram_scores[flat], starts, axis=0)
             scores[sizes > 0] = sums / sizes[sizes > 0, None]
-        return scores
+        return scores, np.fromiter((sure for _, sure in known), bool, len(known))
 
 
 def _probabilities(scores: np.ndarray) -> np.ndarray:
@@ -99,6 +104,8 @@ class Scorer:
         self.model, self.n = model, len(model.languages)
         self.lasting = len(model.words) + 1
         self.table = np.zeros((self.lasting + seen_words, 2 * self.n))
+        self.sure = np.zeros(len(self.table), bool)
+        self.sure[1 : self.lasting] = True
         self.places: dict[str, int] = {}
         if model.words:
             scores = model.word_scores
@@ -109,13 +116,13 @@ class Scorer:
         self.places = {word: row + 1 for word, row in self.model.words.items()}
         self.next = self.lasting
 
-    def _rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """A row for each distinct word, in the table or in the extra rows behind it."""
+    def _rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A row for each distinct word, in the table or in the extra rows behind it, and which are sure."""
         found = list(map(self.places.get, words))
         missing = [place for place, row in enumerate(found) if row is None]
-        extra = np.empty((0, 2 * self.n))
+        extra, sure = np.empty((0, 2 * self.n)), np.empty(0, bool)
         if missing:
-            scores = self.model.unseen_scores([words[place] for place in missing])
+            scores, sure = self.model.unseen_scores([words[place] for place in missing])
             extra = np.hstack([scores, _probabilities(scores)])
             said = scores.any(axis=1)
             room = len(self.table) - self.next
@@ -124,6 +131,7 @@ class Scorer:
                 return self._rows(words)
             kept = min(room, len(missing))
             self.table[self.next : self.next + kept] = extra[:kept]
+            self.sure[self.next : self.next + kept] = sure[:kept]
             for number, place in enumerate(missing):
                 if not said[number]:
                     found[place] = 0
@@ -132,13 +140,26 @@ class Scorer:
                 if number < kept:
                     self.places[words[place]] = found[place]
             self.next += kept
-        return np.fromiter(found, np.int64, len(found)), extra
+        rows = np.fromiter(found, np.int64, len(found))
+        flags = self.sure[np.minimum(rows, len(self.table) - 1)]
+        beyond = rows >= len(self.table)
+        flags[beyond] = sure[rows[beyond] - len(self.table)]
+        return rows, extra, flags
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""
+        names, scores, _ = self.judge(texts)
+        return names, scores
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], list[tuple[int, int]]]:
+        """Language, score, and (distinct words, how many of them are sure) of each text.
+
+        A word is sure if it is known, or one of its n-grams of the longest order.
+        """
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        evidence = [(0, 0)] * len(texts)
         if not self.n:
-            return names, scores
+            return names, scores, evidence
         found = [_WORD.findall(text.lower()) if text else [] for text in texts]
         spoken = [
             place
@@ -146,11 +167,11 @@ class Scorer:
             if any(any(map(str.isalpha, word)) for word in words)
         ]
         if not spoken:
-            return names, scores
+            return names, scores, evidence
         flat = pa.array([w for place in spoken for w in found[place]], pa.large_string())
         encoded = flat.dictionary_encode()
         distinct = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        rows, extra = self._rows(distinct)
+        rows, extra, sure = self._rows(distinct)
         beyond = rows >= len(self.table)
         values = self.table[np.where(beyond, 0, rows)]
         values[beyond] = extra[rows[beyond] - len(self.table)]
@@ -160,11 +181,13 @@ class Scorer:
             own = numbers[start:end]
             counts = np.bincount(own) if end - start > len(distinct) else None
             total = counts @ values[: len(counts)] if counts is not None else values[own].sum(axis=0)
-            said = int(np.count_nonzero(rows[own]))
+            said = int(np.count_nonzero(rows[own]))  # words, repeats counted
             best = int(total[: self.n].argmax())
             names[place] = self.model.languages[best]
+            own = np.flatnonzero(counts) if counts is not None else np.unique(own)
+            evidence[place] = (len(own), int(np.count_nonzero(sure[own])))
             scores[place] = float(min(1.0, total[self.n + best] / said)) if said else 0.0
-        return names, scores
+        return names, scores, evidence
 
 
 def labelled_sample(docs: DataFrame, per_language: int) -> tuple[DataFrame, list[str]]:
@@ -269,13 +292,16 @@ def identified(docs: DataFrame, **limits) -> DataFrame:
 
 
 def in_known_languages(
-    docs: DataFrame, min_score: float = MIN_SCORE, **limits
+    docs: DataFrame, min_sure: float = MIN_SURE, few_words: int = FEW_WORDS, **limits
 ) -> DataFrame:
-    """The documents, all columns, whose language is found with a score above `min_score`.
-
-    Learned from the same documents, but for the held-out ones. By default only texts go that have no
-    letter or nothing in common with a learned language: text that repeats a few words all languages
-    have gets a low score, whatever its language.
+    """The documents, all columns, in a language that is learned.
+
+    Learned from the same documents, but for the held-out ones. A text goes if it has no letter or
+    nothing in common with a learned language, and if less than `min_sure` of its distinct words are
+    sure: known, or with a known n-gram of the longest order. So gibberish and languages that no label
+    names go, and text that repeats a few words all languages have stays, though its score is low. A
+    text of less than `few_words` distinct words is not judged by them. Without labelled rows no text
+    is in a learned language.
     """
     model = fit(docs.where(~held_out(F.col("doc_id"))), **limits)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -284,8 +310,10 @@ def in_known_languages(
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared.value)
         for part, texts in text_slices(batches, place, SLICE_CHARS):
-            found = zip(*scorer.predict(texts))
-            good = [name != UNKNOWN and score > min_score for name, score in found]
+            good = [
+                name != UNKNOWN and score > 0 and (n < few_words or sure >= min_sure * n)
+                for name, score, (n, sure) in zip(*scorer.judge(texts))
+            ]
             yield part.filter(pa.array(good))
 
     return docs.mapInArrow(rows, docs.schema)
