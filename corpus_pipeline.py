@@ -3,6 +3,12 @@
 Every stage works on all that the one before kept, which is written as Parquet in between. The
 stages but the last return the columns of documents; sources that mixing repeats have their documents
 as often as it says. The last returns doc_id, n_tokens and digests of ids and decoded text.
+
+Null and empty texts have no language and go in the first stage; null sources are a source of their
+own. Where an id repeats or is missing, rows are told apart by their text: of equal texts one row stays,
+and near copies are judged text by text. Texts are taken whole whatever their length. Other columns of
+documents are carried along with their values up to the last stage, whatever their names. An empty
+table gives an empty result, and so do documents without any label, as no language is learned.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +18,7 @@ from tillroll.llm.base import stored, table
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; texts without a letter go."""
+    """Documents in a language that the labelled ones teach; gibberish and others go."""
     return language_id.in_known_languages(docs)
 
 
