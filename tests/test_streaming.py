@@ -193,12 +193,31 @@ def test_a_running_stream_sweeps_in_full_first_and_then_what_is_new(spark, lake,
         query.stop()
 
 
-def test_a_file_dropped_again_is_not_new_to_the_stream(spark, lake):
-    path = lake / "incoming/a.json"
-    path.write_text(text())
+def test_a_file_dropped_again_is_ingested_again(spark, lake):
+    incoming, out = lake / "incoming", str(lake / "out")
+    for name in ("a", "b", "c"):
+        (incoming / f"{name}.json").write_text(text(invoice=f"{name}1"))
     take_events(spark, lake)
     time.sleep(1.1)
-    path.write_text(text(invoice="2"))
+    (incoming / "a.json").write_text("\n".join(text(invoice=f"a{n}") for n in (2, 3)))
+    (incoming / "b.json").write_text("")
+    (incoming / "old.json").write_text(text(invoice="old"))
+    os.utime(incoming / "old.json", (10**9, 10**9))
+    assert take_events(spark, lake) == {
+        "files": 3, "events_written": 3, "events_rejected": 0, "dead_files": 1,
+    }
+    assert {r.value for r in read_streaming(spark, out).collect()} == {
+        text(invoice=name) for name in ("a2", "a3", "c1", "old")
+    }
+    assert [r.path.split("/")[-1] for r in read_dead_letters(spark, out).collect()] == ["b.json"]
+    assert take_events(spark, lake)["files"] == 0
+    # Filled again, and emptied once more.
+    time.sleep(1.1)
+    (incoming / "b.json").write_text(text(invoice="b2"))
+    assert take_events(spark, lake)["events_written"] == 1
+    assert read_dead_letters(spark, out).count() == 0
+    (incoming / "b.json").write_text("")
+    assert take_events(spark, lake)["dead_files"] == 1
     assert take_events(spark, lake)["files"] == 0
 
 

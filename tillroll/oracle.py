@@ -253,6 +253,7 @@ SELECT 'orders_' || source || '.json' AS source, 'ValidationError' AS error_type
        'No valid events in orders_' || source || '.json' AS error_message, count(*) AS n_lines
 FROM judged GROUP BY source HAVING count(*) FILTER (reason IS NULL) = 0""",
     "event_ingest": f"WITH {_EVENTS} SELECT line, reason FROM judged",
+    "event_redrop": f"WITH {_EVENTS} SELECT line, reason FROM judged",
     "event_compaction": f"WITH {_EVENTS} SELECT line, reason FROM judged",
     "event_replay": f"""WITH {_EVENTS}
 SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome, line, reason

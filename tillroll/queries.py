@@ -23,6 +23,7 @@ from tillroll.sinks.events import (
 )
 from tillroll.sinks.scratch import scratch_folder, stored
 from tillroll.sinks.tables import stored_rows, write_csv, write_curated
+from tillroll.sources.files import drop_over
 from tillroll.sources.orders import compact_curated, read_curated, read_orders_csv, union_parts
 from tillroll.streaming.events import run_event_ingest
 from tillroll.streaming.orders import run_incremental
@@ -327,6 +328,23 @@ def event_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_parts([accepted, rejected, dead])
 
 
+def event_redrop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with the rejected lines, then files with all lines dropped over them."""
+    folder = scratch_folder(spark)
+    incoming, out = f"{folder}/incoming", f"{folder}/events"
+    lines = shapes.padded_lines(shapes.order_events(spark, sf_dir)).withColumn("part", F.col("event_id") % 8)
+    for number, rows in enumerate((lines.where("event_id % 10 < 6"), lines)):
+        target = f"{folder}/next" if number else incoming
+        rows.repartition(8, "part").select("line").write.text(target)
+        if number:
+            drop_over(spark, target, incoming)
+        run_event_ingest(spark, incoming, out, f"{folder}/checkpoint", pattern="part-*.txt")
+    accepted = read_streaming(spark, out).select(
+        F.col("value").alias("line"), F.lit(None).cast("string").alias("reason")
+    )
+    return accepted.unionByName(read_rejected(spark, out).select("line", "reason"))
+
+
 def event_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event files in many batches, a third of them ingested again, then one batch a month."""
     folder = scratch_folder(spark)
@@ -384,6 +402,7 @@ QUERIES = {
     "dead_files": dead_files,
     "event_ingest": event_ingest,
     "event_replay": event_replay,
+    "event_redrop": event_redrop,
     "event_compaction": event_compaction,
     "notification_keys": notification_keys,
     "dead_letter_triage": dead_letter_triage,

@@ -85,6 +85,21 @@ def present_and_missing(
     return first[0] + second[0], first[1] + second[1]
 
 
+def _newer(since: str | None) -> dict[str, str]:
+    return {"modifiedAfter": since, "timeZone": "UTC"} if since else {}
+
+
+def modified_files(
+    spark: SparkSession, folder: str, pattern: str | None = None, since: str | None = None
+) -> DataFrame:
+    """Path and modification time of the non-empty files below a folder, modified after `since` (UTC)."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    path = F.regexp_replace("path", "^file:/+", "file:/").alias("path")
+    return reader.options(**_newer(since)).load(folder).select(path, "modificationTime")
+
+
 def empty_files(
     spark: SparkSession, folder: str, pattern: str | None = None, since: str | None = None
 ) -> list[str]:
@@ -92,8 +107,7 @@ def empty_files(
 
     The listing is Spark's and names empty files too; a scan of the same files names the others.
     """
-    newer = {"modifiedAfter": since, "timeZone": "UTC"} if since else {}
-    listing = _listing(spark, folder, pattern, **newer)
+    listing = _listing(spark, folder, pattern, **_newer(since))
     names = [(plain_path(uri),) for uri in listing.inputFiles()]
     if not names:
         return []
@@ -123,3 +137,18 @@ def header_lines(spark: SparkSession, source: str | Sequence[str]) -> DataFrame:
         .groupBy("file")
         .agg(F.min_by("value", "place").alias("header"))
     )
+
+
+def drop_over(spark: SparkSession, source: str, target: str) -> None:
+    """Move the part files of one folder over those of the same number in another."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def parts(folder: str) -> dict:
+        found = (status.getPath() for status in files.listStatus(path(folder)))
+        return {at.getName()[:10]: at for at in found if at.getName().startswith("part-")}
+
+    old = parts(target)
+    for number, new in parts(source).items():
+        files.delete(old[number], False)
+        files.rename(new, old[number])
