@@ -1,5 +1,7 @@
+import bz2
 import datetime
 import gzip
+import io
 import os
 
 import pytest
@@ -10,7 +12,8 @@ from tillroll.operators.clean import clean_orders
 from tillroll.plans.catalog import register_curated
 from tillroll.sinks.scratch import scratch_folder, stored
 from tillroll.sinks.tables import write_csv, write_curated, write_table
-from tillroll.sources.files import empty_files, files_in
+from tillroll.sources import files as source_files
+from tillroll.sources.files import empty_files, files_in, first_line, header_lines, scanned_header_lines
 from tillroll.sources.orders import orders_between, read_curated, read_orders_csv, union_parts
 
 TIERED_LAST = [*RAW, "loyalty_tier"]
@@ -118,6 +121,70 @@ def test_byte_order_mark_and_compression(spark, tmp_path):
     assert (row.Invoice, row.loyalty_tier) == ("1", "Gold")
 
 
+def headers_of(frame):
+    return {row.file.split("/")[-1]: row.header for row in frame.collect()}
+
+
+def test_headers_equal_those_of_a_scan(spark, tmp_path):
+    texts = {
+        "plain.csv": b"a,b\n1,2\n",
+        "blank.csv": b"\n  \r\n a, b\r\n1,2\r\n",
+        "mac.csv": b"a,c\r1,2\r",
+        "lonely.csv": "a,ü d".encode(),
+        "broken.csv": b"a,\xff\n1,2\n",
+        "nothing.csv": b"\n \n",
+        "packed.csv.gz": gzip.compress(b"a,e\n1,2\n") + gzip.compress(b"3,4\n"),
+        "packed.bz2": bz2.compress(b"\na,f\n1,2\n"),
+        "long.csv": b"x" * 300_000 + b"\n1\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text)
+    found = headers_of(header_lines(spark, str(tmp_path)))
+    assert found == headers_of(scanned_header_lines(spark, str(tmp_path)))
+    assert len(found) == 8 and found["blank.csv"] == " a, b" and found["packed.bz2"] == "a,f"
+
+
+def test_no_more_is_read_than_the_block_of_the_header(monkeypatch):
+    sizes = []
+
+    class Counted(io.BytesIO):
+        def read1(self, size=-1):
+            sizes.append(size)
+            return super().read1(size)
+
+    text = b"a,b\n" + b"1,2\n" * 1_000_000
+    monkeypatch.setattr(source_files, "_stream", lambda path, stores: Counted(text))
+    assert first_line("file:/x.csv", {}) == "a,b"
+    assert len(sizes) == 1 and 0 < sizes[0] <= 65_536
+
+
+def test_what_only_spark_unpacks_is_scanned(spark, tmp_path):
+    raw_frame(spark, LINES).write.option("header", True).option("compression", "deflate").csv(
+        str(tmp_path / "raw/packed")
+    )
+    put(tmp_path / "raw/plain.csv", TIERED_EARLY, csv_line(4, "Silver", early=True))
+    rows = read_orders_csv(spark, str(tmp_path / "raw")).collect()
+    assert len(rows) == len(LINES) + 1
+    assert [r.loyalty_tier for r in rows if r.Invoice == "4"] == ["Silver"]
+
+
+def test_a_store_that_cannot_be_reached_is_asked_once(monkeypatch):
+    asked = []
+
+    class Refusing:
+        @staticmethod
+        def from_uri(uri):
+            asked.append(uri)
+            raise OSError("no access")
+
+    monkeypatch.setattr(source_files.pyarrow.fs, "FileSystem", Refusing)
+    stores = {}
+    for name in ("a b.csv", "c.csv"):
+        with pytest.raises(OSError):
+            first_line(f"s3a://shop/{name}", stores)
+    assert asked == ["s3://shop/a%20b.csv"]
+
+
 def test_csv_round_trip(spark, tmp_path):
     rows = [*LINES, line(Description='a "quoted", one')]
     write_csv(raw_frame(spark, rows), str(tmp_path / "out"))

@@ -1,13 +1,20 @@
 """File names and first lines, by Spark's own listing and scans."""
 
+import bz2
+import gzip
+import io
 import re
 import urllib.parse
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sinks.scratch import stored
+
 # Schema of Spark's binaryFile source. Its content column is never selected, so no file is opened.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -116,11 +123,81 @@ def empty_files(
     return [row.listed for row in listed.join(filled, "listed", "left_anti").collect()]
 
 
+# By file suffix: how to read what Hadoop's codecs wrote. Those under None are left to Spark.
+UNPACKERS = {".gz": gzip.open, ".bz2": bz2.open}
+UNPACKERS |= dict.fromkeys((".deflate", ".lz4", ".snappy", ".zst"))
+FIRST_LINES = pa.schema([("file", pa.string()), ("header", pa.string()), ("opened", pa.bool_())])
+
+
+def _stream(path: str, stores: dict) -> io.IOBase:
+    """The file's bytes, through the store named by its scheme; `stores` keeps what was found out."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return open("/" + rest.lstrip("/"), "rb")
+    uri = urllib.parse.quote(path.replace("s3a:", "s3:", 1), safe=":/@")
+    store = urllib.parse.urlsplit(uri)[:2]
+    if stores.get(store, True) is None:
+        raise OSError(f"no access to {store}")
+    stores[store] = None
+    found, name = pyarrow.fs.FileSystem.from_uri(uri)
+    stream = found.open_input_stream(name, compression=None)
+    stores[store] = found
+    return stream
+
+
+def first_line(path: str, stores: dict) -> str | None:
+    """The first line of a text file that is not blank; reads no further than the block it ends in."""
+    suffix = re.search(r"(\.[^./]*)?$", path).group()
+    unpack = UNPACKERS.get(suffix, lambda stream: stream)
+    if unpack is None:
+        raise OSError(f"{suffix} is left to Spark")
+    with _stream(path, stores) as stream, unpack(stream) as plain:
+        text = io.TextIOWrapper(plain, encoding="utf-8", errors="replace", newline=None)
+        for line in text:
+            if line.rstrip("\n").strip(" "):
+                return line.rstrip("\n")
+    return None
+
+
+def _first_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    stores: dict = {}
+
+    def found(path: str) -> tuple[str | None, bool]:
+        try:
+            return first_line(path, stores), True
+        except (OSError, EOFError, ValueError, pa.ArrowException):
+            return None, False
+
+    for batch in batches:
+        headers = [found(path) for path in batch.column("path").to_pylist()]
+        columns = [batch.column("file").to_pylist(), [h for h, _ in headers], [o for _, o in headers]]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, FIRST_LINES.types)], schema=FIRST_LINES)
+
+
 def header_lines(spark: SparkSession, source: str | Sequence[str]) -> DataFrame:
-    """`file` and `header`, its first line that is not blank, of each text file in a scan.
+    """`file` and `header`, its first line that is not blank, of each text file below `source`.
+
+    Tasks open the files that Spark lists and stop after that line, so what is read grows with the
+    number of files and not with their length. If there is a file they cannot open, in a store only
+    Spark can reach or packed in a way only Spark reads, all headers come from a scan. A file in which
+    nothing stands has no row.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(source)
+        .select(F.col("_metadata.file_path").alias("file"), "path")
+    )
+    found = stored(files.mapInArrow(_first_lines, "file string, header string, opened boolean"))
+    if found.where(~F.col("opened")).isEmpty():
+        return found.where("header IS NOT NULL").drop("opened")
+    return scanned_header_lines(spark, source)
+
+
+def scanned_header_lines(spark: SparkSession, source: str | Sequence[str]) -> DataFrame:
+    """The same by a scan that splits all files into lines.
 
     The lines of a file's first block come in order, so the first is the one with the smallest id.
-    A file in which nothing stands has no row.
     """
     lines = (
         spark.read.option("recursiveFileLookup", True)

@@ -31,9 +31,9 @@ def read_orders_csv(
 
     A string names a folder, all files below which are read, whatever their names; a list names
     files. Compression goes by suffix. Spark binds the columns of a CSV by position, so the headers
-    are found first, by a scan that splits the files into lines and keeps one line each. Files with
-    one header, the usual case, are then read as they are; otherwise one scan reads cells by
-    position and every file's rows are put in order by its header.
+    are found first, from the first line of each file. Files with one header, the usual case, are then
+    read as they are; otherwise one scan reads cells by position and every file's rows are put in order
+    by its header.
 
     `multiline` reads quoted fields with line breaks, at the price of a task per file. A header is a
     single line in any case.
