@@ -349,6 +349,76 @@ def test_missing_and_unreadable_files_are_dead_by_themselves(spark, incoming, tm
     assert len(streamed(spark, out)) == 4
 
 
+@pytest.fixture
+def scans(monkeypatch):
+    """How often files are scanned: writes of a batch, and the files tried by themselves."""
+    counts = {"writes": 0, "tried": []}
+    store, read = sinks._store_lines, sinks.read_event_lines
+
+    def storing(*args):
+        counts["writes"] += 1
+        return store(*args)
+
+    def reading(spark, paths):
+        if len(paths) == 1:
+            counts["tried"] += paths
+        return read(spark, paths)
+
+    monkeypatch.setattr(sinks, "_store_lines", storing)
+    monkeypatch.setattr(sinks, "read_event_lines", reading)
+    monkeypatch.setattr(sinks, "RETRY_AFTER", (0.0, 0.0))
+    return counts
+
+
+def damaged(path):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(gzip.compress(text().encode() * 1000)[:-20] + b"damage")
+    return str(path)
+
+
+def test_one_bad_file_costs_one_more_scan(spark, incoming, tmp_path, scans):
+    good = [incoming(f"{n}.json", text(invoice=str(n))) for n in range(30)]
+    bad = damaged(tmp_path / "incoming/odd [1] a%20b é.json.gz")
+    result = ingest_events(spark, [*good[:20], bad, *good[20:]], str(tmp_path / "out"))
+    assert (result["events_written"], result["dead_files"]) == (30, 1)
+    assert scans["writes"] == 2 and len(set(scans["tried"])) == 1
+    assert len(scans["tried"]) == 3
+
+
+def test_many_bad_files(spark, incoming, tmp_path, scans):
+    good = [incoming(f"{n}.json", text(invoice=str(n))) for n in range(6)]
+    bad = [damaged(tmp_path / f"incoming/bad{n}.json.gz") for n in range(9)]
+    result = ingest_events(spark, [p for pair in zip(good + bad[6:], bad[:6] + bad[:3]) for p in pair], str(tmp_path / "out"))
+    assert (result["files"], result["events_written"], result["dead_files"]) == (15, 6, 9)
+    assert scans["writes"] <= sinks.NAMED_FAULTS + 2
+
+
+def test_a_passing_fault_makes_no_dead_letter(spark, incoming, tmp_path, scans, monkeypatch):
+    good, late = incoming("a.json", text()), tmp_path / "incoming/late.json.gz"
+    damaged(late)
+
+    def wait(seconds):
+        if len(scans["tried"]) == 2:
+            late.write_bytes(gzip.compress(text(invoice="late").encode()))
+
+    monkeypatch.setattr(sinks, "sleep", wait)
+    out = str(tmp_path / "out")
+    result = ingest_events(spark, [good, str(late)], out)
+    assert (result["events_written"], result["dead_files"]) == (2, 0)
+    assert read_dead_letters(spark, out).count() == 0
+
+
+def test_an_error_that_is_no_files_is_raised_at_once(spark, incoming, tmp_path, scans, monkeypatch):
+    def failing(*args):
+        scans["writes"] += 1
+        raise sinks.PySparkException("no space left")
+
+    monkeypatch.setattr(sinks, "_store_lines", failing)
+    with pytest.raises(sinks.PySparkException, match="no space left"):
+        ingest_events(spark, [incoming("a.json", text())], str(tmp_path / "out"))
+    assert scans["writes"] == 1
+
+
 def test_a_batch_broken_off_does_not_count(spark, incoming, tmp_path):
     out = str(tmp_path / "out")
     ingest_events(spark, [incoming("a.json", text())], out, batch="whole")

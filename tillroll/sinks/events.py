@@ -21,9 +21,13 @@ their `origin`, and then its row in `batches`, which names those it replaces.
 
 import datetime
 import hashlib
+import re
 import uuid
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
+from time import sleep
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.paths import source_key
 from tillroll.operators.events import event_lines, notification_files, validate_events
 from tillroll.sources.events import read_event_lines
-from tillroll.sources.files import is_missing, present_and_missing
+from tillroll.sources.files import is_missing, plain_path, present_and_missing
 
 RETENTION_DAYS = 14
 MAX_FILES = 1_000
@@ -56,6 +60,11 @@ DEAD_LETTER_TABLE_SCHEMA = (
 )
 # Errors of executors reach the driver as one or the other.
 SCAN_ERRORS = (PySparkException, Py4JJavaError)
+# Seconds before a file that could not be read is tried a second and a third time.
+RETRY_AFTER = (0.5, 2.0)
+# Scans that may fail at a file they name before all files left are tried one by one, side by side.
+NAMED_FAULTS = 3
+FILES_AT_ONCE = 16
 NOTHING = {"files": 0, "events_written": 0, "events_rejected": 0, "dead_files": 0}
 
 
@@ -179,33 +188,50 @@ def _judged(spark: SparkSession, paths: list[str]) -> DataFrame:
 def _write_lines(
     spark: SparkSession, paths: list[str], out: str, batch: str, arrived_at: datetime.datetime
 ) -> list[str]:
-    """Store the judged lines of the files and return the files that cannot be read."""
-    if not paths:
-        return []
-    try:
-        _store_lines(_judged(spark, paths), out, batch, arrived_at)
-        return []
-    except SCAN_ERRORS:
-        unreadable = list(_unreadable(spark, paths))
-        if not unreadable:
-            raise
-    readable = [path for path in paths if path not in set(unreadable)]
-    if readable:
-        _store_lines(_judged(spark, readable), out, batch, arrived_at)
+    """Store the judged lines of the files and return the files that cannot be read.
+
+    A scan that fails names the file, which is tried again by itself; if it stays unreadable, the next
+    scan does without it. One bad file thus costs one more scan, and so do any number of them: after
+    `NAMED_FAULTS` such scans every file left is tried on its own.
+    """
+    readable, unreadable, faults = list(paths), [], Counter()
+    while readable:
+        try:
+            _store_lines(_judged(spark, readable), out, batch, arrived_at)
+            return unreadable
+        except SCAN_ERRORS as error:
+            named = failed_file(error)
+            faults[named] += 1
+            one = named in readable and faults[named] == 1 and faults.total() <= NAMED_FAULTS
+            found = _unreadable(spark, [named] if one else readable)
+            if not found and (named not in readable or faults.total() > NAMED_FAULTS):
+                raise
+        unreadable += found
+        readable = [path for path in readable if path not in set(found)]
     return unreadable
 
 
-def _unreadable(spark: SparkSession, paths: list[str]) -> Iterator[str]:
-    """The files whose scan fails, found by halving; used only after a scan has failed."""
-    try:
-        read_event_lines(spark, paths).agg(F.sum(F.length("line"))).collect()
-    except SCAN_ERRORS:
-        if len(paths) == 1:
-            yield paths[0]
-        else:
-            half = len(paths) // 2
-            yield from _unreadable(spark, paths[:half])
-            yield from _unreadable(spark, paths[half:])
+def failed_file(error: Exception) -> str | None:
+    """The file at which a scan failed, by the name Spark gives it in the error."""
+    found = re.search(r"\[FAILED_READ_FILE\S* Encountered error while reading file (\S+?)\.\s", f"{error} ")
+    return found and plain_path(found[1])
+
+
+def _unreadable(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The files that cannot be read at any of the attempts, each scanned by itself."""
+
+    def fails(path: str) -> bool:
+        for wait in (0.0, *RETRY_AFTER):
+            sleep(wait)
+            try:
+                read_event_lines(spark, [path]).agg(F.sum(F.length("line"))).collect()
+                return False
+            except SCAN_ERRORS:
+                continue
+        return True
+
+    with ThreadPoolExecutor(FILES_AT_ONCE) as pool:
+        return [path for path, bad in zip(paths, pool.map(fails, paths)) if bad]
 
 
 def _store_lines(
