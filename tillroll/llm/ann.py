@@ -7,6 +7,11 @@ ones, where all vectors are compared in double precision. How many partitions a
 off the sample: as many as it takes for the neighbours known there to be found at the wanted recall.
 Vectors lie thinner in the sample than in the table, so neighbours there are harder to find.
 
+A table too large for the partitions of one network gets two levels: every partition is cut again by a
+network of its own, fitted in a task of its own on a bounded sample of its vectors, and a query is sent
+to several parts of each partition it visits. So up to the square of `MAX_PARTITIONS` the vectors and
+queries per partition stay the same while the table grows.
+
 Partitions are cut into blocks of index rows and of queries, sized from counts, and every pair of
 blocks is one small group: a partition that holds a third of all vectors, or a vector that does, is
 spread over many tasks. Each group returns at most k candidates per query, and the ranking over them
@@ -14,14 +19,15 @@ drops rows before its shuffle.
 
 Nearness is Euclidean distance; ties go to the smaller vec_id. Vectors that are null, zero, hold null
 or non-finite components, have a null vec_id, or another length than most vectors take no part. Rows
-that repeat a vec_id are one vector, the smallest by its components if they differ. With fewer
-candidates than k all are returned; an empty table gives an empty result. Columns beside vec_id and
-embedding are ignored.
+that repeat a vec_id are each a candidate and, if `every` divides it, each a query with ranks of its
+own; only a query's own row is no candidate of it. With fewer candidates than k all are returned; an
+empty table gives an empty result. Columns beside vec_id and embedding are ignored.
 """
 
 import math
+import pickle
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +37,9 @@ from pyspark.sql import functions as F
 from tillroll.llm.base import arrow_rows, stored
 
 SAMPLE = 8_192
+VISITORS = 2_048
 ROWS_PER_PARTITION = 1_000
+FEWEST_PARTITIONS = 8
 MAX_PARTITIONS = 128
 GRAPH_NEIGHBOURS = 10
 TARGET_RECALL = 0.95
@@ -44,13 +52,19 @@ SEED = 7
 
 @dataclass
 class Router:
-    """A network with one hidden layer that gives a vector's partitions by probability."""
+    """A network with one hidden layer that gives a vector's partitions by probability.
+
+    `within` holds the routers of partitions that are cut again; partitions are numbered through both
+    levels, `stride` numbers to one of the first.
+    """
 
     center: np.ndarray
     scale: float
     weights: list[np.ndarray]
     partitions: int
     probes: int
+    within: dict[int, "Router"] = field(default_factory=dict)
+    stride: int = 1
 
     def scores(self, vectors: np.ndarray) -> np.ndarray:
         if self.partitions == 1:
@@ -62,6 +76,31 @@ class Router:
     def ranked(self, vectors: np.ndarray) -> np.ndarray:
         return np.argsort(-self.scores(vectors), axis=1, kind="stable")
 
+    def visited(self, vectors: np.ndarray) -> list[np.ndarray]:
+        """The partitions of each vector, most probable first, as many as its search visits."""
+        first = self.ranked(vectors)[:, : self.probes]
+        if not self.within:
+            return list(first * self.stride)
+        found: list[list] = [[None] * first.shape[1] for _ in vectors]
+        for part in np.unique(first):
+            rows, places = np.nonzero(first == part)
+            inner = self.within.get(int(part))
+            codes = inner.visited(vectors[rows]) if inner else np.zeros((len(rows), 1), np.int64)
+            for row, place, own in zip(rows, places, codes):
+                found[row][place] = part * self.stride + own
+        return [np.concatenate(own) for own in found]
+
+    def filed(self, vectors: np.ndarray) -> np.ndarray:
+        """The one partition each vector lies in."""
+        first = self.scores(vectors).argmax(1)
+        codes = first * self.stride
+        for part in np.unique(first) if self.within else ():
+            inner = self.within.get(int(part))
+            if inner:
+                rows = first == part
+                codes[rows] += inner.filed(vectors[rows])
+        return codes
+
 
 def _graph(vectors: np.ndarray, k: int) -> np.ndarray:
     """The k nearest others of each vector, by brute force in stretches."""
@@ -163,18 +202,41 @@ def fitted(sample: np.ndarray, partitions: int, target_recall: float = TARGET_RE
     wanted /= wanted.sum(1, keepdims=True)
     weights = _trained((sample - center) / scale, wanted, rng)
     router = Router(center, scale, weights, partitions, partitions)
-    ranks = router.ranked(sample)
-    filed = ranks[:, 0]
+    router.probes = _probes(router, sample, router.filed(sample)[graph], target_recall)
+    return router
+
+
+def _probes(router: Router, asked: np.ndarray, homes: np.ndarray, target_recall: float) -> int:
+    """How many partitions reach the target share of the neighbours, which lie in `homes`."""
+    ranks = router.ranked(asked)
     place = np.empty_like(ranks)
-    np.put_along_axis(place, ranks, np.arange(partitions)[None, :], 1)
-    reached = np.take_along_axis(place, filed[graph], 1).ravel()
-    share = np.cumsum(np.bincount(reached, minlength=partitions)) / len(reached)
-    router.probes = min(partitions, int(np.searchsorted(share, target_recall)) + 1)
+    np.put_along_axis(place, ranks, np.arange(router.partitions)[None, :], 1)
+    reached = np.take_along_axis(place, homes, 1).ravel()
+    share = np.cumsum(np.bincount(reached, minlength=router.partitions)) / len(reached)
+    return min(router.partitions, int(np.searchsorted(share, target_recall)) + 1)
+
+
+def fitted_within(
+    members: np.ndarray, visitors: np.ndarray, partitions: int, target_recall: float
+) -> Router:
+    """A router within one partition; queries that lie elsewhere must reach the target share too."""
+    router = fitted(members, partitions, target_recall)
+    if len(visitors) and router.partitions > 1:
+        k = min(GRAPH_NEIGHBOURS, len(members))
+        norms = (members * members).sum(1)
+        near = np.concatenate(
+            [
+                np.argpartition(norms - 2 * visitors[at : at + 512] @ members.T, k - 1, axis=1)[:, :k]
+                for at in range(0, len(visitors), 512)
+            ]
+        )
+        found = _probes(router, visitors, router.filed(members)[near], target_recall)
+        router.probes = max(router.probes, found)
     return router
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding (doubles) of the rows that take part."""
+    """vec_id and embedding (doubles) of the rows that take part, with a number for each."""
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("embedding"),
@@ -191,7 +253,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     lengths = sound.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"))
     usual = lengths.orderBy(F.desc("n"), "d").first()
     alike = sound.where(F.size("embedding") == (usual.d if usual else -1))
-    return alike.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return alike.withColumn("row", F.monotonically_increasing_id())
 
 
 def _matrix(column) -> np.ndarray:
@@ -201,10 +263,14 @@ def _matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+ROUTED = "row bigint, vec_id bigint, embedding array<double>, part int, visits array<int>"
+
+
 def _routed(router: Router):
     """Rows with the partition they are filed under and, for queries, the ones to visit."""
     schema = pa.schema(
         [
+            ("row", pa.int64()),
             ("vec_id", pa.int64()),
             ("embedding", pa.list_(pa.float64())),
             ("part", pa.int32()),
@@ -216,34 +282,106 @@ def _routed(router: Router):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, asked = batch.column(0), batch.column(2).to_pylist()
-            ranks = router.ranked(_matrix(batch.column(1)))
-            visits = [
-                row[: router.probes].astype(np.int32) if ask else None for row, ask in zip(ranks, asked)
-            ]
-            yield arrow_rows(schema, [ids, batch.column(1), ranks[:, 0].astype(np.int32), visits])
+            numbers, ids, embeddings, asked = batch.columns
+            vectors = _matrix(embeddings)
+            asked = asked.to_numpy(zero_copy_only=False).astype(bool)
+            visits = iter(router.visited(vectors[asked]) if asked.any() else ())
+            listed = [next(visits).astype(np.int32) if ask else None for ask in asked]
+            filed = router.filed(vectors).astype(np.int32)
+            yield arrow_rows(schema, [numbers, ids, embeddings, filed, listed])
 
     return rows
 
 
+def _with_asked(rows: DataFrame, every: int) -> DataFrame:
+    return rows.select("row", "vec_id", "embedding", (F.col("vec_id") % every == 0).alias("asked"))
+
+
+def _counted(frame: DataFrame) -> dict[int, int]:
+    """Rows per partition, at most MAX_PARTITIONS squared numbers."""
+    return {row.part: row.n for row in frame.groupBy("part").agg(F.count("*").alias("n")).collect()}
+
+
+def _visits(routed: DataFrame) -> DataFrame:
+    return routed.where(F.col("visits").isNotNull()).select(
+        F.col("row").alias("query"),
+        F.col("vec_id").alias("query_id"),
+        F.col("embedding").alias("asked"),
+        F.explode("visits").alias("part"),
+    )
+
+
+def refined(
+    router: Router, routed: DataFrame, sample: int, rows_per_partition: int, target_recall: float
+) -> Router:
+    """The router with one more for each partition of many vectors.
+
+    Each is fitted in a task on about `sample` of the partition's vectors and `VISITORS` of the queries
+    that visit it, and comes to the driver as a network, of which there are at most MAX_PARTITIONS.
+    """
+    spark, visits = routed.sparkSession, _visits(routed)
+    members, visitors = _counted(routed), _counted(visits)
+    parts = {part: min(MAX_PARTITIONS, n // rows_per_partition) for part, n in members.items()}
+    plan = spark.createDataFrame(
+        [
+            (part, sample / members[part], VISITORS / max(1, visitors.get(part, 0)), wanted)
+            for part, wanted in parts.items()
+            if wanted > 1
+        ],
+        "part int, of_members double, of_visitors double, wanted int",
+    )
+
+    def drawn(frame: DataFrame, number: str, vector: str, share: str, visitor: bool) -> DataFrame:
+        draw = F.pmod(F.xxhash64(number, F.lit(SEED)), F.lit(1 << 30)) / (1 << 30)
+        picked = frame.join(plan, "part").where(draw < F.col(share))
+        vectors = F.col(vector).alias("embedding")
+        return picked.select("part", "wanted", vectors, F.lit(visitor).alias("visitor"))
+
+    schema = pa.schema([("part", pa.int32()), ("router", pa.binary())])
+
+    def fit(group: pa.Table) -> pa.Table:
+        visitor = group["visitor"].to_numpy()
+        vectors = _matrix(group["embedding"])
+        # Rows come in any order; a fixed one gives the same network when a task is run again.
+        order = np.lexsort(vectors.T)
+        vectors, visitor = vectors[order], visitor[order]
+        own, others = vectors[~visitor], vectors[visitor]
+        wanted = min(group["wanted"][0].as_py(), len(own) // (4 * GRAPH_NEIGHBOURS))
+        if wanted < 2:
+            return schema.empty_table()
+        found = fitted_within(own, others, wanted, target_recall)
+        return pa.table([[group["part"][0].as_py()], [pickle.dumps(found)]], schema=schema)
+
+    samples = drawn(routed, "row", "embedding", "of_members", False).unionByName(
+        drawn(visits, "query", "asked", "of_visitors", True)
+    )
+    fits = samples.groupBy("part").applyInArrow(fit, "part int, router binary").collect()
+    router.within = {row.part: pickle.loads(row.router) for row in fits}
+    router.stride = MAX_PARTITIONS
+    return router
+
+
 def _nearest(k: int):
     """Best k of an index block for each query of a query block, exact distances."""
     schema = pa.schema(
-        [("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]
+        [("query", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]
     )
 
     def group(index: pa.Table, queries: pa.Table) -> pa.Table:
         if not index.num_rows or not queries.num_rows:
             return schema.empty_table()
-        ids, vectors = index["vec_id"].to_numpy(), _matrix(index["embedding"])
-        names, asked = queries["query_id"].to_numpy(), _matrix(queries["embedding"])
-        norms, found = (vectors * vectors).sum(1), ([], [], [])
+        ids, rows, vectors = index["vec_id"].to_numpy(), index["row"].to_numpy(), _matrix(index["embedding"])
+        names, asked = queries["query_id"].to_numpy(), _matrix(queries["asked"])
+        own = queries["query"].to_numpy()
+        norms, found = (vectors * vectors).sum(1), ([], [], [], [])
         for at in range(0, len(names), 64):
             part = asked[at : at + 64]
             rough = norms - 2 * part @ vectors.T
             slack = 1e-9 * (norms.max() + (part * part).sum(1))
-            for name, query, row, spare in zip(names[at : at + 64], part, rough, slack):
-                others = ids != name
+            for number, name, query, row, spare in zip(
+                own[at : at + 64], names[at : at + 64], part, rough, slack
+            ):
+                others = rows != number
                 count = min(k, int(others.sum()))
                 if not count:
                     continue
@@ -252,9 +390,10 @@ def _nearest(k: int):
                 near = np.flatnonzero(row <= limit)
                 exact = np.sqrt(((vectors[near] - query) ** 2).sum(1))
                 best = np.lexsort((ids[near], exact))[:count]
-                found[0].append(np.full(len(best), name))
-                found[1].append(ids[near][best])
-                found[2].append(exact[best])
+                found[0].append(np.full(len(best), number))
+                found[1].append(np.full(len(best), name))
+                found[2].append(ids[near][best])
+                found[3].append(exact[best])
         if not found[0]:
             return schema.empty_table()
         return pa.table([np.concatenate(column) for column in found], schema=schema)
@@ -262,10 +401,15 @@ def _nearest(k: int):
     return group
 
 
-def _per_part(counts: dict[int, int], size: int, partitions: int) -> Column:
-    """Blocks of at most about `size` rows for each partition, looked up by `part`."""
-    blocks = [max(1, math.ceil(counts.get(part, 0) / size)) for part in range(partitions)]
-    return F.get(F.array(*(F.lit(n) for n in blocks)), F.col("part"))
+def _in_blocks(frame: DataFrame, sizes: dict[str, tuple[dict[int, int], int]]) -> DataFrame:
+    """The frame with the number of blocks of at most about `size` rows, by its partition's counts."""
+    parts = sorted({part for counts, _ in sizes.values() for part in counts})
+    rows = [
+        (part, *(max(1, math.ceil(counts.get(part, 0) / size)) for counts, size in sizes.values()))
+        for part in parts
+    ]
+    schema = ", ".join(["part int", *(f"{name} int" for name in sizes)])
+    return frame.join(frame.sparkSession.createDataFrame(rows, schema), "part")
 
 
 def nearest_neighbours(
@@ -275,55 +419,57 @@ def nearest_neighbours(
     sample: int = SAMPLE,
     rows_per_partition: int = ROWS_PER_PARTITION,
     target_recall: float = TARGET_RECALL,
+    fewest: int = FEWEST_PARTITIONS,
 ) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest found of each vector whose id `every` divides."""
     rows = stored(usable(vectors))
     total = rows.count()
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").collect()
+    picked = rows.orderBy(F.xxhash64("row"), "row").limit(sample).select("embedding").collect()
     known = np.array([row.embedding for row in picked])
-    wanted = min(MAX_PARTITIONS, total // rows_per_partition, len(known) // (4 * GRAPH_NEIGHBOURS))
-    router = fitted(known, max(1, wanted), target_recall) if total else Router(known, 1.0, [], 1, 1)
-    routed = stored(
-        rows.withColumn("asked", F.col("vec_id") % every == 0).mapInArrow(
-            _routed(router), "vec_id bigint, embedding array<double>, part int, visits array<int>"
-        )
-    )
-    queries = routed.where(F.col("visits").isNotNull()).select(
-        F.col("vec_id").alias("query_id"), "embedding", F.explode("visits").alias("part")
-    )
-
-    def counted(frame: DataFrame) -> dict[int, int]:
-        return {row.part: row.n for row in frame.groupBy("part").agg(F.count("*").alias("n")).collect()}
-
-    in_index = _per_part(counted(routed), INDEX_BLOCK, router.partitions)
-    in_queries = _per_part(counted(queries), QUERY_BLOCK, router.partitions)
-
-    def dealt(name: str, blocks: Column) -> Column:
-        return F.pmod(F.xxhash64(name), blocks.cast("long")).cast("int")
-
-    def all_of(blocks: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), blocks - 1))
+    wanted = max(fewest, total // rows_per_partition)
+    first = max(1, min(MAX_PARTITIONS, wanted, len(known) // (4 * GRAPH_NEIGHBOURS)))
+    two_levels = total // rows_per_partition > MAX_PARTITIONS
+    # Both levels have to find a neighbour.
+    target = math.sqrt(target_recall) if two_levels else target_recall
+    router = fitted(known, first, target) if total else Router(known, 1.0, [], 1, 1)
+    routed = stored(_with_asked(rows, every).mapInArrow(_routed(router), ROUTED))
+    if two_levels:
+        router = refined(router, routed, sample, rows_per_partition, target)
+        routed = stored(_with_asked(rows, every).mapInArrow(_routed(router), ROUTED))
+    queries = _visits(routed)
+    sizes = {
+        "index_blocks": (_counted(routed), INDEX_BLOCK),
+        "query_blocks": (_counted(queries), QUERY_BLOCK),
+    }
+
+    def dealt(name: str, blocks: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.col(blocks).cast("long")).cast("int")
+
+    def all_of(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
 
     keys = ["part", "index_block", "query_block"]
-    index = routed.select(
+    index = _in_blocks(routed, sizes).select(
+        "row",
         "vec_id",
         "embedding",
         "part",
-        dealt("vec_id", in_index).alias("index_block"),
-        all_of(in_queries).alias("query_block"),
+        dealt("row", "index_blocks").alias("index_block"),
+        all_of("query_blocks").alias("query_block"),
     )
-    asked = queries.select(
+    asked = _in_blocks(queries, sizes).select(
+        "query",
         "query_id",
-        "embedding",
+        "asked",
         "part",
-        all_of(in_index).alias("index_block"),
-        dealt("query_id", in_queries).alias("query_block"),
+        all_of("index_blocks").alias("index_block"),
+        dealt("query", "query_blocks").alias("query_block"),
     )
     found = (
         index.groupBy(*keys)
         .cogroup(asked.groupBy(*keys))
-        .applyInArrow(_nearest(k), "query_id bigint, vec_id bigint, score double")
+        .applyInArrow(_nearest(k), "query bigint, query_id bigint, vec_id bigint, score double")
     )
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
