@@ -49,7 +49,7 @@ def parser() -> argparse.ArgumentParser:
         added.add_argument("--min-revenue", type=float, default=MinTotal.minimum)
         added.add_argument("--years", nargs="+", default=list(YearsPresent.years))
 
-    job("clean", "raw", "curated", "checkpoint")
+    job("clean", "raw", "curated", "checkpoint").add_argument("--archive")
     judged = job("gate")
     judged.add_argument("--curated")
     judged.add_argument("--table")
@@ -57,6 +57,7 @@ def parser() -> argparse.ArgumentParser:
     job("warehouse", "curated", "warehouse")
     whole = job("run", "raw", "curated", "warehouse", "checkpoint")
     whole.add_argument("--run-log")
+    whole.add_argument("--archive")
     with_rules(whole)
     arriving = job("events", "incoming", "out", "checkpoint")
     arriving.add_argument("--strict", action="store_true")
@@ -78,7 +79,7 @@ def rules(args: argparse.Namespace) -> tuple:
 
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> dict:
-    run = run_incremental(spark, args.raw, args.curated, args.checkpoint)
+    run = run_incremental(spark, args.raw, args.curated, args.checkpoint, archive=args.archive)
     if args.database and run.files:
         register_curated(spark, args.database, args.curated)
     return {"message": run.message(), **vars(run)}
@@ -109,6 +110,7 @@ def whole_run(spark: SparkSession, args: argparse.Namespace) -> dict:
         database=args.database,
         rules=rules(args),
         run_log=args.run_log,
+        archive=args.archive,
     )
     return vars(record)
 

@@ -9,7 +9,9 @@ from test_events import text
 from test_sources import TIERED_EARLY, csv_line, put
 from tillroll.sinks.events import read_dead_letters, read_ingest_log, read_rejected, read_streaming
 from tillroll.sources.orders import read_curated
+from tillroll.sources.files import files_in
 from tillroll.streaming import events as streaming_events
+from tillroll.streaming import orders as streaming_orders
 from tillroll.streaming.events import run_event_ingest, start_event_ingest
 from tillroll.streaming.orders import clean_batch, run_incremental
 
@@ -63,6 +65,58 @@ def test_batches_without_a_line_to_keep_are_committed(spark, lake, rebalance):
     assert invoices(spark, lake) == ["3"]
 
 
+def files_below(folder):
+    return sorted(p.name for p in folder.rglob("*.csv"))
+
+
+def test_files_that_were_read_go_to_the_archive(spark, lake):
+    options = {"archive": str(lake / "archive"), "max_files": 2}
+    for n in range(3):
+        put(lake / f"raw/day {n}/{n}.csv", RAW, csv_line(n))
+    assert clean_new(spark, lake, **options).files == 3
+    assert files_below(lake / "raw") == [] and files_below(lake / "archive") == ["0.csv", "1.csv", "2.csv"]
+
+    put(lake / "raw/3.csv", TIERED_EARLY, csv_line(3, "Gold", early=True))
+    assert files_in(spark, str(lake / "raw")).count() == 1
+    assert clean_new(spark, lake, **options).files == 1
+    assert clean_new(spark, lake, **options).files == 0
+    assert files_below(lake / "raw") == [] and len(files_below(lake / "archive")) == 4
+    assert invoices(spark, lake) == ["0", "1", "2", "3"]
+
+    run_incremental(spark, str(lake / "archive"), str(lake / "anew/curated"), str(lake / "anew/checkpoint"))
+    assert invoices(spark, lake / "anew") == ["0", "1", "2", "3"]
+
+
+def test_the_archive_keeps_files_dropped_under_one_name_apart(spark, lake):
+    for n in range(2):
+        put(lake / "raw/same.csv", RAW, csv_line(n))
+        run_incremental(
+            spark, str(lake / "raw"), str(lake / "curated"), str(lake / f"checkpoint{n}"), archive=str(lake / "archive")
+        )
+    assert files_below(lake / "archive") == ["same.csv", "same.csv"] and invoices(spark, lake) == ["0", "1"]
+
+
+@pytest.mark.parametrize("archive", ["raw/archive", ".", "raw"])
+def test_an_archive_lies_beside_the_files(spark, lake, archive):
+    with pytest.raises(ValueError, match="side by side"):
+        clean_new(spark, lake, archive=str(lake / archive))
+
+
+def test_a_file_whose_batch_failed_stays(spark, lake, monkeypatch):
+    put(lake / "raw/a.csv", RAW, csv_line(1))
+
+    def failing(*args, **options):
+        raise RuntimeError("no space left")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(streaming_orders, "clean_batch", failing)
+        with pytest.raises(Exception, match="no space left"):
+            clean_new(spark, lake, archive=str(lake / "archive"))
+    assert files_below(lake / "raw") == ["a.csv"]
+    assert clean_new(spark, lake, archive=str(lake / "archive")).files == 1
+    assert files_below(lake / "raw") == [] and invoices(spark, lake) == ["1"]
+
+
 def test_batches_are_bounded_by_files(spark, lake):
     for n in range(5):
         put(lake / f"raw/{n}.csv", RAW, csv_line(n))

@@ -203,6 +203,7 @@ ORACLE = {
     "raw_scan": f"WITH {_RAW} SELECT * FROM raw",
     "curated_scan": f"WITH {_CLEAN} SELECT * FROM clean",
     "incremental_clean": f"WITH {_EVOLVED} SELECT * FROM evolved",
+    "archived_replay": f"WITH {_EVOLVED} SELECT * FROM evolved",
     "clean_orders": f"WITH {_CLEAN} SELECT * FROM clean",
     "backfill_optional": f"""WITH {_RAW}
 SELECT * REPLACE (CAST(NULL AS VARCHAR) AS loyalty_tier) FROM raw""",

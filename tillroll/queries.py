@@ -96,6 +96,19 @@ def incremental_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, curated)
 
 
+def archived_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two generations cleaned one after the other, their files archived, and all cleaned anew from there."""
+    folder = scratch_folder(spark)
+    raw, archive = f"{folder}/raw", f"{folder}/archive"
+    for name, part in zip(("old", "new"), _generations(spark, sf_dir)):
+        write_csv(part, f"{raw}/{name}")
+        run_incremental(
+            spark, raw, f"{folder}/curated", f"{folder}/checkpoint", multiline=True, archive=archive
+        )
+    run_incremental(spark, archive, f"{folder}/anew", f"{folder}/checkpoint_anew", multiline=True)
+    return read_curated(spark, f"{folder}/anew")
+
+
 def _lake(spark: SparkSession, sf_dir: str, database: str | None = None) -> str:
     """New files cleaned, judged and rolled up; the folder of the warehouse."""
     folder, raw = scratch_folder(spark), _raw_files(spark, sf_dir)
@@ -374,6 +387,7 @@ QUERIES = {
     "curated_scan": curated_scan,
     "passed_through": passed_through,
     "incremental_clean": incremental_clean,
+    "archived_replay": archived_replay,
     "clean_orders": clean,
     "backfill_optional": backfilled,
     "schema_evolution": schema_evolution,

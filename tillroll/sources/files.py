@@ -6,6 +6,7 @@ import io
 import re
 import urllib.parse
 from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 import pyarrow.fs
@@ -229,3 +230,29 @@ def drop_over(spark: SparkSession, source: str, target: str) -> None:
     for number, new in parts(source).items():
         files.delete(old[number], False)
         files.rename(new, old[number])
+
+
+def one_store(spark: SparkSession, first: str, second: str) -> bool:
+    """Whether two folders lie on one file system and neither in the other, so files can be moved."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    stores = [path(name).getFileSystem(conf) for name in (first, second)]
+    if not stores[0].getUri().equals(stores[1].getUri()):
+        return False
+    one, other = (f"{fs.makeQualified(path(name)).toUri().getPath()}/" for fs, name in zip(stores, (first, second)))
+    return not one.startswith(other) and not other.startswith(one)
+
+
+def move_files(spark: SparkSession, paths: Iterable[str], folder: str) -> None:
+    """Rename the files of a micro-batch to their whole path below a folder; gone ones are passed over."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def move(name: str) -> None:
+        old = path(name)
+        new = path(f"{folder.rstrip('/')}{old.toUri().getPath()}")
+        store.mkdirs(new.getParent())
+        if not store.rename(old, new) and store.exists(old):
+            raise OSError(f"cannot move {name} below {folder}")
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, paths))

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillroll.operators.clean import clean_orders
 from tillroll.schemas import CURATED_SCHEMA
 from tillroll.sinks.tables import stored_rows, write_curated
-from tillroll.sources.files import arriving_files
+from tillroll.sources.files import arriving_files, move_files, one_store
 from tillroll.sources.orders import read_orders_csv
 from tillroll.streaming.files import start_file_batches
 
@@ -75,6 +75,8 @@ def start_incremental(
     report: IncrementalRun | None = None,
     pattern: str | None = None,
     multiline: bool = False,
+    archive: str | None = None,
+    committed: dict[str, list[str]] | None = None,
 ) -> StreamingQuery:
     """Stream the files that arrived since the last committed run, then stop.
 
@@ -82,13 +84,26 @@ def start_incremental(
     by name as a batch job and written under the micro-batch's own partition value: a micro-batch
     that is run again after a crash replaces what it wrote. All files count, or those whose name
     matches `pattern`.
+
+    With `archive`, a folder outside `raw` on the same file system, files are moved there when their
+    micro-batch is committed, into a folder per batch: the next run lists new files and not all history.
+    A batch counts as committed when the next one starts; `run_incremental` moves the last one's files.
+    (Spark's own `cleanSource` leaves the last batch of every run, with small runs all files.) Files a
+    lost driver left behind stay in `raw` and are not read again. To clean everything anew, stream
+    the archive with a new checkpoint.
     """
     report = report if report is not None else IncrementalRun()
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in UTC_NAMES:
         warnings.warn(f"order dates are read in the session's zone {zone}, not UTC", stacklevel=2)
 
+    if archive and not one_store(spark, raw, archive):
+        raise ValueError(f"{archive} and {raw} are not two folders side by side on one file system")
+    waiting = committed if committed is not None else {}
+
     def ingest(files: list[Row], batch: str) -> None:
+        if archive:
+            archive_batches(spark, waiting, archive)
         paths = [row.path for row in files]
         columns, read, kept = clean_batch(spark, paths, curated, batch, rebalance, multiline)
         report.files += len(paths)
@@ -96,15 +111,33 @@ def start_incremental(
         report.clean_rows += kept
         report.columns += [column for column in columns if column not in report.columns]
         report.batches.append(batch)
+        if archive:
+            waiting[batch] = paths
 
     arrivals = arriving_files(spark, raw, pattern, max_files)
     return start_file_batches(arrivals, checkpoint, name, ingest, availableNow=True)
 
 
+def archive_batches(spark: SparkSession, batches: dict[str, list[str]], archive: str) -> None:
+    """Move the files of committed batches, a micro-batch at most, and forget them."""
+    for batch in list(batches):
+        move_files(spark, batches.pop(batch), f"{archive.rstrip('/')}/{batch}")
+
+
 def run_incremental(
-    spark: SparkSession, raw: str, curated: str, checkpoint: str, **options
+    spark: SparkSession,
+    raw: str,
+    curated: str,
+    checkpoint: str,
+    archive: str | None = None,
+    **options,
 ) -> IncrementalRun:
     """Process everything new and report it."""
-    report = IncrementalRun()
-    start_incremental(spark, raw, curated, checkpoint, report=report, **options).awaitTermination()
+    report, committed = IncrementalRun(), {}
+    query = start_incremental(
+        spark, raw, curated, checkpoint, report=report, archive=archive, committed=committed, **options
+    )
+    query.awaitTermination()
+    if archive:
+        archive_batches(spark, committed, archive)
     return report
