@@ -30,14 +30,14 @@ from itertools import islice
 from time import sleep
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.paths import source_key
 from tillroll.operators.events import event_lines, notification_files, validate_events
 from tillroll.sources.events import read_event_lines
-from tillroll.sources.files import is_missing, plain_path, present_and_missing
+from tillroll.sources.files import exists, plain_path, present_and_missing
 
 RETENTION_DAYS = 14
 MAX_FILES = 1_000
@@ -279,12 +279,9 @@ def _write_batch(rows: DataFrame, path: str, batch: str, arrived_at: datetime.da
 
 def _table(spark: SparkSession, schema: str, path: str) -> DataFrame:
     """A table that may not have been written yet."""
-    try:
+    if exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if is_missing(error):
-            return spark.createDataFrame([], schema)
-        raise
+    return spark.createDataFrame([], schema)
 
 
 def _batch_lines(spark: SparkSession, out: str, batch: str) -> DataFrame:
