@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from shapes import line, raw_frame
+from shapes import line, plan_of, raw_frame
 from tillroll.operators.clean import clean_orders
 from tillroll.plans import increments
 from tillroll.plans.catalog import CURATED_TABLE, WAREHOUSE_TABLES, register_curated
@@ -91,6 +91,47 @@ def test_an_increment_reads_its_own_batches_and_touched_months(spark, tmp_path,
     assert months == [[(2014, 8)], [(2014, 8)]]
 
 
+def exchanges(frame):
+    """Shuffles in the plan of a frame that has not run."""
+    return str(frame._jdf.queryExecution().executedPlan()).count("Exchange ")
+
+
+def test_new_pairs_take_one_shuffle_and_no_join(spark):
+    schema = "CustomerID double, Invoice string"
+    found = spark.createDataFrame([(None, "a"), (None, "a"), (1.0, "a"), (2.0, "b"), (None, "c")], schema)
+    known = spark.createDataFrame([(None, "a"), (2.0, "b"), (9.0, "z")], schema)
+    new = increments._unknown(found, known)
+    assert exchanges(new) == 1 and "Join" not in plan_of(new)
+    assert rows(new) == sorted([(None, "c"), (1.0, "a")], key=str)
+    assert rows(increments._unknown(found, None)) == rows(found.distinct())
+
+
+def test_state_takes_one_shuffle(spark, tmp_path):
+    add(spark, tmp_path, "b0", range(30))
+    lines = increments._keyed(read_curated(spark, f"{tmp_path}/curated"))
+    parts = [increments._contributions(lines, increments.PRODUCTS)] * 3
+    assert exchanges(increments._merged(parts, increments.PRODUCTS)) == 1
+    assert exchanges(increments._descriptions(lines, increments._descriptions(lines, None))) == 2
+
+
+def test_daily_pairs_are_written_a_file_a_month(spark, tmp_path):
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for number, numbers in enumerate((range(0, 60), range(50, 120))):
+            add(spark, tmp_path, f"b{number}", numbers)
+            update_warehouse(spark, f"{tmp_path}/curated", f"{tmp_path}/w")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    for kind in ("day_invoices", "day_customers"):
+        files = [str(f.parent) for f in (tmp_path / "w/pairs" / kind).rglob("part-*.parquet")]
+        assert files and len(files) == len(set(files)), kind
+    same_as_rebuild(spark, tmp_path)
+
+
 def test_a_failure_leaves_the_old_tables_all_four(spark, tmp_path, monkeypatch):
     curated, w = f"{tmp_path}/curated", f"{tmp_path}/w"
     add(spark, tmp_path, "b0", range(30))

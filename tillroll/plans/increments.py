@@ -27,6 +27,7 @@ versions, whose pairs and state start from nothing.
 import datetime
 import uuid
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tillroll.operators.reports import customer_segments
 from tillroll.plans.catalog import CURATED_TABLE, WAREHOUSE_TABLES, move_warehouse, table_path
+from tillroll.plans.jobs import side_by_side
 from tillroll.sinks.compaction import COMPACTED, replaced_batches
 from tillroll.sinks.tables import write_table
 from tillroll.sources.files import is_missing
@@ -121,20 +123,21 @@ def _keyed(orders: DataFrame) -> DataFrame:
     return orders.select(*columns, day)
 
 
-def _sums(lines: DataFrame, kind: str) -> DataFrame:
-    """What the lines add to the state, distinct counts aside."""
+def _contributions(lines: DataFrame, kind: str) -> DataFrame:
+    """What each line adds to the state, distinct counts aside."""
     found = {
-        "revenue": F.sum("Revenue"),
-        "units": F.sum("Quantity"),
-        "newest": F.max("InvoiceDate"),
+        "revenue": F.col("Revenue"),
+        "units": F.col("Quantity"),
+        "newest": F.col("InvoiceDate"),
         "orders": F.lit(0).cast("long"),
         "customers": F.lit(0).cast("long"),
     }
     key, columns = STATE[kind]
-    return lines.groupBy(key).agg(*(found[name].alias(name) for name in columns))
+    return lines.select(key, *(found[name].alias(name) for name in columns))
 
 
 def _merged(parts: Sequence[DataFrame], kind: str) -> DataFrame:
+    """State from lines, new pairs and earlier state in one aggregate, so with one shuffle."""
     key, columns = STATE[kind]
     rows = parts[0]
     for part in parts[1:]:
@@ -142,26 +145,51 @@ def _merged(parts: Sequence[DataFrame], kind: str) -> DataFrame:
     return rows.groupBy(key).agg(*(merge(name).alias(name) for name, merge in columns.items()))
 
 
+def _descriptions(lines: DataFrame, old: DataFrame | None) -> DataFrame:
+    """First date of every description of a product."""
+    seen = lines.where(F.col("Description").isNotNull()).select(
+        "StockCode", "Description", F.col("InvoiceDate").alias("first_seen")
+    )
+    seen = seen if old is None else seen.unionByName(old)
+    return seen.groupBy("StockCode", "Description").agg(F.min("first_seen").alias("first_seen"))
+
+
+def _unknown(found: DataFrame, known: DataFrame | None) -> DataFrame:
+    """The distinct rows of `found` that are not in `known`, NULLs being equal.
+
+    One aggregate over both: an anti-join would shuffle what is found a second time, as its keys that
+    may be NULL are not those of the distinct, and sort both sides.
+    """
+    if known is None:
+        return found.distinct()
+    rows = found.withColumn("_known", F.lit(False)).unionByName(known.withColumn("_known", F.lit(True)))
+    return rows.groupBy(*found.columns).agg(F.max("_known").alias("_known")).where("NOT _known").drop("_known")
+
+
 def _add_pairs(
-    lines: DataFrame, kind: str, folder: str, version: str, chain: list[str], bounds: Row
+    lines: DataFrame, kind: str, folder: str, version: str, chain: list[str], bounds: Row | None
 ) -> DataFrame:
-    """Store the pairs of `kind` that are new with these lines; what they add to the state."""
+    """Store the pairs of `kind` that are new with these lines; what each adds to the state.
+
+    Daily pairs are brought together by month first. Otherwise every task would write a file for each
+    month, and readers would open that many.
+    """
     spark = lines.sparkSession
     state, column, counted = PAIRS[kind]
     key, path = STATE[state][0], f"{folder}/{kind}"
-    found = lines.where(F.col(counted).isNotNull()).select(key, counted).distinct()
-    daily = state == DAYS
-    if daily:
-        found = found.select("*", *_month(F.col("order_date")))
+    daily, known = state == DAYS, None
+    own = lines.select(key, counted, *(_month(F.col("order_date")) if daily else ()))
+    schema = own.schema.add("added", "string")
     if chain:
-        known = spark.read.parquet(path).where(F.col("added").isin(chain))
+        known = spark.read.schema(schema).parquet(path).where(F.col("added").isin(chain))
         if daily:
             known = known.where(_in_months(bounds.months))
         if counted == "Invoice":
             known = known.where(F.col("Invoice").between(bounds.first, bounds.last))
-        known = known.select(F.col(key).alias("old_key"), F.col(counted).alias("old"))
-        same = F.col(key).eqNullSafe(F.col("old_key")) & (F.col(counted) == F.col("old"))
-        found = found.join(known, same, "left_anti")
+        known = known.select(key, counted)
+    found = _unknown(lines.where(F.col(counted).isNotNull()).select(key, counted), known)
+    if daily:
+        found = found.select("*", *_month(F.col("order_date"))).hint("rebalance", "year", "month")
     folders = ["year", "month", "added"] if daily else ["added"]
     (
         found.withColumn("added", F.lit(version))
@@ -170,9 +198,8 @@ def _add_pairs(
         .partitionBy(*folders)
         .parquet(path)
     )
-    schema = found.schema.add("added", "string")
     added = spark.read.schema(schema).parquet(path).where(F.col("added") == version)
-    return added.groupBy(key).agg(F.count("*").alias(column))
+    return added.select(key, F.lit(1).cast("long").alias(column))
 
 
 def _in_months(months: list[Row]) -> Column:
@@ -194,42 +221,43 @@ def _bounds(lines: DataFrame) -> Row:
     ).first()
 
 
-def _tables(spark: SparkSession, state: str, reference_date: datetime.date | None) -> dict:
-    """The tables read off the state, by name; segments follow from the stored customers."""
-    days, customers, products, described = (
-        spark.read.parquet(f"{state}/{kind}") for kind in (DAYS, CUSTOMERS, PRODUCTS, DESCRIPTIONS)
-    )
-    rounded = F.round("revenue", 2)
+def _daily_revenue(days: DataFrame) -> DataFrame:
+    return days.select(
+        "order_date",
+        F.round("revenue", 2).alias("total_revenue"),
+        F.col("orders").alias("num_orders"),
+        F.col("customers").alias("num_customers"),
+        F.col("units").alias("total_units"),
+    ).orderBy("order_date")
+
+
+def _customer_rfm(customers: DataFrame, reference_date: datetime.date | None) -> DataFrame:
     newest = customers.select(F.max("newest")).scalar()
     reference = newest if reference_date is None else F.lit(reference_date)
+    return customers.select(
+        "CustomerID",
+        F.date_diff(reference, "newest").alias("recency_days"),
+        F.col("orders").alias("frequency"),
+        F.round("revenue", 2).alias("monetary"),
+    )
+
+
+def _top_products(products: DataFrame, described: DataFrame) -> DataFrame:
     earliest = F.struct(F.col("first_seen").isNull(), "first_seen", "Description")
     texts = described.groupBy(F.col("StockCode").alias("code")).agg(
         F.min_by("Description", earliest).alias("description")
     )
-    return {
-        "daily_revenue": days.select(
-            "order_date",
-            rounded.alias("total_revenue"),
-            F.col("orders").alias("num_orders"),
-            F.col("customers").alias("num_customers"),
-            F.col("units").alias("total_units"),
-        ).orderBy("order_date"),
-        "customer_rfm": customers.select(
-            "CustomerID",
-            F.date_diff(reference, "newest").alias("recency_days"),
-            F.col("orders").alias("frequency"),
-            rounded.alias("monetary"),
-        ),
-        "top_products": products.join(texts, F.col("StockCode").eqNullSafe(F.col("code")), "left")
+    return (
+        products.join(texts, F.col("StockCode").eqNullSafe(F.col("code")), "left")
         .select(
             "StockCode",
             "description",
-            rounded.alias("total_revenue"),
+            F.round("revenue", 2).alias("total_revenue"),
             F.col("units").alias("total_units"),
             F.col("orders").alias("num_orders"),
         )
-        .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("StockCode")),
-    }
+        .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("StockCode"))
+    )
 
 
 def update_warehouse(
@@ -247,8 +275,10 @@ def update_warehouse(
     """
     warehouse = warehouse.rstrip("/")
     last = published(spark, warehouse)
-    batches = new_batches(spark, curated, warehouse, last, database)
-    fresh = rebuild or last is None or batches is None
+    batches = None
+    if last and not rebuild:
+        batches = new_batches(spark, curated, warehouse, last, database)
+    fresh = batches is None
     sequence = last.sequence + 1 if last else 1
     version = f"{sequence:06d}-{uuid.uuid4().hex[:8]}"
     chain, earlier = (version, []) if fresh else (last.chain, _versions(spark, warehouse, last.chain))
@@ -259,30 +289,46 @@ def update_warehouse(
     else:
         orders = orders.where(F.col("ingest_batch").isin(batches))
     lines = _keyed(orders)
-    bounds = _bounds(lines)
-    state, old = f"{warehouse}/state/{version}", f"{warehouse}/state/{last.version}" if last else None
-    added: dict[str, list[DataFrame]] = {kind: [_sums(lines, kind)] for kind in STATE}
-    for kind, (counted_for, *_) in PAIRS.items():
-        more = _add_pairs(lines, kind, f"{warehouse}/pairs", version, earlier, bounds)
-        added[counted_for].append(more)
-    for kind, parts in added.items():
-        before = [] if fresh else [spark.read.parquet(f"{old}/{kind}")]
-        _merged([*before, *parts], kind).write.parquet(f"{state}/{kind}")
-    seen = (
-        lines.where(F.col("Description").isNotNull())
-        .groupBy("StockCode", "Description")
-        .agg(F.min("InvoiceDate").alias("first_seen"))
-    )
-    if not fresh:
-        seen = seen.unionByName(spark.read.parquet(f"{old}/{DESCRIPTIONS}"))
-        seen = seen.groupBy("StockCode", "Description").agg(F.min("first_seen").alias("first_seen"))
-    seen.write.parquet(f"{state}/{DESCRIPTIONS}")
-
-    target = f"{warehouse}/versions/{version}"
-    tables = _tables(spark, state, reference_date)
-    counts = {name: write_table(frame, table_path(target, name)) for name, frame in tables.items()}
-    segments = customer_segments(spark.read.parquet(table_path(target, "customer_rfm")))
-    counts["customer_segments"] = write_table(segments, table_path(target, "customer_segments"))
+    bounds = _bounds(lines) if earlier else None
+    state, target = f"{warehouse}/state/{version}", f"{warehouse}/versions/{version}"
+
+    def old(kind: str) -> DataFrame | None:
+        return None if fresh else spark.read.parquet(f"{warehouse}/state/{last.version}/{kind}")
+
+    def kept(frame: DataFrame, path: str) -> DataFrame:
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    def new_state(kind: str) -> DataFrame:
+        kinds = [pairs for pairs, (counted_for, *_) in PAIRS.items() if counted_for == kind]
+        add = partial(_add_pairs, folder=f"{warehouse}/pairs", version=version, chain=earlier, bounds=bounds)
+        added = side_by_side(spark, *(partial(add, lines, pairs) for pairs in kinds))
+        before = [] if fresh else [old(kind)]
+        return kept(_merged([*before, _contributions(lines, kind), *added], kind), f"{state}/{kind}")
+
+    def new_descriptions() -> DataFrame:
+        return kept(_descriptions(lines, old(DESCRIPTIONS)), f"{state}/{DESCRIPTIONS}")
+
+    def table(name: str, frame: DataFrame) -> dict[str, int]:
+        return {name: write_table(frame, table_path(target, name))}
+
+    def customers() -> dict[str, int]:
+        rfm = _customer_rfm(new_state(CUSTOMERS), reference_date)
+        counts = table("customer_rfm", rfm)
+        scored = spark.read.schema(rfm.schema).parquet(table_path(target, "customer_rfm"))
+        return counts | table("customer_segments", customer_segments(scored))
+
+    def products() -> dict[str, int]:
+        found = side_by_side(spark, partial(new_state, PRODUCTS), new_descriptions)
+        return table("top_products", _top_products(*found))
+
+    def days() -> dict[str, int]:
+        return table("daily_revenue", _daily_revenue(new_state(DAYS)))
+
+    # Customers first: many short jobs find their quartiles, which then run beside the longer ones.
+    counts: dict[str, int] = {}
+    for part in side_by_side(spark, customers, days, products):
+        counts |= part
 
     now = datetime.datetime.now(datetime.timezone.utc)
     row = (sequence, version, chain, batches, now)
