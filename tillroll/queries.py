@@ -1,6 +1,7 @@
 """The registered queries: every operator over whole tables, as `(spark, sf_dir) -> DataFrame`."""
 
 import uuid
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tillroll.operators import events, quality, reports, warehouse
 from tillroll.operators.clean import backfill_optional, clean_orders
 from tillroll.plans.catalog import CURATED_TABLE, table_path
 from tillroll.plans.increments import published_path, update_warehouse
+from tillroll.plans.jobs import side_by_side
 from tillroll.plans.lake import run_lake, table_checks
 from tillroll.schemas import CURATED_SCHEMA
 from tillroll.sinks.compaction import drop_replaced
@@ -56,8 +58,11 @@ def _raw_files(spark: SparkSession, sf_dir: str, folder: str | None = None) -> s
     """Both generations below one folder, one as plain files and one compressed."""
     folder = folder or scratch_folder(spark)
     old, new = _generations(spark, sf_dir)
-    write_csv(old, f"{folder}/old")
-    write_csv(new, f"{folder}/new", compression="gzip")
+    side_by_side(
+        spark,
+        partial(write_csv, old, f"{folder}/old"),
+        partial(write_csv, new, f"{folder}/new", compression="gzip"),
+    )
     return folder
 
 
