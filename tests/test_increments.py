@@ -114,6 +114,55 @@ def test_state_takes_one_shuffle(spark, tmp_path):
     assert exchanges(increments._descriptions(lines, increments._descriptions(lines, None))) == 2
 
 
+def test_pairs_carry_the_sums_of_their_lines_in_one_shuffle(spark, tmp_path):
+    found = [("a", "A", 1), ("a", "A", 2), ("b", "A", 4), (None, "A", 8), ("c", "B", 16)]
+    schema = "Invoice string, StockCode string, Quantity int, Revenue double, InvoiceDate timestamp"
+    lines = spark.createDataFrame([(i, s, n, n / 2, None) for i, s, n in found], schema)
+    known = spark.createDataFrame([("A", "b"), ("Z", "z")], "StockCode string, Invoice string")
+    pairs = increments._with_sums(lines, "product_invoices", known)
+    assert exchanges(pairs) == 1 and "Join" not in plan_of(pairs)
+    expected = [("A", "a", 1.5, 3, 1), ("A", "b", 2.0, 4, 0), ("A", None, 4.0, 8, 0), ("B", "c", 8.0, 16, 1)]
+    assert rows(pairs) == sorted(expected, key=str)
+
+
+def test_customers_and_products_are_summed_from_pairs(spark, tmp_path, monkeypatch):
+    summed, merged = [], increments._merged
+
+    def noted(parts, kind):
+        summed.extend((kind, name) for part in parts for name in scanned(part) if "/curated/" in name)
+        return merged(parts, kind)
+
+    monkeypatch.setattr(increments, "_merged", noted)
+    for number, numbers in enumerate((range(0, 30), range(20, 50))):
+        add(spark, tmp_path, f"b{number}", numbers)
+        update_warehouse(spark, f"{tmp_path}/curated", f"{tmp_path}/w")
+    assert summed and {kind for kind, _ in summed} == {increments.DAYS}
+    same_as_rebuild(spark, tmp_path)
+
+
+def test_state_keeps_one_description_a_product(spark, tmp_path):
+    for number, numbers in enumerate((range(30, 60), range(0, 40))):
+        add(spark, tmp_path, f"b{number}", numbers)
+        update_warehouse(spark, f"{tmp_path}/curated", f"{tmp_path}/w")
+        version = published(spark, f"{tmp_path}/w").version
+        kept = spark.read.parquet(f"{tmp_path}/w/state/{version}/descriptions")
+        assert kept.count() == kept.select("StockCode").distinct().count() == 5
+        same_as_rebuild(spark, tmp_path)
+
+
+def test_pairs_of_versions_without_sums_are_known(spark, tmp_path):
+    add(spark, tmp_path, "b0", range(0, 30))
+    update_warehouse(spark, f"{tmp_path}/curated", f"{tmp_path}/w")
+    version = published(spark, f"{tmp_path}/w").version
+    for kind, key in (("customer_invoices", "CustomerID"), ("product_invoices", "StockCode")):
+        path = f"{tmp_path}/w/pairs/{kind}/added={version}"
+        bare = spark.read.parquet(path).select(key, "Invoice").collect()
+        spark.createDataFrame(bare).write.mode("overwrite").parquet(path)
+    add(spark, tmp_path, "b1", range(20, 50))
+    update_warehouse(spark, f"{tmp_path}/curated", f"{tmp_path}/w")
+    same_as_rebuild(spark, tmp_path)
+
+
 def test_daily_pairs_are_written_a_file_a_month(spark, tmp_path):
     settings = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     before = {name: spark.conf.get(name) for name in settings}

@@ -10,7 +10,9 @@ history of order lines is not read again. What makes that exact:
   and no earlier one had, and counts grow by those. Pairs are stored by the version that added them,
   the daily ones by month too. Of the daily pairs only the touched months are read; of the others
   those whose invoice lies between the batches' smallest and largest, which are found by the
-  statistics of the sorted files.
+  statistics of the sorted files. Customers and products are many, so their sums are taken per pair,
+  by the aggregate that finds the new ones, and state adds up pairs: these are stored with what the
+  version's lines add. A pair that was known before is stored again for that, with a count of 0.
 
 Below a warehouse folder:
 
@@ -123,8 +125,8 @@ def _keyed(orders: DataFrame) -> DataFrame:
     return orders.select(*columns, day)
 
 
-def _contributions(lines: DataFrame, kind: str) -> DataFrame:
-    """What each line adds to the state, distinct counts aside."""
+def _contributions(lines: DataFrame, kind: str, *others: str) -> DataFrame:
+    """What each line adds to the state, distinct counts aside; other columns are kept."""
     found = {
         "revenue": F.col("Revenue"),
         "units": F.col("Quantity"),
@@ -133,7 +135,7 @@ def _contributions(lines: DataFrame, kind: str) -> DataFrame:
         "customers": F.lit(0).cast("long"),
     }
     key, columns = STATE[kind]
-    return lines.select(key, *(found[name].alias(name) for name in columns))
+    return lines.select(key, *others, *(found[name].alias(name) for name in columns))
 
 
 def _merged(parts: Sequence[DataFrame], kind: str) -> DataFrame:
@@ -154,6 +156,16 @@ def _descriptions(lines: DataFrame, old: DataFrame | None) -> DataFrame:
     return seen.groupBy("StockCode", "Description").agg(F.min("first_seen").alias("first_seen"))
 
 
+def _first_descriptions(seen: DataFrame) -> DataFrame:
+    """The earliest description of a product, then the smallest text, a missing date last.
+
+    No other one can become the first by lines to come, so state needs no more.
+    """
+    earliest = F.min(F.struct(F.col("first_seen").isNull().alias("undated"), "first_seen", "Description"))
+    firsts = seen.groupBy("StockCode").agg(earliest.alias("first"))
+    return firsts.select("StockCode", "first.Description", "first.first_seen")
+
+
 def _unknown(found: DataFrame, known: DataFrame | None) -> DataFrame:
     """The distinct rows of `found` that are not in `known`, NULLs being equal.
 
@@ -166,10 +178,28 @@ def _unknown(found: DataFrame, known: DataFrame | None) -> DataFrame:
     return rows.groupBy(*found.columns).agg(F.max("_known").alias("_known")).where("NOT _known").drop("_known")
 
 
+def _with_sums(lines: DataFrame, kind: str, known: DataFrame | None) -> DataFrame:
+    """The pairs of these lines, each with what its lines add to the state, itself among it if new.
+
+    One aggregate over lines and known pairs, so with one shuffle. A pair without the counted value is
+    there for its sums only.
+    """
+    state, column, counted = PAIRS[kind]
+    key, columns = STATE[state]
+    rows = _contributions(lines, state, counted).withColumn("_seen", F.lit(1))
+    if known is not None:
+        rows = rows.unionByName(known.select(key, counted, F.lit(2).alias("_seen")), allowMissingColumns=True)
+    sums = (merge(name).alias(name) for name, merge in columns.items())
+    # 1 in the lines, 2 known, 3 both.
+    pairs = rows.groupBy(key, counted).agg(*sums, F.bit_or("_seen").alias("_seen")).where("_seen != 2")
+    new = F.col(counted).isNotNull() & (F.col("_seen") == 1)
+    return pairs.withColumn(column, new.cast("long")).drop("_seen")
+
+
 def _add_pairs(
     lines: DataFrame, kind: str, folder: str, version: str, chain: list[str], bounds: Row | None
 ) -> DataFrame:
-    """Store the pairs of `kind` that are new with these lines; what each adds to the state.
+    """Store the pairs of `kind` that these lines bring; what each adds to the state.
 
     Daily pairs are brought together by month first. Otherwise every task would write a file for each
     month, and readers would open that many.
@@ -178,18 +208,24 @@ def _add_pairs(
     state, column, counted = PAIRS[kind]
     key, path = STATE[state][0], f"{folder}/{kind}"
     daily, known = state == DAYS, None
-    own = lines.select(key, counted, *(_month(F.col("order_date")) if daily else ()))
+    months = _month(F.col("order_date")) if daily else ()
+    own = lines.select(key, counted, *months) if daily else _with_sums(lines, kind, None)
     schema = own.schema.add("added", "string")
     if chain:
         known = spark.read.schema(schema).parquet(path).where(F.col("added").isin(chain))
         if daily:
             known = known.where(_in_months(bounds.months))
+        else:
+            # Versions from before pairs had sums hold new pairs only.
+            known = known.where(F.coalesce(F.col(column) > 0, F.lit(True)))
         if counted == "Invoice":
             known = known.where(F.col("Invoice").between(bounds.first, bounds.last))
         known = known.select(key, counted)
-    found = _unknown(lines.where(F.col(counted).isNotNull()).select(key, counted), known)
     if daily:
-        found = found.select("*", *_month(F.col("order_date"))).hint("rebalance", "year", "month")
+        found = _unknown(lines.where(F.col(counted).isNotNull()).select(key, counted), known)
+        found = found.select("*", *months).hint("rebalance", "year", "month")
+    else:
+        found = _with_sums(lines, kind, known)
     folders = ["year", "month", "added"] if daily else ["added"]
     (
         found.withColumn("added", F.lit(version))
@@ -199,7 +235,9 @@ def _add_pairs(
         .parquet(path)
     )
     added = spark.read.schema(schema).parquet(path).where(F.col("added") == version)
-    return added.select(key, F.lit(1).cast("long").alias(column))
+    if daily:
+        return added.select(key, F.lit(1).cast("long").alias(column))
+    return added.select(key, *STATE[state][1])
 
 
 def _in_months(months: list[Row]) -> Column:
@@ -243,10 +281,7 @@ def _customer_rfm(customers: DataFrame, reference_date: datetime.date | None) ->
 
 
 def _top_products(products: DataFrame, described: DataFrame) -> DataFrame:
-    earliest = F.struct(F.col("first_seen").isNull(), "first_seen", "Description")
-    texts = described.groupBy(F.col("StockCode").alias("code")).agg(
-        F.min_by("Description", earliest).alias("description")
-    )
+    texts = described.select(F.col("StockCode").alias("code"), F.col("Description").alias("description"))
     return (
         products.join(texts, F.col("StockCode").eqNullSafe(F.col("code")), "left")
         .select(
@@ -304,10 +339,12 @@ def update_warehouse(
         add = partial(_add_pairs, folder=f"{warehouse}/pairs", version=version, chain=earlier, bounds=bounds)
         added = side_by_side(spark, *(partial(add, lines, pairs) for pairs in kinds))
         before = [] if fresh else [old(kind)]
-        return kept(_merged([*before, _contributions(lines, kind), *added], kind), f"{state}/{kind}")
+        sums = [_contributions(lines, kind)] if kind == DAYS else []
+        return kept(_merged([*before, *sums, *added], kind), f"{state}/{kind}")
 
     def new_descriptions() -> DataFrame:
-        return kept(_descriptions(lines, old(DESCRIPTIONS)), f"{state}/{DESCRIPTIONS}")
+        found = _first_descriptions(_descriptions(lines, old(DESCRIPTIONS)))
+        return kept(found, f"{state}/{DESCRIPTIONS}")
 
     def table(name: str, frame: DataFrame) -> dict[str, int]:
         return {name: write_table(frame, table_path(target, name))}
